@@ -6,11 +6,12 @@ from .text import (
     strip_text,
     to_ascii_digits,
 )
+from .settle import settle
 from .draws import draw_k, draw_weighted, pick, seeded_int, seeded_share
 from .templates import render
 
 __all__ = [
     "allowed_violation_pattern", "char_class", "ranges_class", "script_share_above",
     "strip_text", "to_ascii_digits", "draw_k", "draw_weighted", "pick", "seeded_int",
-    "seeded_share", "render",
+    "seeded_share", "render", "settle",
 ]

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import fixed, texts
-from ..functions import draw_k, draw_weighted, pick, seeded_int, seeded_share
+from ..functions import draw_k, draw_weighted, pick, seeded_int, seeded_share, settle
 from .requests import by_slot, messages, request_id, with_call_settings
 
 STAGE = "completion"
@@ -70,7 +70,9 @@ def plan_prompts(
             ),
         )
 
-    return planned.withColumn("plan", F.transform("models", one))
+    return settle(
+        planned, instructions.columns, models=F.col("models"), plan=F.transform("models", one)
+    )
 
 
 def plan_rejects(planned: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from ..functions import (
     script_share_above,
     seeded_int,
     seeded_share,
+    settle,
     strip_text,
 )
 from ..functions.draws import BITS
@@ -95,9 +96,9 @@ def quality_filter(
     df: DataFrame, text: str = "instruction", source: str = "source", **rules
 ) -> tuple[DataFrame, DataFrame]:
     """(kept rows, rejects with ``reject_reason``)."""
-    tagged = df.withColumn("reject_reason", quality_reason(F.col(text), F.col(source), **rules))
-    kept = tagged.where(F.col("reject_reason").isNull()).drop("reject_reason")
-    return kept, tagged.where(F.col("reject_reason").isNotNull())
+    reason = quality_reason(F.col(text), F.col(source), **rules)
+    tagged = settle(df, df.columns, reject_reason=reason)
+    return df.where(reason.isNull()), tagged.where(F.col("reject_reason").isNotNull())
 
 
 def invalid_answered_instructions(

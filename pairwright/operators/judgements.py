@@ -8,18 +8,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import fixed, texts
-from ..functions import render
+from ..functions import render, settle
 from .requests import messages, request_id, with_call_settings
 
 STAGE = "judge"
 
-# Java flags: dot matches newline, any case, with Python's case rules for
-# non-ASCII letters.
+# Field labels in the order an answer gives them. Java flags: dot matches newline,
+# any case, with Python's case rules for non-ASCII letters.
 _FLAGS = "(?isu)"
-_PLAIN = _FLAGS + r"Rationale\**:(.+?)Rating\**:(.+)"
-_TYPED = (
-    _FLAGS + r"Rationale for type\**:(.+?)Type\**:(.+?)Rationale for rating\**:(.+?)Rating\**:(.+)"
-)
+_PLAIN_LABELS = [r"Rationale\**:", r"Rating\**:"]
+_TYPED_LABELS = [
+    r"Rationale for type\**:", r"Type\**:", r"Rationale for rating\**:", r"Rating\**:",
+]
 _DIGITS = r"(\p{Nd}+)"
 
 
@@ -76,19 +76,17 @@ def plan_judgements(
 
 
 def judgement_sections(response: Column) -> Column:
-    """Sections after each ``####``; text before the first one is ignored."""
-    pieces = F.split(F.translate(response, "：", ":"), fixed.SECTION_MARK, -1)
-    return F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
-
-
-def _typed(aspect: Column) -> Column:
-    return aspect.isin(*fixed.TYPED_ASPECTS)
+    """Pieces of an answer cut at ``####``; the first is the text before any section."""
+    return F.split(F.translate(response, "：", ":"), fixed.SECTION_MARK, -1)
 
 
 def _rating(tail: Column) -> Column:
     """``N/A`` or the first digit run; ``''`` when there is neither."""
-    return F.when(tail.contains(fixed.NOT_APPLICABLE), fixed.NOT_APPLICABLE).otherwise(
-        F.regexp_extract(tail, _DIGITS, 1)
+    return F.coalesce(
+        F.when(tail.contains(fixed.NOT_APPLICABLE), fixed.NOT_APPLICABLE).otherwise(
+            F.regexp_extract(tail, _DIGITS, 1)
+        ),
+        F.lit(""),
     )
 
 
@@ -98,35 +96,53 @@ def _types(text: Column) -> Column:
     )
 
 
-def _plain_section(section: Column) -> Column:
-    return F.struct(
-        _rating(F.regexp_extract(section, _PLAIN, 2)).alias("rating"),
-        F.regexp_extract(section, _PLAIN, 1).alias("rationale"),
-        F.lit(None).cast("array<string>").alias("types"),
-        F.lit(None).cast("string").alias("rationale_for_type"),
-        F.lit(None).cast("string").alias("rationale_for_rating"),
-    )
+def _rest(cuts: str) -> Column:
+    return F.transform(cuts, lambda cut: F.get(cut, F.lit(1)))
 
 
-def _typed_section(section: Column) -> Column:
-    return F.struct(
-        _rating(F.regexp_extract(section, _TYPED, 4)).alias("rating"),
-        F.lit(None).cast("string").alias("rationale"),
-        _types(F.regexp_extract(section, _TYPED, 2)).alias("types"),
-        F.regexp_extract(section, _TYPED, 1).alias("rationale_for_type"),
-        F.regexp_extract(section, _TYPED, 3).alias("rationale_for_rating"),
-    )
+def _cut(texts_left: Column, label: Column) -> Column:
+    return F.transform(texts_left, lambda text: F.split(text, label, 2))
+
 
+def _parsed(responses: DataFrame, k: int) -> DataFrame:
+    """Cut every section at its labels, each text scanned once from left to right.
 
-def _status(response: Column, sections: Column, ratings: Column, k: int) -> Column:
-    # A failed pattern leaves an empty tail, hence an empty rating, so the rating
-    # alone decides; one bad section voids the whole call.
-    return (
-        F.when(F.coalesce(response, F.lit("")) == "", "empty_response")
-        .when(F.size(sections) != k, "section_count")
-        .when(F.exists(ratings, lambda r: r == ""), "unparsed_section")
+    Column ``_c<n>`` holds per section [text before label n, text after it]. Every
+    label but the first needs a character before it, the field it ends. Cutting at
+    the earliest place for each label is what one lazy pattern over all labels
+    finds: where the earliest cuts leave no later label, no other cuts do.
+    """
+    typed = F.col("aspect").isin(*fixed.TYPED_ASPECTS)
+
+    def label(n: int) -> Column:
+        before = _FLAGS if n == 0 else _FLAGS + "(?<=.)"
+        if n >= len(_PLAIN_LABELS):
+            return F.lit(before + _TYPED_LABELS[n])
+        return F.when(typed, before + _TYPED_LABELS[n]).otherwise(before + _PLAIN_LABELS[n])
+
+    df = responses.withColumn("_pieces", judgement_sections(F.col("response")))
+    fits = F.size("_pieces") == k + 1
+    df = df.withColumn("_c1", _cut(F.when(fits, F.slice("_pieces", 2, k)), label(0)))
+    df = df.withColumn("_c2", _cut(_rest("_c1"), label(1)))
+    df = df.withColumn("_c3", F.when(typed, _cut(_rest("_c2"), label(2))))
+    df = df.withColumn("_c4", F.when(typed, _cut(_rest("_c3"), label(3))))
+    tails = F.when(typed, _rest("_c4")).otherwise(_rest("_c2"))
+    df = df.withColumn("_ratings", F.transform(tails, _rating))
+    # One bad section voids the whole call.
+    status = (
+        F.when(F.coalesce(F.col("response"), F.lit("")) == "", "empty_response")
+        .when(~fits, "section_count")
+        .when(F.array_contains("_ratings", ""), "unparsed_section")
         .otherwise("ok")
     )
+    return df.withColumn("_status", status)
+
+
+def _checked(status: Column, strict: bool) -> Column:
+    if not strict:
+        return status
+    message = F.concat(F.lit("judgement of "), F.col("prompt_id"), F.lit(": "), status)
+    return F.when(status == "ok", status).otherwise(F.raise_error(message))
 
 
 def parse_judgements(
@@ -137,51 +153,41 @@ def parse_judgements(
     ``responses`` needs (prompt_id, aspect, response). ``sections`` holds one
     annotation per slot, or null when the call did not parse. No shuffle.
     """
-    cut = responses.withColumn("_sections", judgement_sections(F.col("response")))
-    parsed = cut.withColumn(
-        "_parsed",
-        F.when(_typed(F.col("aspect")), F.transform("_sections", _typed_section)).otherwise(
-            F.transform("_sections", _plain_section)
-        ),
-    )
-    status = _status(F.col("response"), F.col("_sections"), F.col("_parsed.rating"), k)
-    done = parsed.withColumn("parse_status", status)
-    if strict:
-        done = done.withColumn("parse_status", _raise_unless_ok())
-    return done.withColumn(
-        "sections", F.when(F.col("parse_status") == "ok", F.col("_parsed"))
-    ).drop("_sections", "_parsed")
-
-
-def _raise_unless_ok() -> Column:
-    return F.when(F.col("parse_status") == "ok", "ok").otherwise(
-        F.raise_error(F.concat(F.lit("judgement of "), F.col("prompt_id"), F.lit(": "), F.col("parse_status")))
+    typed = F.col("aspect").isin(*fixed.TYPED_ASPECTS)
+
+    def field(cuts: str, slot: int) -> Column:
+        return F.get(F.get(cuts, F.lit(slot)), F.lit(0))
+
+    def section(slot: int) -> Column:
+        return F.struct(
+            F.get("_ratings", F.lit(slot)).alias("rating"),
+            F.when(~typed, field("_c2", slot)).alias("rationale"),
+            F.when(typed, _types(field("_c3", slot))).alias("types"),
+            F.when(typed, field("_c2", slot)).alias("rationale_for_type"),
+            F.when(typed, field("_c4", slot)).alias("rationale_for_rating"),
+        )
+
+    sections = F.array(*[section(i) for i in range(k)])
+    status = F.col("_status")
+    return settle(
+        _parsed(responses, k),
+        responses.columns,
+        parse_status=_checked(status, strict),
+        sections=F.when(status == "ok", sections),
     )
 
 
 def judge_ratings(responses: DataFrame, k: int = fixed.SLOTS) -> DataFrame:
     """(prompt_id, aspect, parse_status, ratings): what scoring needs, no rationale.
 
-    Runs one regex per section instead of one per field, and what is shuffled
-    afterwards is four short strings per call.
+    What is shuffled afterwards is four short strings per call.
     """
-    cut = responses.select(
-        "prompt_id", "aspect", "response",
-        judgement_sections(F.col("response")).alias("_sections"),
-    )
-    rated = cut.withColumn(
-        "_ratings",
-        F.when(
-            _typed(F.col("aspect")),
-            F.transform("_sections", lambda s: _rating(F.regexp_extract(s, _TYPED, 4))),
-        ).otherwise(
-            F.transform("_sections", lambda s: _rating(F.regexp_extract(s, _PLAIN, 2)))
-        ),
-    )
-    status = _status(F.col("response"), F.col("_sections"), F.col("_ratings"), k)
-    return rated.withColumn("parse_status", status).select(
-        "prompt_id", "aspect", "parse_status",
-        F.when(F.col("parse_status") == "ok", F.col("_ratings")).alias("ratings"),
+    status = F.col("_status")
+    return settle(
+        _parsed(responses, k),
+        ["prompt_id", "aspect"],
+        parse_status=status,
+        ratings=F.when(status == "ok", F.col("_ratings")),
     )
 
 

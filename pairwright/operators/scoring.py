@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import fixed
-from ..functions import to_ascii_digits
+from ..functions import settle, to_ascii_digits
 
 
 def gather_ratings(
@@ -42,7 +42,8 @@ def _missing(ratings: Column, aspects) -> Column:
 def _not_applicable(ratings: Column, aspects) -> Column:
     found = F.lit(False)
     for aspect in aspects:
-        found = found | F.exists(ratings[aspect], lambda r: r.contains(fixed.NOT_APPLICABLE))
+        here = F.exists(ratings[aspect], lambda r: r.contains(fixed.NOT_APPLICABLE))
+        found = found | F.coalesce(here, F.lit(False))
     return found
 
 
@@ -105,12 +106,11 @@ def weighted_score(
     else:
         scores = fold(F.lit(0.0), lambda v, w: v.cast("double") * F.lit(w / 10))
     ok = F.col("score_status") == "ok"
-    return (
-        numbered.withColumn("score_status", status)
-        .withColumn("tenths", F.when(ok, tenths))
-        .withColumn("scores", F.when(ok, scores))
-        .drop("_n")
-    )
+    summed = numbered.withColumn("score_status", status).withColumn(
+        "tenths", F.when(ok, tenths)
+    ).withColumn("scores", F.when(ok, scores))
+    names = ["optional_dropped", "score_status", "tenths", "scores"]
+    return settle(summed, gathered.columns, **{name: F.col(name) for name in names})
 
 
 def not_applicable_counts(annotations: DataFrame) -> DataFrame:

@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairwright.config import fixed
-from pairwright.functions import allowed_violation_pattern, pick, seeded_int
-from pairwright.operators.completions import plan_prompts
+from pairwright.functions import allowed_violation_pattern, pick, seeded_int, settle
+from pairwright.operators.completions import assemble_completions, plan_prompts
 from pairwright.operators.instructions import source_filter
 from pairwright.sources import read_parquet_dir
 
@@ -139,17 +139,13 @@ def completion_responses(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def completions(spark: SparkSession, sf: str) -> DataFrame:
-    from pairwright.operators.completions import assemble_completions
-
     planned = plan_prompts(prompts(spark, sf))
     return assemble_completions(planned, completion_responses(spark, sf))
 
 
-def _judge_section(aspect: Column, slot: int, text: Column) -> Column:
-    doc = F.col("prompt_id")
-    style = seeded_int("style", doc, aspect, slot) % 4
-    roll = seeded_int("roll", doc, aspect, slot) % 200
-    digit = (seeded_int("rating", doc, aspect, slot) % 5 + 1).cast("string")
+def _judge_section(aspect: Column, completion: Column, drawn: Column) -> Column:
+    style, roll, digit = drawn["style"], drawn["roll"], drawn["digit"]
+    text = completion["response"]
     rating = (
         F.when((aspect == "honesty") & (roll < 12), "N/A")
         .when(roll < 1, "N/A")
@@ -158,40 +154,58 @@ def _judge_section(aspect: Column, slot: int, text: Column) -> Column:
         .when(style == 3, F.concat(digit, F.lit(".5 of 5")))
         .otherwise(digit)
     )
-    types = pick(["1", "1, 3", "None", "none", "2,3"], seeded_int("types", doc, aspect, slot))
     colon = F.when(style == 2, "：").otherwise(": ")
     bold = F.when(style == 1, "**").otherwise("")
 
-    def word(text: str) -> Column:
-        name = F.when(style == 3, text.lower()).otherwise(text)
+    def word(label: str) -> Column:
+        name = F.when(style == 3, label.lower()).otherwise(label)
         return F.concat(bold, name, bold, colon)
 
     plain = F.concat(word("Rationale"), text, F.lit("\n"), word("Rating"), rating, F.lit("\n"))
     typed = F.concat(
-        word("Rationale for type"), text, F.lit("\n"), word("Type"), types, F.lit("\n"),
+        word("Rationale for type"), text, F.lit("\n"), word("Type"), drawn["types"], F.lit("\n"),
         word("Rationale for rating"), F.lit("see above\n"), word("Rating"), rating, F.lit("\n"),
     )
     body = F.when(aspect.isin(*fixed.TYPED_ASPECTS), typed).otherwise(plain)
-    return F.concat(F.lit(f"#### Output {slot + 1}\n"), body)
+    return F.concat(F.lit("#### Output "), drawn["number"], F.lit("\n"), body)
 
 
 def judge_responses(completed: DataFrame) -> DataFrame:
     """Judge texts of completions, a fixed share of them malformed."""
-    rows = completed.select(
-        "prompt_id",
-        F.explode(F.array(*[F.lit(a) for a in fixed.ASPECTS])).alias("aspect"),
-        "completions",
-    )
     aspect = F.col("aspect")
-    call = seeded_int("call", F.col("prompt_id"), aspect) % 50
-    sections = [
-        _judge_section(aspect, i, F.get("completions", F.lit(i))["response"]) for i in range(4)
-    ]
-    three = F.concat(F.lit("Here is my verdict.\n"), *sections[:3])
-    last = F.when(call == 1, "").otherwise(sections[3])
+
+    def drawn(slot: int) -> Column:
+        def roll(name: str) -> Column:
+            return seeded_int(name, F.col("prompt_id"), aspect, slot)
+
+        return F.struct(
+            F.lit(str(slot + 1)).alias("number"),
+            (roll("style") % 4).alias("style"),
+            (roll("roll") % 200).alias("roll"),
+            (roll("rating") % 5 + 1).cast("string").alias("digit"),
+            pick(["1", "1, 3", "None", "none", "2,3"], roll("types")).alias("types"),
+        )
+
+    rows = (
+        completed.select(
+            "prompt_id",
+            F.explode(F.array(*[F.lit(a) for a in fixed.ASPECTS])).alias("aspect"),
+            "completions",
+        )
+        .withColumn("drawn", F.array(*[drawn(i) for i in range(4)]))
+        .withColumn("call", seeded_int("call", F.col("prompt_id"), aspect) % 50)
+        .withColumn(
+            "sections",
+            F.zip_with("completions", "drawn", lambda c, d: _judge_section(aspect, c, d)),
+        )
+    )
+    call = F.col("call")
+    shown = F.when(call == 1, F.slice("sections", 1, 3)).otherwise(F.col("sections"))
     stray = F.when(call == 2, "#### done").otherwise("")
-    text = F.when(call == 0, "").otherwise(F.concat(three, last, stray))
-    return rows.select("prompt_id", "aspect", text.alias("response"))
+    text = F.when(call == 0, "").otherwise(
+        F.concat(F.lit("Here is my verdict.\n"), F.array_join(shown, ""), stray)
+    )
+    return settle(rows, ["prompt_id", "aspect"], response=text)
 
 
 def critique_responses(completed: DataFrame) -> DataFrame:
@@ -203,7 +217,5 @@ def critique_responses(completed: DataFrame) -> DataFrame:
     marker = F.when(kind < 10, "Overall Score: ").when(kind < 18, "总体评分: ").otherwise("Score ")
     again = F.when(kind == 1, "\nOverall Score: 3").otherwise("")
     shown = F.when(kind == 2, "high").otherwise(F.concat(score, F.lit("/10")))
-    return rows.select(
-        "prompt_id", "slot",
-        F.concat(F.lit("  "), F.col("c.response"), F.lit("\n　"), marker, shown, again).alias("response"),
-    )
+    text = F.concat(F.lit("  "), F.col("c.response"), F.lit("\n　"), marker, shown, again)
+    return settle(rows, ["prompt_id", "slot"], response=text)

@@ -108,14 +108,16 @@ def annotation_file_shapes(spark: SparkSession, sf: str) -> DataFrame:
     back = read_annotations(spark, path).withColumn("instruction_md5", F.md5("instruction"))
     gathered = scoring.gathered_from_annotated(back)
     scored = scoring.weighted_score(gathered)
+
+    def first_type(completion: Column) -> Column:
+        return F.get(completion["annotations"]["helpfulness"]["types"], F.lit(0))
+
     return scored.select(
         "instruction_md5",
         "source",
         "score_status",
         joined("tenths").alias("tenths"),
-        joined(F.transform("completions", lambda c: c["annotations"]["helpfulness"]["types"].getItem(0))).alias(
-            "first_types"
-        ),
+        joined(F.transform("completions", first_type)).alias("first_types"),
     )
 
 
@@ -307,16 +309,16 @@ def regrouped_responses(spark: SparkSession, sf: str) -> DataFrame:
     return parts.groupBy("prompt_id", "aspect").agg(F.count(F.lit(1)).alias("n"))
 
 
-def echo(request: dict) -> str:
-    """Stand-in model: fails on one model family, else echoes a digest."""
-    import hashlib
+def inferred_responses(spark: SparkSession, sf: str) -> DataFrame:
+    """A stand-in model that fails for one model family, else echoes a digest."""
 
-    if request["model"].startswith("glm"):
-        raise RuntimeError("no such model")
-    return hashlib.md5(request["messages"][-1]["content"].encode()).hexdigest()
+    def echo(request: dict) -> str:
+        import hashlib
 
+        if request["model"].startswith("glm"):
+            raise RuntimeError("no such model")
+        return hashlib.md5(request["messages"][-1]["content"].encode()).hexdigest()
 
-def inferred_responses(spark: SparkSession, sf: str) -> DataFrame:
     requests = comp.plan_completions(comp.plan_prompts(derive.prompts(spark, sf)))
     return req.infer(requests, echo, keep=("request_id", "prompt_id", "slot"))
 
