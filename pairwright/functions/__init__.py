@@ -1,6 +1,6 @@
 from .text import (
     allowed_violation_pattern,
-    char_class,
+    merged_ranges,
     ranges_class,
     script_share_above,
     strip_text,
@@ -11,7 +11,7 @@ from .draws import draw_k, draw_weighted, pick, seeded_int, seeded_share
 from .templates import render
 
 __all__ = [
-    "allowed_violation_pattern", "char_class", "ranges_class", "script_share_above",
+    "allowed_violation_pattern", "merged_ranges", "ranges_class", "script_share_above",
     "strip_text", "to_ascii_digits", "draw_k", "draw_weighted", "pick", "seeded_int",
     "seeded_share", "render", "settle",
 ]

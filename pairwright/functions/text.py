@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from ..config import fixed
 
 
+# How many of the widest ranges the first, cheap test of a class covers.
+COMMON_RANGES = 6
+
+
 def ranges_class(ranges) -> str:
     """Inside of a regex class for ``[(first, last), ...]`` code point ranges."""
     return "".join(
@@ -22,20 +26,38 @@ def ranges_class(ranges) -> str:
     )
 
 
-def char_class(chars: str) -> str:
-    """Inside of a regex class for the distinct characters of ``chars``."""
-    return "".join(f"\\x{{{ord(c):x}}}" for c in dict.fromkeys(chars))
+def merged_ranges(ranges, chars: str = "") -> list[tuple[int, int]]:
+    """The same code points as few ranges, widest first.
+
+    A regex class is tested range by range, so this is what its speed depends on.
+    """
+    merged: list[list[int]] = []
+    for first, last in sorted([*ranges, *[(ord(c), ord(c)) for c in chars]]):
+        if merged and first <= merged[-1][1] + 1:
+            merged[-1][1] = max(merged[-1][1], last)
+        else:
+            merged.append([first, last])
+    return sorted(((a, b) for a, b in merged), key=lambda r: r[0] - r[1])
 
 
 def allowed_violation_pattern(
     ranges=fixed.ALLOWED_RANGES,
     punctuation: str = fixed.ALLOWED_ASCII_PUNCTUATION + fixed.ALLOWED_CJK_PUNCTUATION,
+    portable: bool = False,
 ) -> str:
-    """Pattern that finds one character outside the allow-list."""
-    return (
-        "[^" + ranges_class(ranges) + char_class(punctuation)
-        + ranges_class(fixed.WHITESPACE_RANGES) + "\\p{Nd}]"
-    )
+    """Pattern that finds one character outside the allow-list.
+
+    Java tests the members of a class one inside the other, so a long class is
+    slow for every character. The class is therefore an intersection: a short one
+    with the ranges most text consists of, then the rest. ``portable`` gives the
+    single class that other engines understand.
+    """
+    digits = [(ord("0"), ord("9"))]
+    known = merged_ranges([*ranges, *fixed.WHITESPACE_RANGES, *digits], punctuation)
+    if portable:
+        return "[^" + ranges_class(known) + "\\p{Nd}]"
+    common, rare = known[:COMMON_RANGES], known[COMMON_RANGES:]
+    return f"[[^{ranges_class(common)}]&&[^{ranges_class(rare)}\\p{{Nd}}]]"
 
 
 WHITESPACE = "".join(

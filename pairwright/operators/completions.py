@@ -13,10 +13,7 @@ STAGE = "completion"
 
 
 def drawn_principle(source: Column, key: Column, slot, weights: dict, seed) -> Column:
-    """Principle by source weights; some honesty draws become calibration.
-
-    Null for a source without weights.
-    """
+    """Principle by source weights; null for a source without weights."""
     base = F.lit(None).cast("string")
     draw = seeded_int(seed, "principle", key, slot)
     profiles: dict[tuple, list[str]] = {}
@@ -24,8 +21,13 @@ def drawn_principle(source: Column, key: Column, slot, weights: dict, seed) -> C
         profiles.setdefault(tuple(profile.items()), []).append(tag)
     for profile, tags in profiles.items():
         base = F.when(source.isin(*tags), draw_weighted(dict(profile), draw)).otherwise(base)
+    return base
+
+
+def calibrated(principle: Column, key: Column, slot, seed) -> Column:
+    """Some honesty draws become calibration."""
     swap = seeded_share(seeded_int(seed, "swap", key, slot), fixed.CALIBRATION_SWAP_RATE)
-    return F.when((base == "honesty") & swap, "verbalized_calibration").otherwise(base)
+    return F.when((principle == "honesty") & swap, "verbalized_calibration").otherwise(principle)
 
 
 def system_text(principle: Column, key: Column, slot, texts_by_principle: dict, seed) -> Column:
@@ -60,19 +62,20 @@ def plan_prompts(
         )
     planned = instructions.withColumn("models", draw_k(list(pool), k, prompt, f"{seed}|models"))
 
-    def one(model: Column, slot: Column) -> Column:
+    # Three passes, so that each draw is computed once however often it is used.
+    def base(model: Column, slot: Column) -> Column:
         principle = drawn_principle(source, prompt, slot, weights, seed)
-        return F.struct(
-            model.alias("model"),
-            principle.alias("principle"),
-            system_text(principle, prompt, slot, texts_by_principle, seed).alias(
-                "custom_system_prompt"
-            ),
-        )
+        return F.struct(model.alias("model"), principle.alias("principle"))
 
-    return settle(
-        planned, instructions.columns, models=F.col("models"), plan=F.transform("models", one)
-    )
+    def final(entry: Column, slot: Column) -> Column:
+        return entry.withField("principle", calibrated(entry["principle"], prompt, slot, seed))
+
+    def complete(entry: Column, slot: Column) -> Column:
+        text = system_text(entry["principle"], prompt, slot, texts_by_principle, seed)
+        return entry.withField("custom_system_prompt", text)
+
+    plan = F.transform(F.transform(F.transform("models", base), final), complete)
+    return settle(planned, instructions.columns, models=F.col("models"), plan=plan)
 
 
 def plan_rejects(planned: DataFrame) -> DataFrame:

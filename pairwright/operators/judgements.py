@@ -77,7 +77,7 @@ def plan_judgements(
 
 def judgement_sections(response: Column) -> Column:
     """Pieces of an answer cut at ``####``; the first is the text before any section."""
-    return F.split(F.translate(response, "：", ":"), fixed.SECTION_MARK, -1)
+    return F.split(F.replace(response, F.lit("："), F.lit(":")), fixed.SECTION_MARK, -1)
 
 
 def _rating(tail: Column) -> Column:
@@ -115,10 +115,14 @@ def _parsed(responses: DataFrame, k: int) -> DataFrame:
     typed = F.col("aspect").isin(*fixed.TYPED_ASPECTS)
 
     def label(n: int) -> Column:
-        before = _FLAGS if n == 0 else _FLAGS + "(?<=.)"
+        def pattern(label: str) -> str:
+            # not at the very start; tested only where the first letter fits
+            guard = "" if n == 0 else f"(?<!\\A{label[0]})"
+            return _FLAGS + label[0] + guard + label[1:]
+
         if n >= len(_PLAIN_LABELS):
-            return F.lit(before + _TYPED_LABELS[n])
-        return F.when(typed, before + _TYPED_LABELS[n]).otherwise(before + _PLAIN_LABELS[n])
+            return F.lit(pattern(_TYPED_LABELS[n]))
+        return F.when(typed, pattern(_TYPED_LABELS[n])).otherwise(pattern(_PLAIN_LABELS[n]))
 
     df = responses.withColumn("_pieces", judgement_sections(F.col("response")))
     fits = F.size("_pieces") == k + 1

@@ -20,7 +20,7 @@ from pairwright.operators import pairs as pairing
 from pairwright.operators import requests as req
 from pairwright.operators import scoring
 from pairwright.operators import training_rows as train
-from pairwright.plans import build_preferences, export_training_rows, gather_instructions
+from pairwright.plans import build_preferences, export_training_rows, gather_instructions, stage_table
 from pairwright.sources import (
     read_annotations,
     read_csv,
@@ -205,7 +205,8 @@ def _unique(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sampled_exact(spark: SparkSession, sf: str) -> DataFrame:
-    return ins.stratified_sample(_unique(spark, sf), derive.RATES, "prompt_id").select(
+    prompts = stage_table(_unique(spark, sf), "unique")
+    return ins.stratified_sample(prompts, derive.RATES, "prompt_id").select(
         "prompt_id", "source"
     )
 
