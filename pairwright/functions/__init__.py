@@ -1,17 +1,18 @@
 from .text import (
-    allowed_violation_pattern,
     merged_ranges,
+    only_allowed,
     ranges_class,
     script_share_above,
     strip_text,
     to_ascii_digits,
+    violation_pattern,
 )
 from .settle import settle
 from .draws import draw_k, draw_weighted, pick, seeded_int, seeded_share
 from .templates import render
 
 __all__ = [
-    "allowed_violation_pattern", "merged_ranges", "ranges_class", "script_share_above",
+    "merged_ranges", "only_allowed", "violation_pattern", "ranges_class", "script_share_above",
     "strip_text", "to_ascii_digits", "draw_k", "draw_weighted", "pick", "seeded_int",
     "seeded_share", "render", "settle",
 ]

@@ -40,24 +40,34 @@ def merged_ranges(ranges, chars: str = "") -> list[tuple[int, int]]:
     return sorted(((a, b) for a, b in merged), key=lambda r: r[0] - r[1])
 
 
-def allowed_violation_pattern(
-    ranges=fixed.ALLOWED_RANGES,
-    punctuation: str = fixed.ALLOWED_ASCII_PUNCTUATION + fixed.ALLOWED_CJK_PUNCTUATION,
-    portable: bool = False,
+ALLOWED_PUNCTUATION = fixed.ALLOWED_ASCII_PUNCTUATION + fixed.ALLOWED_CJK_PUNCTUATION
+
+
+def _allowed_ranges(ranges, punctuation: str) -> list[tuple[int, int]]:
+    digits = (ord("0"), ord("9"))
+    return merged_ranges([*ranges, *fixed.WHITESPACE_RANGES, digits], punctuation)
+
+
+def violation_pattern(
+    ranges=fixed.ALLOWED_RANGES, punctuation: str = ALLOWED_PUNCTUATION
 ) -> str:
-    """Pattern that finds one character outside the allow-list.
+    """Pattern that finds one character outside the allow-list, for any engine."""
+    return "[^" + ranges_class(_allowed_ranges(ranges, punctuation)) + "\\p{Nd}]"
 
-    Java tests the members of a class one inside the other, so a long class is
-    slow for every character. The class is therefore an intersection: a short one
-    with the ranges most text consists of, then the rest. ``portable`` gives the
-    single class that other engines understand.
+
+def only_allowed(
+    text: Column, ranges=fixed.ALLOWED_RANGES, punctuation: str = ALLOWED_PUNCTUATION
+) -> Column:
+    """True when every character is on the allow-list or is a decimal digit.
+
+    Runs over the text once without giving anything back. The class is cut in two
+    because Java tests its ranges nested: what texts consist of comes first.
     """
-    digits = [(ord("0"), ord("9"))]
-    known = merged_ranges([*ranges, *fixed.WHITESPACE_RANGES, *digits], punctuation)
-    if portable:
-        return "[^" + ranges_class(known) + "\\p{Nd}]"
+    known = _allowed_ranges(ranges, punctuation)
     common, rare = known[:COMMON_RANGES], known[COMMON_RANGES:]
-    return f"[[^{ranges_class(common)}]&&[^{ranges_class(rare)}\\p{{Nd}}]]"
+    return text.rlike(
+        f"\\A(?:[{ranges_class(common)}]++|[{ranges_class(rare)}\\p{{Nd}}])*+\\z"
+    )
 
 
 WHITESPACE = "".join(
@@ -76,8 +86,8 @@ def strip_text(text: Column) -> Column:
 
 def script_share_above(text: Column, share: float, ranges=fixed.HAN_RANGES) -> Column:
     """True when more than ``share`` of the code points lie in ``ranges`` (strict)."""
-    inside = F.regexp_replace(text, "[^" + ranges_class(ranges) + "]+", "")
-    return F.length(inside) > F.length(text) * F.lit(float(share))
+    outside = F.length(F.regexp_replace(text, "[" + ranges_class(ranges) + "]++", ""))
+    return F.length(text) - outside > F.length(text) * F.lit(float(share))
 
 
 @cache

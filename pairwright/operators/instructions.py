@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import fixed
 from ..functions import (
-    allowed_violation_pattern,
+    only_allowed,
     script_share_above,
     seeded_int,
     seeded_share,
@@ -74,7 +74,7 @@ def quality_reason(
     source: Column,
     min_length: int = fixed.MIN_INSTRUCTION_LENGTH,
     exempt_sources: Sequence[str] = tuple(fixed.ANSWERED_SOURCES),
-    allowed_pattern: str | None = None,
+    allowed_ranges=fixed.ALLOWED_RANGES,
     script_ranges=fixed.HAN_RANGES,
     min_share: float = fixed.MIN_SCRIPT_SHARE,
 ) -> Column:
@@ -82,12 +82,11 @@ def quality_reason(
 
     Cheap rules come first; one pass yields both the kept rows and the rejects.
     """
-    bad_char = allowed_pattern or allowed_violation_pattern()
     return (
         F.when(text.isNull(), "null_text")
         .when((F.length(text) < min_length) & ~source.isin(*exempt_sources), "too_short")
         .when(text.contains(fixed.REPLACEMENT_CHAR), "replacement_char")
-        .when(text.rlike(bad_char), "invalid_char")
+        .when(~only_allowed(text, allowed_ranges), "invalid_char")
         .when(~script_share_above(text, min_share, script_ranges), "script_share")
     )
 
@@ -105,12 +104,12 @@ def invalid_answered_instructions(
     df: DataFrame,
     sources: Sequence[str] = tuple(fixed.ANSWERED_SOURCES),
     text: str = "instruction",
-    allowed_pattern: str | None = None,
+    allowed_ranges=fixed.ALLOWED_RANGES,
     min_length: int = fixed.MIN_INSTRUCTION_LENGTH,
 ) -> DataFrame:
     """Audit view: rows of the exempt sources that only the allow-list rejects."""
     reason = quality_reason(
-        F.col(text), F.col("source"), min_length, sources, allowed_pattern
+        F.col(text), F.col("source"), min_length, sources, allowed_ranges
     )
     return df.where(F.col("source").isin(*sources) & (reason == "invalid_char"))
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairwright.config import fixed
-from pairwright.functions import allowed_violation_pattern, pick, seeded_int, settle
+from pairwright.functions import pick, seeded_int, settle
 from pairwright.operators.completions import assemble_completions, plan_prompts
 from pairwright.operators.instructions import source_filter
 from pairwright.sources import read_parquet_dir
@@ -24,7 +24,7 @@ PROMPT_KEYS = ["translate", "role-playing", "math23k", "document-qa", "general",
 LATIN_RANGES = [(ord("a"), ord("z")), (ord("A"), ord("Z"))]
 LATIN_ALLOWED = [*fixed.ALLOWED_RANGES, (0xC0, 0xFF)]
 QUALITY = {
-    "allowed_pattern": allowed_violation_pattern(LATIN_ALLOWED),
+    "allowed_ranges": LATIN_ALLOWED,
     "script_ranges": LATIN_RANGES,
     "min_share": 0.75,
 }
