@@ -12,18 +12,9 @@ from pairwright.operators.judgements import (
 
 GOOD = "#### Output\nRationale: fine\nRating: 4\n"
 TYPED = "#### t\nRationale for type: why\nType: {t}\nRationale for rating: so\nRating: {r}\n"
+SCHEMA = "prompt_id string, aspect string, response string"
 
-
-def parse(spark, text, aspect="honesty"):
-    df = spark.createDataFrame([("p", aspect, text)], "prompt_id string, aspect string, response string")
-    row = parse_judgements(df).first()
-    slim = judge_ratings(df).first()
-    assert slim.parse_status == row.parse_status
-    assert slim.ratings == (row.sections and [s.rating for s in row.sections])
-    return row
-
-
-@pytest.mark.parametrize("section, rating", [
+PLAIN_CASES = [
     ("#### 1\nRationale： 好\nRating： 5\n", "5"),
     ("####\n**Rationale**: x **Rating**: 5", "5"),
     ("#### rationale: x rating: 2", "2"),
@@ -32,45 +23,92 @@ def parse(spark, text, aspect="honesty"):
     ("#### Rationale: x Rating: N/A", "N/A"),
     ("#### Rationale: x Rating: 4 but later N/A\n", "N/A"),
     ("#### Rationale: the rating: bar of 2 things. Rating: 5", "2"),
+    ("#### Rationale:Rating: 1 Rating: 3", "3"),
+    ("#### Rationale: a Rationale: b Rating: 2", "2"),
     ("#### Ratıonale: dotless Rating: 3", "3"),
     ("#### Rationale: x Rating: ٣", "٣"),
-])
-def test_plain_ratings(spark, section, rating):
-    row = parse(spark, "intro, ignored " + section + GOOD * 3)
-    assert row.parse_status == "ok"
-    assert [s.rating for s in row.sections] == [rating, "4", "4", "4"]
-    # the same section read by Python's own regex engine
-    text = section.replace("：", ":").split("####")[1]
-    hit = re.search(r"rationale\**:(.+?)rating\**:(.+)", text, re.S | re.I)
-    assert row.sections[0].rationale == hit[1]
-
-
-@pytest.mark.parametrize("text, status", [
-    ("#### Rationale: x Rating: good\n" + GOOD * 3, "unparsed_section"),
-    ("#### nothing here\n" + GOOD * 3, "unparsed_section"),
-    (GOOD * 3, "section_count"),
-    (GOOD * 4 + "#### stray", "section_count"),
-    ("", "empty_response"),
-    (None, "empty_response"),
-])
-def test_one_bad_section_voids_the_call(spark, text, status):
-    row = parse(spark, text)
-    assert (row.parse_status, row.sections) == (status, None)
-
-
-@pytest.mark.parametrize("given, types", [
-    ("1, 3", ["1", "3"]), ("None", ["None"]), ("none", []), ("1 and None", ["None"]),
-])
-def test_types(spark, given, types):
-    row = parse(spark, "".join(TYPED.format(t=given, r=3) for _ in range(4)), "helpfulness")
-    assert row.sections[2].types == types
-    assert row.sections[2].rationale_for_type == " why\n"
-    assert row.sections[2].rationale_for_rating == " so\n"
+]
+
+
+def parsed_by_id(spark, rows):
+    df = spark.createDataFrame(rows, SCHEMA)
+    full = {r.prompt_id: r for r in parse_judgements(df).collect()}
+    slim = {r.prompt_id: r for r in judge_ratings(df).collect()}
+    for key, row in full.items():
+        assert slim[key].parse_status == row.parse_status
+        assert slim[key].ratings == (row.sections and [s.rating for s in row.sections])
+    return full
+
+
+def test_plain_ratings(spark):
+    rows = [
+        (str(i), "honesty", "intro, ignored " + text + GOOD * 3)
+        for i, (text, _) in enumerate(PLAIN_CASES)
+    ]
+    found = parsed_by_id(spark, rows)
+    for i, (text, rating) in enumerate(PLAIN_CASES):
+        row = found[str(i)]
+        assert row.parse_status == "ok", text
+        assert [s.rating for s in row.sections] == [rating, "4", "4", "4"], text
+        # the same section as one lazy pattern reads it
+        section = rows[i][2].replace("：", ":").split("####")[1]
+        hit = re.search(r"rationale\**:(.+?)rating\**:(.+)", section, re.S | re.I)
+        assert row.sections[0].rationale == hit[1]
+
+
+def test_one_bad_section_voids_the_call(spark):
+    cases = {
+        "no digits": ("#### Rationale: x Rating: good\n" + GOOD * 3, "unparsed_section"),
+        "no labels": ("#### nothing here\n" + GOOD * 3, "unparsed_section"),
+        "no gap": ("#### Rationale:Rating: 3\n" + GOOD * 3, "unparsed_section"),
+        "no tail": (GOOD * 3 + "#### Rationale: x Rating:", "unparsed_section"),
+        "three": (GOOD * 3, "section_count"),
+        "five": (GOOD * 4 + "#### stray", "section_count"),
+        "empty": ("", "empty_response"),
+        "null": (None, "empty_response"),
+    }
+    found = parsed_by_id(spark, [(k, "honesty", text) for k, (text, _) in cases.items()])
+    for key, (_, status) in cases.items():
+        assert (found[key].parse_status, found[key].sections) == (status, None), key
+
+
+def test_types(spark):
+    cases = {"1, 3": ["1", "3"], "None": ["None"], "none": [], "1 and None": ["None"]}
+    rows = [(t, "helpfulness", "".join(TYPED.format(t=t, r=3) for _ in range(4))) for t in cases]
+    found = parsed_by_id(spark, rows)
+    for given, types in cases.items():
+        section = found[given].sections[2]
+        assert section.types == types
+        assert section.rationale_for_type == " why\n"
+        assert section.rationale_for_rating == " so\n"
+        assert section.rationale is None
+
+
+def test_cuts_agree_with_one_lazy_pattern(spark):
+    """All short sequences of labels and fillers, in any order."""
+    from itertools import product
+
+    words = ["Rationale for type:", "type**:", "Rationale for rating:", "Rating:", "7", "N/A"]
+    texts = ["#### " + "".join(p) for n in (5, 6) for p in product(words, repeat=n) if p[0] == words[0]]
+    df = spark.createDataFrame(
+        [(str(i), "truthfulness", t + TYPED.format(t=1, r=2) * 3) for i, t in enumerate(texts)], SCHEMA
+    )
+    pattern = re.compile(
+        r"Rationale for type\**:(.+?)Type\**:(.+?)Rationale for rating\**:(.+?)Rating\**:(.+)",
+        re.S | re.I,
+    )
+    got = {r.prompt_id: r.ratings for r in judge_ratings(df).collect()}
+    for i, text in enumerate(texts):
+        hit = pattern.search(text)
+        tail = hit[4] if hit else ""
+        digits = re.findall(r"\d+", tail)
+        want = "N/A" if "N/A" in tail else digits[0] if digits else None
+        assert (got[str(i)] and got[str(i)][0]) == want, text
 
 
 def test_counts_add_up_and_strict_raises(spark):
     rows = [("a", "honesty", GOOD * 4), ("b", "honesty", GOOD * 3), ("c", "truthfulness", "x")]
-    df = spark.createDataFrame(rows, "prompt_id string, aspect string, response string")
+    df = spark.createDataFrame(rows, SCHEMA)
     parsed = parse_judgements(df)
     assert explode_annotations(parsed).count() == 4
     rejects = judgement_rejects(parsed).orderBy("prompt_id").collect()
@@ -81,9 +119,11 @@ def test_counts_add_up_and_strict_raises(spark):
         parse_judgements(df, strict=True).collect()
 
 
-def test_parsing_shuffles_nothing(spark):
+def test_parsing_is_one_pass(spark):
     df = spark.range(10).select(
         F.col("id").cast("string").alias("prompt_id"), F.lit("honesty").alias("aspect"),
-        F.lit(GOOD * 4).alias("response"),
+        F.concat(F.lit(GOOD * 4), F.col("id").cast("string")).alias("response"),
     )
-    assert "Exchange" not in parse_judgements(df)._jdf.queryExecution().executedPlan().toString()
+    plan = judgement_rejects(parse_judgements(df))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert plan.count("split(replace") == 1
