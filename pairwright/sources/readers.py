@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import settle
+
 CORRUPT = "_corrupt_record"
 BROADCAST_FILES = 50_000
 
@@ -34,10 +36,17 @@ def _parquet_position() -> Column:
 
 
 def read_jsonl(spark: SparkSession, path, schema: T.StructType, position: bool = False) -> DataFrame:
-    """JSON lines. Lines that do not parse land in ``_corrupt_record``."""
+    """JSON lines. Lines that do not parse land in ``_corrupt_record``.
+
+    Every line is parsed with the whole schema, whichever columns are used later:
+    with columns pruned, what counts as corrupt would depend on the query.
+    """
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     df = spark.read.schema(full).option("columnNameOfCorruptRecord", CORRUPT).json(path)
-    return df.withColumn("position", _text_position()) if position else df
+    columns = {name: F.col(name) for name in full.names}
+    if position:
+        df = df.withColumn("position", _text_position())
+    return settle(df, ["position"] if position else [], **columns)
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:

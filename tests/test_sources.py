@@ -1,0 +1,134 @@
+import json
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from pairwright.operators.instructions import strip_and_dedup, union_sources
+from pairwright.sources import (
+    read_annotations,
+    read_csv,
+    read_jsonl,
+    read_parquet,
+    read_parquet_dir,
+    read_shards,
+    save_bucketed,
+    split_corrupt,
+    stage_path,
+    write_jsonl,
+    write_sharded,
+)
+
+TEXT = T.StructType([T.StructField("instruction", T.StringType())])
+
+
+def test_parquet_dir_follows_descending_names(spark, tmp_path):
+    for name, ids in {"a": [0, 1], "c": [2, 3, 4], "b": [5]}.items():
+        spark.createDataFrame([(i,) for i in ids], "id int").toPandas().to_parquet(tmp_path / f"{name}.parquet")
+    (tmp_path / "note.txt").write_text("not data")
+    (tmp_path / "deeper").mkdir()
+    spark.createDataFrame([(99,)], "id int").toPandas().to_parquet(tmp_path / "deeper" / "z.parquet")
+    rows = read_parquet_dir(spark, str(tmp_path)).orderBy("row_seq").collect()
+    assert [(r.row_seq, r.id) for r in rows] == list(enumerate([2, 3, 4, 5, 0, 1]))
+
+
+def test_counting_scan_reads_no_column(spark, tmp_path):
+    spark.range(5).toPandas().to_parquet(tmp_path / "a.parquet")
+    plan = read_parquet_dir(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan and "BroadcastHashJoin" in plan
+
+
+def test_json_positions_are_file_order_across_splits(spark, tmp_path):
+    lines = [json.dumps({"instruction": f"t{i % 700}"}) for i in range(5000)]
+    path = tmp_path / "x.jsonl"
+    path.write_text("\n".join(lines[:2500]) + "\n\n" + "\n".join(lines[2500:]))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    df = read_jsonl(spark, str(path), TEXT, position=True)
+    assert df.rdd.getNumPartitions() > 5
+    ordered = [r.instruction for r in df.orderBy("position").collect()]
+    assert ordered == [f"t{i % 700}" for i in range(5000)]
+    good, bad = split_corrupt(df)
+    firsts = strip_and_dedup(union_sources([("s", good.withColumn("correct_answers", F.col("position.block").cast("string")))]))
+    assert firsts.count() == 700
+    assert int(firsts.agg(F.max(F.col("position.block"))).first()[0]) < path.stat().st_size / 4
+    assert bad.count() == 0
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_corrupt_lines_become_rejects(spark, tmp_path):
+    path = tmp_path / "x.jsonl"
+    path.write_text('{"instruction": "好"}\n{"instruction": oops\n')
+    good, bad = split_corrupt(read_jsonl(spark, str(path), TEXT))
+    assert [r.instruction for r in good.collect()] == ["好"]
+    assert [(r.raw, r.reject_reason) for r in bad.collect()] == [('{"instruction": oops', "corrupt_json")]
+
+
+def test_csv_with_quotes_and_line_breaks(spark, tmp_path):
+    path = tmp_path / "q.csv"
+    path.write_text('Question,Correct Answers,Incorrect Answers\n"a ""b""\nc","x; y",\nd,,z\n')
+    names = ["Question", "Correct Answers", "Incorrect Answers"]
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    df = read_csv(spark, str(path), schema, position=True).orderBy("position")
+    assert [tuple(r)[:3] for r in df.collect()] == [('a "b"\nc', "x; y", None), ("d", None, "z")]
+
+
+def test_positions_of_all_formats_unite(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"instruction": "x"}\n')
+    (tmp_path / "a.csv").write_text("instruction\nx\ny\n")
+    spark.createDataFrame([("y",), ("x",)], "instruction string").toPandas().to_parquet(tmp_path / "a.parquet")
+    parts = [
+        ("json", split_corrupt(read_jsonl(spark, str(tmp_path / "a.jsonl"), TEXT, position=True))[0]),
+        ("csv", read_csv(spark, str(tmp_path / "a.csv"), TEXT, position=True)),
+        ("parquet", read_parquet(spark, str(tmp_path / "a.parquet"), TEXT, position=True)),
+    ]
+    got = {r.instruction: r.source for r in strip_and_dedup(union_sources(parts)).collect()}
+    assert got == {"x": "json", "y": "csv"}
+
+
+def test_json_keeps_nulls_and_han(spark, tmp_path):
+    path = str(tmp_path / "out")
+    write_jsonl(spark.createDataFrame([("好", None)], "a string, b string"), path)
+    text = "".join(p.read_text() for p in (tmp_path / "out").glob("*.json"))
+    assert text == '{"a":"好","b":null}\n'
+
+
+def test_numbered_shards(spark, tmp_path):
+    for i in range(3):
+        (tmp_path / f"completions_{i}.jsonl").write_text(json.dumps({"instruction": f"s{i}"}))
+    rows = read_shards(spark, str(tmp_path / "completions_{}.jsonl"), TEXT, 3).collect()
+    assert sorted((r.shard, r.instruction) for r in rows) == [(0, "s0"), (1, "s1"), (2, "s2")]
+    out = str(tmp_path / "sharded")
+    write_sharded(spark.range(500).select(F.col("id").cast("string").alias("instruction")), out, F.col("instruction"))
+    back = read_shards(spark, out + "/shard={}", TEXT)
+    assert back.count() == 500
+    counts = [r["count"] for r in back.groupBy("shard").count().collect()]
+    assert len(counts) == 10 and max(counts) < 100
+
+
+def test_both_annotation_shapes(spark, tmp_path):
+    plain, typed = {"Rating": "4", "Rationale": "因为"}, {
+        "Rating": "5", "Type": "None", "Rationale for type": "t", "Rationale for rating": "r"}
+    listed = {**typed, "Type": ["1", "3"]}
+
+    def row(name, a, b, c, d):
+        annotations = dict(zip(["instruction_following", "honesty", "truthfulness", "helpfulness"], (a, b, c, d)))
+        done = [{"model": "m", "principle": "p", "custom_system_prompt": "s", "response": "r", "annotations": annotations}]
+        return json.dumps({"instruction": name, "source": "wizard_zh", "models": ["m"], "completions": done})
+
+    (tmp_path / "x.jsonl").write_text("\n".join([
+        row("objects", plain, plain, typed, listed), row("lists", [plain], [plain], [typed], [listed]),
+        row("failed", plain, "", typed, listed),
+    ]))
+    got = {r.instruction: r.completions[0].annotations for r in read_annotations(spark, str(tmp_path / "x.jsonl")).collect()}
+    assert got["objects"] == got["lists"]
+    assert got["objects"].honesty.rationale == "因为" and got["objects"].honesty.types is None
+    assert got["objects"].truthfulness.types == ["None"] and got["objects"].helpfulness.types == ["1", "3"]
+    assert got["failed"].honesty is None and got["failed"].helpfulness.rating == "5"
+
+
+def test_stage_paths_are_fresh(spark):
+    assert stage_path(spark, "x") != stage_path(spark, "x")
+
+
+def test_bucketed_table_reads_back(spark, tmp_path):
+    table = save_bucketed(spark.range(10).select(F.col("id").cast("string").alias("k")), "b1", "k", 3, str(tmp_path / "b"))
+    assert table.count() == 10
