@@ -211,6 +211,11 @@ def stratified_sample(
     )
 
 
+def sample_fraction(df: DataFrame, fraction: float, key: str, seed=0) -> DataFrame:
+    """A reproducible share of all rows, for trial runs; a plain filter."""
+    return df.where(seeded_share(seeded_int(seed, F.col(key)), fraction))
+
+
 def count_by_source(df: DataFrame, by: str = "source") -> DataFrame:
     """Rows per source, most first."""
     return df.groupBy(by).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), by)

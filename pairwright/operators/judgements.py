@@ -41,7 +41,7 @@ def judge_prompt(
     """The judge prompt of a completions row for one aspect."""
     fields = {"instruction": F.col("instruction")}
     for i in range(k):
-        fields[f"text_{i + 1}"] = F.get("completions", F.lit(i))["response"]
+        fields[f"text_{i + 1}"] = F.get(F.col("completions")["response"], F.lit(i))
     fields["world_knowledge"] = world_knowledge(
         F.col("correct_answers"), F.col("incorrect_answers")
     )

@@ -48,6 +48,11 @@ def rating_record(slot: Column) -> Column:
     )
 
 
+def _of_slot(field: str, slot: Column) -> Column:
+    # Field first, slot second: only the named fields are read from the files.
+    return F.get(F.col("completions")[field], slot)
+
+
 def _paired(scored: DataFrame, completions: DataFrame | None, seed, score: str) -> DataFrame:
     picked = pick_slots(scored, seed, score)
     if completions is None:
@@ -70,8 +75,8 @@ def make_pairs(
         "prompt_id",
         "instruction",
         "source",
-        strip_text(F.get("completions", chosen)["response"]).alias("chosen_response"),
-        strip_text(F.get("completions", rejected)["response"]).alias("rejected_response"),
+        strip_text(_of_slot("response", chosen)).alias("chosen_response"),
+        strip_text(_of_slot("response", rejected)).alias("rejected_response"),
         rating_record(chosen).alias("chosen_rating"),
         rating_record(rejected).alias("rejected_rating"),
     )
@@ -87,12 +92,14 @@ def make_chat_pairs(
     """Pairs as chat messages: system prompt and (unstripped) response."""
 
     def chat(slot: Column) -> Column:
-        completion = F.get("completions", slot)
         return F.array(
             F.struct(
-                F.lit("system").alias("role"), completion["custom_system_prompt"].alias("content")
+                F.lit("system").alias("role"),
+                _of_slot("custom_system_prompt", slot).alias("content"),
+            ),
+            F.struct(
+                F.lit(response_role).alias("role"), _of_slot("response", slot).alias("content")
             ),
-            F.struct(F.lit(response_role).alias("role"), completion["response"].alias("content")),
         )
 
     chosen, rejected = F.col("chosen_slot"), F.col("rejected_slot")

@@ -19,6 +19,10 @@ from pyspark.sql import types as T
 from ..config import fixed
 
 
+# Most request ids (about 60 bytes each) a resumed run may broadcast.
+BROADCAST_REQUESTS = 500_000
+
+
 def request_id(stage: str, prompt: str, part: str) -> Column:
     return F.concat_ws("/", F.lit(stage), F.col(prompt), F.col(part).cast("string")).alias(
         "request_id"
@@ -156,11 +160,18 @@ def infer_into(
 ) -> DataFrame:
     """Answer the requests not yet in the table at ``path`` and append to it.
 
-    Runs a job. After an interruption call it again: finished work is kept.
+    Runs jobs. After an interruption call it again: finished work is kept. When
+    few requests are left, their ids are broadcast, so that the (long) requests
+    stay where they are; otherwise both sides are shuffled by id.
     """
     spark = requests.sparkSession
     try:
-        todo = pending(requests, spark.read.parquet(path))
+        done = spark.read.parquet(path)
+        left = pending(requests.select("request_id"), done)
+        if left.count() <= BROADCAST_REQUESTS:
+            todo = requests.join(F.broadcast(left), "request_id", "left_semi")
+        else:
+            todo = pending(requests, done)
     except AnalysisException as failure:
         if failure.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise

@@ -123,8 +123,10 @@ def not_applicable_counts(annotations: DataFrame) -> DataFrame:
 
 def has_all_responses(completions: Column, k: int = fixed.SLOTS) -> Column:
     """True when all ``k`` slots hold a non-empty response."""
-    return (F.size(completions) == k) & F.forall(
-        completions, lambda c: F.coalesce(c["response"], F.lit("")) != ""
+    # The array of one field, not of whole entries: the scan then reads that field.
+    responses = completions["response"]
+    return (F.size(responses) == k) & F.forall(
+        responses, lambda text: F.coalesce(text, F.lit("")) != ""
     )
 
 
@@ -160,11 +162,9 @@ def attach_annotations(
             )
         return completion.withField("annotations", F.struct(*entries))
 
-    return (
-        completions.join(sections, "prompt_id", "left")
-        .withColumn("completions", F.transform("completions", one))
-        .drop(*[f"_{a}" for a in aspects])
-    )
+    others = [c for c in completions.columns if c != "completions"]
+    joined = completions.join(sections, "prompt_id", "left")
+    return settle(joined, others, completions=F.transform("completions", one))
 
 
 def gathered_from_annotated(
@@ -173,9 +173,8 @@ def gathered_from_annotated(
     """``ratings`` struct of rows that already hold their annotations. No shuffle."""
 
     def per_aspect(aspect: str) -> Column:
-        entries = F.transform("completions", lambda c: c["annotations"][aspect])
         field = "Rating" if "Rating" in _entry_fields(annotated, aspect) else "rating"
-        ratings = F.transform(entries, lambda e: e[field])
+        ratings = F.col("completions")["annotations"][aspect][field]
         complete = (F.size(ratings) == k) & F.forall(ratings, lambda r: r.isNotNull())
         return F.when(complete, ratings).alias(aspect)
 

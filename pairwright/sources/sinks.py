@@ -35,16 +35,21 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None
 
 
 def write_sharded(
-    df: DataFrame, path: str, key: Column, shards: int = 10, mode: str = "errorifexists"
+    df: DataFrame, path: str, key: Column | None = None, shards: int = 10,
+    mode: str = "errorifexists",
 ) -> None:
     """JSON lines in ``shards`` directories ``shard=0`` ..., by a hash of ``key``.
 
+    Without a key the rows keep the ``shard`` they were read from, so one job
+    carries all shards of a stage over to the next stage's path.
+
     No shuffle: every task appends to the shards it has rows for, so a shard
     directory holds several files and no task ever owns a whole shard.
     """
-    numbered = df.withColumn("shard", F.pmod(F.xxhash64(key), F.lit(shards)).cast("int"))
+    if key is not None:
+        df = df.withColumn("shard", F.pmod(F.xxhash64(key), F.lit(shards)).cast("int"))
     (
-        numbered.write.mode(mode)
+        df.write.mode(mode)
         .option("ignoreNullFields", False)
         .partitionBy("shard")
         .json(path)

@@ -102,6 +102,9 @@ def test_numbered_shards(spark, tmp_path):
     assert back.count() == 500
     counts = [r["count"] for r in back.groupBy("shard").count().collect()]
     assert len(counts) == 10 and max(counts) < 100
+    write_sharded(back, str(tmp_path / "next"))
+    moved = read_shards(spark, str(tmp_path / "next") + "/shard={}", TEXT)
+    assert sorted(map(tuple, moved.collect())) == sorted(map(tuple, back.collect()))
 
 
 def test_both_annotation_shapes(spark, tmp_path):

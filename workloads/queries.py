@@ -217,6 +217,12 @@ def sampled_fast(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def trial_fraction(spark: SparkSession, sf: str) -> DataFrame:
+    return ins.sample_fraction(derive.prompts(spark, sf), 0.1, "prompt_id").select(
+        "prompt_id", "source"
+    )
+
+
 def source_counts(spark: SparkSession, sf: str) -> DataFrame:
     return ins.count_by_source(_unique(spark, sf))
 
@@ -530,7 +536,7 @@ QUERIES = {
         sharded_round_trip, annotation_file_shapes,
         conversation_first_turn, conversation_instructions, conversation_rejects,
         source_rules, united_sources, quality_kept, quality_rejects, quality_rejects_han,
-        invalid_answered_instructions, deduplicated, sampled_exact, sampled_fast, source_counts,
+        invalid_answered_instructions, deduplicated, sampled_exact, sampled_fast, trial_fraction, source_counts,
         gathered_instructions,
         drawn_models, planned_prompts, unknown_source_rejects, completion_requests,
         assembled_completions, attached_responses, pending_requests, regrouped_responses,
