@@ -110,8 +110,12 @@ def attach_responses(requests: DataFrame, responses: DataFrame) -> DataFrame:
 
 
 def pending(requests: DataFrame, responses: DataFrame) -> DataFrame:
-    """Requests without a response row yet: the work left after an interruption."""
-    return requests.join(responses.select("request_id"), "request_id", "left_anti")
+    """Requests without a response row yet: the work left after an interruption.
+
+    Ids are made distinct first, so repeated responses are reduced before they move.
+    """
+    done = responses.select("request_id").distinct()
+    return requests.join(done, "request_id", "left_anti")
 
 
 def infer(
