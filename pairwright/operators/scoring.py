@@ -173,19 +173,13 @@ def gathered_from_annotated(
     """``ratings`` struct of rows that already hold their annotations. No shuffle."""
 
     def per_aspect(aspect: str) -> Column:
-        field = "Rating" if "Rating" in _entry_fields(annotated, aspect) else "rating"
-        ratings = F.col("completions")["annotations"][aspect][field]
+        ratings = F.col("completions")["annotations"][aspect]["Rating"]
         complete = (F.size(ratings) == k) & F.forall(ratings, lambda r: r.isNotNull())
         return F.when(complete, ratings).alias(aspect)
 
     return annotated.withColumn("ratings", F.struct(*[per_aspect(a) for a in aspects]))
 
 
-def _entry_fields(annotated: DataFrame, aspect: str) -> list[str]:
-    entry = annotated.schema["completions"].dataType.elementType
-    return entry["annotations"].dataType[aspect].dataType.names
-
-
 def scored_completions(scored: DataFrame) -> DataFrame:
     """Put ``overall_score`` into every slot; rows without scores are dropped."""
     return (

@@ -1,9 +1,9 @@
 from .gather import gather_instructions
 from .judge import complete_and_judge, critique_completions
-from .prefer import build_preferences, export_training_rows
+from .prefer import build_preferences, export_training_rows, write_preferences
 from .stages import open_session, stage_table, write_counted
 
 __all__ = [
     "gather_instructions", "complete_and_judge", "critique_completions", "build_preferences",
-    "export_training_rows", "open_session", "stage_table", "write_counted",
+    "export_training_rows", "write_preferences", "open_session", "stage_table", "write_counted",
 ]

@@ -3,11 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from ..operators.instructions import count_by_source
 from ..operators.judgements import judge_ratings
-from ..operators.pairs import make_pairs
-from ..operators.scoring import gather_ratings, weighted_score
+from ..operators.pairs import binarized, make_pairs
+from ..operators.scoring import (
+    gather_ratings,
+    gathered_from_annotated,
+    scored_completions,
+    weighted_score,
+)
 from ..operators.training_rows import format_training_rows, within_length
+from ..sources.sinks import write_jsonl, write_parquet
+from .stages import stage_table
 
 
 def build_preferences(
@@ -22,6 +31,29 @@ def build_preferences(
     return make_pairs(scored, completions, seed, score)
 
 
+def write_preferences(
+    annotated: DataFrame, root: str, seed=0, mode: str = "exact"
+) -> DataFrame:
+    """Annotated completions -> weighted and binarized files; returns pairs per source.
+
+    ``annotated`` comes from ``read_annotations`` or ``attach_annotations``. Writes
+    ``annotations_weighted_sum`` and ``annotations_binarized`` under ``root``, each as
+    JSON lines and as parquet. Scores are staged once for all four.
+    """
+    if "prompt_id" not in annotated.columns:
+        annotated = annotated.withColumn("prompt_id", F.md5("instruction"))
+    scored = stage_table(weighted_score(gathered_from_annotated(annotated), mode=mode), "scored")
+    score = "tenths" if mode == "exact" else "scores"
+    pairs = binarized(make_pairs(scored, seed=seed, score=score))
+    for name, df in [
+        ("annotations_weighted_sum", scored_completions(scored)),
+        ("annotations_binarized", pairs),
+    ]:
+        write_parquet(df, f"{root}/{name}.parquet")
+        write_jsonl(df.sparkSession.read.parquet(f"{root}/{name}.parquet"), f"{root}/{name}.jsonl")
+    return count_by_source(annotated.sparkSession.read.parquet(f"{root}/annotations_binarized.parquet"))
+
+
 def export_training_rows(pairs: DataFrame, family: str = "qwen", **length_options) -> DataFrame:
     """Pairs -> formatted rows within the length budget."""
     return within_length(format_training_rows(pairs, family), family=family, **length_options)

@@ -8,10 +8,11 @@ from .readers import (
     split_corrupt,
 )
 from .annotation_shapes import read_annotations
+from .instruction_files import read_instruction_sources
 from .sinks import save_bucketed, stage_path, write_jsonl, write_parquet, write_sharded
 
 __all__ = [
     "read_csv", "read_jsonl", "read_parquet", "read_parquet_dir", "read_shards",
-    "shard_paths", "split_corrupt", "read_annotations", "save_bucketed", "stage_path",
+    "shard_paths", "split_corrupt", "read_annotations", "read_instruction_sources", "save_bucketed", "stage_path",
     "write_jsonl", "write_parquet", "write_sharded",
 ]

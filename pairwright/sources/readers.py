@@ -80,7 +80,11 @@ def read_parquet(
 
 
 def read_parquet_dir(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, name_glob: str = "*.parquet"
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    name_glob: str = "*.parquet",
+    position: bool = False,
 ) -> DataFrame:
     """All ``*.parquet`` files directly in ``path``, as one numbered sequence.
 
@@ -100,13 +104,22 @@ def read_parquet_dir(
     )
     if len(files.inputFiles()) <= BROADCAST_FILES:
         offsets = F.broadcast(offsets)
-    return (
+    numbered = (
         files.withColumn("file_name", name)
         .withColumn("_row", F.col("_metadata.row_index"))
         .join(offsets, "file_name")
         .withColumn("row_seq", F.col("offset") + F.col("_row"))
         .drop("_row", "offset")
     )
+    if not position:
+        return numbered
+    return numbered.withColumn(
+        "position",
+        F.struct(
+            F.lit("").alias("file"), F.lit(0).cast("bigint").alias("block"),
+            F.col("row_seq").alias("row"),
+        ),
+    )
 
 
 def shard_paths(template: str, shards: int = 10) -> list[str]:

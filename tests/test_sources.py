@@ -123,9 +123,10 @@ def test_both_annotation_shapes(spark, tmp_path):
     ]))
     got = {r.instruction: r.completions[0].annotations for r in read_annotations(spark, str(tmp_path / "x.jsonl")).collect()}
     assert got["objects"] == got["lists"]
-    assert got["objects"].honesty.rationale == "因为" and got["objects"].honesty.types is None
-    assert got["objects"].truthfulness.types == ["None"] and got["objects"].helpfulness.types == ["1", "3"]
-    assert got["failed"].honesty is None and got["failed"].helpfulness.rating == "5"
+    assert got["objects"].honesty.asDict() == plain
+    assert got["objects"].truthfulness.asDict() == {**typed, "Type": ["None"]}
+    assert got["objects"].helpfulness.asDict() == listed
+    assert got["failed"].honesty is None and got["failed"].helpfulness["Rating"] == "5"
 
 
 def test_stage_paths_are_fresh(spark):

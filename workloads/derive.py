@@ -48,30 +48,31 @@ def answers(df: DataFrame) -> DataFrame:
     ).withColumn("incorrect_answers", F.when(answered, F.element_at(lines, -1)))
 
 
-def tagged_documents(spark: SparkSession, sf: str) -> DataFrame:
+def tagged_documents(spark: SparkSession, sf: str, scored: bool = True) -> DataFrame:
     """Documents as instructions of five sources, with score and prompt key."""
     docs = read_parquet_dir(spark, sf, name_glob="documents.parquet")
-    labels = table(spark, sf, "labels")
-    return answers(
-        docs.join(labels, "doc_id", "left").select(
-            "doc_id",
-            F.col("text").alias("instruction"),
-            tag_of(F.col("source")).alias("source"),
+    columns = [
+        "doc_id", F.col("text").alias("instruction"), tag_of(F.col("source")).alias("source"),
+        "row_seq",
+    ]
+    if scored:
+        docs = docs.join(table(spark, sf, "labels"), "doc_id", "left")
+        columns += [
             (F.col("quality") + 4).cast("double").alias("score"),
             pick(PROMPT_KEYS, seeded_int("key", F.col("doc_id"))).alias("system_prompt_key"),
-            "row_seq",
-        )
-    )
+        ]
+    return answers(docs.select(*columns))
 
 
 def instruction_sources(spark: SparkSession, sf: str) -> list[tuple[str, DataFrame]]:
     """One DataFrame per source, in union order; the scored one already filtered."""
-    rows = tagged_documents(spark, sf).withColumn("position", F.col("row_seq"))
     parts = []
     for tag in TAGS:
-        part = rows.where(F.col("source") == tag)
-        if tag == "smoltalk_zh":
+        scored = tag == "smoltalk_zh"
+        part = tagged_documents(spark, sf, scored).where(F.col("source") == tag)
+        if scored:
             part = source_filter(part)
+        part = part.withColumnRenamed("row_seq", "position")
         if tag not in fixed.ANSWERED_SOURCES:
             part = part.drop("correct_answers", "incorrect_answers")
         parts.append((tag, part.drop("source")))

@@ -110,7 +110,7 @@ def annotation_file_shapes(spark: SparkSession, sf: str) -> DataFrame:
     scored = scoring.weighted_score(gathered)
 
     def first_type(completion: Column) -> Column:
-        return F.get(completion["annotations"]["helpfulness"]["types"], F.lit(0))
+        return F.get(completion["annotations"]["helpfulness"]["Type"], F.lit(0))
 
     return scored.select(
         "instruction_md5",
