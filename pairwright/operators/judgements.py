@@ -96,6 +96,44 @@ def _types(text: Column) -> Column:
     )
 
 
+def _tail_pattern(labels: list[str]) -> str:
+    """Everything behind the last of ``labels``, found in order, as group 1.
+
+    Each label is taken at the earliest place it can stand and never given back;
+    that finds what a lazy pattern finds, because where the earliest places leave
+    no later label, no other places do. It also keeps the time linear.
+    """
+    later = "".join(f"(?>.+?{label})" for label in labels[1:])
+    return rf"{_FLAGS}\A(?>.*?{labels[0]}){later}(.+)"
+
+
+def _typed() -> Column:
+    return F.col("aspect").isin(*fixed.TYPED_ASPECTS)
+
+
+def _sectioned(responses: DataFrame, keep: list[str], k: int) -> DataFrame:
+    """``keep`` with ``_empty`` and ``_sections``, null unless there are ``k``."""
+    cut = responses.select(
+        *keep,
+        (F.coalesce(F.col("response"), F.lit("")) == "").alias("_empty"),
+        judgement_sections(F.col("response")).alias("_pieces"),
+    )
+    fits = F.size("_pieces") == k + 1
+    return cut.select(
+        *keep, "_empty", F.when(fits, F.slice("_pieces", 2, k)).alias("_sections")
+    )
+
+
+def _status() -> Column:
+    # One bad section voids the whole call.
+    return (
+        F.when(F.col("_empty"), "empty_response")
+        .when(F.col("_ratings").isNull(), "section_count")
+        .when(F.array_contains("_ratings", ""), "unparsed_section")
+        .otherwise("ok")
+    )
+
+
 def _rest(cuts: str) -> Column:
     return F.transform(cuts, lambda cut: F.get(cut, F.lit(1)))
 
@@ -104,42 +142,33 @@ def _cut(texts_left: Column, label: Column) -> Column:
     return F.transform(texts_left, lambda text: F.split(text, label, 2))
 
 
-def _parsed(responses: DataFrame, k: int) -> DataFrame:
-    """Cut every section at its labels, each text scanned once from left to right.
+def _label(n: int) -> Column:
+    """Pattern of label ``n``; every label but the first has a character before it."""
 
-    Column ``_c<n>`` holds per section [text before label n, text after it]. Every
-    label but the first needs a character before it, the field it ends. Cutting at
-    the earliest place for each label is what one lazy pattern over all labels
-    finds: where the earliest cuts leave no later label, no other cuts do.
-    """
-    typed = F.col("aspect").isin(*fixed.TYPED_ASPECTS)
+    def pattern(label: str) -> str:
+        # tested only where the first letter fits
+        guard = "" if n == 0 else rf"(?<!\A{label[0]})"
+        return _FLAGS + label[0] + guard + label[1:]
 
-    def label(n: int) -> Column:
-        def pattern(label: str) -> str:
-            # not at the very start; tested only where the first letter fits
-            guard = "" if n == 0 else f"(?<!\\A{label[0]})"
-            return _FLAGS + label[0] + guard + label[1:]
+    if n >= len(_PLAIN_LABELS):
+        return F.lit(pattern(_TYPED_LABELS[n]))
+    return F.when(_typed(), pattern(_TYPED_LABELS[n])).otherwise(pattern(_PLAIN_LABELS[n]))
 
-        if n >= len(_PLAIN_LABELS):
-            return F.lit(pattern(_TYPED_LABELS[n]))
-        return F.when(typed, pattern(_TYPED_LABELS[n])).otherwise(pattern(_PLAIN_LABELS[n]))
 
-    df = responses.withColumn("_pieces", judgement_sections(F.col("response")))
-    fits = F.size("_pieces") == k + 1
-    df = df.withColumn("_c1", _cut(F.when(fits, F.slice("_pieces", 2, k)), label(0)))
-    df = df.withColumn("_c2", _cut(_rest("_c1"), label(1)))
-    df = df.withColumn("_c3", F.when(typed, _cut(_rest("_c2"), label(2))))
-    df = df.withColumn("_c4", F.when(typed, _cut(_rest("_c3"), label(3))))
-    tails = F.when(typed, _rest("_c4")).otherwise(_rest("_c2"))
-    df = df.withColumn("_ratings", F.transform(tails, _rating))
-    # One bad section voids the whole call.
-    status = (
-        F.when(F.coalesce(F.col("response"), F.lit("")) == "", "empty_response")
-        .when(~fits, "section_count")
-        .when(F.array_contains("_ratings", ""), "unparsed_section")
-        .otherwise("ok")
-    )
-    return df.withColumn("_status", status)
+def _fields(responses: DataFrame, k: int) -> DataFrame:
+    """Cut every section at its labels, each text scanned once from left to right.
+
+    Column ``_c<n>`` holds per section [text before label n, text behind it]. Each
+    step carries on only what later steps read: the texts are long.
+    """
+    keep = responses.columns
+    df = _sectioned(responses, keep, k)
+    df = df.select(*keep, "_empty", _cut(F.col("_sections"), _label(0)).alias("_c1"))
+    df = df.select(*keep, "_empty", _cut(_rest("_c1"), _label(1)).alias("_c2"))
+    df = df.withColumn("_c3", F.when(_typed(), _cut(_rest("_c2"), _label(2))))
+    df = df.withColumn("_c4", F.when(_typed(), _cut(_rest("_c3"), _label(3))))
+    tails = F.when(_typed(), _rest("_c4")).otherwise(_rest("_c2"))
+    return df.withColumn("_ratings", F.transform(tails, _rating))
 
 
 def _checked(status: Column, strict: bool) -> Column:
@@ -157,7 +186,7 @@ def parse_judgements(
     ``responses`` needs (prompt_id, aspect, response). ``sections`` holds one
     annotation per slot, or null when the call did not parse. No shuffle.
     """
-    typed = F.col("aspect").isin(*fixed.TYPED_ASPECTS)
+    typed = _typed()
 
     def field(cuts: str, slot: int) -> Column:
         return F.get(F.get(cuts, F.lit(slot)), F.lit(0))
@@ -174,7 +203,7 @@ def parse_judgements(
     sections = F.array(*[section(i) for i in range(k)])
     status = F.col("_status")
     return settle(
-        _parsed(responses, k),
+        _fields(responses, k).withColumn("_status", _status()),
         responses.columns,
         parse_status=_checked(status, strict),
         sections=F.when(status == "ok", sections),
@@ -184,12 +213,24 @@ def parse_judgements(
 def judge_ratings(responses: DataFrame, k: int = fixed.SLOTS) -> DataFrame:
     """(prompt_id, aspect, parse_status, ratings): what scoring needs, no rationale.
 
-    What is shuffled afterwards is four short strings per call.
+    One pattern per section, and the long text is dropped right behind it. What is
+    shuffled afterwards is four short strings per call.
     """
+
+    def tail(text: Column) -> Column:
+        return F.when(
+            _typed(), F.regexp_extract(text, _tail_pattern(_TYPED_LABELS), 1)
+        ).otherwise(F.regexp_extract(text, _tail_pattern(_PLAIN_LABELS), 1))
+
+    keys = ["prompt_id", "aspect"]
+    tails = F.transform("_sections", tail)
+    rated = _sectioned(responses, keys, k).select(
+        *keys, "_empty", F.transform(tails, _rating).alias("_ratings")
+    )
     status = F.col("_status")
     return settle(
-        _parsed(responses, k),
-        ["prompt_id", "aspect"],
+        rated.withColumn("_status", _status()),
+        keys,
         parse_status=status,
         ratings=F.when(status == "ok", F.col("_ratings")),
     )
