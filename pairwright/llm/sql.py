@@ -3,10 +3,10 @@
 TOPK = """
 WITH v AS (
   SELECT vec_id, row_number() OVER () AS rid,
-         list_transform(embedding, x -> CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS q
+         list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS q
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
   SELECT a.rid AS query_rid, a.vec_id AS query_id, b.vec_id, b.rid,
          CAST(list_inner_product(CAST(a.q AS DOUBLE[]), CAST(b.q AS DOUBLE[])) AS BIGINT) AS score
