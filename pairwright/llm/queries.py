@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .exact_dedup import exact_dedup
 from .exact_topk import exact_topk
 from .mixing import mix_sources
+from .simhash import simhash_dedup
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -33,6 +34,11 @@ def op5_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    found = simhash_dedup(table(spark, sf, "documents"), words=4, max_bits=4)
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 def op10_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup(table(spark, sf, "documents")).drop("text_hash")
 
@@ -40,5 +46,6 @@ def op10_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op4_exact_topk": op4_exact_topk,
     "op5_mixing": op5_mixing,
+    "op6_simhash": op6_simhash,
     "op10_exact_dedup": op10_exact_dedup,
 }
