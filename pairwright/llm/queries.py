@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pairwright.sources.sinks import stage_path
+
 from .exact_dedup import exact_dedup
 from .exact_topk import exact_topk
 from .mixing import mix_sources
 from .simhash import simhash_dedup
+from .warc import read_archives, write_archives
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -21,6 +24,16 @@ def quality_weights(spark: SparkSession, sf: str) -> DataFrame:
     return labels.select("doc_id", F.when(F.col("quality") == 1, 2.0).otherwise(0.5).alias("weight"))
 
 
+def op1_warc(spark: SparkSession, sf: str) -> DataFrame:
+    folder = stage_path(spark, "warc")
+    write_archives(table(spark, sf, "pages"), folder, min_revisit_bytes=0)
+    number = lambda c: F.expr(f"try_cast(substring({c}, 10) AS long)")  # after urn:page:
+    return read_archives(spark, folder, payloads=False).select(
+        number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        number("refers_to").alias("refers_to"), "error",
+    )
+
+
 def op4_exact_topk(spark: SparkSession, sf: str) -> DataFrame:
     finite = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = table(spark, sf, "embeddings").where(F.col("embedding").isNotNull() & finite)
@@ -44,6 +57,7 @@ def op10_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op4_exact_topk": op4_exact_topk,
     "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,

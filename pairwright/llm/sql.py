@@ -1,5 +1,22 @@
 """SQL counterparts, where SQL can express a query."""
 
+WARC = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages
+), d AS (
+  SELECT page_id, strlen(payload) AS payload_bytes, max(page_id) OVER (PARTITION BY payload) AS first,
+         array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + CAST((CAST('0x' || substr(hex, 1 + (5 * i) // 4, 2) AS BIGINT) >> (3 - (5 * i) % 4)) & 31 AS BIGINT), 1)), '')
+           AS payload_digest
+  FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM first OR first IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first AND first IS NOT NULL THEN first END AS refers_to,
+       CAST(NULL AS VARCHAR) AS error
+FROM d
+"""
+
 TOPK = """
 WITH v AS (
   SELECT vec_id, row_number() OVER () AS rid,
@@ -69,6 +86,7 @@ FROM h WINDOW g AS (PARTITION BY text_sha256)
 """
 
 ORACLE = {
+    "op1_warc": WARC,
     "op4_exact_topk": TOPK,
     "op5_mixing": MIXING,
     "op10_exact_dedup": EXACT_DEDUP,
