@@ -9,6 +9,7 @@ from pairwright.sources.sinks import stage_path
 
 from .exact_dedup import exact_dedup
 from .exact_topk import exact_topk
+from .langid import identify_languages, in_fold, train
 from .mixing import mix_sources
 from .simhash import simhash_dedup
 from .warc import read_archives, write_archives
@@ -52,6 +53,14 @@ def op6_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op8_langid(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    held_out = in_fold(F.col("doc_id"), 5, 0)
+    model = train(docs.where(~held_out).select("text", "lang"))
+    found = identify_languages(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op10_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup(table(spark, sf, "documents")).drop("text_hash")
 
@@ -61,5 +70,6 @@ QUERIES = {
     "op4_exact_topk": op4_exact_topk,
     "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
+    "op8_langid": op8_langid,
     "op10_exact_dedup": op10_exact_dedup,
 }
