@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from pairwright.sources.sinks import stage_path
 
+from .common import stage
 from .exact_dedup import exact_dedup
 from .exact_topk import exact_topk
 from .langid import identify_languages, in_fold, train
 from .mixing import mix_sources
+from .quality import document_statistics, fit_quality, score_quality
 from .simhash import simhash_dedup
 from .warc import read_archives, write_archives
 
@@ -35,6 +37,16 @@ def op1_warc(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op2_quality(spark: SparkSession, sf: str) -> DataFrame:
+    held_out = in_fold(F.col("doc_id"), 4, 2)
+    stats = stage(document_statistics(table(spark, sf, "documents")), "document_stats")
+    labels = table(spark, sf, "labels").where(~held_out).select("doc_id", F.col("quality").alias("label"))
+    scored = score_quality(stats, fit_quality(stats, labels))
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 def op4_exact_topk(spark: SparkSession, sf: str) -> DataFrame:
     finite = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = table(spark, sf, "embeddings").where(F.col("embedding").isNotNull() & finite)
@@ -67,6 +79,7 @@ def op10_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_warc": op1_warc,
+    "op2_quality": op2_quality,
     "op4_exact_topk": op4_exact_topk,
     "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
