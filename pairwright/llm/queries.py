@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from .exact_dedup import exact_dedup
 from .exact_topk import exact_topk
 from .langid import identify_languages, in_fold, train
 from .mixing import mix_sources
+from .packing import pack_documents
 from .quality import document_statistics, fit_quality, score_quality
 from .simhash import simhash_dedup
 from .warc import read_archives, write_archives
@@ -47,6 +49,11 @@ def op2_quality(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op3_packing(spark: SparkSession, sf: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    return pack_documents(table(spark, sf, "documents"), vocabulary, window=1024, with_ids=False)
+
+
 def op4_exact_topk(spark: SparkSession, sf: str) -> DataFrame:
     finite = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = table(spark, sf, "embeddings").where(F.col("embedding").isNotNull() & finite)
@@ -80,6 +87,7 @@ def op10_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_quality": op2_quality,
+    "op3_packing": op3_packing,
     "op4_exact_topk": op4_exact_topk,
     "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
