@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BUCKET_BITS = 16
@@ -187,30 +187,31 @@ def train(labelled: DataFrame, rows: int = FIT_ROWS) -> Model:
     return Model(languages, weights * (idf * scale)[:, None], bias, temperature_of(logits, y[held]))
 
 
+def language_of(model: Model, spark: SparkSession):
+    """A function of a text column: struct of lang_pred and score."""
+    shared = spark.sparkContext.broadcast(model)  # BUCKETS x languages
+
+    @F.pandas_udf("lang_pred string, score double")
+    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        known = shared.value
+        for texts in batches:
+            yield pd.DataFrame([known.predict(t) for t in texts], columns=["lang_pred", "score"])
+
+    return predict
+
+
 def identify_languages(
     docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """One row per document: doc_id, lang_pred, score and text_hash (xxhash64 of the text).
+    """One row per document: doc_id, text_hash (xxhash64 of the text), lang_pred and score.
 
     ``und`` with score 0 where the text is null or has no letter, or where nothing
     could be learnt. Other columns are not looked at.
     """
-    kind = dict(docs.dtypes)[doc_id]
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS x languages
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        for batch in batches:
-            found = [known.predict(t.as_py()) for t in batch.column(2)]
-            yield pa.record_batch(
-                [batch.column(0), batch.column(1), pa.array([f[0] for f in found], pa.string()),
-                 pa.array([f[1] for f in found], pa.float64())],
-                names=["doc_id", "text_hash", "lang_pred", "score"],
-            )
-
-    source = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"),
-                         F.col(text).cast("string").alias("text"))
-    return source.mapInArrow(run, f"doc_id {kind}, text_hash long, lang_pred string, score double")
+    found = language_of(model, docs.sparkSession)(F.col(text).cast("string"))
+    return docs.select(
+        F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), found.alias("found")
+    ).select("doc_id", "text_hash", "found.lang_pred", "found.score")
 
 
 def in_fold(doc_id: Column, folds: int, fold: int) -> Column:
