@@ -11,6 +11,7 @@ from pairwright.sources.sinks import stage_path
 from .common import stage
 from .exact_dedup import exact_dedup
 from .exact_topk import exact_topk
+from .html_text import extract_main_text
 from .langid import identify_languages, in_fold, train
 from .mixing import mix_sources
 from .packing import pack_documents
@@ -80,6 +81,10 @@ def op8_langid(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op9_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    return extract_main_text(table(spark, sf, "pages"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup(table(spark, sf, "documents")).drop("text_hash")
 
@@ -92,5 +97,6 @@ QUERIES = {
     "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
     "op8_langid": op8_langid,
+    "op9_html_text": op9_html_text,
     "op10_exact_dedup": op10_exact_dedup,
 }

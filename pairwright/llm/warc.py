@@ -18,11 +18,13 @@ import uuid
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from .common import join_by_size, stage
 
@@ -39,10 +41,11 @@ SAMPLE_BYTES = 4 << 20  # of an archive's first payloads, for its dictionary
 ARCHIVE_BYTES = 256 << 20
 RECORD_BYTES = 1 << 30
 READ_BYTES = 1 << 20
-RECORD = (
-    "archive string, record_type string, record_id string, refers_to string, uri string, "
-    "payload_bytes long, payload_digest string, payload binary, error string"
-)
+RECORD = pa.schema([
+    ("archive", pa.string()), ("record_type", pa.string()), ("record_id", pa.string()),
+    ("refers_to", pa.string()), ("uri", pa.string()), ("payload_bytes", pa.int64()),
+    ("payload_digest", pa.string()), ("payload", pa.binary()), ("error", pa.string()),
+])
 
 
 class Damaged(ValueError):
@@ -310,13 +313,11 @@ def parse_record(raw: bytes) -> dict:
 
 
 def read_partition(payloads: bool):
-    columns = [c.split()[0] for c in RECORD.split(", ")]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for path in (p for pdf in batches for p in pdf["path"]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for path in (p for batch in batches for p in batch.column(0).to_pylist()):
             yield from records(path)
 
-    def records(path: str) -> Iterator[pd.DataFrame]:
+    def records(path: str) -> Iterator[pa.RecordBatch]:
         rows, held = [], 0
         try:
             store, name = fs.FileSystem.from_uri(as_uri(path))
@@ -331,12 +332,12 @@ def read_partition(payloads: bool):
                     rows.append(row | {"archive": path})
                     held += len(raw)
                     if held >= 8 << 20:
-                        yield pd.DataFrame(rows, columns=columns).astype({"payload_bytes": "Int64"})
+                        yield pa.RecordBatch.from_pylist(rows, RECORD)
                         rows, held = [], 0
         except Damaged as error:  # the rest of this archive cannot be found
             rows.append({"error": str(error), "archive": path})
         if rows:
-            yield pd.DataFrame(rows, columns=columns).astype({"payload_bytes": "Int64"})
+            yield pa.RecordBatch.from_pylist(rows, RECORD)
 
     return run
 
@@ -353,4 +354,4 @@ def read_archives(spark: SparkSession, folder: str, payloads: bool = True) -> Da
         spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder).select("path")
     )
     many = spark.sparkContext.defaultParallelism * 4
-    return paths.repartition(many, "path").mapInPandas(read_partition(payloads), RECORD)
+    return paths.repartition(many, "path").mapInArrow(read_partition(payloads), from_arrow_schema(RECORD))
