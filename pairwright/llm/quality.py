@@ -115,7 +115,8 @@ class Scorer:
             return np.full(len(stats), 0.5)
         raw = np.clip(self.raw(stats), LOWEST, HIGHEST)
         level = np.interp(raw, *self.nodes) if self.nodes else np.clip(raw, 0, 1)
-        return 0.999 * level + 0.001 * (raw - LOWEST) / (HIGHEST - LOWEST)
+        # equal rows may differ in the last bits, by where they stand in a batch
+        return np.round(0.999 * level + 0.001 * (raw - LOWEST) / (HIGHEST - LOWEST), 9)
 
 
 def matrix_of(column: pa.Array) -> np.ndarray:

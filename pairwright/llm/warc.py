@@ -40,7 +40,7 @@ DICTIONARY_BYTES = 64 << 10
 SAMPLE_BYTES = 4 << 20  # of an archive's first payloads, for its dictionary
 ARCHIVE_BYTES = 256 << 20
 RECORD_BYTES = 1 << 30
-READ_BYTES = 1 << 20
+READ_BYTES = 256 << 10
 RECORD = pa.schema([
     ("archive", pa.string()), ("record_type", pa.string()), ("record_id", pa.string()),
     ("refers_to", pa.string()), ("uri", pa.string()), ("payload_bytes", pa.int64()),
@@ -227,7 +227,7 @@ def frames_of(stream) -> Iterator[bytes]:
             buffer += more
         return len(buffer) >= n
 
-    options: dict = {}
+    decoder = zstandard.ZstdDecompressor()
     leading = True
     while need(1):
         if not need(4):
@@ -241,13 +241,13 @@ def frames_of(stream) -> Iterator[bytes]:
                 raw = buffer[8 : 8 + size]
                 if raw[:4] == struct.pack("<I", FRAME_MAGIC):
                     raw = zstandard.ZstdDecompressor().decompress(raw, max_output_size=RECORD_BYTES)
-                options["dict_data"] = zstandard.ZstdCompressionDict(raw)
+                decoder = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(raw))
             buffer, leading = buffer[8 + size :], False
             continue
         if magic != FRAME_MAGIC:
             raise Damaged(f"no frame begins with {magic:08x}")
         leading = False
-        frame = zstandard.ZstdDecompressor(**options).decompressobj()
+        frame = decoder.decompressobj()
         out = io.BytesIO()
         try:
             while not frame.eof:
