@@ -39,6 +39,18 @@ WHITESPACE_RANGES = [
     (0x3000, 0x3000),
 ]
 
+# Zeros of the decimal digits beyond ASCII in Unicode 15.1; the digits
+# 1 to 9 follow each.
+DIGIT_ZEROS = [
+    0x660, 0x6f0, 0x7c0, 0x966, 0x9e6, 0xa66, 0xae6, 0xb66, 0xbe6, 0xc66, 0xce6, 0xd66,
+    0xde6, 0xe50, 0xed0, 0xf20, 0x1040, 0x1090, 0x17e0, 0x1810, 0x1946, 0x19d0, 0x1a80,
+    0x1a90, 0x1b50, 0x1bb0, 0x1c40, 0x1c50, 0xa620, 0xa8d0, 0xa900, 0xa9d0, 0xa9f0,
+    0xaa50, 0xabf0, 0xff10, 0x104a0, 0x10d30, 0x11066, 0x110f0, 0x11136, 0x111d0,
+    0x112f0, 0x11450, 0x114d0, 0x11650, 0x116c0, 0x11730, 0x118e0, 0x11950, 0x11c50,
+    0x11d50, 0x11da0, 0x11f50, 0x16a60, 0x16ac0, 0x16b50, 0x1d7ce, 0x1d7d8, 0x1d7e2,
+    0x1d7ec, 0x1d7f6, 0x1e140, 0x1e2f0, 0x1e4f0, 0x1e950, 0x1fbf0,
+]
+
 # Characters an instruction may contain, besides whitespace and
 # decimal digits.
 ALLOWED_RANGES = [
@@ -83,8 +95,11 @@ PRINCIPLE_WEIGHTS = {
 }
 CALIBRATION_SWAP_RATE = 0.1
 
-# Judgement and critique text markers.
+# Judgement and critique text markers. Labels stand in this order in a
+# section, in any case, with asterisks or none before the colon.
 SECTION_MARK = "####"
+PLAIN_LABELS = ["Rationale", "Rating"]
+TYPED_LABELS = ["Rationale for type", "Type", "Rationale for rating", "Rating"]
 CRITIQUE_MARKERS = ["Overall Score: ", "总体评分: "]
 STRICT_CRITIQUE_MARKERS = ["Overall Score: "]
 NOTE_PREFIX = "Note: "
@@ -117,16 +132,15 @@ MAX_TRAINING_TOKENS = 2048
 
 # Completion models and their call settings.
 MODEL_POOL = {
-    "deepseek-chat": {"temperature": 1.0, "base_url": None},
-    "gpt-4o-mini": {"temperature": 1.0, "base_url": None},
-    "qwen2.5-72b": {"temperature": 1.0, "base_url": "http://localhost:5001/v1"},
-    "qwen2-7b": {"temperature": 1.0, "base_url": "http://localhost:5002/v1"},
-    "qwen2.5-1.5b": {"temperature": 1.0, "base_url": "http://localhost:5003/v1"},
-    "phi3.5-mini": {"temperature": 1.0, "base_url": "http://localhost:5004/v1"},
-    "llama3.1-8b-chinese": {"temperature": 1.0, "base_url": "http://localhost:5005/v1"},
-    "mistral-v0.1-chinese": {"temperature": 1.0, "base_url": "http://localhost:5006/v1"},
-    "glm-4-9b-chat": {"temperature": 1.0, "base_url": "http://localhost:5007/v1"},
+    "deepseek-chat": {"temperature": 1.0},
+    "gpt-4o-mini": {"temperature": 1.0},
+    "qwen2.5-72b": {"temperature": 1.0},
+    "qwen2-7b": {"temperature": 1.0},
+    "qwen2.5-1.5b": {"temperature": 1.0},
+    "phi3.5-mini": {"temperature": 1.0},
+    "llama3.1-8b-chinese": {"temperature": 1.0},
+    "mistral-v0.1-chinese": {"temperature": 1.0},
+    "glm-4-9b-chat": {"temperature": 1.0},
 }
-DEFAULT_LOCAL_URL = "http://localhost:5001/v1"
 # Substring of the model name -> provider, first match wins.
 PROVIDER_SUBSTRINGS = [("gpt-4o", "gpt-4o"), ("deepseek", "deepseek"), ("gemini", "gemini")]

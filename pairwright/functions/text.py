@@ -6,7 +6,6 @@ same thing in any engine that reads it.
 
 from __future__ import annotations
 
-import unicodedata
 from functools import cache
 
 from pyspark.sql import Column
@@ -92,12 +91,8 @@ def script_share_above(text: Column, share: float, ranges=fixed.HAN_RANGES) -> C
 
 @cache
 def _digit_table() -> tuple[str, str]:
-    source, target = [], []
-    for code in range(0x80, 0x110000):
-        if unicodedata.category(chr(code)) == "Nd":
-            source.append(chr(code))
-            target.append(str(unicodedata.digit(chr(code))))
-    return "".join(source), "".join(target)
+    source = "".join(chr(zero + i) for zero in fixed.DIGIT_ZEROS for i in range(10))
+    return source, "0123456789" * len(fixed.DIGIT_ZEROS)
 
 
 def to_ascii_digits(text: Column) -> Column:

@@ -108,8 +108,9 @@ def assemble_completions(planned: DataFrame, responses: DataFrame, k: int = fixe
     ``responses`` needs (prompt_id, slot, response). Responses meet in a fixed
     number of aggregates, one per slot, never in a list that could grow.
     """
+    text = F.coalesce("response", F.lit(""))
     answered = responses.groupBy("prompt_id").agg(
-        *by_slot("slot", F.col("response"), k, "response")
+        *by_slot("slot", text, k, "response", text, text == "")
     )
     texts_in_order = F.array(*[F.coalesce(F.col(f"response_{i}"), F.lit("")) for i in range(k)])
     joined = planned.join(answered, "prompt_id", "left")

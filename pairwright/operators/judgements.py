@@ -16,10 +16,8 @@ STAGE = "judge"
 # Field labels in the order an answer gives them. Java flags: dot matches newline,
 # any case, with Python's case rules for non-ASCII letters.
 _FLAGS = "(?isu)"
-_PLAIN_LABELS = [r"Rationale\**:", r"Rating\**:"]
-_TYPED_LABELS = [
-    r"Rationale for type\**:", r"Type\**:", r"Rationale for rating\**:", r"Rating\**:",
-]
+_PLAIN_LABELS = [label + r"\**:" for label in fixed.PLAIN_LABELS]
+_TYPED_LABELS = [label + r"\**:" for label in fixed.TYPED_LABELS]
 _DIGITS = r"(\p{Nd}+)"
 
 
@@ -211,7 +209,7 @@ def parse_judgements(
 
 
 def judge_ratings(responses: DataFrame, k: int = fixed.SLOTS) -> DataFrame:
-    """(prompt_id, aspect, parse_status, ratings): what scoring needs, no rationale.
+    """(prompt_id, aspect, answer_md5, parse_status, ratings): what scoring needs, no rationale.
 
     One pattern per section, and the long text is dropped right behind it. What is
     shuffled afterwards is four short strings per call.
@@ -222,7 +220,8 @@ def judge_ratings(responses: DataFrame, k: int = fixed.SLOTS) -> DataFrame:
             _typed(), F.regexp_extract(text, _tail_pattern(_TYPED_LABELS), 1)
         ).otherwise(F.regexp_extract(text, _tail_pattern(_PLAIN_LABELS), 1))
 
-    keys = ["prompt_id", "aspect"]
+    keys = ["prompt_id", "aspect", "answer_md5"]
+    responses = responses.withColumn("answer_md5", F.md5(F.coalesce("response", F.lit(""))))
     tails = F.transform("_sections", tail)
     rated = _sectioned(responses, keys, k).select(
         *keys, "_empty", F.transform(tails, _rating).alias("_ratings")

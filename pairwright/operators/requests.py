@@ -19,10 +19,6 @@ from pyspark.sql import types as T
 from ..config import fixed
 
 
-# Most request ids (about 60 bytes each) a resumed run may broadcast.
-BROADCAST_REQUESTS = 500_000
-
-
 def request_id(stage: str, prompt: str, part: str) -> Column:
     return F.concat_ws("/", F.lit(stage), F.col(prompt), F.col(part).cast("string")).alias(
         "request_id"
@@ -30,10 +26,14 @@ def request_id(stage: str, prompt: str, part: str) -> Column:
 
 
 def with_request_parts(responses: DataFrame, part: str, dtype: str = "string") -> DataFrame:
-    """Recover ``prompt_id`` and ``part`` from ``request_id``."""
-    pieces = F.split("request_id", "/")
-    return responses.withColumn("prompt_id", F.get(pieces, F.lit(1))).withColumn(
-        part, F.get(pieces, F.lit(2)).cast(dtype)
+    """Recover ``prompt_id`` and ``part`` from ``request_id``.
+
+    The stage ends at the first slash and the part begins behind the last one, so
+    a prompt id may hold slashes itself.
+    """
+    whole = r"(?s)\A[^/]*/(.*)/([^/]*)\z"
+    return responses.withColumn("prompt_id", F.regexp_extract("request_id", whole, 1)).withColumn(
+        part, F.regexp_extract("request_id", whole, 2).cast(dtype)
     )
 
 
@@ -61,7 +61,11 @@ def provider(model: Column) -> Column:
 def with_call_settings(
     requests: DataFrame, pool: dict, max_tokens: int, temperature: float | None = None
 ) -> DataFrame:
-    """Add provider, base_url, temperature, max_tokens, top_p and timeout columns."""
+    """Add provider, base_url, temperature, max_tokens, top_p and timeout columns.
+
+    ``pool`` maps models to their ``temperature`` and, where they are served
+    locally, to the ``base_url``; null where the pool has none.
+    """
     model = F.col("model")
 
     def setting(name: str, dtype: str) -> Column:
@@ -75,9 +79,7 @@ def with_call_settings(
     return requests.select(
         "*",
         route.alias("provider"),
-        F.when(
-            route == "local", F.coalesce(setting("base_url", "string"), F.lit(fixed.DEFAULT_LOCAL_URL))
-        ).alias("base_url"),
+        F.when(route == "local", setting("base_url", "string")).alias("base_url"),
         (F.lit(temperature).cast("double") if temperature is not None
          else setting("temperature", "double")).alias("temperature"),
         F.lit(max_tokens).alias("max_tokens"),
@@ -86,17 +88,32 @@ def with_call_settings(
     )
 
 
-def by_slot(slot: str, value: Column, k: int, prefix: str) -> list[Column]:
-    """``k`` aggregates that spread ``value`` over slots; null where absent.
+def preferred(value: Column, text: Column, poor: Column) -> Column:
+    """Aggregate: of repeated calls, ``value`` of the one that counts.
 
-    ``max`` makes the outcome independent of row order should a slot repeat.
+    A call that is not ``poor`` comes before one that is; among equals the
+    smallest digest of its raw ``text`` decides, which favours no content. Every
+    use of an answer goes by this rule, so all of them see the same one.
     """
-    return [F.max(F.when(F.col(slot) == i, value)).alias(f"{prefix}_{i}") for i in range(k)]
+    first = F.min(F.struct(poor.alias("poor"), F.md5(text).alias("digest"), value.alias("value")))
+    return first["value"]
+
+
+def by_slot(slot: str, value: Column, k: int, prefix: str, text: Column, poor: Column) -> list[Column]:
+    """``k`` aggregates that spread ``value`` over slots; null where absent."""
+
+    def one(i: int) -> Column:
+        here = F.col(slot) == i
+        kept = F.struct(poor.alias("poor"), F.md5(text).alias("digest"), value.alias("value"))
+        return F.min(F.when(here, kept))["value"].alias(f"{prefix}_{i}")
+
+    return [one(i) for i in range(k)]
 
 
 def one_response_each(responses: DataFrame) -> DataFrame:
     """At most one response per request: a non-empty one if there is any."""
-    return responses.groupBy("request_id").agg(F.max("response").alias("response"))
+    text = F.coalesce("response", F.lit(""))
+    return responses.groupBy("request_id").agg(preferred(text, text, text == "").alias("response"))
 
 
 def attach_responses(requests: DataFrame, responses: DataFrame) -> DataFrame:
@@ -109,13 +126,28 @@ def attach_responses(requests: DataFrame, responses: DataFrame) -> DataFrame:
     )
 
 
-def pending(requests: DataFrame, responses: DataFrame) -> DataFrame:
-    """Requests without a response row yet: the work left after an interruption.
+def answered(responses: DataFrame) -> DataFrame:
+    """Rows of the calls that came back; one that raised has an ``error``."""
+    return responses.where(F.col("error").isNull()) if "error" in responses.columns else responses
+
+
+def failed(responses: DataFrame) -> DataFrame:
+    """(request_id, error, attempts) of the requests that have only failed so far."""
+    tries = responses.groupBy("request_id").agg(
+        F.max("error").alias("error"), F.count(F.lit(1)).alias("attempts"),
+        F.max(F.col("error").isNull()).alias("done"),
+    )
+    return tries.where("not done").drop("done")
+
+
+def pending(requests: DataFrame, responses: DataFrame, failures_are_final: bool = False) -> DataFrame:
+    """Requests without an answer yet: the work left after an interruption.
 
-    Ids are made distinct first, so repeated responses are reduced before they move.
+    A call that raised is asked again, unless failures are final. The join needs
+    the ids only, so Spark puts it below the rendering of the requests.
     """
-    done = responses.select("request_id").distinct()
-    return requests.join(done, "request_id", "left_anti")
+    done = responses if failures_are_final else answered(responses)
+    return requests.join(done.select("request_id").distinct(), "request_id", "left_anti")
 
 
 def infer(
@@ -160,25 +192,36 @@ def infer(
 
 
 def infer_into(
-    requests: DataFrame, answer: Callable[[dict], str], path: str, **options
+    requests: DataFrame, answer: Callable[[dict], str], path: str, batches: int = 16,
+    failures_are_final: bool = False, **options,
 ) -> DataFrame:
-    """Answer the requests not yet in the table at ``path`` and append to it.
+    """Answer the requests not yet answered in the table at ``path`` and append to it.
 
-    Runs jobs. After an interruption call it again: finished work is kept. When
-    few requests are left, their ids are broadcast, so that the (long) requests
-    stay where they are; otherwise both sides are shuffled by id.
+    Runs ``batches`` jobs, each of which commits its share of the calls, dealt by
+    a digest of the request id. Take so many that losing one share is cheap. A job
+    that dies loses its own share only; call again to go on, and calls that raised
+    are asked again too. Returns the answered calls; ``failed`` of the table lists
+    those still failing.
     """
     spark = requests.sparkSession
+    known = _table(spark, path)
+    if known is not None and pending(requests, known, failures_are_final).isEmpty():
+        return answered(known)
+    share = F.pmod(F.xxhash64("request_id", F.lit("batch")), F.lit(batches))
+    for batch in range(batches):
+        todo = requests.where(share == batch)
+        known = _table(spark, path)
+        if known is not None:
+            todo = pending(todo, known, failures_are_final)
+        infer(todo, answer, **options).write.mode("append").parquet(path)
+    return answered(spark.read.parquet(path))
+
+
+def _table(spark, path: str) -> DataFrame | None:
+    """The table at ``path``, if anything has been written there."""
     try:
-        done = spark.read.parquet(path)
-        left = pending(requests.select("request_id"), done)
-        if left.count() <= BROADCAST_REQUESTS:
-            todo = requests.join(F.broadcast(left), "request_id", "left_semi")
-        else:
-            todo = pending(requests, done)
+        return spark.read.parquet(path)
     except AnalysisException as failure:
         if failure.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        todo = requests
-    infer(todo, answer, **options).write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+        return None

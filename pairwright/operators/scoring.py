@@ -20,18 +20,32 @@ def gather_ratings(
 ) -> DataFrame:
     """One row per prompt: ``ratings`` struct with an array of ratings per aspect.
 
-    Fixed aggregates per aspect, so the group size does not matter. Should a call
-    occur twice, one that parsed wins over one that did not.
+    Fixed aggregates per aspect, so the group size does not matter. Of repeated
+    calls one counts, the same as in ``attach_annotations``.
     """
     return (
         ratings.groupBy("prompt_id")
-        .agg(*[
-            F.max(F.when(F.col("aspect") == a, F.col("ratings"))).alias(a) for a in aspects
-        ])
+        .agg(*[_of_aspect(ratings, a, "ratings").alias(a) for a in aspects])
         .select("prompt_id", F.struct(*aspects).alias("ratings"))
     )
 
 
+def _of_aspect(parsed: DataFrame, aspect: str, value: str) -> Column:
+    """Aggregate: ``value`` of the call that counts for an aspect.
+
+    A call that parsed comes before one that did not, then the smallest digest of
+    the raw answer decides.
+    """
+    if "answer_md5" in parsed.columns:
+        digest = F.col("answer_md5")
+    elif "response" in parsed.columns:
+        digest = F.md5(F.coalesce("response", F.lit("")))
+    else:
+        digest = F.md5(F.to_json(F.struct(value)))
+    kept = F.struct(F.col(value).isNull().alias("poor"), digest.alias("digest"), F.col(value).alias("value"))
+    return F.min(F.when(F.col("aspect") == aspect, kept))["value"]
+
+
 def _missing(ratings: Column, aspects) -> Column:
     absent = F.lit(False)
     for aspect in aspects:
@@ -150,7 +164,7 @@ def attach_annotations(
     A call that did not parse leaves its aspect null in all slots.
     """
     sections = parsed.groupBy("prompt_id").agg(*[
-        F.max(F.when(F.col("aspect") == a, F.col("sections"))).alias(f"_{a}") for a in aspects
+        _of_aspect(parsed, a, "sections").alias(f"_{a}") for a in aspects
     ])
 
     def one(completion: Column, slot: Column) -> Column:

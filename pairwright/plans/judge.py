@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.completions import assemble_completions, plan_completions, plan_prompts
-from ..operators.critiques import collect_critiques, critique_rejects, parse_critiques, plan_critiques
+from ..operators.critiques import attach_critiques, collect_critiques, critique_rejects, parse_critiques, plan_critiques
 from ..operators.judgements import judgement_rejects, parse_judgements, plan_judgements
-from ..operators.requests import infer_into
-from .stages import stage_table
+from ..operators.requests import failed, infer_into
+from ..operators.scoring import attach_annotations
+from ..sources.sinks import write_sharded
 
 
 def _done(response_path: str, requests: DataFrame, answer, part: str, options: dict) -> DataFrame:
@@ -19,6 +21,12 @@ def _done(response_path: str, requests: DataFrame, answer, part: str, options: d
     )
 
 
+def _fresh(df: DataFrame, path: str) -> DataFrame:
+    """Write a derived stage anew and read it back; what it is made from lies elsewhere."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def complete_and_judge(
     instructions: DataFrame,
     answer: Callable[[dict], str],
@@ -28,31 +36,44 @@ def complete_and_judge(
 ) -> dict[str, DataFrame]:
     """Completions, parsed annotations and judgement rejects.
 
-    Every stage is a table under ``root``; responses are appended to theirs, so a
-    second call with the same root only asks for what is still missing.
+    Every stage is a table under ``root``; responses are appended to theirs in
+    committed batches, so a second call with the same root only asks for what is
+    still missing or has failed. ``failed_completions`` and ``failed_judgements``
+    list the calls that have only failed so far; ``annotated`` holds the completions
+    with their annotations, as ``write_preferences`` takes them.
     """
+    spark = instructions.sparkSession
     planned = plan_prompts(instructions, seed=seed)
     answers = _done(
         f"{root}/completion_responses", plan_completions(planned), answer, "slot", infer_options
     )
-    completions = stage_table(assemble_completions(planned, answers), "completions")
+    completions = _fresh(assemble_completions(planned, answers), f"{root}/completions")
     judged = _done(
         f"{root}/judge_responses", plan_judgements(completions), answer, "aspect", infer_options
     )
-    parsed = parse_judgements(judged)
+    parsed = _fresh(parse_judgements(judged), f"{root}/annotations")
+    annotated = _fresh(attach_annotations(completions, parsed), f"{root}/annotated")
     return {
         "completions": completions,
         "annotations": parsed,
+        "annotated": annotated,
         "rejects": judgement_rejects(parsed),
+        "failed_completions": failed(spark.read.parquet(f"{root}/completion_responses")),
+        "failed_judgements": failed(spark.read.parquet(f"{root}/judge_responses")),
     }
 
 
 def critique_completions(
     completions: DataFrame, answer: Callable[[dict], str], root: str, **infer_options
 ) -> dict[str, DataFrame]:
-    """Critiques per prompt, and the answers that did not parse."""
+    """Completions with their critiques, and the answers that did not parse.
+
+    Writes ``critiqued`` under ``root``, ten shards of JSON lines.
+    """
     answers = _done(
         f"{root}/critique_responses", plan_critiques(completions), answer, "slot", infer_options
     )
     parsed = parse_critiques(answers)
-    return {"critiques": collect_critiques(parsed), "rejects": critique_rejects(parsed)}
+    critiqued = _fresh(attach_critiques(completions, collect_critiques(parsed)), f"{root}/critiqued_table")
+    write_sharded(critiqued, f"{root}/critiqued", F.col("prompt_id"), mode="overwrite", files_per_shard=8)
+    return {"critiqued": critiqued, "rejects": critique_rejects(parsed)}

@@ -6,6 +6,7 @@ from .readers import (
     read_shards,
     shard_paths,
     split_corrupt,
+    stage_shards,
 )
 from .annotation_shapes import read_annotations
 from .instruction_files import read_instruction_sources
@@ -13,6 +14,6 @@ from .sinks import save_bucketed, stage_path, write_jsonl, write_parquet, write_
 
 __all__ = [
     "read_csv", "read_jsonl", "read_parquet", "read_parquet_dir", "read_shards",
-    "shard_paths", "split_corrupt", "read_annotations", "read_instruction_sources", "save_bucketed", "stage_path",
+    "shard_paths", "split_corrupt", "stage_shards", "read_annotations", "read_instruction_sources", "save_bucketed", "stage_path",
     "write_jsonl", "write_parquet", "write_sharded",
 ]

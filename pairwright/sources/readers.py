@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 from ..functions import settle
 
 CORRUPT = "_corrupt_record"
-BROADCAST_FILES = 50_000
 
 
 def _text_position() -> Column:
@@ -49,26 +48,35 @@ def read_jsonl(spark: SparkSession, path, schema: T.StructType, position: bool =
     return settle(df, ["position"] if position else [], **columns)
 
 
-def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good rows, rejected raw lines) of a ``read_jsonl`` result."""
+def split_corrupt(df: DataFrame, reason: str = "corrupt_json") -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejected raw lines) of what a text reader gave."""
     good = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     bad = df.where(F.col(CORRUPT).isNotNull()).select(
-        F.col(CORRUPT).alias("raw"), F.lit("corrupt_json").alias("reject_reason")
+        F.col(CORRUPT).alias("raw"), F.lit(reason).alias("reject_reason")
     )
     return good, bad
 
 
 def read_csv(spark: SparkSession, path, schema: T.StructType, position: bool = False) -> DataFrame:
-    """CSV with a header row and quoted cells that may span lines."""
+    """CSV with a header row and quoted cells that may span lines.
+
+    Rows with too few or too many cells, or cells that do not cast, land in
+    ``_corrupt_record``, as with ``read_jsonl``.
+    """
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     df = (
-        spark.read.schema(schema)
+        spark.read.schema(full)
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .option("header", True)
         .option("multiLine", True)
         .option("escape", '"')
         .option("enforceSchema", False)
         .csv(path)
     )
-    return df.withColumn("position", _text_position()) if position else df
+    columns = {name: F.col(f"`{name}`") for name in full.names}
+    if position:
+        df = df.withColumn("position", _text_position())
+    return settle(df, ["position"] if position else [], **columns)
 
 
 def read_parquet(
@@ -102,12 +110,11 @@ def read_parquet_dir(
         .withColumn("offset", F.sum("n").over(in_name_order) - F.col("n"))
         .drop("n")
     )
-    if len(files.inputFiles()) <= BROADCAST_FILES:
-        offsets = F.broadcast(offsets)
+    # a name and a number per file: the listing that planned the scan is larger
     numbered = (
         files.withColumn("file_name", name)
         .withColumn("_row", F.col("_metadata.row_index"))
-        .join(offsets, "file_name")
+        .join(F.broadcast(offsets), "file_name")
         .withColumn("row_seq", F.col("offset") + F.col("_row"))
         .drop("_row", "offset")
     )
@@ -132,12 +139,25 @@ def read_shards(
 ) -> DataFrame:
     """Numbered JSON-lines shards as one DataFrame, with their shard number.
 
-    One scan over all paths. Order is carried by keys, not by position.
+    One scan over all paths. Order is carried by keys, not by position. Lines that
+    do not parse land in ``_corrupt_record``.
     """
     before, after = template.split("{}")
     pattern = (
         "/\\Q" + before.split("/")[-1] + "\\E([0-9]+)\\Q" + after.split("/")[0] + "\\E(/|$)"
     )
-    df = spark.read.schema(schema).json(shard_paths(template, shards))
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.read.schema(full).option("columnNameOfCorruptRecord", CORRUPT)
+    df = reader.json(shard_paths(template, shards))
     number = F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
-    return df.withColumn("shard", number.cast("int"))
+    columns = {name: F.col(name) for name in full.names}
+    return settle(df.withColumn("shard", number.cast("int")), ["shard"], **columns)
+
+
+def stage_shards(template: str, stage: str, next_stage: str, shards: int = 10) -> list[tuple[str, str]]:
+    """(input, output) paths of a stage's shards: the stage word of the file name replaced."""
+    folder, slash, name = template.rpartition("/")
+    if stage not in name:
+        raise ValueError(f"{name} does not name the stage {stage}")
+    output = folder + slash + name.replace(stage, next_stage, 1)
+    return list(zip(shard_paths(template, shards), shard_paths(output, shards)))

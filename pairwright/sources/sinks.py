@@ -36,18 +36,23 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None
 
 def write_sharded(
     df: DataFrame, path: str, key: Column | None = None, shards: int = 10,
-    mode: str = "errorifexists",
+    mode: str = "errorifexists", files_per_shard: int | None = None,
 ) -> None:
     """JSON lines in ``shards`` directories ``shard=0`` ..., by a hash of ``key``.
 
     Without a key the rows keep the ``shard`` they were read from, so one job
     carries all shards of a stage over to the next stage's path.
 
-    No shuffle: every task appends to the shards it has rows for, so a shard
-    directory holds several files and no task ever owns a whole shard.
+    With ``files_per_shard`` the rows are dealt evenly to so many files in each
+    shard, in one shuffle. Without it nothing moves: every task appends to the
+    shards it has rows for, which suits inputs of few partitions.
     """
     if key is not None:
         df = df.withColumn("shard", F.pmod(F.xxhash64(key), F.lit(shards)).cast("int"))
+    if files_per_shard:
+        others = [F.col(f"`{c}`") for c in df.columns]
+        slot = F.pmod(F.xxhash64(*others, F.lit("file")), F.lit(files_per_shard))
+        df = df.repartitionByRange(shards * files_per_shard, "shard", slot)
     (
         df.write.mode(mode)
         .option("ignoreNullFields", False)

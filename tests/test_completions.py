@@ -76,8 +76,11 @@ def test_request_settings(spark):
         assert [m.role for m in r.messages] == ["system", "user"]
         assert r.messages[0].content == r.custom_system_prompt
         assert (r.temperature, r.max_tokens, r.top_p, r.timeout_seconds) == (1.0, 1500, 0.9, 60)
-        assert r.base_url == fixed.MODEL_POOL[r.model]["base_url"]
+        assert r.base_url is None
         assert r.provider == {"deepseek-chat": "deepseek", "gpt-4o-mini": "gpt-4o"}.get(r.model, "local")
+    served = {m: c | {"base_url": f"https://models.example/{m}"} for m, c in fixed.MODEL_POOL.items()}
+    for r in plan_completions(plan_prompts(prompts_df(spark, 50)), served).collect():
+        assert r.base_url == (f"https://models.example/{r.model}" if r.provider == "local" else None)
     names = spark.createDataFrame([("gemini-2",), ("x-gpt-4o-deepseek",), ("own",)], "m string")
     assert [r[0] for r in names.select(provider(F.col("m"))).collect()] == ["gemini", "gpt-4o", "local"]
 

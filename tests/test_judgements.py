@@ -3,6 +3,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from pairwright.config import fixed
 from pairwright.operators.judgements import (
     explode_annotations,
     judge_ratings,
@@ -93,17 +94,21 @@ def test_cuts_agree_with_one_lazy_pattern(spark):
     df = spark.createDataFrame(
         [(str(i), "truthfulness", t + TYPED.format(t=1, r=2) * 3) for i, t in enumerate(texts)], SCHEMA
     )
-    pattern = re.compile(
-        r"Rationale for type\**:(.+?)Type\**:(.+?)Rationale for rating\**:(.+?)Rating\**:(.+)",
-        re.S | re.I,
-    )
+    pattern = re.compile("(.+?)".join(label + r"\**:" for label in fixed.TYPED_LABELS) + "(.+)", re.S | re.I)
     got = {r.prompt_id: r.ratings for r in judge_ratings(df).collect()}
+    fields = {r.prompt_id: r.sections for r in parse_judgements(df).collect()}
     for i, text in enumerate(texts):
         hit = pattern.search(text)
         tail = hit[4] if hit else ""
         digits = re.findall(r"\d+", tail)
         want = "N/A" if "N/A" in tail else digits[0] if digits else None
         assert (got[str(i)] and got[str(i)][0]) == want, text
+        assert (fields[str(i)] is None) == (want is None), text
+        if want is not None:
+            first = fields[str(i)][0]
+            types = ["None"] if "None" in hit[2] else re.findall(r"\d+", hit[2])
+            assert (first.rationale_for_type, first.types, first.rationale_for_rating, first.rating) == (
+                hit[1], types, hit[3], want), text
 
 
 def test_counts_add_up_and_strict_raises(spark):

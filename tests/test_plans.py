@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from pairwright.plans import (
@@ -45,8 +46,12 @@ def test_prompts_to_training_rows(spark, tmp_path):
     root = str(tmp_path)
     done = complete_and_judge(prompts, make_answer(), root, threads=2)
     assert done["completions"].count() == 12
-    rejects = done["rejects"].collect()
-    assert [(r.prompt_id[-1], r.aspect, r.reject_reason) for r in rejects] == [("3", "honesty", "empty_response")]
+    assert done["rejects"].count() == 0 and done["failed_completions"].count() == 0
+    lost = done["failed_judgements"].collect()
+    assert [(r.request_id[-9:], r.attempts) for r in lost] == [("3/honesty", 1)]
+    annotated = {r.prompt_id: r.completions for r in done["annotated"].collect()}
+    assert [c.annotations.helpfulness.Rating for c in annotated[PROMPTS[1][0]]] == ["2", "5", "2", "2"]
+    assert annotated[PROMPTS[3][0]][0].annotations.honesty is None
 
     responses = spark.read.parquet(f"{root}/judge_responses")
     assert responses.where("error is not null").count() == 1
@@ -62,15 +67,20 @@ def test_prompts_to_training_rows(spark, tmp_path):
     assert export_training_rows(pairs, max_len=10).count() == 0
     assert write_counted(training, f"{root}/training") == 11
 
-    # a second run with the same root has nothing left to ask
-    def refuse(request):
-        raise AssertionError("asked again")
-
-    again = complete_and_judge(prompts, refuse, root)
-    assert again["rejects"].count() == 1
-    critiques = critique_completions(done["completions"], make_answer(), root)
-    row = critiques["critiques"].first()
+    # a second run with the same root asks for the failed call alone
+    def late(request):
+        if request["request_id"].split("/")[1:] != [PROMPTS[3][0], "honesty"]:
+            raise AssertionError("asked again")
+        return "no sections"
+
+    again = complete_and_judge(prompts, late, root)
+    assert [r.reject_reason for r in again["rejects"].collect()] == ["section_count"]
+    assert again["failed_judgements"].count() == 0
+    critiques = critique_completions(again["completions"], make_answer(), root)
+    row = critiques["critiqued"].first()
     assert [c.score for c in row.critiques] == [1, 2, 3, 4] and critiques["rejects"].count() == 0
+    assert row.completions[0].response.endswith("says 0") or row.completions[0].response.endswith("says 0 ")
+    assert spark.read.json(f"{root}/critiqued").count() == 12
 
 
 def test_stage_tables_keep_the_schema_and_cut_the_lineage(spark, tmp_path):
@@ -110,7 +120,12 @@ def test_five_source_files_to_instructions(spark, tmp_path):
         "TrufulQA_zh": str(tmp_path / "truth.csv"),
         "sharegpt_zh": lines("s.jsonl", [{"conversation": [{"human": text("d", 0), "assistant": "y"}]}, {"conversation": []}]),
     }
-    sources = read_instruction_sources(spark, paths)
+    with open(paths["wizard_zh"], "a") as file:
+        file.write('\n{"instruction_zh": cut')
+    sources, unread = read_instruction_sources(spark, paths)
+    assert [tuple(r) for r in unread.collect()] == [("wizard_zh", '{"instruction_zh": cut', "corrupt_json")]
+    with pytest.raises(ValueError, match="wizard_zh"):
+        read_instruction_sources(spark, paths, strict=True)
     assert [tag for tag, _ in sources] == ["wizard_zh", "chinese-dpo", "TrufulQA_zh", "sharegpt_zh", "smoltalk_zh"]
     kept, rejects = gather_instructions(sources, dict.fromkeys(paths, 1.0))
     got = {r.instruction: (r.source, r.correct_answers, r.incorrect_answers) for r in kept.collect()}
@@ -146,7 +161,8 @@ def test_annotation_files_to_preference_files(spark, tmp_path):
         (tmp_path / f"annotations_{i}.jsonl").write_text("\n".join([
             row(f"pair{i}", "2522"), row(f"tie{i}", "3333"), row(f"void{i}", ["1", "", "2", "3"]), row(f"mute{i}", "1234", ""),
         ]))
-    annotated = read_annotations(spark, [str(tmp_path / f"annotations_{i}.jsonl") for i in range(2)])
+    annotated, unread = read_annotations(spark, [str(tmp_path / f"annotations_{i}.jsonl") for i in range(2)])
+    assert unread.count() == 0
     root = str(tmp_path / "out")
     assert [tuple(r) for r in write_preferences(annotated, root).collect()] == [("wizard_zh", 2)]
     pairs = spark.read.json(f"{root}/annotations_binarized.jsonl").collect()

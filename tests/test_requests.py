@@ -1,8 +1,11 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from pairwright.operators.requests import (
     attach_responses,
+    failed,
     infer,
     infer_into,
     messages,
@@ -39,16 +42,45 @@ def test_infer_sees_whole_requests_and_survives_errors(spark, options):
     assert got["p4"].response == ""
 
 
-def test_resume_asks_only_for_what_is_missing(spark, tmp_path):
+def test_finished_batches_survive_a_dying_worker(spark, tmp_path):
+    path, log = str(tmp_path / "responses"), tmp_path / "asked"
+    log.mkdir()
+    df = requests_df(spark, 40)
+
+    def deadly(request):
+        (log / request["prompt_id"]).write_text("")
+        if len(list(log.iterdir())) > 25:
+            os._exit(1)
+        return "first"
+
+    with pytest.raises(Exception):
+        infer_into(df, deadly, path, batches=8)
+    kept = {r.request_id for r in spark.read.parquet(path).collect()}
+    assert 0 < len(kept) < 40
+    got = infer_into(df, lambda r: "second", path, batches=8).collect()
+    assert len(got) == 40 and {r.request_id for r in got if r.response == "first"} == kept
+
+
+def test_failed_calls_are_asked_again(spark, tmp_path):
     path = str(tmp_path / "responses")
-    df = requests_df(spark)
-    first = infer_into(df.limit(7), lambda r: "first", path)
-    assert first.count() == 7
-    second = infer_into(df, lambda r: "second", path)
-    assert {r["response"]: r["count"] for r in second.groupBy("response").count().collect()} == {
-        "first": 7, "second": 13,
-    }
-    assert infer_into(df, lambda r: "third", path).where("response = 'third'").count() == 0
+    df = requests_df(spark, 12)
+
+    def timeout(request):
+        if request["prompt_id"] in ("p1", "p2"):
+            raise TimeoutError("slow")
+        return "first"
+
+    assert infer_into(df, timeout, path, batches=2).count() == 10
+    assert {r.request_id for r in failed(spark.read.parquet(path)).collect()} == {"judge/p1/honesty", "judge/p2/honesty"}
+    assert infer_into(df, lambda r: "no", path, batches=2, failures_are_final=True).count() == 10
+    again = infer_into(df, lambda r: "second", path, batches=2)
+    assert {r["response"]: r["count"] for r in again.groupBy("response").count().collect()} == {"first": 10, "second": 2}
+    assert failed(spark.read.parquet(path)).count() == 0
+
+
+def test_ids_with_slashes(spark):
+    ids = spark.createDataFrame([("judge/a/b/honesty",), ("judge/p/3",)], "request_id string")
+    assert [(r.prompt_id, r.part) for r in with_request_parts(ids, "part").collect()] == [("a/b", "honesty"), ("p", "3")]
 
 
 def test_attach_and_pending(spark):

@@ -207,3 +207,23 @@ def test_bucketed_stages_join_without_a_shuffle(spark, tmp_path):
     assert pairs.count() == 20
     assert "Exchange" not in pairs._jdf.queryExecution().executedPlan().toString()
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_repeated_calls_give_one_answer_everywhere(spark):
+    """Ratings and annotations take the same one of several answers to a call."""
+    from pairwright.operators.judgements import judge_ratings, parse_judgements
+    from pairwright.operators.scoring import attach_annotations, gather_ratings, gathered_from_annotated
+
+    def text(ratings):
+        return "".join(f"#### a\nRationale: because {r}\nRating: {r}\n" for r in ratings)
+
+    answers = [text([3, 5, 1, 1]), text([3, 2, 1, 1]), text([5, 5, 5, 5]), "unreadable"]
+    rows = [("p", "honesty", a) for a in answers] + [("q", "honesty", a) for a in reversed(answers)]
+    calls = spark.createDataFrame(rows, "prompt_id string, aspect string, response string")
+    completions = spark.createDataFrame(
+        [(p, [(str(i),) for i in range(4)]) for p in "pq"], "prompt_id string, completions array<struct<response string>>"
+    )
+    by_ratings = {r.prompt_id: r.ratings.honesty for r in gather_ratings(judge_ratings(calls)).collect()}
+    annotated = gathered_from_annotated(attach_annotations(completions, parse_judgements(calls)))
+    assert {r.prompt_id: r.ratings.honesty for r in annotated.collect()} == by_ratings
+    assert by_ratings["p"] == by_ratings["q"]

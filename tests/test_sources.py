@@ -13,6 +13,7 @@ from pairwright.sources import (
     read_shards,
     save_bucketed,
     split_corrupt,
+    stage_shards,
     stage_path,
     write_jsonl,
     write_sharded,
@@ -67,8 +68,12 @@ def test_csv_with_quotes_and_line_breaks(spark, tmp_path):
     path.write_text('Question,Correct Answers,Incorrect Answers\n"a ""b""\nc","x; y",\nd,,z\n')
     names = ["Question", "Correct Answers", "Incorrect Answers"]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    df = read_csv(spark, str(path), schema, position=True).orderBy("position")
-    assert [tuple(r)[:3] for r in df.collect()] == [('a "b"\nc', "x; y", None), ("d", None, "z")]
+    df, bad = split_corrupt(read_csv(spark, str(path), schema, position=True), "corrupt_csv")
+    assert [tuple(r)[:3] for r in df.orderBy("position").drop("position").collect()] == [('a "b"\nc', "x; y", None), ("d", None, "z")]
+    assert bad.count() == 0
+    path.write_text("Question,Correct Answers,Incorrect Answers\na,b,c\nd,e\n")
+    df, bad = split_corrupt(read_csv(spark, str(path), schema), "corrupt_csv")
+    assert df.count() == 1 and [tuple(r) for r in bad.collect()] == [("d,e", "corrupt_csv")]
 
 
 def test_positions_of_all_formats_unite(spark, tmp_path):
@@ -77,7 +82,7 @@ def test_positions_of_all_formats_unite(spark, tmp_path):
     spark.createDataFrame([("y",), ("x",)], "instruction string").toPandas().to_parquet(tmp_path / "a.parquet")
     parts = [
         ("json", split_corrupt(read_jsonl(spark, str(tmp_path / "a.jsonl"), TEXT, position=True))[0]),
-        ("csv", read_csv(spark, str(tmp_path / "a.csv"), TEXT, position=True)),
+        ("csv", split_corrupt(read_csv(spark, str(tmp_path / "a.csv"), TEXT, position=True))[0]),
         ("parquet", read_parquet(spark, str(tmp_path / "a.parquet"), TEXT, position=True)),
     ]
     got = {r.instruction: r.source for r in strip_and_dedup(union_sources(parts)).collect()}
@@ -96,14 +101,19 @@ def test_numbered_shards(spark, tmp_path):
         (tmp_path / f"completions_{i}.jsonl").write_text(json.dumps({"instruction": f"s{i}"}))
     rows = read_shards(spark, str(tmp_path / "completions_{}.jsonl"), TEXT, 3).collect()
     assert sorted((r.shard, r.instruction) for r in rows) == [(0, "s0"), (1, "s1"), (2, "s2")]
+    (tmp_path / "completions_1.jsonl").write_text('{"instruction": cut')
+    good, bad = split_corrupt(read_shards(spark, str(tmp_path / "completions_{}.jsonl"), TEXT, 3))
+    assert good.count() == 2 and [r.raw for r in bad.collect()] == ['{"instruction": cut']
+    assert stage_shards("a/completions_{}.jsonl", "completions", "annotations", 2) == [
+        ("a/completions_0.jsonl", "a/annotations_0.jsonl"), ("a/completions_1.jsonl", "a/annotations_1.jsonl")]
     out = str(tmp_path / "sharded")
     write_sharded(spark.range(500).select(F.col("id").cast("string").alias("instruction")), out, F.col("instruction"))
-    back = read_shards(spark, out + "/shard={}", TEXT)
+    back, _ = split_corrupt(read_shards(spark, out + "/shard={}", TEXT))
     assert back.count() == 500
     counts = [r["count"] for r in back.groupBy("shard").count().collect()]
     assert len(counts) == 10 and max(counts) < 100
     write_sharded(back, str(tmp_path / "next"))
-    moved = read_shards(spark, str(tmp_path / "next") + "/shard={}", TEXT)
+    moved, _ = split_corrupt(read_shards(spark, str(tmp_path / "next") + "/shard={}", TEXT))
     assert sorted(map(tuple, moved.collect())) == sorted(map(tuple, back.collect()))
 
 
@@ -121,7 +131,7 @@ def test_both_annotation_shapes(spark, tmp_path):
         row("objects", plain, plain, typed, listed), row("lists", [plain], [plain], [typed], [listed]),
         row("failed", plain, "", typed, listed),
     ]))
-    got = {r.instruction: r.completions[0].annotations for r in read_annotations(spark, str(tmp_path / "x.jsonl")).collect()}
+    got = {r.instruction: r.completions[0].annotations for r in read_annotations(spark, str(tmp_path / "x.jsonl"))[0].collect()}
     assert got["objects"] == got["lists"]
     assert got["objects"].honesty.asDict() == plain
     assert got["objects"].truthfulness.asDict() == {**typed, "Type": ["None"]}
@@ -136,3 +146,11 @@ def test_stage_paths_are_fresh(spark):
 def test_bucketed_table_reads_back(spark, tmp_path):
     table = save_bucketed(spark.range(10).select(F.col("id").cast("string").alias("k")), "b1", "k", 3, str(tmp_path / "b"))
     assert table.count() == 10
+
+
+def test_files_per_shard_are_bounded(spark, tmp_path):
+    out = str(tmp_path / "few")
+    write_sharded(spark.range(2000, numPartitions=20).selectExpr("cast(id AS string) AS a"), out, F.col("a"), files_per_shard=2)
+    files = list((tmp_path / "few").glob("shard=*/*.json"))
+    assert len(list((tmp_path / "few").glob("shard=*"))) == 10 and len(files) <= 40
+    assert spark.read.json(out).count() == 2000

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pairwright.config import fixed
+from pairwright.functions import pick, seeded_int, seeded_share
 from pairwright.operators import completions as comp
 from pairwright.operators import conversations as conv
 from pairwright.operators import critiques as crit
@@ -24,6 +25,7 @@ from pairwright.plans import build_preferences, export_training_rows, gather_ins
 from pairwright.sources import (
     read_annotations,
     read_csv,
+    read_instruction_sources,
     read_jsonl,
     read_parquet,
     read_parquet_dir,
@@ -64,8 +66,10 @@ DOCUMENT_COLUMNS = ["doc_id", "lang", "source", "n_chars"]
 
 
 def read_parquet_directory(spark: SparkSession, sf: str) -> DataFrame:
-    df = read_parquet_dir(spark, sf, name_glob="documents.parquet")
-    return df.select("row_seq", "doc_id", "n_chars")
+    """Two tables that share a column, read as one sequence in descending name order."""
+    schema = T.StructType([T.StructField("doc_id", T.LongType())])
+    df = read_parquet_dir(spark, sf, schema, name_glob="{documents,labels}.parquet")
+    return df.select("row_seq", "doc_id")
 
 
 def parquet_round_trip(spark: SparkSession, sf: str) -> DataFrame:
@@ -81,31 +85,64 @@ def jsonl_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return good.select(*DOCUMENT_COLUMNS, *digest("text"))
 
 
+def corrupt_line_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """JSON lines of which some were cut off: every line is a row or a reject."""
+    path = stage_path(spark, "cut_lines")
+    line = F.concat(F.lit('{"doc_id":'), F.col("doc_id").cast("string"), F.lit(',"n_chars":'),
+                    F.col("n_chars").cast("string"), F.lit("}"))
+    cut = seeded_share(seeded_int("cut", F.col("doc_id")), 0.1)
+    lines = F.when(cut, F.expr("left(value, length(value) - 1)")).otherwise(F.col("value"))
+    documents = derive.table(spark, sf, "documents").withColumn("value", line)
+    documents.select(lines.alias("value")).write.text(path)
+    rows, rejects = split_corrupt(read_jsonl(spark, path, T.StructType(
+        [T.StructField("doc_id", T.LongType()), T.StructField("n_chars", T.LongType())])))
+    nothing = F.lit(None).cast("string")
+    return rows.select("doc_id", "n_chars", nothing.alias("raw"), nothing.alias("reject_reason")).unionByName(
+        rejects.select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("n_chars"),
+                       "raw", "reject_reason")
+    )
+
+
 def csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     path = stage_path(spark, "csv")
     (
         derive.table(spark, sf, "documents")
         .write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
     )
-    return read_csv(spark, path, DOCUMENT).select(*DOCUMENT_COLUMNS, *digest("text"))
+    good, _ = split_corrupt(read_csv(spark, path, DOCUMENT))
+    return good.select(*DOCUMENT_COLUMNS, *digest("text"))
 
 
 def sharded_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     path = stage_path(spark, "shards")
-    write_sharded(derive.table(spark, sf, "documents"), path, F.col("doc_id"))
-    back = read_shards(spark, path + "/shard={}", DOCUMENT)
+    write_sharded(derive.table(spark, sf, "documents"), path, F.col("doc_id"), files_per_shard=2)
+    back, _ = split_corrupt(read_shards(spark, path + "/shard={}", DOCUMENT))
     per_shard = F.when(F.col("shard").between(0, 9), 1).otherwise(0)
     return back.select(*DOCUMENT_COLUMNS, per_shard.alias("in_range"), *digest("text"))
 
 
 def annotation_file_shapes(spark: SparkSession, sf: str) -> DataFrame:
-    """Write annotated completions as JSON lines, read them back, score them."""
+    """Write annotated completions in all layouts, read them back, score them."""
     path = stage_path(spark, "annotations")
     completed = derive.completions(spark, sf)
     parsed = judge.parse_judgements(derive.judge_responses(completed))
     annotated = scoring.attach_annotations(completed, parsed)
-    write_jsonl(annotated.drop("doc_id"), path)
-    back = read_annotations(spark, path).withColumn("instruction_md5", F.md5("instruction"))
+    annotated = annotated.drop("doc_id")
+    # by draw: one object or a list of one per aspect; "" for none; a lone None as a scalar
+    listed = annotated.withColumn("completions", F.transform("completions", lambda c: c.withField(
+        "annotations", F.struct(*[F.when(c["annotations"][a].isNotNull(), F.array(c["annotations"][a])).alias(a)
+                                  for a in fixed.ASPECTS]))))
+    as_list = seeded_share(seeded_int("shape", F.col("prompt_id")), 0.5)
+
+    def lines(df: DataFrame) -> DataFrame:
+        raw = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+        for aspect in fixed.ASPECTS:
+            raw = F.replace(raw, F.lit(f'"{aspect}":null'), F.lit(f'"{aspect}":""'))
+        return df.select(F.replace(raw, F.lit('"Type":["None"]'), F.lit('"Type":"None"')).alias("value"))
+
+    lines(annotated.where(~as_list)).unionByName(lines(listed.where(as_list))).write.text(path)
+    back, _ = read_annotations(spark, path)
+    back = back.withColumn("instruction_md5", F.md5("instruction"))
     gathered = scoring.gathered_from_annotated(back)
     scored = scoring.weighted_score(gathered)
 
@@ -121,6 +158,41 @@ def annotation_file_shapes(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def five_source_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents and benchmark written as the five source files, read and united."""
+    root = stage_path(spark, "five_sources")
+    docs = derive.table(spark, sf, "documents").withColumn("tag", derive.tag_of(F.col("source")))
+    key = pick(["general", "coding", "translate"], seeded_int("key", F.col("doc_id")))
+
+    def of(tag: str) -> DataFrame:
+        return docs.where(F.col("tag") == tag)
+
+    of("wizard_zh").select(F.col("text").alias("instruction_zh"), "lang").write.json(f"{root}/w")
+    of("chinese-dpo").select(F.col("text").alias("prompt"), "lang").write.parquet(f"{root}/d")
+    nothing = F.lit(None).cast("string")
+    asked = of("TrufulQA_zh").select(F.col("text").alias("Question"), nothing.alias("Correct Answers"), "lang",
+                                     nothing.alias("Incorrect Answers"))
+    known = derive.table(spark, sf, "benchmark").select(
+        F.col("text").alias("Question"), F.col("text").alias("Correct Answers"), nothing.alias("lang"),
+        F.col("item_id").cast("string").alias("Incorrect Answers"))
+    asked.unionByName(known).write.option("header", True).option("escape", '"').option("quoteAll", True).csv(f"{root}/t")
+    of("sharegpt_zh").select(
+        F.array(F.struct(F.col("text").alias("human"), F.col("lang").alias("assistant"))).alias("conversation")
+    ).write.json(f"{root}/s")
+    scored = of("smoltalk_zh").join(derive.table(spark, sf, "labels"), "doc_id", "left")
+    scored.select(
+        F.array(F.struct(F.col("text").alias("content"), F.lit("user").alias("role"))).alias("conversations"),
+        key.alias("system_prompt_key"), (F.col("quality") + 4).cast("double").alias("score"),
+    ).write.parquet(f"{root}/m")
+    sources, _ = read_instruction_sources(spark, {
+        "wizard_zh": f"{root}/w", "chinese-dpo": f"{root}/d", "TrufulQA_zh": f"{root}/t",
+        "sharegpt_zh": f"{root}/s", "smoltalk_zh": f"{root}/m",
+    })
+    return ins.union_sources(sources).select(
+        "source", *digest("instruction"), F.md5("correct_answers").alias("correct_md5"), "incorrect_answers"
+    )
+
+
 # --- conversations ----------------------------------------------------------
 
 def conversation_first_turn(spark: SparkSession, sf: str) -> DataFrame:
@@ -292,10 +364,13 @@ def _judge_requests(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _response_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Judge responses keyed by request, the failed calls absent, some repeated."""
-    rows = derive.judge_responses(derive.completions(spark, sf)).where(F.col("response") != "")
-    keyed = rows.select(req.request_id("judge", "prompt_id", "aspect"), "response")
-    return keyed.unionByName(keyed.where(F.length("response") > 4000))
+    """Judge responses keyed by request; failed calls have an error, some rows are repeated."""
+    rows = derive.judge_responses(derive.completions(spark, sf))
+    raised = F.when(F.col("response") == "", "TimeoutError")
+    keyed = rows.select(
+        req.request_id("judge", "prompt_id", "aspect"), "response", raised.alias("error")
+    )
+    return keyed.unionByName(keyed.where(seeded_share(seeded_int("repeat", F.col("request_id")), 0.25)))
 
 
 def attached_responses(spark: SparkSession, sf: str) -> DataFrame:
@@ -312,7 +387,7 @@ def pending_requests(spark: SparkSession, sf: str) -> DataFrame:
 
 def regrouped_responses(spark: SparkSession, sf: str) -> DataFrame:
     """Prompt and aspect recovered from request ids alone."""
-    parts = req.with_request_parts(_response_table(spark, sf), "aspect")
+    parts = req.with_request_parts(req.answered(_response_table(spark, sf)), "aspect")
     return parts.groupBy("prompt_id", "aspect").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -330,6 +405,26 @@ def inferred_responses(spark: SparkSession, sf: str) -> DataFrame:
     return req.infer(requests, echo, keep=("request_id", "prompt_id", "slot"))
 
 
+def resumed_responses(spark: SparkSession, sf: str) -> DataFrame:
+    """A run whose calls fail by draw, then a second run over the same table."""
+    requests = comp.plan_completions(comp.plan_prompts(derive.prompts(spark, sf)))
+    path = stage_path(spark, "resumed")
+
+    def echo(prefix: str, fails: bool):
+        def answer(request: dict) -> str:
+            import hashlib
+
+            if fails and hashlib.md5(request["request_id"].encode()).hexdigest()[0] < "4":
+                raise TimeoutError
+            return prefix + hashlib.md5(request["messages"][-1]["content"].encode()).hexdigest()
+
+        return answer
+
+    keep = ("request_id", "prompt_id", "slot")
+    req.infer_into(requests, echo("a", True), path, batches=4, keep=keep)
+    return req.infer_into(requests, echo("b", False), path, batches=4, keep=keep).drop("error")
+
+
 # --- judging ----------------------------------------------------------------
 
 def judge_requests(spark: SparkSession, sf: str) -> DataFrame:
@@ -414,12 +509,37 @@ def critiques_by_prompt(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def critiqued_completions(spark: SparkSession, sf: str) -> DataFrame:
+    """Prompt rows with their completions and, beside them, the critiques."""
+    completed = derive.completions(spark, sf)
+    attached = crit.attach_critiques(completed, crit.collect_critiques(_critiqued(spark, sf)))
+    return attached.select(
+        "prompt_id",
+        joined(F.transform("completions", lambda c: F.md5(c["response"]))).alias("responses_md5"),
+        joined(F.transform("critiques", lambda c: F.coalesce(c["score"].cast("string"), F.lit("-")))).alias("scores"),
+    )
+
+
 # --- scores and pairs -------------------------------------------------------
 
 def _scored(judged: DataFrame, mode: str = "exact") -> DataFrame:
     return scoring.weighted_score(scoring.gather_ratings(judge.judge_ratings(judged)), mode=mode)
 
 
+def repeated_judgements(spark: SparkSession, sf: str) -> DataFrame:
+    """Some calls were repeated and their repeat cut short: ratings and annotations agree."""
+    completed = derive.completions(spark, sf)
+    judged = derive.judge_responses(completed)
+    again = judged.where(seeded_share(seeded_int("again", F.col("prompt_id"), F.col("aspect")), 0.4))
+    judged = judged.unionByName(again.withColumn("response", F.substring("response", 1, 30)))
+    annotated = scoring.attach_annotations(completed, judge.parse_judgements(judged))
+    beside = scoring.weighted_score(scoring.gathered_from_annotated(annotated))
+    beside = beside.select("prompt_id", joined(F.col("tenths").cast("array<string>")).alias("annotated_tenths"))
+    return _scored(judged).select(
+        "prompt_id", "score_status", joined(F.col("tenths").cast("array<string>")).alias("tenths")
+    ).join(beside, "prompt_id")
+
+
 def incomplete_prompts(spark: SparkSession, sf: str) -> DataFrame:
     completed = derive.completions(spark, sf)
     return scoring.incomplete_reasons(completed, _scored(derive.judge_responses(completed)))
@@ -533,14 +653,14 @@ QUERIES = {
     f.__name__: f
     for f in [
         read_parquet_directory, parquet_round_trip, jsonl_round_trip, csv_round_trip,
-        sharded_round_trip, annotation_file_shapes,
+        sharded_round_trip, annotation_file_shapes, corrupt_line_rejects, five_source_files,
         conversation_first_turn, conversation_instructions, conversation_rejects,
         source_rules, united_sources, quality_kept, quality_rejects, quality_rejects_han,
         invalid_answered_instructions, deduplicated, sampled_exact, sampled_fast, trial_fraction, source_counts,
         gathered_instructions,
         drawn_models, planned_prompts, unknown_source_rejects, completion_requests,
         assembled_completions, attached_responses, pending_requests, regrouped_responses,
-        inferred_responses,
+        inferred_responses, resumed_responses, critiqued_completions, repeated_judgements,
         judge_requests, annotations, judgement_rejects, judge_ratings, not_applicable_counts,
         critique_requests, critique_scores, critique_scores_strict, critique_rejects,
         critiques_by_prompt,
