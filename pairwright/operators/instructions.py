@@ -80,7 +80,7 @@ def quality_reason(
 ) -> Column:
     """First failing quality rule of an instruction, or null.
 
-    Cheap rules come first; one pass yields both the kept rows and the rejects.
+    Cheap rules come first.
     """
     return (
         F.when(text.isNull(), "null_text")
@@ -94,10 +94,26 @@ def quality_reason(
 def quality_filter(
     df: DataFrame, text: str = "instruction", source: str = "source", **rules
 ) -> tuple[DataFrame, DataFrame]:
-    """(kept rows, rejects with ``reject_reason``)."""
+    """(kept rows, rejects with ``reject_reason``), each a filter over ``df``.
+
+    When both are wanted from a source that is costly to read, write
+    ``quality_tagged`` once and ``split_tagged`` the table.
+    """
     reason = quality_reason(F.col(text), F.col(source), **rules)
-    tagged = settle(df, df.columns, reject_reason=reason)
-    return df.where(reason.isNull()), tagged.where(F.col("reject_reason").isNotNull())
+    return df.where(reason.isNull()), split_tagged(quality_tagged(df, text, source, **rules))[1]
+
+
+def quality_tagged(
+    df: DataFrame, text: str = "instruction", source: str = "source", **rules
+) -> DataFrame:
+    """All rows with ``reject_reason``, null for those to keep."""
+    return settle(df, df.columns, reject_reason=quality_reason(F.col(text), F.col(source), **rules))
+
+
+def split_tagged(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(kept rows, rejects) of a tagged table."""
+    reason = F.col("reject_reason")
+    return tagged.where(reason.isNull()).drop("reject_reason"), tagged.where(reason.isNotNull())
 
 
 def invalid_answered_instructions(

@@ -127,9 +127,14 @@ def weighted_score(
     return settle(summed, gathered.columns, **{name: F.col(name) for name in names})
 
 
-def not_applicable_counts(annotations: DataFrame) -> DataFrame:
-    """N/A ratings per aspect, from long annotations."""
-    return annotations.groupBy("aspect").agg(
+def not_applicable_counts(ratings: DataFrame) -> DataFrame:
+    """N/A ratings per aspect, from ``judge_ratings``: no rationale is read for it.
+
+    Long annotations, one ``rating`` a row, do as well.
+    """
+    if "ratings" in ratings.columns:
+        ratings = ratings.where("parse_status = 'ok'").select("aspect", F.explode("ratings").alias("rating"))
+    return ratings.groupBy("aspect").agg(
         F.count_if(F.contains("rating", F.lit(fixed.NOT_APPLICABLE))).alias("n_not_applicable"),
         F.count(F.lit(1)).alias("n_ratings"),
     )

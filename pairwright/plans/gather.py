@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from ..config import fixed
 from ..operators.instructions import (
     quality_filter,
+    quality_tagged,
+    split_tagged,
     stratified_sample,
     strip_and_dedup,
     union_sources,
@@ -28,10 +30,15 @@ def gather_instructions(
     """(sampled instructions, rejects).
 
     ``sources`` are (tag, DataFrame) in union order, single-source rules already
-    applied, each with ``instruction`` and ``position``. With ``stage`` the
-    deduplicated table is written first, because exact sampling reads it again.
+    applied, each with ``instruction`` and ``position``. With ``stage`` the sources
+    are read once, into a table that holds kept rows and rejects, and the
+    deduplicated table is written, because exact sampling reads it again.
     """
-    kept, rejects = quality_filter(union_sources(sources), **(quality or {}))
+    if stage:
+        tagged = stage_table(quality_tagged(union_sources(sources), **(quality or {})), "tagged")
+        kept, rejects = split_tagged(tagged)
+    else:
+        kept, rejects = quality_filter(union_sources(sources), **(quality or {}))
     prompts = with_prompt_id(strip_and_dedup(kept)).select(
         "prompt_id", "instruction", "source", "correct_answers", "incorrect_answers"
     )

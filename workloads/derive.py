@@ -23,6 +23,12 @@ PROMPT_KEYS = ["translate", "role-playing", "math23k", "document-qa", "general",
 # The prose is Latin; these stand in for the Han rules.
 LATIN_RANGES = [(ord("a"), ord("z")), (ord("A"), ord("Z"))]
 LATIN_ALLOWED = [*fixed.ALLOWED_RANGES, (0xC0, 0xFF)]
+# Letters and the code points that stand for them: Han, of which the last four lie at
+# the end of the block (9FA6 to 9FFF), the replacement character, a letter not allowed.
+HAN_LETTERS = (
+    "abcdefghijklmnopqrsABCDEFGHIJKLMNOPQRSTUVWYZéèêçñíäöüßtXó",
+    "".join(chr(0x4E00 + 7 * i) for i in range(50)) + "\u9fa5\u9fa6\u9fd0\u9ffe\u9fff\ufffd\u0416",
+)
 QUALITY = {
     "allowed_ranges": LATIN_ALLOWED,
     "script_ranges": LATIN_RANGES,

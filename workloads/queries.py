@@ -252,9 +252,14 @@ def quality_rejects(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def quality_rejects_han(spark: SparkSession, sf: str) -> DataFrame:
-    """The default rules, whose script is Han: reasons for every document."""
-    _, rejects = ins.quality_filter(_tagged(spark, sf))
-    return rejects.select("doc_id", "source", "reject_reason")
+    """The default rules, whose script is Han, on documents with letters mapped to Han.
+
+    Every document has its reason or null; some letters become code points at the
+    end of the Han block, which are allowed but no Han by the share rule.
+    """
+    letters, han = derive.HAN_LETTERS
+    mapped = _tagged(spark, sf).withColumn("instruction", F.translate("instruction", letters, han))
+    return ins.quality_tagged(mapped).select("doc_id", "source", "reject_reason", F.md5("instruction").alias("text_md5"))
 
 
 def invalid_answered_instructions(spark: SparkSession, sf: str) -> DataFrame:
@@ -464,9 +469,7 @@ def judge_ratings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def not_applicable_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return scoring.not_applicable_counts(
-        judge.explode_annotations(judge.parse_judgements(_judged(spark, sf)))
-    )
+    return scoring.not_applicable_counts(judge.judge_ratings(_judged(spark, sf)))
 
 
 def critique_requests(spark: SparkSession, sf: str) -> DataFrame:
