@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from pairwright.sources.sinks import stage_path
 
+from .chat import format_chats
 from .common import stage
 from .exact_dedup import exact_dedup
 from .exact_topk import exact_topk
@@ -73,6 +74,10 @@ def op6_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op7_chat(spark: SparkSession, sf: str) -> DataFrame:
+    return format_chats(table(spark, sf, "conversations"))
+
+
 def op8_langid(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     held_out = in_fold(F.col("doc_id"), 5, 0)
@@ -96,6 +101,7 @@ QUERIES = {
     "op4_exact_topk": op4_exact_topk,
     "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
+    "op7_chat": op7_chat,
     "op8_langid": op8_langid,
     "op9_html_text": op9_html_text,
     "op10_exact_dedup": op10_exact_dedup,
