@@ -14,6 +14,7 @@ from pairwright.config import fixed
 from pairwright.functions import pick, seeded_int, settle
 from pairwright.operators.completions import assemble_completions, plan_prompts
 from pairwright.operators.instructions import source_filter
+from pairwright.plans import stage_table
 from pairwright.sources import read_parquet_dir
 
 # Source tag of a document: number of its `source` (src0, src1, ...) modulo 5.
@@ -37,6 +38,25 @@ QUALITY = {
 RATES = {"smoltalk_zh": 0.2, "sharegpt_zh": 0.3, "TrufulQA_zh": 1.0, "chinese-dpo": 1.0, "wizard_zh": 0.25}
 
 
+# Inputs written once by ``write_inputs``, by name and folder.
+WRITTEN: dict[tuple[str, str], DataFrame] = {}
+
+
+def write_inputs(spark: SparkSession, sf: str) -> None:
+    """Write the derived inputs, as they would lie there in a real run."""
+    for tag, part in instruction_sources(spark, sf):
+        WRITTEN[f"source {tag}", sf] = stage_table(part, "input")
+    WRITTEN["completion responses", sf] = stage_table(completion_responses(spark, sf), "input")
+    WRITTEN["completions", sf] = stage_table(completions(spark, sf), "input")
+    WRITTEN["judged", sf] = stage_table(judged(spark, sf), "input")
+    WRITTEN["critiqued", sf] = stage_table(critiqued(spark, sf), "input")
+
+
+def written(name: str, sf: str, make) -> DataFrame:
+    found = WRITTEN.get((name, sf))
+    return make() if found is None else found
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -72,17 +92,17 @@ def tagged_documents(spark: SparkSession, sf: str, scored: bool = True) -> DataF
 
 def instruction_sources(spark: SparkSession, sf: str) -> list[tuple[str, DataFrame]]:
     """One DataFrame per source, in union order; the scored one already filtered."""
-    parts = []
-    for tag in TAGS:
+    def part(tag: str) -> DataFrame:
         scored = tag == "smoltalk_zh"
-        part = tagged_documents(spark, sf, scored).where(F.col("source") == tag)
+        rows = tagged_documents(spark, sf, scored).where(F.col("source") == tag)
         if scored:
-            part = source_filter(part)
-        part = part.withColumnRenamed("row_seq", "position")
+            rows = source_filter(rows)
+        rows = rows.withColumnRenamed("row_seq", "position")
         if tag not in fixed.ANSWERED_SOURCES:
-            part = part.drop("correct_answers", "incorrect_answers")
-        parts.append((tag, part.drop("source")))
-    return parts
+            rows = rows.drop("correct_answers", "incorrect_answers")
+        return rows.drop("source")
+
+    return [(tag, written(f"source {tag}", sf, lambda tag=tag: part(tag))) for tag in TAGS]
 
 
 def opening_turns(spark: SparkSession, sf: str) -> DataFrame:
@@ -120,6 +140,10 @@ def prompt_id(doc: Column) -> Column:
 
 
 def completion_responses(spark: SparkSession, sf: str) -> DataFrame:
+    return written("completion responses", sf, lambda: block_responses(spark, sf))
+
+
+def block_responses(spark: SparkSession, sf: str) -> DataFrame:
     """Responses of a prompt: the four documents of its block of consecutive ids.
 
     One shuffle by block; a draw of 1 in 32 leaves a response empty.
@@ -146,8 +170,21 @@ def completion_responses(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def completions(spark: SparkSession, sf: str) -> DataFrame:
-    planned = plan_prompts(prompts(spark, sf))
-    return assemble_completions(planned, completion_responses(spark, sf))
+    def make() -> DataFrame:
+        planned = plan_prompts(prompts(spark, sf))
+        return assemble_completions(planned, completion_responses(spark, sf))
+
+    return written("completions", sf, make)
+
+
+def judged(spark: SparkSession, sf: str) -> DataFrame:
+    """Judge texts of all completions."""
+    return written("judged", sf, lambda: judge_responses(completions(spark, sf)))
+
+
+def critiqued(spark: SparkSession, sf: str) -> DataFrame:
+    """Critique texts of all completions."""
+    return written("critiqued", sf, lambda: critique_responses(completions(spark, sf)))
 
 
 def _judge_section(aspect: Column, completion: Column, drawn: Column) -> Column:

@@ -125,7 +125,7 @@ def annotation_file_shapes(spark: SparkSession, sf: str) -> DataFrame:
     """Write annotated completions in all layouts, read them back, score them."""
     path = stage_path(spark, "annotations")
     completed = derive.completions(spark, sf)
-    parsed = judge.parse_judgements(derive.judge_responses(completed))
+    parsed = judge.parse_judgements(derive.judged(spark, sf))
     annotated = scoring.attach_annotations(completed, parsed)
     annotated = annotated.drop("doc_id")
     # by draw: one object or a list of one per aspect; "" for none; a lone None as a scalar
@@ -370,7 +370,7 @@ def _judge_requests(spark: SparkSession, sf: str) -> DataFrame:
 
 def _response_table(spark: SparkSession, sf: str) -> DataFrame:
     """Judge responses keyed by request; failed calls have an error, some rows are repeated."""
-    rows = derive.judge_responses(derive.completions(spark, sf))
+    rows = derive.judged(spark, sf)
     raised = F.when(F.col("response") == "", "TimeoutError")
     keyed = rows.select(
         req.request_id("judge", "prompt_id", "aspect"), "response", raised.alias("error")
@@ -443,7 +443,7 @@ def judge_requests(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _judged(spark: SparkSession, sf: str) -> DataFrame:
-    return derive.judge_responses(derive.completions(spark, sf))
+    return derive.judged(spark, sf)
 
 
 def annotations(spark: SparkSession, sf: str) -> DataFrame:
@@ -482,7 +482,7 @@ def critique_requests(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _critiqued(spark: SparkSession, sf: str, **options) -> DataFrame:
-    responses = derive.critique_responses(derive.completions(spark, sf))
+    responses = derive.critiqued(spark, sf)
     return crit.parse_critiques(responses, **options)
 
 
@@ -532,7 +532,7 @@ def _scored(judged: DataFrame, mode: str = "exact") -> DataFrame:
 def repeated_judgements(spark: SparkSession, sf: str) -> DataFrame:
     """Some calls were repeated and their repeat cut short: ratings and annotations agree."""
     completed = derive.completions(spark, sf)
-    judged = derive.judge_responses(completed)
+    judged = derive.judged(spark, sf)
     again = judged.where(seeded_share(seeded_int("again", F.col("prompt_id"), F.col("aspect")), 0.4))
     judged = judged.unionByName(again.withColumn("response", F.substring("response", 1, 30)))
     annotated = scoring.attach_annotations(completed, judge.parse_judgements(judged))
@@ -545,7 +545,7 @@ def repeated_judgements(spark: SparkSession, sf: str) -> DataFrame:
 
 def incomplete_prompts(spark: SparkSession, sf: str) -> DataFrame:
     completed = derive.completions(spark, sf)
-    return scoring.incomplete_reasons(completed, _scored(derive.judge_responses(completed)))
+    return scoring.incomplete_reasons(completed, _scored(derive.judged(spark, sf)))
 
 
 def weighted_scores(spark: SparkSession, sf: str) -> DataFrame:
@@ -568,7 +568,7 @@ def weighted_scores_float(spark: SparkSession, sf: str) -> DataFrame:
 def annotated_completions(spark: SparkSession, sf: str) -> DataFrame:
     """The weighted output: full annotations and scores nested per completion."""
     completed = derive.completions(spark, sf)
-    parsed = judge.parse_judgements(derive.judge_responses(completed))
+    parsed = judge.parse_judgements(derive.judged(spark, sf))
     annotated = scoring.attach_annotations(completed, parsed)
     scored = scoring.weighted_score(scoring.gathered_from_annotated(annotated))
     rows = scoring.scored_completions(scored).select(
@@ -598,7 +598,7 @@ def _pair_columns(df: DataFrame) -> DataFrame:
 
 def _pairs(spark: SparkSession, sf: str) -> DataFrame:
     completed = derive.completions(spark, sf)
-    return build_preferences(completed, derive.judge_responses(completed))
+    return build_preferences(completed, derive.judged(spark, sf))
 
 
 def preference_pairs(spark: SparkSession, sf: str) -> DataFrame:
@@ -607,7 +607,7 @@ def preference_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 def preference_pairs_float(spark: SparkSession, sf: str) -> DataFrame:
     completed = derive.completions(spark, sf)
-    pairs = build_preferences(completed, derive.judge_responses(completed), mode="float_compat")
+    pairs = build_preferences(completed, derive.judged(spark, sf), mode="float_compat")
     return _pair_columns(pairs)
 
 
@@ -617,7 +617,7 @@ def binarized_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def chat_pairs(spark: SparkSession, sf: str) -> DataFrame:
     completed = derive.completions(spark, sf)
-    pairs = pairing.make_chat_pairs(_scored(derive.judge_responses(completed)), completed)
+    pairs = pairing.make_chat_pairs(_scored(derive.judged(spark, sf)), completed)
 
     def flat(side: str) -> Column:
         turns = F.transform(side, lambda m: F.concat(m["role"], F.lit(":"), m["content"]))
