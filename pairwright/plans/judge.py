@@ -55,6 +55,7 @@ def complete_and_judge(
     annotated = _fresh(attach_annotations(completions, parsed), f"{root}/annotated")
     return {
         "completions": completions,
+        "judge_responses": judged,
         "annotations": parsed,
         "annotated": annotated,
         "rejects": judgement_rejects(parsed),

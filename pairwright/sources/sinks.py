@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -13,14 +15,17 @@ def stage_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a stage table in the shared folder of the session.
 
     The folder is ``spark.checkpoint.dir``. Only a local session may go without
-    it: a machine-local folder on a cluster would be lost with its executor.
+    it: a machine-local folder on a cluster would be lost with its executor. The
+    folder it then gets is removed when the program ends.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="pairwright-"))
+        folder = tempfile.mkdtemp(prefix="pairwright-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.setCheckpointDir(folder)
         root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/pairwright/{name}-{uuid.uuid4().hex}"
 
