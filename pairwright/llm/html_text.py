@@ -49,9 +49,14 @@ MARKS = set(
     "nav navbar navigation menu menus breadcrumb breadcrumbs toolbar sidebar aside rail footer foot masthead topbar "
     "cookie cookies consent gdpr notice notices notification alert popup modal overlay paywall newsletter subscribe "
     "subscription signup login register search share sharing social related recommended recommendations teaser widget "
-    "pagination pager copyright legal disclaimer skip tags contentinfo complementary form dialog".split()
+    "pagination pager copyright legal disclaimer skip tags contentinfo complementary form dialog "
+    "logo brand branding announcement privacy crumbs sitemap dropdown hamburger drawer subnav sidenav".split()
 )
-COMMENTS = set("comment comments commentlist disqus reply replies respond discussion".split())
+COMMENTS = set("comment comments commentlist disqus reply replies respond responses discussion feedback".split())
+HEADERS = set("header head banner masthead".split())  # of a page, unless they lie in its article
+TITLES = set("post entry article story".split())  # an article's own header
+STATES = set("with has no without".split())  # as in has-sidebar: not the thing itself
+UNSEEN = re.compile(r"(?:\A|\s)hidden(?=\s|=|/|\Z)|display\s*:\s*none", re.I)
 
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|"""
@@ -78,16 +83,18 @@ def kind_of(name: str, attributes: str) -> tuple[str, str]:
     found = [(a.lower(), html.unescape(v.strip("\"'"))) for a, v in NAMED.findall(attributes)]
     words = {w.lower() for _, v in found for w in WORDS.findall(v)}
     shown = ".".join(re.sub(r"\d+", "", v).strip() for a, v in found if a in ("class", "id") and v)
-    if words & COMMENTS:
+    plain = not words & STATES and name not in ("html", "body", "main")
+    if words & COMMENTS and plain:
         mark = "comments"
-    elif name in FURNITURE or (words & MARKS and name not in ("html", "body", "main")):
+    elif name in FURNITURE or (words & MARKS and plain) or UNSEEN.search(re.sub(r"class\s*=\s*(\"[^\"]*\"|'[^']*')", "", attributes)):
         mark = "furniture"
     elif name == "article" or "articlebody" in {v.lower() for a, v in found if a == "itemprop"}:
         mark = "article"
     elif name == "main" or ("role", "main") in found:
         mark = "main"
     else:
-        mark = "header" if name == "header" else ""
+        page_header = name == "header" or (words & HEADERS and plain and name not in ("h1", "h2"))
+        mark = "header" if page_header and not words & TITLES else ""
     return f"{name}.{shown}" if shown else name, mark
 
 

@@ -23,6 +23,11 @@ def test_article_only():
     ('<p title="open>z</p>', "z"), ("<ul><li>a<li>b</ul>c", "a\nb\nc"), ("<div id=cookie-notice>k</div><p>m</p>", "m"),
     ("&lt;p&gt; &amp;amp; &am", "<p> &amp; &am"), ("<main><p>m</p></main><p>out</p>", "m"),
     ("<table><tr><td>1<td>2<tr><td>3</table>", "1\n2\n3"),
+    ("<div class=site-header>S</div><div class=post-header><h1>T</h1></div><p>x</p>", "T\nx"),
+    ("<div class=has-sidebar><p>x</p><div class=sidebar>s</div></div>", "x"),
+    ("<p>x</p><div hidden>h</div><p style='display: none'>n</p><p class='hidden-gem'>g</p>", "x\ng"),
+    ("<div class='menu'>m</div><div class='content'><p>x</p><ul class='comment-list'><li>c</ul></div>", "x"),
+    ("<article><p>x</p><div class='ad-box'>a</div><nav>n</nav><form>f</form><footer>t</footer></article>", "x"),
     ("<p>text</p><div><a href=x>one</a> <a href=y>two</a></div>", "text"),
 ])
 def test_pages_without_a_wrapper(page, text):
