@@ -21,7 +21,13 @@ from pairwright.operators import pairs as pairing
 from pairwright.operators import requests as req
 from pairwright.operators import scoring
 from pairwright.operators import training_rows as train
-from pairwright.plans import build_preferences, export_training_rows, gather_instructions, stage_table
+from pairwright.plans import (
+    build_preferences,
+    export_training_rows,
+    gather_instructions,
+    stage_table,
+    write_counted,
+)
 from pairwright.sources import (
     read_annotations,
     read_csv,
@@ -85,6 +91,17 @@ def jsonl_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return good.select(*DOCUMENT_COLUMNS, *digest("text"))
 
 
+def stage_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of stages, counted while they are written."""
+    sources = derive.instruction_sources(spark, sf)
+    united = ins.union_sources(sources)
+    tagged = stage_table(ins.quality_tagged(united, **derive.QUALITY), "tagged")
+    kept, rejects = ins.split_tagged(tagged)
+    stages = {"kept": kept, "rejects": rejects, "deduplicated": ins.strip_and_dedup(kept)}
+    counts = [(name, write_counted(df, stage_path(spark, name))) for name, df in stages.items()]
+    return spark.createDataFrame(counts, "stage string, n long")
+
+
 def corrupt_line_rejects(spark: SparkSession, sf: str) -> DataFrame:
     """JSON lines of which some were cut off: every line is a row or a reject."""
     path = stage_path(spark, "cut_lines")
@@ -407,7 +424,7 @@ def inferred_responses(spark: SparkSession, sf: str) -> DataFrame:
         return hashlib.md5(request["messages"][-1]["content"].encode()).hexdigest()
 
     requests = comp.plan_completions(comp.plan_prompts(derive.prompts(spark, sf)))
-    return req.infer(requests, echo, keep=("request_id", "prompt_id", "slot"))
+    return req.infer(requests, echo, keep=("request_id", "prompt_id", "slot"), partitions=8, threads=2)
 
 
 def resumed_responses(spark: SparkSession, sf: str) -> DataFrame:
@@ -656,7 +673,7 @@ QUERIES = {
     f.__name__: f
     for f in [
         read_parquet_directory, parquet_round_trip, jsonl_round_trip, csv_round_trip,
-        sharded_round_trip, annotation_file_shapes, corrupt_line_rejects, five_source_files,
+        sharded_round_trip, annotation_file_shapes, corrupt_line_rejects, five_source_files, stage_counts,
         conversation_first_turn, conversation_instructions, conversation_rejects,
         source_rules, united_sources, quality_kept, quality_rejects, quality_rejects_han,
         invalid_answered_instructions, deduplicated, sampled_exact, sampled_fast, trial_fraction, source_counts,
