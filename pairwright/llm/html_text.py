@@ -409,18 +409,13 @@ def extract_main_text(
     whose pages are all null or very long, are judged by their own structure.
     Repeated pages give repeated rows. Other columns are not looked at.
     """
-    kinds = dict(pages.dtypes)
-    wrappers = host_wrappers(pages, url, page_html)
-    rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(page_html).alias("html"),
-                        host_of(F.col(url)).alias("host")).join(wrappers, "host", "left").drop("host")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            texts = [extract(h, w if isinstance(w, str) else None) if isinstance(h, str) else ""
-                     for h, w in zip(pdf["html"], pdf["wrapper"])]
-            out = pdf[["page_id", "url"]].assign(text=texts)
-            yield out.assign(n_chars=out["text"].str.len().astype("int64"))
+    @F.pandas_udf("string")
+    def main_text(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for found, wrappers in batches:
+            yield pd.Series([extract(h or "", w) for h, w in zip(found, wrappers)], dtype=object)
 
-    return rows.mapInPandas(
-        run, f"page_id {kinds[page_id]}, url {kinds[url]}, text string, n_chars long"
-    )
+    rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(page_html).alias("html"),
+                        host_of(F.col(url)).alias("host"))
+    known = rows.join(host_wrappers(pages, url, page_html), "host", "left")
+    texts = known.select("page_id", "url", main_text("html", "wrapper").alias("text"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
