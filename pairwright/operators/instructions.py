@@ -159,6 +159,11 @@ def with_prompt_id(df: DataFrame, text: str = "instruction") -> DataFrame:
     return df.withColumn("prompt_id", F.md5(text))
 
 
+def bucket_bits_for(rows: int) -> int:
+    """Digest bits for ``stratified_sample`` that leave some 4,096 rows in a bucket."""
+    return min(30, max(16, (rows >> 12).bit_length()))
+
+
 def stratified_sample(
     df: DataFrame,
     rates: dict[str, float],
@@ -175,8 +180,9 @@ def stratified_sample(
     ``exact`` keeps half-even round(rate x n) rows. It never ranks a whole source:
     a histogram of digest buckets shows in which bucket each source's cut falls,
     only rows of that bucket are ranked (keys alone), and the rows themselves go
-    through a filter against one threshold per source. ``df`` is read up to three
-    times, so pass a stage table when it is costly.
+    through a filter against one threshold per source. ``bucket_bits`` should follow
+    the number of rows (``bucket_bits_for``), so that a bucket stays small. ``df`` is
+    read up to three times, so pass a stage table when it is costly.
     """
     for value, rate in rates.items():
         if not 0 <= rate <= 1:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from ..config import fixed
 from ..operators.instructions import (
+    bucket_bits_for,
     quality_filter,
     quality_tagged,
     split_tagged,
@@ -42,6 +43,8 @@ def gather_instructions(
     prompts = with_prompt_id(strip_and_dedup(kept)).select(
         "prompt_id", "instruction", "source", "correct_answers", "incorrect_answers"
     )
+    bits = 16
     if stage:
         prompts = stage_table(prompts, "deduplicated")
-    return stratified_sample(prompts, rates, "prompt_id", seed=seed, mode=mode), rejects
+        bits = bucket_bits_for(prompts.count())
+    return stratified_sample(prompts, rates, "prompt_id", seed=seed, mode=mode, bucket_bits=bits), rejects

@@ -147,3 +147,9 @@ def test_gather_end_to_end(spark):
     assert {r.prompt_id for r in again.collect()} == {r.prompt_id for r in rows}
     assert fixed.SAMPLE_RATES["TrufulQA_zh"] == 1.0
     assert re.fullmatch("[0-9a-f]{32}", rows[0].prompt_id)
+
+
+def test_buckets_follow_the_number_of_rows():
+    from pairwright.operators.instructions import bucket_bits_for
+
+    assert [bucket_bits_for(n) for n in (0, 10**6, 1 << 32, 10**13)] == [16, 16, 21, 30]
