@@ -31,6 +31,7 @@ ALIASES = {"human": "user", "prompter": "user", "gpt": "assistant", "bot": "assi
 PIECE_BITS = 12  # turns of one piece lie within 4,096 turn numbers
 PIECE_ROWS = 1 << PIECE_BITS
 FAR = 1 << 40
+LAST = 1 << 62  # stands for a null turn number
 
 
 @dataclass(frozen=True)
@@ -143,23 +144,27 @@ def role_code(role: str | None) -> int:
     return ROLES.index(name) if name in ROLES[1:] else 0
 
 
-def runs(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """Neighbouring rows with equal keys, across the borders of batches."""
-    held: list[pd.DataFrame] = []
+def runs(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[dict[str, list]]:
+    """Columns of neighbouring rows with equal keys, across the borders of batches."""
+    held: dict[str, list] = {}
+    known = None
     for batch in batches:
-        if batch.empty:
-            continue
-        new = (batch[keys] != batch[keys].shift()).any(axis=1).to_numpy()
-        new[0] = not held or tuple(held[-1][keys].iloc[-1]) != tuple(batch[keys].iloc[0])
-        edges = [0, *np.flatnonzero(new), len(batch)]
-        for a, b in zip(edges[:-1], edges[1:]):
-            if new[a] and held:
-                yield held[0] if len(held) == 1 else pd.concat(held)
-                held = []
-            if b > a:
-                held.append(batch.iloc[a:b])
-    if held:
-        yield held[0] if len(held) == 1 else pd.concat(held)
+        columns = {c: batch[c].tolist() for c in batch.columns}
+        tuples = list(zip(*(columns[k] for k in keys)))
+        edges = [i for i in range(1, len(tuples)) if tuples[i] != tuples[i - 1]]
+        for a, b in zip([0, *edges], [*edges, len(tuples)]):
+            if a == b:
+                continue
+            part = {c: values[a:b] for c, values in columns.items()}
+            if tuples[a] == known:
+                for c, values in part.items():
+                    held[c] += values
+                continue
+            if known is not None:
+                yield held
+            held, known = part, tuples[a]
+    if known is not None:
+        yield held
 
 
 PIECE = ["cid", "bucket", "part"]
@@ -171,7 +176,7 @@ def piece_matrices(costs: Costs):
         repair, out = Repair(costs), []
         for piece in runs(batches, PIECE):
             matrix = repair.matrix([role_code(r) for r in piece["role"]])
-            out.append((*piece[PIECE].iloc[0], matrix.ravel().tolist()))
+            out.append((*(piece[k][0] for k in PIECE), matrix.ravel().tolist()))
             if len(out) >= 2048:
                 yield pd.DataFrame(out, columns=[*PIECE, "matrix"])
                 out = []
@@ -186,7 +191,7 @@ def piece_borders(costs: Costs):
         for whole in runs(batches, ["cid"]):
             states = repair.borders([np.array(m, np.int64).reshape(4, 4) for m in whole["matrix"]])
             last = len(states) - 1
-            for i, (key, (a, b)) in enumerate(zip(whole[PIECE].itertuples(index=False), states)):
+            for i, (key, (a, b)) in enumerate(zip(zip(*(whole[k] for k in PIECE)), states)):
                 out.append((*key, a, b, i == last))
             if len(out) >= 2048:
                 yield pd.DataFrame(out, columns=[*PIECE, "first", "last", "ends"])
@@ -205,11 +210,12 @@ def render_pieces(costs: Costs, template: Template, columns: list[str]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         repair, out = Repair(costs), []
         for piece in runs(batches, PIECE):
-            border, turns = piece.iloc[0], piece.iloc[1:]  # borders sort before turns
+            # the border sorts before the turns
+            state, last, ends = int(piece["first"][0]), int(piece["last"][0]), piece["ends"][0]
+            turns = {c: piece[c][1:] for c in ("cid", "turn_order", "role", "text")}
             roles = [role_code(r) for r in turns["role"]]
-            state = int(border["first"])
-            steps_ = repair.path(roles, state, int(border["last"]))
-            rows = zip(turns["conv_id"], turns["turn"], turns["role"], turns["text"], steps_)
+            steps_ = repair.path(roles, state, last)
+            rows = zip(*turns.values(), steps_)
             for i, (conv, turn, role, text, (after, step)) in enumerate(rows):
                 text = (text or "").replace(template.mark, template.broken)
                 if "merge" in step.action:
@@ -217,7 +223,7 @@ def render_pieces(costs: Costs, template: Template, columns: list[str]):
                 else:  # the message before is closed only here, as turns may go on it until then
                     segment = template.tail * (state > 0) + empty(step.inserted) + head[after] + text
                 closing: tuple[int, ...] = ()
-                if border["ends"] and i == len(roles) - 1:
+                if ends and i == len(roles) - 1:
                     closing = repair.end[after][1]
                     segment += template.tail + empty(closing)
                 cost = step.cost + costs.insert * len(closing)
@@ -247,12 +253,11 @@ def format_chats(
     Other columns are not looked at. An empty table gives an empty result.
     """
     kinds = dict(turns.dtypes)
-    number = F.coalesce(F.col(turn).cast("long"), F.lit((1 << 62)))
+    number = F.coalesce(F.col(turn).cast("long"), F.lit(LAST))
     rows = turns.select(
         F.concat(F.when(F.col(conv_id).isNull(), "n").otherwise("v"),
                  F.coalesce(F.col(conv_id).cast("string"), F.lit(""))).alias("cid"),
-        F.col(conv_id).alias("conv_id"), F.col(turn).alias("turn"), F.col(role).cast("string").alias("role"),
-        F.col(text).cast("string").alias("text"), number.alias("turn_order"),
+        F.col(role).cast("string").alias("role"), F.col(text).cast("string").alias("text"), number.alias("turn_order"),
         F.xxhash64(F.col(role), F.col(text)).alias("content"),
         F.shiftright(number, PIECE_BITS).alias("bucket"), F.monotonically_increasing_id().alias("rid"),
     )
@@ -284,13 +289,19 @@ def format_chats(
         piece_borders(costs), "cid string, bucket long, part string, first int, last int, ends boolean"
     )
     both = rows.withColumn("kind", F.lit(1)).unionByName(
-        borders.withColumn("kind", F.lit(0)), allowMissingColumns=True
+        borders.withColumn("kind", F.lit(0)).withColumn("turn_order", F.lit(-1).cast("long")), allowMissingColumns=True
     )
-    names = ["conv_id", "turn", "role", "new_role", "action", "inserted_before", "inserted_after", "cost", "segment"]
+    names = ["cid", "turn_order", "role", "new_role", "action", "inserted_before", "inserted_after", "cost", "segment"]
     schema = (
-        f"conv_id {kinds[conv_id]}, turn {kinds[turn]}, role string, new_role string, action string, "
+        "cid string, turn_order long, role string, new_role string, action string, "
         "inserted_before int, inserted_after int, cost long, segment string"
     )
-    return both.repartition(*together).sortWithinPartitions(*PIECE, "kind", *ORDER).mapInPandas(
+    done = both.repartition(*together).sortWithinPartitions(*PIECE, "kind", *ORDER).mapInPandas(
         render_pieces(costs, template, names), schema
     )
+    # ids travel as text and numbers without nulls: pandas would make floats of them
+    return done.select(
+        F.when(F.col("cid").startswith("v"), F.expr("substring(cid, 2)").cast(kinds[conv_id])).alias("conv_id"),
+        F.when(F.col("turn_order") != LAST, F.col("turn_order")).cast(kinds[turn]).alias("turn"),
+        *names[2:],
+    )

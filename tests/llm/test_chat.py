@@ -117,3 +117,9 @@ def test_legal_conversations_stay_and_empty_table(spark):
     assert got[2, 0].inserted_after == 1
     assert got[2, 0].segment == "<|im_start|>user\nq<|im_end|>\n<|im_start|>assistant\n<|im_end|>\n"
     assert format_chats(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_large_ids_stay_exact(spark):
+    rows = [((1 << 62) + 1, (1 << 61) + 1, "user", "q"), (None, None, None, None)]
+    got = format_chats(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {(r.conv_id, r.turn) for r in got} == {((1 << 62) + 1, (1 << 61) + 1), (None, None)}
