@@ -29,6 +29,7 @@ from .common import stage
 SAMPLE_PAGES = 8  # of a host at most, for its wrapper; all pages are extracted
 SAMPLE_CHARS = 200_000  # longer pages are extracted but not learnt from
 DEEPEST, MOST_RUNS = 200, 1_000  # nor from pages nested deeper or with longer lists of unlike children
+OUTSIDE_CHARS, OUTSIDE_TIMES = 250, 4  # text outside longer than this, and so often a landmark's: not the article's
 SHARED_CHARS = 300  # a constant text up to this long is the host's, not an article's
 
 # Element kinds of HTML.
@@ -40,6 +41,7 @@ INLINE = set(
     "sub sup time tt u var wbr br img".split()
 )
 FURNITURE = set("nav footer aside form menu dialog fieldset".split())
+BESIDE = {"aside", "footer"}  # an article inside is a teaser; other furniture may be an element left open
 CLOSES_ITSELF = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
                  "th": {"td", "th"}, "option": {"option"}}
 LISTS = set("ul ol dl table menu select".split())
@@ -152,23 +154,24 @@ class Piece:
     area: str  # article, main or empty
     furniture: bool
     linked: bool
+    rescued: bool = False  # a landmark inside furniture
 
 
 def pieces_of(page: str) -> list[Piece]:
     """All texts of a page in order, with their block and place."""
     out: list[Piece] = []
     block = 0
-    # (node, path digest, area, furniture, comments, linked); a marker closes a block
-    todo: list = [(parse(page), 0, "", False, False, False)]
+    # (node, path digest, area, furniture, comments, linked, beside, rescued); a marker closes a block
+    todo: list = [(parse(page), 0, "", False, False, False, False, False)]
     while todo:
         entry = todo.pop()
         if entry is None:
             block += 1
             continue
-        node, path, area, furniture, comments, linked = entry
+        node, path, area, furniture, comments, linked, beside, rescued = entry
         if isinstance(node, str):
             if node.strip():
-                out.append(Piece(path, node, block, area, furniture or comments, linked))
+                out.append(Piece(path, node, block, area, furniture or comments, linked, rescued))
             elif node and out and out[-1].block == block:
                 out[-1].text += " "
             continue
@@ -179,14 +182,16 @@ def pieces_of(page: str) -> list[Piece]:
                 out[-1].text += " "
             continue
         comments = comments or node.mark == "comments"
+        beside = beside or node.name in BESIDE
         if node.mark == "furniture" or (node.mark == "header" and not area):
             furniture = True
-        elif node.mark in ("article", "main") and not comments:
+        elif node.mark in ("article", "main") and not comments and not beside:
+            rescued = rescued or furniture
             furniture = False  # an element left open before the article ends there
             area = "article" if "article" in (area, node.mark) else "main"
         path = xxhash.xxh64_intdigest(f"{path}/{node.key}") >> 1
         linked = linked or node.name == "a"
-        inner = [(child, path, area, furniture, comments, linked) for child in reversed(node.children)]
+        inner = [(child, path, area, furniture, comments, linked, beside, rescued) for child in reversed(node.children)]
         if node.name in INLINE:
             todo += inner
         else:
@@ -195,6 +200,31 @@ def pieces_of(page: str) -> list[Piece]:
     return out
 
 
+def area_of(pieces: list[Piece]) -> str:
+    """The area that holds the article by the page's own evidence.
+
+    Of article and main the one with more text, unless a much longer text lies
+    outside both. A landmark inside furniture counts where nothing longer lies
+    outside of it; else its pieces become furniture.
+    """
+    chars = {"article": 0, "main": 0, "": 0, "rescued": 0}
+    for p in pieces:
+        if not p.furniture and (p.area or not p.linked):
+            chars["rescued" if p.rescued else p.area] += len(p.text.strip())
+    if chars["rescued"]:
+        if chars["article"] or chars["main"] or chars[""] > chars["rescued"]:
+            for p in pieces:
+                p.furniture = p.furniture or p.rescued
+        else:
+            for p in pieces:
+                if p.rescued and not p.furniture:
+                    chars[p.area] += len(p.text.strip())
+    marked = max(chars["article"], chars["main"])
+    if not marked or chars[""] > max(OUTSIDE_CHARS, OUTSIDE_TIMES * (chars["article"] + chars["main"])):
+        return ""
+    return "article" if chars["article"] == marked else "main"
+
+
 # --- wrappers ---------------------------------------------------------------
 
 
@@ -351,8 +381,7 @@ def extract(page: str, wrapper: str | None = None) -> str:
     """Main text of one page: blocks in order, one line each."""
     constants, slots = load_wrapper(wrapper)
     pieces = pieces_of(page)
-    areas = {p.area for p in pieces if not p.furniture}
-    area = "article" if "article" in areas else "main" if "main" in areas else ""
+    area = area_of(pieces)
     blocks: dict[int, list[Piece]] = {}
     for p in pieces:
         if p.area != area or p.furniture:

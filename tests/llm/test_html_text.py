@@ -73,3 +73,13 @@ def test_over_a_table(spark):
     assert by_id[3].text == extract(PAGE.format(3)) and by_id[3].n_chars == len(by_id[3].text)
     assert by_id[90].text == "" and by_id[91].text == "x" and by_id[None].n_chars == 0
     assert extract_main_text(df.limit(0)).count() == 0
+
+
+def test_a_teaser_is_not_the_article():
+    whole = "<p>" + "The whole article of this page. " * 4 + "</p>"
+    teaser = "<article class=card>teaser</article>"
+    assert "The whole article" in extract(f"<main>{whole}{teaser}</main>")
+    assert "The whole article" in extract(f"<aside>{teaser}</aside><main>{whole}</main>")
+    assert "teaser" not in extract(f"<aside>{teaser}</aside><main>{whole}</main>")
+    assert "The whole article" in extract(f"<aside>{teaser}</aside><div>{whole}</div>")
+    assert "The whole article" in extract(f"<div class=sidebar>{teaser}</div><div>{whole}</div>")
