@@ -30,7 +30,8 @@ SAMPLE_PAGES = 8  # of a host at most, for its wrapper; all pages are extracted
 SAMPLE_CHARS = 200_000  # longer pages are extracted but not learnt from
 DEEPEST, MOST_RUNS = 200, 1_000  # nor from pages nested deeper or with longer lists of unlike children
 OUTSIDE_CHARS, OUTSIDE_TIMES = 250, 4  # text outside longer than this, and so often a landmark's: not the article's
-SHARED_CHARS = 300  # a constant text up to this long is the host's, not an article's
+SHARED_CHARS = 300  # longer texts are the host's only if most pages have them
+LEAST_SHARED, LEAST_SHARE = 3, 20  # pages that must share a text of the host's, and one in so many
 
 # Element kinds of HTML.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -237,6 +238,7 @@ class Part:
     optional: bool = False
     repeated: bool = False
     parts: list = field(default_factory=list)
+    pages: int = 1  # aligned on so many
 
     def __str__(self) -> str:
         if self.key == "#":
@@ -269,13 +271,15 @@ def folded(children: list) -> list[Part]:
     return out
 
 
-def joined(a: Part, b: Part) -> Part:
-    """The least part that both match."""
+def joined(a: Part, b: Part, across: bool = False) -> Part:
+    """The least part that both match; ``across``: they come from different pages."""
     text = a.text if a.key == "#" and a.text == b.text else None
-    return Part(a.key, text, a.optional or b.optional, a.repeated or b.repeated, aligned(a.parts, b.parts))
+    parts = aligned(a.parts, b.parts, across)
+    return Part(a.key, text, a.optional or b.optional, a.repeated or b.repeated, parts,
+                a.pages + b.pages if across else max(a.pages, b.pages))
 
 
-def aligned(a: list[Part], b: list[Part]) -> list[Part]:
+def aligned(a: list[Part], b: list[Part], across: bool = False) -> list[Part]:
     """Parts that match both lists: common keys in order, the others optional."""
     n, m = len(a), len(b)
     best = [[0] * (m + 1) for _ in range(n + 1)]
@@ -286,7 +290,7 @@ def aligned(a: list[Part], b: list[Part]) -> list[Part]:
     out, i, j = [], 0, 0
     while i < n and j < m:
         if a[i].key == b[j].key and best[i][j] == 1 + best[i + 1][j + 1]:
-            out.append(joined(a[i], b[j]))
+            out.append(joined(a[i], b[j], across))
             i, j = i + 1, j + 1
         elif best[i + 1][j] >= best[i][j + 1]:
             out.append(as_optional(a[i]))
@@ -307,7 +311,7 @@ def aligned(a: list[Part], b: list[Part]) -> list[Part]:
 
 
 def as_optional(part: Part) -> Part:
-    return Part(part.key, part.text, True, part.repeated, part.parts)
+    return Part(part.key, part.text, True, part.repeated, part.parts, part.pages)
 
 
 def alignable(root: Node) -> bool:
@@ -327,17 +331,17 @@ def infer_wrapper(pages: list[str]) -> Part:
     wrapper = None
     for root in filter(alignable, map(parse, pages)):
         part = Part("", None, parts=folded(root.children))
-        wrapper = part if wrapper is None else joined(wrapper, part)
+        wrapper = part if wrapper is None else joined(wrapper, part, across=True)
     return wrapper or Part("")
 
 
 def constants_of(wrapper: Part) -> set[int]:
-    """Digests of (path, text) of all constant texts."""
+    """Digests of (path, text) of the constant texts that two pages or more agree in."""
     found, todo = set(), [(wrapper, 0)]
     while todo:
         part, path = todo.pop()
         if part.key == "#":
-            if part.text is not None:
+            if part.text is not None and part.pages > 1:
                 found.add(xxhash.xxh64_intdigest(f"{path}#{part.text}") >> 1)
             continue
         path = xxhash.xxh64_intdigest(f"{path}/{part.key}") >> 1
@@ -345,28 +349,95 @@ def constants_of(wrapper: Part) -> set[int]:
     return found
 
 
+@dataclass
+class Block:
+    """A block of a page, or its part in one area."""
+
+    path: int  # of its first piece
+    text: str
+    area: str
+    furniture: bool
+    chars: int
+    linked: int  # characters in links
+
+    @property
+    def digest(self) -> int:
+        return xxhash.xxh64_intdigest(f"{self.path}#{self.text}") >> 1
+
+
+def blocks_of(page: str) -> tuple[str, list[Block]]:
+    """The area of the article by the page's own evidence, and all blocks in order."""
+    pieces = pieces_of(page)
+    area = area_of(pieces)
+    groups: dict[tuple, list[Piece]] = {}
+    for p in pieces:
+        groups.setdefault((p.block, p.area, p.furniture), []).append(p)
+    out = []
+    for (_, where, furniture), group in groups.items():
+        if text := " ".join("".join(p.text for p in group).split()):
+            linked = sum(len(p.text) for p in group if p.linked)
+            out.append(Block(group[0].path, text, where, furniture, len(text), linked))
+    return area, out
+
+
+def count_page(page: str, number: int, paths: dict, texts: dict, host: str = ""):
+    """Add one page to the counts of its host.
+
+    ``paths``: (host, path) to pages, least and greatest page number, and
+    characters that are main text and all. ``texts``: the same by (host, path,
+    digest) for what may be the host's own, and whether it must be on most pages.
+    """
+    area, blocks = blocks_of(page)
+    seen = set()
+    for b in blocks:
+        if b.furniture and not b.area:
+            continue  # never main text, on any page
+        main = b.chars if not b.furniture and b.area == area else 0
+        keys = [(paths, (host, b.path), ())]
+        if not b.furniture and b.area != "article":
+            strict = int(b.area == "main" or b.chars > SHARED_CHARS)
+            keys.append((texts, (host, b.path, b.digest), (strict,)))
+        for table, key, more in keys:
+            row = table.setdefault(key, [0, number, number, 0, 0, *more])
+            row[0] += key not in seen
+            row[1], row[2] = min(row[1], number), max(row[2], number)
+            row[3] += main
+            row[4] += b.chars
+            seen.add(key)
+
+
+def is_constant(pages, of, strict, either=lambda a, b: a or b, both=lambda a, b: a and b):
+    """Whether a text that ``pages`` of the ``of`` pages with its path have is the host's own.
+
+    Two or three pages may share an article; inside main, and where the text is
+    long, half of the pages must have it, else a twentieth.
+    """
+    enough = either(pages >= LEAST_SHARED, of <= LEAST_SHARED + 1)
+    share = either(both(strict == 1, pages * 2 >= of), both(strict == 0, pages * LEAST_SHARE >= of))
+    return both(enough, share)
+
+
 def compile_wrapper(pages: list[str]) -> str:
-    """What extraction needs of a wrapper: its constants, and main or not for each slot path.
+    """What extraction needs of a host: constants, and main or not for each path of blocks.
 
-    A host with one sample page has no constants: nothing shows what varies.
+    Constants are texts that different pages have at one path, outside articles.
+    Paths are judged by the texts there that are no constants. Equal pages are one
+    page: nothing shows what varies. ``host_wrappers`` does the same over a table.
     """
-    wrapper = infer_wrapper(pages)
-    constants = sorted(constants_of(wrapper)) if len(pages) > 1 else []
-    fixed = set(constants)
-    chars: dict[int, list[int]] = {}
+    paths, texts = {}, {}
     for page in pages:
-        for p in pieces_of(page):
-            text = " ".join(p.text.split())
-            if p.furniture or (not p.area and xxhash.xxh64_intdigest(f"{p.path}#{text}") >> 1 in fixed):
-                main = 0
-            else:
-                main = 2 if p.area else 1
-            seen = chars.setdefault(p.path, [0, 0, 0])
-            seen[0] += len(text) * (main > 0)
-            seen[1] += len(text)
-            seen[2] += len(text) * (p.linked and main < 2)
-    slots = {str(path): int(2 * good > total and 2 * linked <= total) for path, (good, total, linked) in chars.items()}
-    return json.dumps({"constants": constants, "slots": slots})
+        count_page(page, xxhash.xxh64_intdigest(page), paths, texts)
+    constants = []
+    for (host, path, digest), (n, low, high, main, chars, strict) in texts.items():
+        of = paths[host, path]
+        if low < high and is_constant(n, of[0], strict):
+            constants.append((path, digest, main, chars))
+    for path, _, main, chars in constants:
+        paths["", path][3] -= main
+        paths["", path][4] -= chars
+    slots = {str(path): int(2 * main > chars) for (_, path), (_, low, high, main, chars) in paths.items()
+             if low < high and chars}
+    return json.dumps({"constants": sorted(d for _, d, _, _ in constants), "slots": slots})
 
 
 @lru_cache(maxsize=64)
@@ -374,31 +445,24 @@ def load_wrapper(raw: str | None) -> tuple[set[int], dict[int, int]]:
     if raw is None:
         return set(), {}
     spec = json.loads(raw)
-    return set(spec["constants"]), {int(k): v for k, v in spec["slots"].items()}
+    return set(spec["constants"]), {int(k): int(v) for k, v in spec["slots"].items()}
 
 
 def extract(page: str, wrapper: str | None = None) -> str:
-    """Main text of one page: blocks in order, one line each."""
+    """Main text of one page: blocks in order, one line each.
+
+    The wrapper decides; the page's own evidence where it is silent.
+    """
     constants, slots = load_wrapper(wrapper)
-    pieces = pieces_of(page)
-    area = area_of(pieces)
-    blocks: dict[int, list[Piece]] = {}
-    for p in pieces:
-        if p.area != area or p.furniture:
-            continue
-        if not area:
-            text = " ".join(p.text.split())
-            if len(text) <= SHARED_CHARS and xxhash.xxh64_intdigest(f"{p.path}#{text}") >> 1 in constants:
-                continue
-            if slots.get(p.path) == 0 and not p.linked:
-                continue
-        blocks.setdefault(p.block, []).append(p)
+    area, blocks = blocks_of(page)
     lines = []
-    for block in blocks.values():
-        text = " ".join("".join(p.text for p in block).split())
-        linked = sum(len(p.text) for p in block if p.linked)
-        if text and (area or 2 * linked <= len(text)):
-            lines.append(text)
+    for b in blocks:
+        if b.furniture or not slots.get(b.path, b.area == area):
+            continue
+        if b.area != "article" and constants and b.digest in constants:
+            continue
+        if b.area or 2 * b.linked <= b.chars:
+            lines.append(b.text)
     return "\n".join(lines)
 
 

@@ -83,3 +83,22 @@ def test_a_teaser_is_not_the_article():
     assert "teaser" not in extract(f"<aside>{teaser}</aside><main>{whole}</main>")
     assert "The whole article" in extract(f"<aside>{teaser}</aside><div>{whole}</div>")
     assert "The whole article" in extract(f"<div class=sidebar>{teaser}</div><div>{whole}</div>")
+
+
+def test_repeated_notices_in_main_are_the_hosts():
+    page = "<main><div><p>Our terms have changed</p></div><p>story {0} told</p></main>"
+    wrapper = compile_wrapper([page.format(i) for i in range(6)])
+    assert extract(page.format("new"), wrapper) == "story new told"
+
+
+def test_text_of_one_page_is_no_constant():
+    page = "<div><p>story {0} told</p>{1}</div>"
+    pages = [page.format(i, "<blockquote>said once</blockquote>" if i == 3 else "") for i in range(8)]
+    assert extract(pages[3], compile_wrapper(pages)) == "story 3 told\nsaid once"
+    assert constants_of(infer_wrapper(["<p>a<pre>x</pre>", "<p>b"])) == set()
+
+
+def test_boilerplate_does_not_outvote_the_slots_of_its_path():
+    page = "<p>story {0}</p><p>" + "All rights are reserved by the owners of this site. " * 9 + "</p>"
+    pages = [page.format(i) for i in range(8)]
+    assert extract(pages[0], compile_wrapper(pages)) == "story 0"
