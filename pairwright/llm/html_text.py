@@ -1,13 +1,17 @@
 """Main text of HTML pages by wrappers inferred from pages of the same host.
 
-A page is read as a stream of tags and texts, balanced into a tree. The pages of a
-host are aligned one after the other with its wrapper, a union-free regular
-expression: children that only some pages have become optional, runs of like
-children a repeated group, texts that differ a slot, texts that agree stay
-constant. The finished wrapper says for each slot whether it holds main text, from
-where it lies; constants outside the article are the host's own furniture. Pages
-then give the texts of their main slots; what a wrapper doesn't know is judged by
-where it lies in the page itself.
+A page is read as a stream of tags and texts, balanced into a tree; its texts are
+joined to blocks, each with the path of elements above it. A host's wrapper comes
+from all of its pages: blocks that different pages have at the same path are the
+host's own constants, and a path is a slot of main text or not by where its other
+blocks lie, counted in characters over all pages. Article and main elements are
+evidence for that, by how much text they hold. Pages then give the blocks of their
+main slots; what a wrapper doesn't know is judged by where it lies in the page.
+
+``infer_wrapper`` aligns a few pages to a union-free regular expression: children
+that only some pages have become optional, runs of like children a repeated group,
+texts that differ a slot, texts that agree stay constant. It shows a template to a
+reader; counting needs no alignment, which has no bound on a host's pages.
 """
 
 from __future__ import annotations
@@ -20,15 +24,17 @@ from dataclasses import dataclass, field
 from functools import lru_cache
 
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import join_by_size, stage
 
-SAMPLE_PAGES = 8  # of a host at most, for its wrapper; all pages are extracted
-SAMPLE_CHARS = 200_000  # longer pages are extracted but not learnt from
-DEEPEST, MOST_RUNS = 200, 1_000  # nor from pages nested deeper or with longer lists of unlike children
+COUNTS_HELD = 200_000  # counts a task holds before it gives them on
+COUNTED = pa.schema([("host", pa.string()), *((n, pa.int64()) for n in "path digest pages low high main chars".split()),
+                     ("strict", pa.int32())])
+DEEPEST, MOST_RUNS = 200, 1_000  # pages nested deeper or with longer lists of unlike children are not aligned
 OUTSIDE_CHARS, OUTSIDE_TIMES = 250, 4  # text outside longer than this, and so often a landmark's: not the article's
 SHARED_CHARS = 300  # longer texts are the host's only if most pages have them
 LEAST_SHARED, LEAST_SHARE = 3, 20  # pages that must share a text of the host's, and one in so many
@@ -474,23 +480,66 @@ def host_of(url):
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
+def count_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``count_page`` over (host, page number, html) of one task, added up as far as memory allows."""
+
+    def counted() -> pa.RecordBatch:
+        rows = [(host, path, None, *row, None) for (host, path), row in paths.items()]
+        rows += [(*key, *row) for key, row in texts.items()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, f.type) for c, f in zip(zip(*rows), COUNTED)], schema=COUNTED)
+
+    paths, texts = {}, {}
+    for batch in batches:
+        for host, number, page in zip(*batch.columns):
+            count_page(page.as_py(), number.as_py(), paths, texts, host.as_py())
+            if len(paths) + len(texts) > COUNTS_HELD:
+                yield counted()
+                paths, texts = {}, {}
+    if paths:
+        yield counted()
+
+
 def host_wrappers(pages: DataFrame, url: str = "url", page_html: str = "html") -> DataFrame:
-    """(host, wrapper) from at most SAMPLE_PAGES different pages of each host."""
-    rows = pages.where(F.col(page_html).isNotNull() & (F.length(page_html) <= SAMPLE_CHARS)).select(
-        host_of(F.col(url)).alias("host"), F.xxhash64(page_html).alias("h"), F.col(page_html).alias("html")
+    """(host, wrapper) from all pages of each host; see ``compile_wrapper``.
+
+    Counts are added up in tasks before they move, so a host of any size is spread out.
+    """
+    rows = pages.where(F.col(page_html).isNotNull()).select(
+        host_of(F.col(url)).alias("host"), F.xxhash64(page_html).alias("number"), F.col(page_html).alias("html")
+    ).where("host <> ''")
+    added = [F.sum("pages").alias("pages"), F.min("low").alias("low"), F.max("high").alias("high"),
+             F.sum("main").alias("main"), F.sum("chars").alias("chars"), F.max("strict").alias("strict")]
+    counts = stage(
+        rows.mapInArrow(count_blocks, "host string, path long, digest long, pages long, low long, high long, "
+                        "main long, chars long, strict int")
+        .groupBy("host", "path", "digest").agg(*added).where("low < high")
+        .withColumn("place", F.xxhash64("host", "path")),
+        "block_counts",
     )
-    chosen = stage(
-        rows.groupBy("host", F.pmod("h", F.lit(SAMPLE_PAGES)).alias("slot")).agg(F.min("h").alias("h"))
-        .select("host", "h"),
-        "sample",
+    paths = counts.where("digest is null")
+    total = paths.agg(F.sum("pages")).first()[0] or 1
+    sizes = paths.select("place", F.col("pages").alias("of")).groupBy("place").agg(F.max("of").alias("of"))
+    texts = join_by_size(counts.where("digest is not null"), stage(sizes, "place_sizes"), "place", "of", total)
+    columns = (texts["pages"], texts["of"], texts["strict"])
+    constants = stage(
+        texts.where(is_constant(*columns, lambda a, b: a | b, lambda a, b: a & b)), "constants"
     )
-    sample = rows.join(chosen, ["host", "h"], "left_semi").dropDuplicates(["host", "h"])
-
-    def infer(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("h")
-        return pd.DataFrame({"host": [pdf["host"].iloc[0]], "wrapper": [compile_wrapper(list(pdf["html"]))]})
-
-    return stage(sample.groupBy("host").applyInPandas(infer, "host string, wrapper string"), "wrappers")
+    signed = [F.when(F.col("digest").isNull(), F.col(c)).otherwise(-F.col(c)).alias(c) for c in ("main", "chars")]
+    votes = counts.where("digest is null").select("host", "path", "digest", "main", "chars").unionByName(
+        constants.select("host", "path", "digest", "main", "chars")
+    ).select("host", "path", *signed).groupBy("host", "path").agg(
+        F.sum("main").alias("main"), F.sum("chars").alias("chars")
+    ).where("chars > 0")
+    slots = votes.select("host", F.lit(None).cast("long").alias("digest"), F.struct(
+        F.col("path").cast("string").alias("key"), (F.col("main") * 2 > F.col("chars")).cast("int").alias("value")
+    ).alias("slot"))
+    both = slots.unionByName(constants.select("host", "digest"), allowMissingColumns=True)
+    spec = F.struct(
+        F.sort_array(F.collect_set("digest")).alias("constants"),
+        F.map_from_entries(F.collect_list("slot")).alias("slots"),
+    )
+    return stage(both.groupBy("host").agg(F.to_json(spec).alias("wrapper")), "wrappers")
 
 
 def extract_main_text(
@@ -498,8 +547,9 @@ def extract_main_text(
 ) -> DataFrame:
     """page_id, url, text and n_chars of every page.
 
-    A null html is empty and gives an empty text. Pages without a host, and hosts
-    whose pages are all null or very long, are judged by their own structure.
+    A null html is empty and gives an empty text. All pages of a host count for its
+    wrapper, whatever their number and length. Pages without a host, and those of a
+    host with one page only, are judged by their own structure.
     Repeated pages give repeated rows. Other columns are not looked at.
     """
     @F.pandas_udf("string")

@@ -1,7 +1,9 @@
+import json
+
 import pytest
 
 from pairwright.llm.html_text import (
-    compile_wrapper, constants_of, extract, extract_main_text, infer_wrapper,
+    compile_wrapper, constants_of, extract, extract_main_text, host_wrappers, infer_wrapper,
 )
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style></head><body>
@@ -102,3 +104,18 @@ def test_boilerplate_does_not_outvote_the_slots_of_its_path():
     page = "<p>story {0}</p><p>" + "All rights are reserved by the owners of this site. " * 9 + "</p>"
     pages = [page.format(i) for i in range(8)]
     assert extract(pages[0], compile_wrapper(pages)) == "story 0"
+
+
+def test_all_pages_of_a_host_count(spark):
+    """Many templates on one host, and one of long pages."""
+    page = "<div class={0}><p>Notice of {0}</p><p>story {1} told</p><p>{2}</p></div>"
+    kinds = "abcdefghijklmnopqrst"
+    rows = [(i, "http://a.org/", page.format(k, i, "")) for i, k in enumerate(kinds * 4)]
+    rows += [(100 + i, "http://long.org/", page.format("x", i, f"word{i} " * 40_000)) for i in range(3)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = {r.page_id: r.text for r in extract_main_text(df).collect()}
+    assert all(got[i] == f"story {i} told" for i in range(80))
+    assert all("Notice" not in got[100 + i] and got[100 + i].startswith(f"story {i} told") for i in range(3))
+    of_host = [h for _, u, h in rows if u == "http://a.org/"]
+    made = {r.host: json.loads(r.wrapper) for r in host_wrappers(df).collect()}
+    assert made["a.org"] == json.loads(compile_wrapper(of_host))
