@@ -17,11 +17,14 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from .common import stage
 
 BUCKET_BITS = 16
 BUCKETS = 1 << BUCKET_BITS
 FIT_ROWS = 4_000  # at most about so many rows are fitted on, shared by the languages
-FIT_CHARS = 20_000_000  # and at most so many characters of them, long texts falling out whole
+FIT_ENTRIES = 12_000_000  # and on about so many gram counts; fewer rows of each language where they have more
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 2e-5, 1e-5
 UNDETERMINED = "und"
@@ -138,18 +141,53 @@ def temperature_of(logits: np.ndarray, y: np.ndarray) -> float:
     return float(grid[int(np.argmin(loss))])
 
 
-def fit_rows(labelled: DataFrame, fit_rows: int) -> tuple[list[str], pd.DataFrame]:
-    """Languages in order and a bounded sample with like numbers of each."""
-    counts = labelled.groupBy("lang").count().orderBy("lang").collect()  # one row a language
-    share = fit_rows / max(1, len(counts))
-    part = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, share / r["count"])))]) if counts else None
-    if part is None:
-        return [], pd.DataFrame({"text": [], "lang": []})
-    draw = F.pmod(F.xxhash64("text", F.lit("fit")), F.lit(1 << 30)) / float(1 << 30)
-    chosen = labelled.where(draw < F.element_at(part, F.col("lang")))
-    room = max(1, FIT_CHARS // max(1, fit_rows))
-    chosen = chosen.where(F.length("text") <= 8 * room).orderBy(F.xxhash64("text")).limit(fit_rows)
-    return [r["lang"] for r in counts], chosen.toPandas()
+def sparse_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Gram counts of (lang, pick, text), once for rows of a task that are equal."""
+    seen = set()
+    for batch in batches:
+        for lang, pick, text in zip(*batch.columns):
+            key = (lang.as_py(), pick.as_py())
+            if key in seen:
+                continue
+            seen.add(key)
+            counts = gram_counts(text.as_py())
+            hit = np.flatnonzero(counts)
+            yield pa.record_batch(
+                [pa.array([key[0]], pa.string()), pa.array([key[1]], pa.int64()), pa.array([len(hit)], pa.int64()),
+                 pa.array([hit.astype("<u2").tobytes()], pa.binary()),
+                 pa.array([np.minimum(counts[hit], 0xFFFFFFFF).astype("<u4").tobytes()], pa.binary())],
+                names=["lang", "pick", "n", "hit", "times"],
+            )
+
+
+def fit_rows(labelled: DataFrame, fit_rows: int) -> tuple[list[str], list]:
+    """Languages in order, and rows (lang, hit, times) of a bounded sample with like numbers of each.
+
+    Drawn are distinct texts, whatever their length, and each language has its own
+    limit. Rows too rich for FIT_ENTRIES make the samples smaller, never other: a
+    language's first rows in the order of the draw stay, one at least.
+    """
+    picked = labelled.withColumn("pick", F.xxhash64("text", F.lit("fit")))
+    distinct = picked.select("lang", "pick").distinct()
+    counts = distinct.groupBy("lang").count().orderBy("lang").collect()  # one row a language
+    if not counts:
+        return [], []
+    share = max(1, fit_rows // len(counts))
+    ample = share + 4 * share**0.5 + 8  # so that hardly any language gets less than its share
+    part = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, ample / r["count"])))])
+    draw = F.pmod("pick", F.lit(1 << 30)) / float(1 << 30)
+    by_pick = Window.partitionBy("lang").orderBy("pick")
+    keys = distinct.where(draw < F.element_at(part, F.col("lang"))).withColumn(
+        "rank", F.row_number().over(by_pick)
+    ).where(F.col("rank") <= share).select("lang", "pick")
+    found = picked.select("lang", "pick", "text").join(F.broadcast(stage(keys, "fit_keys")), ["lang", "pick"], "left_semi")
+    rows = stage(found.mapInArrow(sparse_counts, "lang string, pick long, n long, hit binary, times binary"), "fit_rows")
+    sized = rows.groupBy("lang", "pick").agg(F.first("n").alias("n")).withColumn(
+        "before", F.sum("n").over(by_pick) - F.col("n"))
+    room = FIT_ENTRIES // len(counts)
+    chosen = sized.where((F.col("before") == 0) | (F.col("before") + F.col("n") <= room)).select("lang", "pick")
+    sample = rows.join(F.broadcast(chosen), ["lang", "pick"], "left_semi").dropDuplicates(["lang", "pick"])
+    return [r["lang"] for r in counts], sample.orderBy("pick", "lang").select("lang", "hit", "times").collect()
 
 
 def train(labelled: DataFrame, rows: int = FIT_ROWS) -> Model:
@@ -166,18 +204,18 @@ def train(labelled: DataFrame, rows: int = FIT_ROWS) -> Model:
             frequency[row.bucket] = row.rows
     idf = np.log((1 + total) / (1 + frequency)) + 1
     languages, sample = fit_rows(labelled, rows)
-    if not languages or sample.empty:
+    if not languages:
         return Model([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0)
     x, norms = [], []
-    for text in sample["text"]:
-        counts = gram_counts(text)
-        hit = np.flatnonzero(counts)
-        tfidf = counts[hit] / max(1, counts.sum()) * idf[hit]
+    for row in sample:
+        hit, times = np.frombuffer(row.hit, "<u2").astype(np.int32), np.frombuffer(row.times, "<u4")
+        tfidf = times / max(1, times.sum(dtype=np.int64)) * idf[hit]
         norms.append(np.sqrt((tfidf**2).sum()) or 1.0)
         x.append((hit, tfidf))
     scale = 1 / float(np.median(norms))  # one scale for all keeps a prediction linear in the counts
-    x = [(np.append(hit, BUCKETS), np.append(t * scale, 1.0)) for hit, t in x]
-    y = sample["lang"].map({lang: i for i, lang in enumerate(languages)}).to_numpy()
+    x = [(np.append(hit, np.int32(BUCKETS)), np.append(t * scale, 1.0)) for hit, t in x]
+    at = {lang: i for i, lang in enumerate(languages)}
+    y = np.array([at[row.lang] for row in sample])
     held = np.arange(len(x)) % 5 == 0
     if held.all():
         held[:] = False

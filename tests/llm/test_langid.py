@@ -59,3 +59,20 @@ def test_l1_leaves_weights_at_zero_and_temperature_calibrates():
     logits = draw.normal(0, 1, (4000, 2))
     y = (draw.random(4000) < langid.softmax(logits)[:, 1]).astype(int)
     assert abs(langid.temperature_of(logits * 5, y) - 5) < 1
+
+
+def test_languages_of_long_texts_only_are_learnt(spark):
+    rows = [(f"{i} " + "kalo mitu " * (6_000 + i), "xa") for i in range(12)]
+    rows += [(f"{i} " + "sch ein ung " * (6_000 + i), "yb") for i in range(12)]
+    model = langid.train(spark.createDataFrame(rows, "text string, lang string"))
+    assert [model.predict(t)[0] for t in ("kalo mitu kalo", "ungein sch der")] == ["xa", "yb"]
+
+
+def test_copies_do_not_fill_the_sample(spark, monkeypatch):
+    rows = [(t, lang) for _, t, lang in corpus(3, 90)] + [("kalomi", "xa")] * 500
+    df = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    languages, sample = langid.fit_rows(df, 30)
+    assert [sum(r.lang == lang for r in sample) for lang in languages] == [10, 10, 10]
+    assert len({(r.hit, r.times) for r in sample}) == 30
+    monkeypatch.setattr(langid, "FIT_ENTRIES", 3)  # room for none: the first row of each stays
+    assert sorted(r.lang for r in langid.fit_rows(df, 30)[1]) == languages
