@@ -25,7 +25,6 @@ from pairwright.sources.sinks import stage_path
 from .tokens import Encoder
 
 K1, B = 1.2, 0.75
-QUERY_TERMS = 32  # of a seed, by weight
 SHARD_TOKENS = 4 << 20
 PARTITION_TOKENS = 16 << 20
 PAIR_A, PAIR_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -98,18 +97,23 @@ class Shard:
         tf = np.concatenate(counts).astype(float)
         doc = np.repeat(np.arange(len(docs)), self.sizes)
         weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[doc] / lengths.mean()))
-        self.term, self.weight = term, weight  # by document
+        self.term = term  # by document
         turn = np.argsort(term, kind="stable")
         self.doc, self.by_term = doc[turn].astype(np.int32), weight[turn]
         self.edges = np.searchsorted(term[turn], np.arange(len(idf) + 1))
-        self.n = len(docs)
+        self.n = self.live = len(docs)
+
+    def keep(self, unused: np.ndarray):
+        """Leave used documents out of the index once they are an eighth of it."""
+        live = int(unused.sum())
+        if 8 * live <= 7 * self.live:
+            stay = unused[self.doc]
+            self.edges = np.concatenate([[0], np.cumsum(stay)])[self.edges]
+            self.doc, self.by_term, self.live = self.doc[stay], self.by_term[stay], live
 
     def scores(self, seed: int) -> np.ndarray:
-        """BM25 of every document of the shard for the seed's weightiest terms."""
-        own = slice(self.starts[seed], self.starts[seed + 1])
-        terms, weights = self.term[own], self.weight[own]
-        if len(terms) > QUERY_TERMS:
-            terms = terms[np.argpartition(-weights, QUERY_TERMS)[:QUERY_TERMS]]
+        """BM25 of every document in the index for all terms of the seed."""
+        terms = self.term[self.starts[seed] : self.starts[seed + 1]]
         lists = [slice(self.edges[t], self.edges[t + 1]) for t in terms.tolist()]
         found = np.concatenate([self.doc[s] for s in lists])
         return np.bincount(found, np.concatenate([self.by_term[s] for s in lists]), self.n)
@@ -138,6 +142,7 @@ class Packer:
         opens the next window and is its seed. None if nothing was cut.
         """
         if self.offset:
+            shard.keep(unused)
             scores = np.where(unused, shard.scores(seed), -1.0)
             while self.offset:
                 best = int(scores.argmax())

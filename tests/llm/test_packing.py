@@ -104,3 +104,21 @@ def test_scores_equal_brute_force():
                 want += idf[t] * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(doc) / mean))
             if len(set(docs[seed].tolist())) <= 32:
                 assert abs(shard.scores(seed)[j] - want) < 1e-9
+
+
+def test_all_terms_of_a_long_seed_count():
+    """The seed's 40 rarest ids are its own; it shares ten commoner ones with the last document."""
+    docs = [np.arange(50), np.array([60, 61, 62]), np.arange(40, 50)]
+    idf = np.where(np.arange(70) < 40, 9.0, 1.0)
+    rows = Packer(0, 60).pack(docs, idf)
+    assert [r[0] for r in rows] == [0, 2, 1]
+
+
+def test_scores_stay_when_used_documents_leave_the_index():
+    draw = np.random.default_rng(3)
+    docs = [draw.integers(0, 90, draw.integers(40, 80)) for _ in range(40)]
+    shard, unused = Shard(docs, draw.uniform(0.1, 3, 90)), np.ones(40, bool)
+    before = shard.scores(2)
+    unused[:20] = False
+    shard.keep(unused)
+    assert shard.live == 20 and np.allclose(shard.scores(2)[20:], before[20:]) and (shard.scores(2)[:20] == 0).all()
