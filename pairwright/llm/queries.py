@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pairwright.sources.sinks import stage_path
 
 from .chat import format_chats
+from .collocations import collocations
 from .common import stage
 from .exact_dedup import exact_dedup
 from .exact_topk import exact_topk
@@ -94,6 +95,10 @@ def op10_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup(table(spark, sf, "documents")).drop("text_hash")
 
 
+def op13_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations(table(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_quality": op2_quality,
@@ -105,4 +110,5 @@ QUERIES = {
     "op8_langid": op8_langid,
     "op9_html_text": op9_html_text,
     "op10_exact_dedup": op10_exact_dedup,
+    "op13_collocations": op13_collocations,
 }

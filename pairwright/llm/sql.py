@@ -85,9 +85,51 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM h WINDOW g AS (PARTITION BY text_sha256)
 """
 
+COLLOCATIONS = r"""
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (
+  SELECT lang, list_filter(string_split(replace(piece, chr(9), ' '), ' '), lambda x: x <> '') AS words FROM t
+), n AS (
+  SELECT lang, sum(len(words)) AS n FROM w GROUP BY lang
+), p AS (
+  SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS start
+  FROM w, (SELECT unnest([1, 2, 3, 4, 5]) AS size)
+), f AS (
+  SELECT lang, list_slice(words, start, start + size - 1) AS phrase, count(*) AS a FROM p
+  GROUP BY ALL HAVING count(*) >= 100
+), c AS (
+  SELECT lang, phrase, a, unnest(range(1, len(phrase))) AS k FROM f WHERE len(phrase) > 1
+), s AS (
+  SELECT c.lang, c.phrase, c.a, n.n, k, x.a AS l, y.a AS r,
+         (1000::HUGEINT * c.a * n.n) // (x.a::HUGEINT * y.a) AS score
+  FROM c JOIN n ON n.lang = c.lang
+  JOIN f x ON x.lang = c.lang AND x.phrase = c.phrase[:k]
+  JOIN f y ON y.lang = c.lang AND y.phrase = c.phrase[k + 1:]
+), b AS (
+  SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), i AS (
+  SELECT lang, list_slice(phrase, start, start + size - 1) AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, len(phrase) - size + 2)) AS start
+        FROM f, (SELECT unnest([2, 3, 4]) AS size) WHERE size < len(phrase))
+  GROUP BY ALL
+), o AS (
+  SELECT b.*, array_to_string(b.phrase, ' ') AS words FROM b LEFT JOIN i ON i.lang = b.lang AND i.phrase = b.phrase
+  WHERE longer IS NULL OR 100 * longer < 100 * b.a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, words) AS rank, words AS phrase,
+       CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n,
+       CAST(score AS BIGINT) AS score
+FROM o QUALIFY rank <= 2000
+"""
+
 ORACLE = {
     "op1_warc": WARC,
     "op4_exact_topk": TOPK,
     "op5_mixing": MIXING,
     "op10_exact_dedup": EXACT_DEDUP,
+    "op13_collocations": COLLOCATIONS,
 }
