@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from pairwright.sources.sinks import stage_path
 
+from .alignment import align_tokenizers
 from .chat import format_chats
 from .collocations import collocations
 from .common import stage
@@ -95,6 +96,11 @@ def op10_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup(table(spark, sf, "documents")).drop("text_hash")
 
 
+def op12_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    paths = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align_tokenizers(table(spark, sf, "documents"), *paths).drop("groups")
+
+
 def op13_collocations(spark: SparkSession, sf: str) -> DataFrame:
     return collocations(table(spark, sf, "documents"))
 
@@ -110,5 +116,6 @@ QUERIES = {
     "op8_langid": op8_langid,
     "op9_html_text": op9_html_text,
     "op10_exact_dedup": op10_exact_dedup,
+    "op12_alignment": op12_alignment,
     "op13_collocations": op13_collocations,
 }

@@ -22,6 +22,13 @@ def byte_of_symbol() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(0x100 + i): b for i, b in enumerate(hidden)}
 
 
+def by_rank(model: dict) -> bool:
+    """Whether smaller ids of merged tokens mean earlier merges, which ranks stand for."""
+    made = [m if isinstance(m, str) else "".join(m) for m in model.get("merges", [])]
+    ids = [model["vocab"].get(m.replace(" ", "", 1)) for m in made]
+    return None not in ids and all(a < b for a, b in zip(ids, ids[1:]))
+
+
 class Encoder:
     """The ids ``Tokenizer.from_file(path).encode(text, add_special_tokens=False)`` gives.
 
@@ -44,6 +51,7 @@ class Encoder:
             spec["model"].get("type") == "BPE" and spec.get("normalizer") is None
             and before.get("type") == "ByteLevel" and before.get("use_regex", True)
             and not before.get("add_prefix_space") and not spec["model"].get("ignore_merges")
+            and by_rank(spec["model"])
         ):
             symbols = byte_of_symbol()
             ranks = {
@@ -52,6 +60,15 @@ class Encoder:
             }
             self.fast = tiktoken.Encoding("bytes", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
 
+    def encode_plain(self, text: str) -> np.ndarray:
+        """Ids of the text alone: strings of special tokens in it are plain text."""
+        if self.fast is None or SETTLED.search(text):
+            self.full.encode_special_tokens = True
+            ids = self.full.encode(text, add_special_tokens=False).ids
+            self.full.encode_special_tokens = False
+            return np.array(ids, np.uint32)
+        return np.array(self.fast.encode_ordinary(text), np.uint32)
+
     def encode(self, text: str) -> np.ndarray:
         if self.fast is None or SETTLED.search(text) or any(s in text for s in self.special):
             return np.array(self.full.encode(text, add_special_tokens=False).ids, np.uint32)
