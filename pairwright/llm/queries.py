@@ -18,6 +18,7 @@ from .html_text import extract_main_text
 from .langid import identify_languages, in_fold, train
 from .mixing import mix_sources
 from .packing import pack_documents
+from .pii import personal_data, span_counts, spans_text
 from .quality import document_statistics, fit_quality, score_quality
 from .simhash import simhash_dedup
 from .warc import read_archives, write_archives
@@ -96,6 +97,12 @@ def op10_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup(table(spark, sf, "documents")).drop("text_hash")
 
 
+def op11_pii(spark: SparkSession, sf: str) -> DataFrame:
+    found = personal_data(table(spark, sf, "documents"))
+    digest = F.sha2(spans_text("base"), 256).alias("base_sha256")
+    return found.select("doc_id", *span_counts("base"), digest, spans_text("spans").alias("spans"))
+
+
 def op12_alignment(spark: SparkSession, sf: str) -> DataFrame:
     paths = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
     return align_tokenizers(table(spark, sf, "documents"), *paths).drop("groups")
@@ -116,6 +123,7 @@ QUERIES = {
     "op8_langid": op8_langid,
     "op9_html_text": op9_html_text,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_pii": op11_pii,
     "op12_alignment": op12_alignment,
     "op13_collocations": op13_collocations,
 }
