@@ -14,7 +14,6 @@ fixed, since pairs are bounded by both vocabularies; groups of chunks split them
 from __future__ import annotations
 
 import hashlib
-import io
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,11 +21,11 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute
 import sentencepiece
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import packed, unpacked
 from .common import stage
 from .tokens import Encoder, byte_of_symbol
 
@@ -122,10 +121,12 @@ class Aligned:
         right = pd.DataFrame({"at": b_end - b_len, "doc": self.doc_b, "b": np.arange(len(self.b))})
         covering_b = pd.merge_asof(left, right, on="at", by="doc")
         covering_a = pd.merge_asof(right, left, on="at", by="doc")
-        pairs = np.unique(np.concatenate([
+        pairs = np.concatenate([
             covering_b["a"].to_numpy() << 32 | covering_b["b"].to_numpy(),
             covering_a["a"].to_numpy() << 32 | covering_a["b"].to_numpy(),
-        ]))
+        ])
+        pairs.sort(kind="stable")  # two sorted runs
+        pairs = pairs[np.append(True, pairs[1:] != pairs[:-1])]
         over_a, over_b = pairs >> 32, pairs & 0xFFFFFFFF
         closes = a_end[over_a] == b_end[over_b]
         group = np.cumsum(closes) - closes
@@ -176,15 +177,6 @@ class Aligned:
         return [flat[i:j].tobytes() for i, j in zip([0, *ends[:-1]], ends)]
 
 
-def packed(values: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values).tobytes())
-
-
-def unpacked(data: bytes, dtype=np.int64) -> np.ndarray:
-    reader = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(data))
-    return np.frombuffer(reader.read(), dtype)
-
-
 class Chunk:
     """Id pairs of up to CHUNK_DOCS documents, at most about CHUNK_LINKS of them."""
 
