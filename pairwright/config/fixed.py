@@ -111,6 +111,7 @@ JUDGE_MAX_TOKENS = 1000
 JUDGE_TEMPERATURE = 0.0
 TOP_P = 0.9
 TIMEOUT_SECONDS = 60
+BACKOFF_SECONDS = 10
 
 # Chat markers per model family.
 CHAT_FAMILIES = {

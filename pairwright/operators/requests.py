@@ -9,14 +9,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from itertools import chain, islice
 
-import pandas as pd
+import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import fixed
+from ..sources.sinks import stage_path
+from .calls import CallLimits, run_calls
 
 
 def request_id(stage: str, prompt: str, part: str) -> Column:
@@ -156,13 +160,17 @@ def infer(
     keep: Sequence[str] = ("request_id", "prompt_id"),
     partitions: int | None = None,
     threads: int = 1,
+    **limits,
 ) -> DataFrame:
-    """Call ``answer(request)`` for every request; an exception yields ``''``.
-
-    ``answer`` gets one request as a dict and runs in the executors' Python
-    workers; ``threads`` calls run at a time per task, as calls mostly wait. Only
-    the ``keep`` columns travel on with ``response`` and ``error``. Answers are
-    costly and may differ on a second call, so write the result before using it.
+    """Call ``answer(request)`` for every request; a call that fails yields ``''``.
+
+    ``answer`` gets one request as a dict and runs in the executors' Python workers,
+    ``threads`` calls at a time per task, as calls mostly wait. Further ``limits``
+    (``timeout``, ``attempts``, ``backoff``) go to ``CallLimits``: a call that is late or
+    out of attempts has an ``error``, so a hanging model cannot hold a task. Only the
+    ``keep`` columns travel on with ``response`` and ``error``, in the order in which
+    calls end. Answers are costly and may differ on a second call, so write the result
+    before using it.
     """
     fields = [f for f in requests.schema.fields if f.name in keep]
     schema = T.StructType([
@@ -171,50 +179,137 @@ def infer(
         T.StructField("error", T.StringType()),
     ])
     names = [f.name for f in fields]
-
-    def call(request: dict) -> tuple[str, str | None]:
-        try:
-            return answer(request) or "", None
-        except Exception as failure:  # any failed call is an empty answer
-            return "", f"{type(failure).__name__}: {failure}"
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        with ThreadPoolExecutor(threads) as pool:
-            for batch in batches:
-                done = list(pool.map(call, batch.to_dict("records")))
-                yield batch[names].assign(
-                    response=[text for text, _ in done], error=[error for _, error in done]
-                )
+    settings = CallLimits(threads=threads, **limits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = next(batches, None)
+        if first is None:
+            return
+        kinds = [(n, first.schema.field(n).type) for n in names]
+        layout = pa.schema([*kinds, ("response", pa.string()), ("error", pa.string())])
+        asked = (row for batch in chain([first], batches) for row in batch.to_pylist())
+        ended = run_calls(asked, answer, settings)
+        while rows := [
+            {n: r[n] for n in names} | {"response": text, "error": error}
+            for r, text, error in islice(ended, ROWS_AT_ONCE)
+        ]:
+            yield pa.RecordBatch.from_pylist(rows, layout)
 
     if partitions:
         requests = requests.repartition(partitions, "request_id")
-    return requests.mapInPandas(run, schema)
+    return requests.mapInArrow(run, schema)
 
 
 def infer_into(
-    requests: DataFrame, answer: Callable[[dict], str], path: str, batches: int = 16,
-    failures_are_final: bool = False, **options,
+    requests: DataFrame, answer: Callable[[dict], str], path: str, batches: int | None = None,
+    failures_are_final: bool = False, render: Callable[[DataFrame], DataFrame] | None = None,
+    files_per_batch: int | None = None, **options,
 ) -> DataFrame:
     """Answer the requests not yet answered in the table at ``path`` and append to it.
 
-    Runs ``batches`` jobs, each of which commits its share of the calls, dealt by
-    a digest of the request id. Take so many that losing one share is cheap. A job
-    that dies loses its own share only; call again to go on, and calls that raised
-    are asked again too. Returns the answered calls; ``failed`` of the table lists
-    those still failing.
+    The requests are written once, dealt to ``batches`` folders (16 unless the table
+    at ``path`` has another number) by a digest of the prompt id, else the request id.
+    Each batch is a job that reads its own folder of requests and of responses and
+    commits its calls, so resuming a batch never reads another. Take so many that
+    losing one share is cheap. A job that dies loses its own share only; call again
+    to go on, and calls that raised are asked again too.
+
+    ``render`` makes requests of the given rows batch by batch: pass the rows that
+    requests are made of, and the long texts are not written once more. With
+    ``files_per_batch`` they are dealt to so many files a batch in one shuffle; without
+    it every task writes to each batch, which suits inputs of few partitions. Returns
+    the answered calls; ``failed`` of the table lists those still failing.
     """
+    batches = _batches(requests.sparkSession, path, batches)
+    plan = _staged_plan(requests, batches, files_per_batch)
+    _answer_batches(plan, answer, path, batches, failures_are_final, render, options)
+    return answered(_table(requests.sparkSession, path).drop("batches", "batch"))
+
+
+def infer_routed(
+    requests: DataFrame, answer: Callable[[dict], str], path: str, quotas: dict[str, dict],
+    batches: int | None = None, failures_are_final: bool = False, files_per_batch: int | None = None,
+    **options,
+) -> DataFrame:
+    """``infer_into`` for each provider apart, all side by side.
+
+    ``quotas`` maps a ``provider`` to its own options (partitions, threads, timeout,
+    attempts, backoff) over the common ``options``. ``partitions`` bounds how many
+    tasks a provider has at a time: a slow one holds those and no others. Providers
+    without a quota share the lane ``other``. Each lane runs in the scheduler pool
+    ``calls-<lane>``; with ``spark.scheduler.mode=FAIR`` the pools share the executors
+    evenly. A lane that fails does not stop the others; its error is raised at the end.
+    """
+    spark = requests.sparkSession
+    batches = _batches(spark, path, batches)
+    lane = F.when(F.col("provider").isin(*quotas), F.col("provider")).otherwise("other")
+    plan = _staged_plan(requests.withColumn("lane", lane), batches, files_per_batch, "lane")
+
+    def work(name: str) -> None:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"calls-{name}")
+        part = plan.where(F.col("lane") == name).drop("lane")
+        own = {**options, **quotas.get(name, {})}
+        _answer_batches(part, answer, f"{path}/lane={name}", batches, failures_are_final, None, own)
+
+    lanes = [*quotas, "other"]
+    with ThreadPoolExecutor(len(lanes)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(work), name) for name in lanes]
+    for job in running:
+        job.result()
+    return answered(_table(spark, path).drop("lane", "batches", "batch"))
+
+
+# Answers that leave a task at a time.
+ROWS_AT_ONCE = 500
+BATCHES = 16
+
+
+def _batches(spark, path: str, wanted: int | None) -> int:
+    """The number of batches of the table at ``path``, which cannot change."""
+    known = _table(spark, path)
+    written = known.agg(F.max("batches")).first()[0] if known is not None else None
+    if written is not None and wanted not in (None, written):
+        raise ValueError(f"{path} was written in {written} batches, not {wanted}")
+    return written or wanted or BATCHES
+
+
+def _staged_plan(requests: DataFrame, batches: int, files: int | None, *folders: str) -> DataFrame:
+    """The requests, written once with a folder for each batch."""
     spark = requests.sparkSession
+    key = "prompt_id" if "prompt_id" in requests.columns else "request_id"
+    batch = F.pmod(F.xxhash64(key, F.lit("batch")), F.lit(batches)).cast("int")
+    plan = requests.withColumn("batch", batch)
+    if files:
+        plan = plan.repartitionByRange(batches * files, "batch", F.pmod(F.xxhash64(key, F.lit("file")), F.lit(files)))
+    target = stage_path(spark, "request_plan")
+    plan.write.partitionBy(*folders, "batch").parquet(target)
+    return spark.read.schema(plan.schema).parquet(target)
+
+
+def _answer_batches(
+    plan: DataFrame, answer, path: str, batches: int, failures_are_final: bool, render, options: dict
+) -> None:
+    spark = plan.sparkSession
     known = _table(spark, path)
-    if known is not None and pending(requests, known, failures_are_final).isEmpty():
-        return answered(known)
-    share = F.pmod(F.xxhash64("request_id", F.lit("batch")), F.lit(batches))
-    for batch in range(batches):
-        todo = requests.where(share == batch)
-        known = _table(spark, path)
+    for batch in _open_batches(plan, known, batches, failures_are_final, render):
+        part = plan.where(F.col("batch") == batch).drop("batch")
+        todo = render(part) if render else part
         if known is not None:
-            todo = pending(todo, known, failures_are_final)
-        infer(todo, answer, **options).write.mode("append").parquet(path)
-    return answered(spark.read.parquet(path))
+            todo = pending(todo, known.where(F.col("batch") == batch), failures_are_final)
+        infer(todo, answer, **options).write.mode("append").parquet(f"{path}/batches={batches}/batch={batch}")
+
+
+def _open_batches(plan, known, batches: int, failures_are_final: bool, render) -> list[int]:
+    """Batches with requests left to answer, by one join of ids."""
+    if known is None:
+        return list(range(batches))
+    rows = plan
+    if render:
+        # rendering drops columns it does not know, so the batch goes with the prompt
+        numbers = plan.select("prompt_id", "batch").distinct()
+        rows = render(plan.drop("batch")).select("request_id", "prompt_id").join(numbers, "prompt_id")
+    left = pending(rows.select("request_id", "batch"), known, failures_are_final)
+    return sorted(r["batch"] for r in left.select("batch").distinct().collect())
 
 
 def _table(spark, path: str) -> DataFrame | None:

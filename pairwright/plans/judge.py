@@ -15,9 +15,9 @@ from ..operators.scoring import attach_annotations
 from ..sources.sinks import write_sharded
 
 
-def _done(response_path: str, requests: DataFrame, answer, part: str, options: dict) -> DataFrame:
+def _done(response_path: str, rows: DataFrame, render, answer, part: str, options: dict) -> DataFrame:
     return infer_into(
-        requests, answer, response_path, keep=("request_id", "prompt_id", part), **options
+        rows, answer, response_path, render=render, keep=("request_id", "prompt_id", part), **options
     )
 
 
@@ -43,13 +43,14 @@ def complete_and_judge(
     with their annotations, as ``write_preferences`` takes them.
     """
     spark = instructions.sparkSession
-    planned = plan_prompts(instructions, seed=seed)
+    # written before it is used, so that sampling and drawing are done once
+    planned = _fresh(plan_prompts(instructions, seed=seed), f"{root}/planned")
     answers = _done(
-        f"{root}/completion_responses", plan_completions(planned), answer, "slot", infer_options
+        f"{root}/completion_responses", planned, plan_completions, answer, "slot", infer_options
     )
     completions = _fresh(assemble_completions(planned, answers), f"{root}/completions")
     judged = _done(
-        f"{root}/judge_responses", plan_judgements(completions), answer, "aspect", infer_options
+        f"{root}/judge_responses", completions, plan_judgements, answer, "aspect", infer_options
     )
     parsed = _fresh(parse_judgements(judged), f"{root}/annotations")
     annotated = _fresh(attach_annotations(completions, parsed), f"{root}/annotated")
@@ -72,7 +73,7 @@ def critique_completions(
     Writes ``critiqued`` under ``root``, ten shards of JSON lines.
     """
     answers = _done(
-        f"{root}/critique_responses", plan_critiques(completions), answer, "slot", infer_options
+        f"{root}/critique_responses", completions, plan_critiques, answer, "slot", infer_options
     )
     parsed = parse_critiques(answers)
     critiqued = _fresh(attach_critiques(completions, collect_critiques(parsed)), f"{root}/critiqued_table")

@@ -1,0 +1,207 @@
+"""Windows, deadlines, repeated attempts, batches and lanes of model calls."""
+
+import threading
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from pairwright.operators.calls import CallLimits, run_calls
+from pairwright.operators.requests import infer, infer_into, infer_routed
+from test_requests import requests_df
+
+
+def asked(n, **more):
+    return iter([{"request_id": str(i), **more} for i in range(n)])
+
+
+def test_answers_come_in_the_order_in_which_calls_end():
+    def answer(request):
+        time.sleep(0.3 if request["request_id"] == "0" else 0.01)
+        return request["request_id"]
+
+    got = [text for _, text, _ in run_calls(asked(6), answer, CallLimits(threads=3))]
+    assert got[-1] == "0" and sorted(got) == list("012345")
+
+
+def test_no_more_than_the_window_is_read_or_run():
+    read, running, most = [], set(), []
+
+    def source():
+        for i in range(40):
+            read.append(i)
+            yield {"request_id": str(i)}
+
+    def answer(request):
+        running.add(request["request_id"])
+        most.append(len(running))
+        time.sleep(0.005)
+        running.discard(request["request_id"])
+        return "x"
+
+    for n, _ in enumerate(run_calls(source(), answer, CallLimits(threads=4))):
+        assert len(read) <= n + 9
+    assert max(most) <= 4 and len(read) == 40
+
+
+def test_hanging_calls_end_by_their_deadline_and_hold_up_nobody():
+    never = threading.Event()
+
+    def answer(request):
+        if request["request_id"] in ("1", "2", "3"):
+            never.wait(30)
+        return "ok"
+
+    start = time.monotonic()
+    got = {r["request_id"]: (text, error) for r, text, error in run_calls(asked(12), answer, CallLimits(threads=2, timeout=0.3))}
+    assert time.monotonic() - start < 3
+    never.set()
+    assert all(got[str(i)] == ("", "TimeoutError: no answer within 0.3 s") for i in (1, 2, 3))
+    assert sum(text == "ok" for text, _ in got.values()) == 9
+
+
+def test_the_requests_own_timeout_counts_where_none_is_given():
+    def answer(request):
+        time.sleep(5)
+
+    rows = list(run_calls(asked(1, timeout_seconds=0.1), answer, CallLimits()))
+    assert rows[0][2] == "TimeoutError: no answer within 0.1 s"
+
+
+def test_attempts_and_back_off():
+    seen = {}
+
+    def answer(request):
+        seen.setdefault(request["request_id"], []).append(time.monotonic())
+        if len(seen[request["request_id"]]) < 3:
+            raise ValueError("no")
+        return "third"
+
+    got = list(run_calls(asked(3), answer, CallLimits(threads=2, attempts=3, backoff=0.1)))
+    assert [text for _, text, _ in got] == ["third"] * 3
+    for times in seen.values():
+        assert times[1] - times[0] >= 0.05 and times[2] - times[1] >= 0.1
+    seen.clear()
+    got = list(run_calls(asked(2), answer, CallLimits(threads=2, attempts=2, backoff=0.01)))
+    assert [(text, error) for _, text, error in got] == [("", "ValueError: no")] * 2
+    assert all(len(t) == 2 for t in seen.values())
+
+
+def test_too_many_lost_calls_fail_the_task():
+    with pytest.raises(RuntimeError, match="never came back"):
+        list(run_calls(asked(20), lambda r: time.sleep(5), CallLimits(threads=8, timeout=0.02, most_lost=4)))
+
+
+def test_infer_is_bounded_in_time(spark):
+    def answer(request):
+        import time
+
+        if request["prompt_id"] in ("p3", "p11"):
+            time.sleep(20)
+        return "ok"
+
+    start = time.monotonic()
+    got = {r.prompt_id: r for r in infer(requests_df(spark), answer, threads=4, timeout=0.5, attempts=2, backoff=0.05).collect()}
+    assert time.monotonic() - start < 15
+    assert {p for p, r in got.items() if r.error} == {"p3", "p11"} and len(got) == 20
+
+
+def test_empty_input(spark):
+    assert infer(requests_df(spark).where("false"), lambda r: "x").collect() == []
+
+
+def test_resuming_reads_only_the_batch(spark, tmp_path, monkeypatch):
+    from pairwright.operators import requests
+
+    path, plans = str(tmp_path / "responses"), []
+    df = requests_df(spark, 40)
+
+    def answer(request):
+        if request["prompt_id"] in ("p1", "p2"):
+            raise ValueError("later")
+        return "first"
+
+    infer_into(df, answer, path, batches=5)
+    whole = requests.infer
+
+    def spied(todo, *args, **options):
+        plans.append(todo._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")))
+        return whole(todo, *args, **options)
+
+    monkeypatch.setattr(requests, "infer", spied)
+    got = infer_into(df, lambda r: "second", path)
+    assert got.where("response = 'second'").count() == 2 and got.count() == 40
+    assert 1 <= len(plans) <= 2  # batches without open calls run no job
+    for plan in plans:  # requests and responses, each one folder
+        assert plan.count("PartitionFilters: [isnotnull(batch") == 2, plan
+    plans.clear()
+    assert infer_into(df, lambda r: "third", path).count() == 40 and plans == []
+    with pytest.raises(ValueError, match="5 batches"):
+        infer_into(df, answer, path, batches=7)
+
+
+def test_rendering_by_batch(spark, tmp_path):
+    prompts = requests_df(spark, 12).select("prompt_id")
+
+    def render(rows):
+        part = F.explode(F.array(F.lit(0), F.lit(1))).alias("part")
+        return rows.select("prompt_id", part).select(
+            F.concat_ws("/", F.lit("s"), "prompt_id", "part").alias("request_id"), "prompt_id"
+        )
+
+    path = str(tmp_path / "responses")
+
+    def answer(request):
+        if request["request_id"] == "s/p4/1":
+            raise ValueError("later")
+        return "first"
+
+    assert infer_into(prompts, answer, path, batches=3, render=render, files_per_batch=2).count() == 23
+    got = infer_into(prompts, lambda r: "second", path, render=render)
+    assert sorted(r.response for r in got.collect()) == ["first"] * 23 + ["second"]
+
+
+def routed(spark, n=60):
+    return requests_df(spark, n).withColumn(
+        "provider", F.element_at(F.array(F.lit("slow"), F.lit("quick"), F.lit("odd")), (F.substring("prompt_id", 2, 9).cast("int") % 3 + 1))
+    )
+
+
+def test_a_slow_provider_does_not_hold_back_the_others(spark, tmp_path):
+    log = tmp_path / "ended"
+    log.mkdir()
+
+    def answer(request):
+        import time
+
+        if request["provider"] == "slow":
+            time.sleep(0.5)
+        (log / f"{request['provider']}-{request['prompt_id']}").write_text(repr(time.time()))
+        return request["provider"]
+
+    quotas = {"slow": {"partitions": 1, "threads": 2}, "quick": {"partitions": 2, "threads": 4}}
+    path = str(tmp_path / "responses")
+    got = infer_routed(routed(spark), answer, path, quotas, batches=2, keep=("request_id", "provider"))
+    assert got.count() == 60 and got.where("response <> provider").count() == 0
+    ended = {k: sorted(float(f.read_text()) for f in log.iterdir() if f.name.startswith(k)) for k in ("slow", "quick", "odd")}
+    assert ended["quick"][-1] < ended["slow"][-1] and ended["odd"][-1] < ended["slow"][-1]
+    again = infer_routed(routed(spark), lambda r: "again", path, quotas, keep=("request_id", "provider"))
+    assert again.where("response = 'again'").count() == 0 and again.count() == 60
+
+
+def test_a_lane_that_dies_leaves_the_others_done(spark, tmp_path):
+    def answer(request):
+        import os
+
+        if request["provider"] == "slow":
+            os._exit(1)
+        return "ok"
+
+    path = str(tmp_path / "responses")
+    quotas = {"slow": {"partitions": 1}, "quick": {"partitions": 1}}
+    with pytest.raises(Exception):
+        infer_routed(routed(spark), answer, path, quotas, batches=1, keep=("request_id", "provider"))
+    done = spark.read.parquet(path)
+    assert {r["lane"] for r in done.select("lane").distinct().collect()} >= {"quick", "other"}
+    got = infer_routed(routed(spark), lambda r: "late", path, quotas, keep=("request_id", "provider"))
+    assert got.count() == 60 and got.where("response = 'late'").count() == 20

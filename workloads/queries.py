@@ -447,6 +447,49 @@ def resumed_responses(spark: SparkSession, sf: str) -> DataFrame:
     return req.infer_into(requests, echo("b", False), path, batches=4, keep=keep).drop("error")
 
 
+def deadline_responses(spark: SparkSession, sf: str) -> DataFrame:
+    """A stand-in model of which some calls hang and some fail twice before they answer."""
+
+    def model(request: dict) -> str:
+        import hashlib
+        import time
+
+        draw = hashlib.md5(request["request_id"].encode()).hexdigest()
+        if draw.startswith("00"):
+            time.sleep(20)
+        tries[draw] = tries.get(draw, 0) + 1
+        if draw.startswith("1") and tries[draw] < 3:
+            raise ConnectionError("try again")
+        return f"{tries[draw]} {hashlib.md5(request['messages'][-1]['content'].encode()).hexdigest()}"
+
+    tries: dict[str, int] = {}  # each task has its own
+    requests = comp.plan_completions(comp.plan_prompts(derive.prompts(spark, sf)))
+    return req.infer(
+        requests, model, keep=("request_id", "prompt_id", "slot"), partitions=8, threads=16,
+        timeout=0.5, attempts=3, backoff=0.02,
+    )
+
+
+def routed_responses(spark: SparkSession, sf: str) -> DataFrame:
+    """Three providers with quotas of their own, one of them slow, and the rest."""
+
+    def model(request: dict) -> str:
+        import hashlib
+        import time
+
+        if request["provider"] == "deepseek":
+            time.sleep(0.02)
+        return request["provider"] + " " + hashlib.md5(request["messages"][-1]["content"].encode()).hexdigest()
+
+    requests = comp.plan_completions(comp.plan_prompts(derive.prompts(spark, sf)))
+    quotas = {
+        "deepseek": {"partitions": 1, "threads": 16}, "gpt-4o": {"partitions": 2, "threads": 4},
+        "local": {"partitions": 4, "threads": 2},
+    }
+    keep = ("request_id", "prompt_id", "slot", "provider")
+    return req.infer_routed(requests, model, stage_path(spark, "routed"), quotas, batches=2, keep=keep).drop("error")
+
+
 # --- judging ----------------------------------------------------------------
 
 def judge_requests(spark: SparkSession, sf: str) -> DataFrame:
@@ -680,7 +723,7 @@ QUERIES = {
         gathered_instructions,
         drawn_models, planned_prompts, unknown_source_rejects, completion_requests,
         assembled_completions, attached_responses, pending_requests, regrouped_responses,
-        inferred_responses, resumed_responses, critiqued_completions, repeated_judgements,
+        inferred_responses, resumed_responses, deadline_responses, routed_responses, critiqued_completions, repeated_judgements,
         judge_requests, annotations, judgement_rejects, judge_ratings, not_applicable_counts,
         critique_requests, critique_scores, critique_scores_strict, critique_rejects,
         critiques_by_prompt,
