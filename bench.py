@@ -40,7 +40,10 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    spark.read.parquet(f"{sf_dir}/documents.parquet").count()  # start-up is not a query
+    # start-up and code generation are no query's: the same plans run once on the smallest tables
+    smallest = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
+    warm = smallest if os.path.isdir(smallest) else sf_dir
+    QUERIES["preference_pairs"](spark, warm).write.format("noop").mode("overwrite").save()
     names = [a for a in sys.argv[1:] if a in QUERIES] or HEADLINE
     if "--all" in sys.argv:
         names = list(QUERIES)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import fixed, texts
 from ..functions import draw_k, draw_weighted, pick, seeded_int, seeded_share, settle
-from .requests import by_slot, messages, request_id, with_call_settings
+from .requests import by_slot, messages, request_id, side_by_side, with_call_settings
 
 STAGE = "completion"
 
@@ -102,16 +102,23 @@ def plan_completions(planned: DataFrame, pool: dict = fixed.MODEL_POOL) -> DataF
     return with_call_settings(requests, pool, fixed.COMPLETION_MAX_TOKENS)
 
 
-def assemble_completions(planned: DataFrame, responses: DataFrame, k: int = fixed.SLOTS) -> DataFrame:
+def assemble_completions(
+    planned: DataFrame, responses: DataFrame, k: int = fixed.SLOTS, settled: bool = False
+) -> DataFrame:
     """Prompts with ``completions`` in drawn order; a missing response is ``''``.
 
     ``responses`` needs (prompt_id, slot, response). Responses meet in a fixed
-    number of aggregates, one per slot, never in a list that could grow.
+    number of aggregates, one per slot, never in a list that could grow. ``settled``
+    responses (``settled_calls`` by prompt_id and slot) hold each call once.
     """
-    text = F.coalesce("response", F.lit(""))
-    answered = responses.groupBy("prompt_id").agg(
-        *by_slot("slot", text, k, "response", text, text == "")
-    )
+    if settled:
+        names = {f"response_{i}": i for i in range(k)}
+        answered = side_by_side(responses, "prompt_id", "slot", names, "response")
+    else:
+        text = F.coalesce("response", F.lit(""))
+        answered = responses.groupBy("prompt_id").agg(
+            *by_slot("slot", text, k, "response", text, text == "")
+        )
     texts_in_order = F.array(*[F.coalesce(F.col(f"response_{i}"), F.lit("")) for i in range(k)])
     joined = planned.join(answered, "prompt_id", "left")
     completions = F.zip_with(

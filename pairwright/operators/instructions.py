@@ -17,6 +17,7 @@ from ..functions import (
     strip_text,
 )
 from ..functions.draws import BITS
+from .late import dedup_written
 
 
 def source_filter(
@@ -154,6 +155,15 @@ def strip_and_dedup(
     return dedup_first(df.withColumn(text, strip_text(F.col(text))), text, order)
 
 
+def strip_and_dedup_written(
+    table: DataFrame, text: str = "instruction", order: Sequence[str] = ("source_rank", "position")
+) -> DataFrame:
+    """``strip_and_dedup`` of a table read from parquet files, whose texts move only once."""
+    key = strip_text(F.col(text))
+    kept = dedup_written(table, key, order, lambda odd: strip_and_dedup(odd, text, order))
+    return kept.withColumn(text, key)
+
+
 def with_prompt_id(df: DataFrame, text: str = "instruction") -> DataFrame:
     """``prompt_id`` = md5 of the instruction, unique after dedup."""
     return df.withColumn("prompt_id", F.md5(text))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import fixed, texts
 from ..functions import render, settle
+from .late import settled_calls
 from .requests import messages, request_id, with_call_settings
 
 STAGE = "judge"
@@ -208,6 +209,19 @@ def parse_judgements(
     )
 
 
+def settled_judgements(responses: DataFrame, k: int = fixed.SLOTS) -> DataFrame:
+    """One answer per prompt and aspect of a written table of judge answers.
+
+    Of repeated calls one that parses comes first, then the smallest digest of the raw
+    answer, as in ``gather_ratings``. Only repeated calls are parsed for it.
+    """
+
+    def mark(rows: DataFrame) -> DataFrame:
+        return parse_judgements(rows, k).withColumn("poor", F.col("sections").isNull())
+
+    return settled_calls(responses, ("prompt_id", "aspect"), mark=mark)
+
+
 def judge_ratings(responses: DataFrame, k: int = fixed.SLOTS) -> DataFrame:
     """(prompt_id, aspect, answer_md5, parse_status, ratings): what scoring needs, no rationale.
 

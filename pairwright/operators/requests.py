@@ -120,16 +120,32 @@ def one_response_each(responses: DataFrame) -> DataFrame:
     return responses.groupBy("request_id").agg(preferred(text, text, text == "").alias("response"))
 
 
-def attach_responses(requests: DataFrame, responses: DataFrame) -> DataFrame:
+def attach_responses(requests: DataFrame, responses: DataFrame, settled: bool = False) -> DataFrame:
     """Requests with their response; ``''`` where none came back.
 
     Select the request columns you need first: the join moves what it is given.
+    ``settled`` responses (``settled_calls``) hold each call once and are not reduced
+    again, so answers go through one join and no aggregate.
     """
-    return requests.join(one_response_each(responses), "request_id", "left").withColumn(
+    once = responses.select("request_id", "response") if settled else one_response_each(responses)
+    return requests.join(once, "request_id", "left").withColumn(
         "response", F.coalesce("response", F.lit(""))
     )
 
 
+def side_by_side(settled: DataFrame, key: str, part: str, values: dict, column: str) -> DataFrame:
+    """One row per ``key``: ``column`` of the settled calls, one column for each part.
+
+    ``values`` maps names to values of ``part``. Each key has a few calls of its own and
+    each of them once, so they are dealt by key first and sorted once; without the
+    partial aggregate there is no sort of whole answers before the shuffle.
+    """
+    dealt = settled.select(key, part, column).repartition(key)
+    return dealt.groupBy(key).agg(*[
+        F.max(F.when(F.col(part) == value, F.col(column))).alias(name) for name, value in values.items()
+    ])
+
+
 def answered(responses: DataFrame) -> DataFrame:
     """Rows of the calls that came back; one that raised has an ``error``."""
     return responses.where(F.col("error").isNull()) if "error" in responses.columns else responses

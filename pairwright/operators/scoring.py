@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import fixed
 from ..functions import settle, to_ascii_digits
+from .requests import side_by_side
 
 
 def gather_ratings(
@@ -162,15 +163,20 @@ def annotation_entry(aspect: str, section: Column) -> Column:
 
 
 def attach_annotations(
-    completions: DataFrame, parsed: DataFrame, aspects: Sequence[str] = tuple(fixed.ASPECTS)
+    completions: DataFrame, parsed: DataFrame, aspects: Sequence[str] = tuple(fixed.ASPECTS),
+    settled: bool = False,
 ) -> DataFrame:
     """Completions with ``annotations.<aspect>`` in every slot, in file layout.
 
-    A call that did not parse leaves its aspect null in all slots.
+    A call that did not parse leaves its aspect null in all slots. ``settled`` calls
+    (``judgements.settled_judgements``) are there once for each prompt and aspect.
     """
-    sections = parsed.groupBy("prompt_id").agg(*[
-        _of_aspect(parsed, a, "sections").alias(f"_{a}") for a in aspects
-    ])
+    if settled:
+        sections = side_by_side(parsed, "prompt_id", "aspect", {f"_{a}": a for a in aspects}, "sections")
+    else:
+        sections = parsed.groupBy("prompt_id").agg(*[
+            _of_aspect(parsed, a, "sections").alias(f"_{a}") for a in aspects
+        ])
 
     def one(completion: Column, slot: Column) -> Column:
         entries = []

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import fixed
-from ..functions import strip_text
+from ..functions import settle, strip_text
 
 
 def _family(name: str) -> dict:
@@ -62,6 +63,72 @@ def tokenizer_counter(load: Callable[[], Callable[[str], int]]) -> Callable[[Col
     return count
 
 
+class Vocabulary:
+    """A tokenizer file, and what its tokens tell about lengths without running it.
+
+    In a byte-level vocabulary without normalisation the tokens of a text spell its
+    bytes, so their number lies between bytes / longest token and bytes. ``longest`` is
+    None where that does not hold, and every row is then tokenized.
+    """
+
+    def __init__(self, path: str):
+        self.path = path
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        before = spec.get("pre_tokenizer") or {}
+        plain = (
+            spec.get("normalizer") is None and before.get("type") == "ByteLevel"
+            and not before.get("add_prefix_space")
+        )
+        names = [*spec["model"]["vocab"], *(t["content"] for t in spec.get("added_tokens", []))]
+        # one letter stands for one byte; special tokens are written as they are
+        self.longest = max(len(n.encode()) if n.isascii() else len(n) for n in names) if plain else None
+
+    def counter(self) -> Callable[[Column], Column]:
+        path = self.path
+
+        def load() -> Callable[[str], int]:
+            from tokenizers import Tokenizer
+
+            whole = Tokenizer.from_file(path)
+            whole.no_truncation()
+            whole.no_padding()
+            return lambda text: len(whole.encode(text, add_special_tokens=False).ids)
+
+        return tokenizer_counter(load)
+
+
+def length_bound(vocabulary: Vocabulary, max_len: int = fixed.MAX_TRAINING_TOKENS, overhead: int = 0) -> Column:
+    """What the byte lengths say about a formatted row: ``fits``, ``too_long`` or ``undecided``."""
+    if vocabulary.longest is None:
+        return F.lit("undecided")
+    prompt = F.octet_length("prompt")
+    longer = prompt + F.greatest(F.octet_length("chosen"), F.octet_length("rejected"))
+    return (
+        F.when(longer + overhead < max_len, "fits")
+        .when(F.ceil(longer / vocabulary.longest) + overhead >= max_len, "too_long")
+        .otherwise("undecided")
+    )
+
+
+def within_token_length(
+    rows: DataFrame, vocabulary: Vocabulary, max_len: int = fixed.MAX_TRAINING_TOKENS, overhead: int = 0
+) -> DataFrame:
+    """``within_length`` by the tokens of a vocabulary.
+
+    Rows whose bytes decide are neither sent to Python nor tokenized. Rows with a null
+    side have no length and are left out.
+    """
+    tagged = settle(rows, rows.columns, bound=length_bound(vocabulary, max_len, overhead))
+    count = vocabulary.counter()
+    asked = lambda answer: F.when(F.col("bound") == "undecided", F.concat("prompt", answer))
+    long = lambda answer: count(asked(answer)) + overhead >= max_len
+    whole = F.concat("prompt", "chosen", "rejected").isNotNull()
+    kept = tagged.where(whole & (F.col("bound") != "too_long"))
+    kept = kept.withColumn("over", long("chosen") | long("rejected"))
+    return kept.where((F.col("bound") == "fits") | ~F.col("over")).select(*rows.columns)
+
+
 def conversation_text(prompt: Column, answer: Column, family: str) -> Column:
     """User and assistant turns rendered around an already formatted row."""
     marks = _family(family)

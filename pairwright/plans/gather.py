@@ -14,6 +14,7 @@ from ..operators.instructions import (
     split_tagged,
     stratified_sample,
     strip_and_dedup,
+    strip_and_dedup_written,
     union_sources,
     with_prompt_id,
 )
@@ -32,15 +33,18 @@ def gather_instructions(
 
     ``sources`` are (tag, DataFrame) in union order, single-source rules already
     applied, each with ``instruction`` and ``position``. With ``stage`` the sources
-    are read once, into a table that holds kept rows and rejects, and the
-    deduplicated table is written, because exact sampling reads it again.
+    are read once, into a table that holds kept rows and rejects, from which duplicates
+    are removed by digest; the deduplicated table is written, because exact sampling
+    reads it again.
     """
     if stage:
         tagged = stage_table(quality_tagged(union_sources(sources), **(quality or {})), "tagged")
         kept, rejects = split_tagged(tagged)
+        unique = strip_and_dedup_written(kept)
     else:
         kept, rejects = quality_filter(union_sources(sources), **(quality or {}))
-    prompts = with_prompt_id(strip_and_dedup(kept)).select(
+        unique = strip_and_dedup(kept)
+    prompts = with_prompt_id(unique).select(
         "prompt_id", "instruction", "source", "correct_answers", "incorrect_answers"
     )
     bits = 16

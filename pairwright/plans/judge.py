@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..operators.completions import assemble_completions, plan_completions, plan_prompts
 from ..operators.critiques import attach_critiques, collect_critiques, critique_rejects, parse_critiques, plan_critiques
-from ..operators.judgements import judgement_rejects, parse_judgements, plan_judgements
+from ..operators.judgements import judgement_rejects, parse_judgements, plan_judgements, settled_judgements
+from ..operators.late import settled_calls
 from ..operators.requests import failed, infer_into
 from ..operators.scoring import attach_annotations
 from ..sources.sinks import write_sharded
@@ -48,12 +49,12 @@ def complete_and_judge(
     answers = _done(
         f"{root}/completion_responses", planned, plan_completions, answer, "slot", infer_options
     )
-    completions = _fresh(assemble_completions(planned, answers), f"{root}/completions")
+    completions = _fresh(assemble_completions(planned, settled_calls(answers, ("prompt_id", "slot")), settled=True), f"{root}/completions")
     judged = _done(
         f"{root}/judge_responses", completions, plan_judgements, answer, "aspect", infer_options
     )
-    parsed = _fresh(parse_judgements(judged), f"{root}/annotations")
-    annotated = _fresh(attach_annotations(completions, parsed), f"{root}/annotated")
+    parsed = _fresh(parse_judgements(settled_judgements(judged)), f"{root}/annotations")
+    annotated = _fresh(attach_annotations(completions, parsed, settled=True), f"{root}/annotated")
     return {
         "completions": completions,
         "judge_responses": judged,

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +18,7 @@ from ..operators.scoring import (
     weighted_score,
 )
 from ..operators.training_rows import format_training_rows, within_length
-from ..sources.sinks import write_jsonl, write_parquet
+from .publish import publish, read_published
 from .stages import stage_table
 
 
@@ -31,27 +34,38 @@ def build_preferences(
     return make_pairs(scored, completions, seed, score)
 
 
+PREFERENCE_OUTPUTS = [
+    f"{name}.{kind}" for name in ("annotations_weighted_sum", "annotations_binarized") for kind in ("parquet", "jsonl")
+]
+
+
 def write_preferences(
-    annotated: DataFrame, root: str, seed=0, mode: str = "exact"
+    annotated: DataFrame, root: str, seed=0, mode: str = "exact", version: str | None = None,
+    after: Callable[[str], None] | None = None,
 ) -> DataFrame:
     """Annotated completions -> weighted and binarized files; returns pairs per source.
 
-    ``annotated`` comes from ``read_annotations`` or ``attach_annotations``. Writes
-    ``annotations_weighted_sum`` and ``annotations_binarized`` under ``root``, each as
-    JSON lines and as parquet. Scores are staged once for all four.
+    ``annotated`` comes from ``read_annotations`` or ``attach_annotations``. Publishes
+    ``annotations_weighted_sum`` and ``annotations_binarized``, each as JSON lines and
+    as parquet, together (``publish``): a run that died is simply run again, and with
+    the same ``version`` keeps what it had finished. Scores are staged once for all four.
     """
+    spark = annotated.sparkSession
     if "prompt_id" not in annotated.columns:
         annotated = annotated.withColumn("prompt_id", F.md5("instruction"))
     scored = stage_table(weighted_score(gathered_from_annotated(annotated), mode=mode), "scored")
     score = "tenths" if mode == "exact" else "scores"
-    pairs = binarized(make_pairs(scored, seed=seed, score=score))
-    for name, df in [
-        ("annotations_weighted_sum", scored_completions(scored)),
-        ("annotations_binarized", pairs),
-    ]:
-        write_parquet(df, f"{root}/{name}.parquet")
-        write_jsonl(df.sparkSession.read.parquet(f"{root}/{name}.parquet"), f"{root}/{name}.jsonl")
-    return count_by_source(annotated.sparkSession.read.parquet(f"{root}/annotations_binarized.parquet"))
+    version = version or uuid.uuid4().hex
+    first = {
+        "annotations_weighted_sum": lambda: scored_completions(scored),
+        "annotations_binarized": lambda: binarized(make_pairs(scored, seed=seed, score=score)),
+    }
+    outputs = {}
+    for name, make in first.items():
+        outputs[f"{name}.parquet"] = make
+        outputs[f"{name}.jsonl"] = lambda name=name: spark.read.parquet(f"{root}/{version}/{name}.parquet")
+    publish(spark, root, outputs, version, after)
+    return count_by_source(read_published(spark, root, "annotations_binarized.parquet"))
 
 
 def export_training_rows(pairs: DataFrame, family: str = "qwen", **length_options) -> DataFrame:

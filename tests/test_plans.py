@@ -7,6 +7,7 @@ from pairwright.plans import (
     critique_completions,
     export_training_rows,
     gather_instructions,
+    read_published,
     stage_table,
     write_counted,
     write_preferences,
@@ -165,10 +166,10 @@ def test_annotation_files_to_preference_files(spark, tmp_path):
     assert unread.count() == 0
     root = str(tmp_path / "out")
     assert [tuple(r) for r in write_preferences(annotated, root).collect()] == [("wizard_zh", 2)]
-    pairs = spark.read.json(f"{root}/annotations_binarized.jsonl").collect()
+    pairs = read_published(spark, root, "annotations_binarized.jsonl").collect()
     assert {r.instruction for r in pairs} == {"pair0", "pair1"}
     assert all(r.chosen_response == "答1" and r.chosen_rating.overall_score == 5.0 for r in pairs)
-    weighted = spark.read.parquet(f"{root}/annotations_weighted_sum.parquet").collect()
+    weighted = read_published(spark, root, "annotations_weighted_sum.parquet").collect()
     assert {r.instruction for r in weighted} == {"pair0", "pair1", "tie0", "tie1"}
     tie = next(r for r in weighted if r.instruction == "tie0").completions[2]
     assert tie.overall_score == 3.0 and tie.annotations.helpfulness["Type"] == ["None"]

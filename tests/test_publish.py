@@ -1,0 +1,92 @@
+"""Publishing sets of outputs, and stages over numbered shards."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from pairwright.plans import carry_shards, current_version, publish, read_published
+from pairwright.sources import read_shards, split_corrupt, write_sharded
+
+
+def frames(spark, n, made):
+    def make(name):
+        def run():
+            made.append(name)
+            return spark.range(n).withColumn("name", F.lit(name))
+
+        return run
+
+    return {name: make(name) for name in ("a.parquet", "b.jsonl", "c.parquet")}
+
+
+class Died(Exception):
+    pass
+
+
+def test_a_set_is_published_whole(spark, tmp_path):
+    root, made = str(tmp_path / "out"), []
+    assert current_version(spark, root) is None
+    with pytest.raises(FileNotFoundError):
+        read_published(spark, root, "a.parquet")
+    publish(spark, root, frames(spark, 3, made), version="one")
+    assert current_version(spark, root) == "one" and read_published(spark, root, "b.jsonl").count() == 3
+
+    def dies(name):
+        if name == "b.jsonl":
+            raise Died
+
+    with pytest.raises(Died):
+        publish(spark, root, frames(spark, 5, made), version="two", after=dies)
+    # readers still see the first set in all its outputs
+    assert [read_published(spark, root, n).count() for n in ("a.parquet", "b.jsonl", "c.parquet")] == [3, 3, 3]
+    made.clear()
+    publish(spark, root, frames(spark, 5, made), version="two")
+    assert made == ["c.parquet"]  # what was committed before is kept
+    assert [read_published(spark, root, n).count() for n in ("a.parquet", "b.jsonl", "c.parquet")] == [5, 5, 5]
+    made.clear()
+    assert publish(spark, root, frames(spark, 9, made), version="one") == "one" and made == []
+    assert current_version(spark, root) == "two"
+
+
+def test_an_output_whose_commit_is_not_logged_is_written_again(spark, tmp_path):
+    root, made = str(tmp_path / "out"), []
+    with pytest.raises(Died):
+        publish(spark, root, frames(spark, 2, made), version="v", after=lambda name: (_ for _ in ()).throw(Died()))
+    (tmp_path / "out" / "v" / "finished").rename(tmp_path / "elsewhere")
+    made.clear()
+    publish(spark, root, frames(spark, 2, made), version="v")
+    assert made == ["a.parquet", "b.jsonl", "c.parquet"]
+
+
+def test_versions_without_a_name(spark, tmp_path):
+    root, made = str(tmp_path / "out"), []
+    first = publish(spark, root, frames(spark, 1, made))
+    second = publish(spark, root, frames(spark, 4, made))
+    assert first != second and current_version(spark, root) == second
+    assert read_published(spark, root, "c.parquet").count() == 4
+
+
+def test_carry_shards(spark, tmp_path):
+    folder = str(tmp_path)
+    df = spark.range(40).withColumn("text", F.concat(F.lit("t"), F.col("id").cast("string")))
+    write_sharded(df, f"{folder}/completions", F.col("id"), shards=4)
+    step = lambda rows: rows.withColumn("upper", F.upper("text"))
+    done = carry_shards(spark, folder + "/completions/shard={}", "completions", "annotations", df.schema, step, shards=4, files_per_shard=1)
+    assert done.names == ["id", "text", "upper"]
+    back, bad = split_corrupt(read_shards(spark, folder + "/annotations/shard={}", done, shards=4))
+    before, _ = split_corrupt(read_shards(spark, folder + "/completions/shard={}", df.schema, shards=4))
+    assert bad.count() == 0
+    assert {(r.id, r.upper, r.shard) for r in back.collect()} == {(r.id, r.text.upper(), r.shard) for r in before.collect()}
+    with pytest.raises(ValueError, match="shard column"):
+        carry_shards(spark, folder + "/completions/shard={}", "completions", "other", df.schema, lambda r: r.drop("shard"), shards=4)
+    with pytest.raises(ValueError, match="does not name"):
+        carry_shards(spark, folder + "/completions/shard={}", "critiques", "other", df.schema, step, shards=4)
+
+
+def test_carry_shards_stops_at_lines_that_do_not_parse(spark, tmp_path):
+    for i in range(2):
+        (tmp_path / "completions").mkdir(exist_ok=True)
+        (tmp_path / "completions" / f"shard={i}").mkdir()
+        (tmp_path / "completions" / f"shard={i}" / "x.json").write_text('{"id": 1}\n{"id": \n' if i else '{"id": 2}\n')
+    schema = spark.range(1).schema
+    with pytest.raises(ValueError, match="1 lines"):
+        carry_shards(spark, str(tmp_path) + "/completions/shard={}", "completions", "next", schema, lambda r: r, shards=2)

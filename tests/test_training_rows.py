@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,3 +64,52 @@ def test_own_tokenizer(spark):
     df = spark.createDataFrame([("p ", "a a", "b"), ("p ", "a a a", "b")], "prompt string, chosen string, rejected string")
     kept = within_length(df, 4, count_tokens=tokenizer_counter(load))
     assert [r.chosen for r in kept.collect()] == ["a a"]
+
+
+def test_token_length_by_bounds(spark):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    from pairwright.operators.training_rows import Vocabulary, length_bound, within_token_length
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    vocabulary, whole = Vocabulary(path), Tokenizer.from_file(path)
+    assert vocabulary.longest == max(len(t) for t in whole.get_vocab())
+    texts = ["", "word " * 30, "é" * 40, " " * 400, "=" * 700, "日本語" * 20, "x" * 63, "<|endoftext|>" * 9, "a b c " * 200]
+    rows = [(p, c, r) for p in texts[:4] for c in texts for r in texts[2:]] + [(None, "a", "b"), ("a", None, "b"), ("a", "b", None)]
+    df = spark.createDataFrame(rows, "prompt string, chosen string, rejected string").withColumn("bound", F.lit(1))
+    size = lambda text: len(whole.encode(text, add_special_tokens=False).ids)
+    for limit, overhead in [(64, 0), (64, 5), (10, 0), (1, 0)]:
+        want = sorted(r for r in rows if None not in r and max(size(r[0] + r[1]), size(r[0] + r[2])) + overhead < limit)
+        got = within_token_length(df.drop("bound"), vocabulary, limit, overhead)
+        assert sorted(map(tuple, got.collect())) == want
+        for r in df.withColumn("bound", length_bound(vocabulary, limit, overhead)).na.drop().collect():
+            longest = max(size(r.prompt + r.chosen), size(r.prompt + r.rejected)) + overhead
+            assert {"fits": longest < limit, "too_long": longest >= limit, "undecided": True}[r.bound]
+    decided = {r.bound for r in df.na.drop().select(length_bound(vocabulary, 64).alias("bound")).collect()}
+    assert decided == {"fits", "too_long", "undecided"} or decided == {"fits", "undecided"}
+
+
+def test_vocabularies_without_bounds_count_every_row(spark):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from pairwright.operators.training_rows import Vocabulary, within_token_length
+
+    vocabulary = Vocabulary(public_tokenizers.path("word_bpe_49k.json"))
+    assert vocabulary.longest is None
+    rows = spark.createDataFrame([("a " * 90, "b", "c"), ("a", "b", "c")], "prompt string, chosen string, rejected string")
+    assert [r.prompt for r in within_token_length(rows, vocabulary, 20).collect()] == ["a"]
+
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="tables not present")
+def test_token_length_query_equals_counting_every_row(spark):
+    pytest.importorskip("public_tokenizers")
+    from pairwright.operators.training_rows import within_length
+    from workloads import queries
+
+    vocabulary = queries._vocabulary()
+    every = within_length(queries._token_rows(spark, SF), 2048, vocabulary.counter())
+    full = sorted(map(tuple, every.select(*queries.digest("prompt", "chosen", "rejected")).collect()))
+    assert sorted(map(tuple, queries.training_rows_token_length(spark, SF).collect())) == full and full

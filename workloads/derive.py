@@ -135,6 +135,11 @@ def prompts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def as_table(name: str, sf: str, df: DataFrame) -> DataFrame:
+    """``df`` as a written table: the one of ``write_inputs``, or written now."""
+    return df if (name, sf) in WRITTEN else stage_table(df, "input")
+
+
 def prompt_id(doc: Column) -> Column:
     return F.md5(F.concat_ws("-", F.lit("doc"), doc.cast("string")))
 

@@ -17,16 +17,22 @@ from pairwright.operators import conversations as conv
 from pairwright.operators import critiques as crit
 from pairwright.operators import instructions as ins
 from pairwright.operators import judgements as judge
+from pairwright.operators import late
 from pairwright.operators import pairs as pairing
 from pairwright.operators import requests as req
 from pairwright.operators import scoring
 from pairwright.operators import training_rows as train
 from pairwright.plans import (
+    PREFERENCE_OUTPUTS,
     build_preferences,
+    carry_shards,
+    current_version,
     export_training_rows,
     gather_instructions,
+    read_published,
     stage_table,
     write_counted,
+    write_preferences,
 )
 from pairwright.sources import (
     read_annotations,
@@ -284,8 +290,8 @@ def invalid_answered_instructions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def deduplicated(spark: SparkSession, sf: str) -> DataFrame:
-    united = ins.union_sources(derive.instruction_sources(spark, sf))
-    return ins.strip_and_dedup(united).select(
+    united = stage_table(ins.union_sources(derive.instruction_sources(spark, sf)), "united")
+    return ins.strip_and_dedup_written(united).select(
         "source", "source_rank", "position",
         F.md5("instruction").alias("instruction_md5"),
         F.md5("correct_answers").alias("correct_md5"),
@@ -372,7 +378,10 @@ def completion_requests(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def assembled_completions(spark: SparkSession, sf: str) -> DataFrame:
-    completed = derive.completions(spark, sf)
+    """Responses are a written table, in which repeated calls are settled by key first."""
+    responses = derive.as_table("completion responses", sf, derive.completion_responses(spark, sf))
+    once = late.settled_calls(responses, ("prompt_id", "slot"))
+    completed = comp.assemble_completions(comp.plan_prompts(derive.prompts(spark, sf)), once, settled=True)
     return completed.select(
         "prompt_id", "source",
         joined(F.transform("completions", lambda c: c["model"])).alias("models"),
@@ -397,7 +406,9 @@ def _response_table(spark: SparkSession, sf: str) -> DataFrame:
 
 def attached_responses(spark: SparkSession, sf: str) -> DataFrame:
     requests = _judge_requests(spark, sf).select("request_id", "prompt_id", "aspect")
-    return req.attach_responses(requests, _response_table(spark, sf)).select(
+    responses = stage_table(_response_table(spark, sf), "responses")
+    once = late.settled_calls(responses, ["request_id"])
+    return req.attach_responses(requests, once, settled=True).select(
         "request_id", "prompt_id", "aspect", *digest("response")
     )
 
@@ -595,7 +606,9 @@ def repeated_judgements(spark: SparkSession, sf: str) -> DataFrame:
     judged = derive.judged(spark, sf)
     again = judged.where(seeded_share(seeded_int("again", F.col("prompt_id"), F.col("aspect")), 0.4))
     judged = judged.unionByName(again.withColumn("response", F.substring("response", 1, 30)))
-    annotated = scoring.attach_annotations(completed, judge.parse_judgements(judged))
+    judged = stage_table(judged, "judged_twice")
+    once = judge.parse_judgements(judge.settled_judgements(judged))
+    annotated = scoring.attach_annotations(completed, once, settled=True)
     beside = scoring.weighted_score(scoring.gathered_from_annotated(annotated))
     beside = beside.select("prompt_id", joined(F.col("tenths").cast("array<string>")).alias("annotated_tenths"))
     return _scored(judged).select(
@@ -628,8 +641,9 @@ def weighted_scores_float(spark: SparkSession, sf: str) -> DataFrame:
 def annotated_completions(spark: SparkSession, sf: str) -> DataFrame:
     """The weighted output: full annotations and scores nested per completion."""
     completed = derive.completions(spark, sf)
-    parsed = judge.parse_judgements(derive.judged(spark, sf))
-    annotated = scoring.attach_annotations(completed, parsed)
+    judged = derive.as_table("judged", sf, derive.judged(spark, sf))
+    parsed = judge.parse_judgements(judge.settled_judgements(judged))
+    annotated = scoring.attach_annotations(completed, parsed, settled=True)
     scored = scoring.weighted_score(scoring.gathered_from_annotated(annotated))
     rows = scoring.scored_completions(scored).select(
         "prompt_id", "source", F.posexplode("completions").alias("slot", "c")
@@ -705,6 +719,88 @@ def training_rows_within_length(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(*digest("prompt", "chosen", "rejected"))
 
 
+def _token_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents beside their neighbours as rows of a prompt and two answers."""
+    docs = derive.table(spark, sf, "documents")
+    answer = lambda n: derive.table(spark, sf, "documents").select(
+        (F.col("doc_id") - n).alias("doc_id"), F.col("text").alias(f"a{n}")
+    )
+    rows = docs.join(answer(1), "doc_id").join(answer(2), "doc_id")
+    rows = rows.withColumnsRenamed({"text": "prompt", "a1": "chosen", "a2": "rejected"})
+    return train.format_training_rows(rows, "qwen")
+
+
+def _vocabulary() -> "train.Vocabulary":
+    import public_tokenizers
+
+    return train.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def training_rows_token_length(spark: SparkSession, sf: str) -> DataFrame:
+    """The length budget by a real vocabulary; most rows are decided by their bytes."""
+    rows = train.within_token_length(_token_rows(spark, sf), _vocabulary(), 2048)
+    return rows.select(*digest("prompt", "chosen", "rejected"))
+
+
+def token_length_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """How many rows each bound decides, and how many the tokenizer must see."""
+    bound = train.length_bound(_vocabulary(), 2048)
+    return _token_rows(spark, sf).groupBy(bound.alias("decision")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def published_preferences(spark: SparkSession, sf: str) -> DataFrame:
+    """A publication that dies between its outputs, its rerun, and what a reader then finds."""
+    completed = derive.completions(spark, sf)
+    judged = derive.as_table("judged", sf, derive.judged(spark, sf))
+    parsed = judge.parse_judgements(judge.settled_judgements(judged))
+    annotated = stage_table(scoring.attach_annotations(completed, parsed, settled=True), "annotated")
+    root = stage_path(spark, "published")
+
+    class Died(Exception):
+        pass
+
+    def dies(name: str) -> None:
+        if name == "annotations_binarized.parquet":
+            raise Died
+
+    try:
+        write_preferences(annotated, root, version="first", after=dies)
+    except Died:
+        pass
+    if current_version(spark, root) is not None:
+        raise AssertionError("half a set was published")
+    write_preferences(annotated, root, version="first")
+    rows = [
+        read_published(spark, root, name).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+        .select(F.lit(name).alias("output"), "source", "n")
+        for name in PREFERENCE_OUTPUTS
+    ]
+    result = rows[0]
+    for part in rows[1:]:
+        result = result.unionByName(part)
+    return result
+
+
+def shard_stages(spark: SparkSession, sf: str) -> DataFrame:
+    """Completions in numbered shards, carried over to critiqued shards of the same numbers."""
+    folder = stage_path(spark, "stages")
+    completed = derive.completions(spark, sf).select("prompt_id", "source", "completions")
+    write_sharded(completed, folder + "/completions", F.col("prompt_id"), files_per_shard=2)
+    critiques = crit.collect_critiques(_critiqued(spark, sf))
+    done = carry_shards(
+        spark, folder + "/completions/shard={}", "completions", "critiqued", completed.schema,
+        lambda rows: crit.attach_critiques(rows, critiques), files_per_shard=2,
+    )
+    back, _ = split_corrupt(read_shards(spark, folder + "/critiqued/shard={}", done))
+    before, _ = split_corrupt(read_shards(spark, folder + "/completions/shard={}", completed.schema))
+    shards = before.select("prompt_id", F.col("shard").alias("shard_before"))
+    return back.join(shards, "prompt_id").select(
+        "prompt_id", (F.col("shard") == F.col("shard_before")).alias("same_shard"),
+        joined(F.transform("completions", lambda c: F.md5(c["response"]))).alias("responses_md5"),
+        joined(F.transform("critiques", lambda c: F.coalesce(c["score"].cast("string"), F.lit("-")))).alias("scores"),
+    )
+
+
 def training_rows_double_wrapped(spark: SparkSession, sf: str) -> DataFrame:
     rows = export_training_rows(
         _pairs(spark, sf), "llama3", max_len=2048, count_tokens=train.word_tokens, double_wrap=True
@@ -730,6 +826,7 @@ QUERIES = {
         incomplete_prompts, weighted_scores, weighted_scores_float, annotated_completions,
         preference_pairs, preference_pairs_float, binarized_counts, chat_pairs,
         training_rows_qwen, training_rows_llama3, training_rows_within_length,
-        training_rows_double_wrapped,
+        training_rows_double_wrapped, training_rows_token_length, token_length_bounds,
+        published_preferences, shard_stages,
     ]
 }
