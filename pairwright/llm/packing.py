@@ -22,10 +22,13 @@ from pyspark.sql import functions as F
 
 from pairwright.sources.sinks import stage_path
 
-from .tokens import Encoder
+from .tokens import encoder_of
 
 K1, B = 1.2, 0.75
 SHARD_TOKENS = 4 << 20
+# Ids that one in so many documents holds go to the matrix; shards up to so many documents
+# have one, and all their scores by it are at most 128 MB. Seeds multiplied at once.
+DENSE, MATRIX_DOCS, SEEDS = 12, 4096, 256
 PARTITION_TOKENS = 16 << 20
 PAIR_A, PAIR_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 PIECES = (
@@ -45,10 +48,10 @@ def tokenize(vocabulary: str, end_id: int):
     """Documents (kind 0) as ids, count and route; last, the task's document frequencies (kind 1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
+        encoder = encoder_of(vocabulary)
         size = max(encoder.size, end_id + 1)
         width = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        frequency = np.zeros(size, np.int64)
+        frequency, held = np.zeros(size, np.int64), np.zeros(size, bool)
 
         def rows(ids, data, counts, routes, kind):
             return pa.record_batch(
@@ -62,7 +65,9 @@ def tokenize(vocabulary: str, end_id: int):
             data, counts, routes = [], [], []
             for text in batch.column(1):
                 ids = np.append(encoder.encode(text.as_py() or ""), end_id).astype(width)
-                frequency += np.bincount(ids, minlength=size) > 0
+                held[ids] = True
+                frequency[np.flatnonzero(held)] += 1
+                held[ids] = False
                 data.append(ids.tobytes())
                 counts.append(len(ids))
                 routes.append(route_of(ids))
@@ -86,22 +91,42 @@ def add_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 class Shard:
-    """A BM25 inverted index over some documents."""
+    """A BM25 inverted index over some documents.
+
+    Postings of ids that at least one in DENSE documents holds are rows of a matrix,
+    the others lists. Scores of many seeds are then one product of matrices, and only
+    the short lists are walked seed by seed. All terms of a seed count. Shards of more
+    than MATRIX_DOCS documents, which are short ones, have lists only.
+    """
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray):
         lengths = np.array([len(d) for d in docs], float)
-        terms, counts = zip(*(np.unique(d, return_counts=True) for d in docs))
-        self.sizes = np.array([len(t) for t in terms])
-        self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
-        term = np.concatenate(terms)
-        tf = np.concatenate(counts).astype(float)
-        doc = np.repeat(np.arange(len(docs)), self.sizes)
-        weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[doc] / lengths.mean()))
+        bits = int(len(idf)).bit_length()
+        kind = np.uint32 if (len(docs) << bits) <= 1 << 32 else np.uint64  # half the bytes sort twice as fast
+        pairs = np.concatenate(docs).astype(kind)
+        pairs |= np.repeat(np.arange(len(docs), dtype=kind) << kind(bits), [len(d) for d in docs])
+        pairs.sort()
+        first = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1]))
+        tf = np.diff(np.append(first, len(pairs)))
+        doc = (pairs[first] >> kind(bits)).astype(np.int64)
+        term = (pairs[first] & kind((1 << bits) - 1)).astype(np.int64)
+        self.starts = np.searchsorted(doc, np.arange(len(docs) + 1))
+        weight = (idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[doc] / lengths.mean())))
+        held = np.bincount(term, minlength=len(idf))
+        often = np.flatnonzero(held * DENSE >= len(docs)) if len(docs) <= MATRIX_DOCS else np.zeros(0, int)
+        self.row = np.full(len(idf), -1, np.int32)
+        self.row[often] = np.arange(len(often))
+        self.matrix = np.zeros((len(often), len(docs)))
+        dense = self.row[term] >= 0
+        self.matrix[self.row[term[dense]], doc[dense]] = weight[dense]
         self.term = term  # by document
-        turn = np.argsort(term, kind="stable")
+        turn = np.flatnonzero(~dense)
+        turn = turn[np.argsort(term[turn], kind="stable")]
         self.doc, self.by_term = doc[turn].astype(np.int32), weight[turn]
         self.edges = np.searchsorted(term[turn], np.arange(len(idf) + 1))
         self.n = self.live = len(docs)
+        self.unused, self.columns = np.ones(len(docs), bool), np.arange(len(docs))
+        self.known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def keep(self, unused: np.ndarray):
         """Leave used documents out of the index once they are an eighth of it."""
@@ -110,13 +135,43 @@ class Shard:
             stay = unused[self.doc]
             self.edges = np.concatenate([[0], np.cumsum(stay)])[self.edges]
             self.doc, self.by_term, self.live = self.doc[stay], self.by_term[stay], live
+            if len(self.matrix):
+                left = unused[self.columns]
+                self.matrix, self.columns = self.matrix[:, left], self.columns[left]
+            self.unused = unused.copy()
+
+    def terms(self, seed: int) -> np.ndarray:
+        return self.term[self.starts[seed] : self.starts[seed + 1]]
+
+    def by_matrix(self, seed: int) -> tuple[np.ndarray, np.ndarray]:
+        """Documents and the matrix's part of their scores.
+
+        Made at once for the seeds of a block that are unused, this one included.
+        """
+        if seed not in self.known:
+            first = seed - seed % SEEDS
+            seeds = np.flatnonzero(self.unused[first : first + SEEDS]) + first
+            seeds = np.union1d(seeds, [seed])
+            asked = np.zeros((len(seeds), len(self.matrix)))
+            for i, one in enumerate(seeds.tolist()):
+                rows = self.row[self.terms(one)]
+                asked[i, rows[rows >= 0]] = 1
+            self.known |= {one: (self.columns, row) for one, row in zip(seeds.tolist(), asked @ self.matrix)}
+        return self.known.pop(seed)
 
     def scores(self, seed: int) -> np.ndarray:
         """BM25 of every document in the index for all terms of the seed."""
-        terms = self.term[self.starts[seed] : self.starts[seed + 1]]
-        lists = [slice(self.edges[t], self.edges[t + 1]) for t in terms.tolist()]
-        found = np.concatenate([self.doc[s] for s in lists])
-        return np.bincount(found, np.concatenate([self.by_term[s] for s in lists]), self.n)
+        terms = self.terms(seed)
+        total = np.zeros(self.n)
+        if len(self.matrix):
+            columns, scores = self.by_matrix(seed)
+            total[columns] = scores * self.unused[columns]
+            terms = terms[self.row[terms] < 0]
+        lists = [slice(i, j) for i, j in zip(self.edges[terms].tolist(), self.edges[terms + 1].tolist()) if i < j]
+        if lists:
+            found = np.concatenate([self.doc[s] for s in lists])
+            total += np.bincount(found, np.concatenate([self.by_term[s] for s in lists]), self.n)
+        return total
 
 
 class Packer:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from functools import lru_cache
 
 import numpy as np
 import tiktoken
@@ -15,6 +16,10 @@ PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!
 SETTLED = re.compile("[^\u0000-\u052f\u2000-\u206f]")
 
 
+def unsettled(text: str) -> bool:
+    return not text.isascii() and SETTLED.search(text) is not None
+
+
 def byte_of_symbol() -> dict[str, int]:
     """Byte-level vocabularies write bytes that print as themselves, others from U+0100 on."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -62,7 +67,7 @@ class Encoder:
 
     def encode_plain(self, text: str) -> np.ndarray:
         """Ids of the text alone: strings of special tokens in it are plain text."""
-        if self.fast is None or SETTLED.search(text):
+        if self.fast is None or unsettled(text):
             self.full.encode_special_tokens = True
             ids = self.full.encode(text, add_special_tokens=False).ids
             self.full.encode_special_tokens = False
@@ -70,6 +75,12 @@ class Encoder:
         return np.array(self.fast.encode_ordinary(text), np.uint32)
 
     def encode(self, text: str) -> np.ndarray:
-        if self.fast is None or SETTLED.search(text) or any(s in text for s in self.special):
+        if self.fast is None or unsettled(text) or any(s in text for s in self.special):
             return np.array(self.full.encode(text, add_special_tokens=False).ids, np.uint32)
         return np.array(self.fast.encode_ordinary(text), np.uint32)
+
+
+@lru_cache(maxsize=4)
+def encoder_of(path: str) -> Encoder:
+    """The encoder of a file, made once for each Python worker and not for each task."""
+    return Encoder(path)

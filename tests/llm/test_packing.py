@@ -122,3 +122,25 @@ def test_scores_stay_when_used_documents_leave_the_index():
     unused[:20] = False
     shard.keep(unused)
     assert shard.live == 20 and np.allclose(shard.scores(2)[20:], before[20:]) and (shard.scores(2)[:20] == 0).all()
+
+
+def test_the_matrix_changes_no_window(monkeypatch):
+    from pairwright.llm import packing
+
+    draw = np.random.default_rng(4)
+    common = draw.integers(0, 40, (60, 90))
+    docs = [np.concatenate([common[i % 60][: 10 + i % 70], draw.integers(0, 900, 5 + i % 60)]) for i in range(400)]
+    idf = draw.uniform(0.1, 3, 900)
+    with_matrix = Packer(0, 128).pack(docs, idf)
+    assert len(Shard(docs, idf).matrix) > 20
+    monkeypatch.setattr(packing, "MATRIX_DOCS", 0)
+    assert len(Shard(docs, idf).matrix) == 0
+    assert Packer(0, 128).pack(docs, idf) == with_matrix
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["a", " ", " ", "\n", "\t", "the", "é", "'s", "12", "!?", "ß", "  ", " \n", "\xa0", " ", "x" * 50, ","]), max_size=30))
+def test_ids_around_white_space_are_the_tokenizers(encoder, plain, parts):
+    text = "".join(parts)
+    assert encoder.encode(text).tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert encoder.encode_plain(" " + text).tolist() == plain.encode(" " + text, add_special_tokens=False).ids
