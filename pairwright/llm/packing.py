@@ -30,6 +30,7 @@ SHARD_TOKENS = 4 << 20
 # have one, and all their scores by it are at most 128 MB. Seeds multiplied at once.
 DENSE, MATRIX_DOCS, SEEDS = 12, 4096, 256
 PARTITION_TOKENS = 16 << 20
+NONE = np.zeros(0, int), np.zeros(0, int), np.zeros((0, 0))
 PAIR_A, PAIR_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 PIECES = (
     "doc_id {}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -126,18 +127,21 @@ class Shard:
         self.edges = np.searchsorted(term[turn], np.arange(len(idf) + 1))
         self.n = self.live = len(docs)
         self.unused, self.columns = np.ones(len(docs), bool), np.arange(len(docs))
-        self.known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.known: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
 
     def keep(self, unused: np.ndarray):
-        """Leave used documents out of the index once they are an eighth of it."""
+        """Leave used documents out of the lists once they are an eighth, of the matrix once a third."""
         live = int(unused.sum())
         if 8 * live <= 7 * self.live:
             stay = unused[self.doc]
             self.edges = np.concatenate([[0], np.cumsum(stay)])[self.edges]
             self.doc, self.by_term, self.live = self.doc[stay], self.by_term[stay], live
-            if len(self.matrix):
+            if len(self.matrix) and 3 * live <= 2 * len(self.columns):
                 left = unused[self.columns]
                 self.matrix, self.columns = self.matrix[:, left], self.columns[left]
+                for block, (seeds, columns, scores) in self.known.items():
+                    rows, left = unused[seeds], unused[columns]
+                    self.known[block] = seeds[rows], columns[left], scores[np.ix_(rows, left)]
             self.unused = unused.copy()
 
     def terms(self, seed: int) -> np.ndarray:
@@ -148,16 +152,20 @@ class Shard:
 
         Made at once for the seeds of a block that are unused, this one included.
         """
-        if seed not in self.known:
-            first = seed - seed % SEEDS
-            seeds = np.flatnonzero(self.unused[first : first + SEEDS]) + first
-            seeds = np.union1d(seeds, [seed])
+        block = seed // SEEDS
+        seeds, columns, scores = self.known.get(block, NONE)
+        at = int(np.searchsorted(seeds, seed))
+        if at == len(seeds) or seeds[at] != seed:
+            first = block * SEEDS
+            seeds = np.union1d(np.flatnonzero(self.unused[first : first + SEEDS]) + first, [seed])
             asked = np.zeros((len(seeds), len(self.matrix)))
             for i, one in enumerate(seeds.tolist()):
                 rows = self.row[self.terms(one)]
                 asked[i, rows[rows >= 0]] = 1
-            self.known |= {one: (self.columns, row) for one, row in zip(seeds.tolist(), asked @ self.matrix)}
-        return self.known.pop(seed)
+            columns, scores = self.columns, asked @ self.matrix
+            self.known[block] = seeds, columns, scores
+            at = int(np.searchsorted(seeds, seed))
+        return columns, scores[at]
 
     def scores(self, seed: int) -> np.ndarray:
         """BM25 of every document in the index for all terms of the seed."""
@@ -231,6 +239,7 @@ class Packer:
 
 def pack_partition(shared, window: int, shard_tokens: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder_of.cache_clear()  # no text is encoded from here on
         idf, width = shared.value
         packer = Packer(TaskContext.get().partitionId() << 40, window)
         names, docs, held = [], [], 0
