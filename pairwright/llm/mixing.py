@@ -91,7 +91,7 @@ def mix_sources(
     the largest counts. A null source is a source of its own. Draws depend on
     seed and doc_id only, so reruns agree; repeated doc_ids have equal keys and
     are told apart by their text. Documents of size 0 are taken with the key
-    range they fall in. The document in which a budget ends is taken if that
+    range they fall in, and in whole epochs only where no budget is left over. The document in which a budget ends is taken if that
     brings the source nearer to its target. Other columns are not looked at.
     An empty table gives an empty result.
     """
@@ -141,7 +141,8 @@ def mix_sources(
         "start", F.sum("range_size").over(per_source.rowsBetween(Window.unboundedPreceding, -1))
     ).fillna(0, ["start"])
     cuts = with_source(sums, targets.select("source", "budget")).where(
-        (F.col("start") <= F.col("budget")) & (F.col("budget") < F.col("start") + F.col("range_size"))
+        (F.col("budget") > 0) & (F.col("start") <= F.col("budget"))
+        & (F.col("budget") < F.col("start") + F.col("range_size"))
     ).select("source", F.col("range").alias("cut"), "start")
     targets = targets.withColumnRenamed("source", "_s").join(
         cuts, F.col("_s").eqNullSafe(F.col("source")), "left"

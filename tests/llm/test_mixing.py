@@ -79,3 +79,12 @@ def test_empty_tables(spark):
     assert mix_sources(spark.createDataFrame([], SCHEMA)).count() == 0
     only = mix_sources(spark.createDataFrame([(1, None, None), (2, "", "a")], SCHEMA)).collect()
     assert [(r.size, r.taken, r.target) for r in only] == [(0, 0, 0.0)] * 2
+
+
+def test_documents_without_words_are_not_taken_beyond_whole_epochs(spark):
+    """At twice the source's size nothing is left over, also not for documents of size 0."""
+    rows = [(i, "" if i % 2 else "a b c d", "small") for i in range(64)]
+    rows += [(100 + i, "word " * 400, "large") for i in range(64)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = [r for r in mix_sources(df).collect() if r.target == 2 * r.source_size]
+    assert got and {r.times for r in got} == {2}
