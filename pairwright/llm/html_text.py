@@ -1,21 +1,22 @@
 """Main text of HTML pages by wrappers inferred from pages of the same host.
 
-A page is read as a stream of tags and texts, balanced into a tree; its texts are
-joined to blocks, each with the path of elements above it. A host's wrapper comes
-from all of its pages: blocks that different pages have at the same path are the
-host's own constants, and a path is a slot of main text or not by where its other
-blocks lie, counted in characters over all pages. Article and main elements are
-evidence for that, by how much text they hold. Pages then give the blocks of their
-main slots; what a wrapper doesn't know is judged by where it lies in the page.
-
-``infer_wrapper`` aligns a few pages to a union-free regular expression: children
-that only some pages have become optional, runs of like children a repeated group,
-texts that differ a slot, texts that agree stay constant. It shows a template to a
-reader; counting needs no alignment, which has no bound on a host's pages.
+A page is read as a stream of tags and texts, balanced into a tree. The trees of a
+host are aligned one after the other to its wrapper, a union-free regular expression:
+children that only some pages have become optional, runs of like children whose
+number differs a repeated group, texts that differ a slot. Tasks align their own
+pages, then the wrappers of one host are aligned in rounds of bounded groups, so all
+pages count and no task holds a host.
+
+Pages are then matched to their wrapper, which gives each text a position. A value
+that most pages have at one position is the host's own; a position is a slot of main
+text or not by where its other values lie, counted in characters over all pages.
+Article and main elements and telling names are evidence for that. What a wrapper
+doesn't know is judged by where it lies in the page.
 """
 
 from __future__ import annotations
 
+import heapq
 import html
 import json
 import re
@@ -28,16 +29,21 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import join_by_size, stage
 
 COUNTS_HELD = 200_000  # counts a task holds before it gives them on
 COUNTED = pa.schema([("host", pa.string()), *((n, pa.int64()) for n in "path digest pages low high main chars".split()),
-                     ("strict", pa.int32())])
+                     ("kind", pa.int32())])
 DEEPEST, MOST_RUNS = 200, 1_000  # pages nested deeper or with longer lists of unlike children are not aligned
 OUTSIDE_CHARS, OUTSIDE_TIMES = 250, 4  # text outside longer than this, and so often a landmark's: not the article's
-SHARED_CHARS = 300  # longer texts are the host's only if most pages have them
 LEAST_SHARED, LEAST_SHARE = 3, 20  # pages that must share a text of the host's, and one in so many
+IN_ARTICLE, IN_ARTICLE_TENTHS = 5, 9  # the same inside articles, in tenths of the pages
+FIXED_RUN = 8  # like neighbours up to so many, the same on all pages, have positions of their own
+FAN_IN, HOSTS_HELD = 16, 1_000  # wrappers merged by a task on average, and held by a task that infers
+WRAPPER_PARTS = 20_000  # of larger wrappers the parts with fewest pages go; their texts are judged by the page
+FIXED, REPEATED, ARTICLE = 0, 1, 2  # kinds of positions
 
 # Element kinds of HTML.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -51,6 +57,10 @@ FURNITURE = set("nav footer aside form menu dialog fieldset".split())
 BESIDE = {"aside", "footer"}  # an article inside is a teaser; other furniture may be an element left open
 CLOSES_ITSELF = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
                  "th": {"td", "th"}, "option": {"option"}}
+SUBHEADINGS = set("h2 h3 h4 h5 h6".split())
+HEADINGS = SUBHEADINGS | {"h1"}
+PROSE = HEADINGS | set("p blockquote".split())
+OWN = PROSE | set("li dt dd td th pre figcaption".split())  # an article's own, also where all pages share them
 LISTS = set("ul ol dl table menu select".split())
 # Names in class, id and role attributes that mark what is not the article.
 MARKS = set(
@@ -62,6 +72,13 @@ MARKS = set(
     "logo brand branding announcement privacy crumbs sitemap dropdown hamburger drawer subnav sidenav".split()
 )
 COMMENTS = set("comment comments commentlist disqus reply replies respond responses discussion feedback".split())
+# Words that may stand beside them in one name.
+BESIDES = set(
+    "site page main top bottom left right global primary secondary block box wrapper wrap container inner outer content area "
+    "section bar list item items link links unit slot zone group row col column inline sticky fixed mobile desktop small large "
+    "post posts article articles story stories text header head body widget widgets icon icons button buttons btn title label "
+    "user users reader readers view all js fb facebook twitter linkedin whatsapp social policy email more our us the".split()
+)
 HEADERS = set("header head banner masthead".split())  # of a page, unless they lie in its article
 TITLES = set("post entry article story".split())  # an article's own header
 STATES = set("with has no without".split())  # as in has-sidebar: not the thing itself
@@ -82,27 +99,36 @@ class Node:
 
     key: str  # name and marks, digits left out
     name: str
-    mark: str = ""  # furniture, comments, article, main or empty
+    mark: str = ""  # furniture, named (furniture by its name), comments, article, main, header or empty
     children: list = field(default_factory=list)
+    chars: int = 0  # of texts outside of links and furniture elements
 
 
 @lru_cache(maxsize=50_000)
 def kind_of(name: str, attributes: str) -> tuple[str, str]:
     """Key and mark of an element."""
     found = [(a.lower(), html.unescape(v.strip("\"'"))) for a, v in NAMED.findall(attributes)]
-    words = {w.lower() for _, v in found for w in WORDS.findall(v)}
+    names = [{w.lower() for w in WORDS.findall(n)} for a, v in found for n in v.split()]
+    words = set().union(*names)
     shown = ".".join(re.sub(r"\d+", "", v).strip() for a, v in found if a in ("class", "id") and v)
     plain = not words & STATES and name not in ("html", "body", "main")
-    if words & COMMENTS and plain:
+
+    def named(kinds: set) -> bool:
+        """Whether a whole name says so, not a part of another name."""
+        return plain and any(n & kinds and all(w in kinds or w in BESIDES or len(w) == 1 for w in n) for n in names)
+
+    if named(COMMENTS):
         mark = "comments"
-    elif name in FURNITURE or (words & MARKS and plain) or UNSEEN.search(re.sub(r"class\s*=\s*(\"[^\"]*\"|'[^']*')", "", attributes)):
+    elif name in FURNITURE or UNSEEN.search(re.sub(r"class\s*=\s*(\"[^\"]*\"|'[^']*')", "", attributes)):
         mark = "furniture"
+    elif named(MARKS):
+        mark = "named"
     elif name == "article" or "articlebody" in {v.lower() for a, v in found if a == "itemprop"}:
         mark = "article"
     elif name == "main" or ("role", "main") in found:
         mark = "main"
     else:
-        page_header = name == "header" or (words & HEADERS and plain and name not in ("h1", "h2"))
+        page_header = name == "header" or (named(HEADERS) and name not in ("h1", "h2"))
         mark = "header" if page_header and not words & TITLES else ""
     return f"{name}.{shown}" if shown else name, mark
 
@@ -111,6 +137,7 @@ def parse(page: str) -> Node:
     """The balanced tree of a page; open elements end with the page."""
     root = Node("", "")
     stack = [root]
+    made: list[tuple[Node, Node]] = []  # nodes with their parents
     at = 0
     while found := TOKEN.match(page, at):
         at = found.end()
@@ -143,42 +170,64 @@ def parse(page: str) -> Node:
         key, mark = kind_of(name, attributes or "")
         node = Node(key, name, mark)
         stack[-1].children.append(node)
+        made.append((node, stack[-1]))
         if name in RAW:
             end = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else len(page)
         elif name not in VOID and not (attributes or "").endswith("/"):
             stack.append(node)
+    weigh(root, made)
     return root
 
 
+def weigh(root: Node, made: list[tuple[Node, Node]]):
+    """Sets ``chars``; a name alone makes no furniture of what holds most of a page without landmarks."""
+    for node, parent in [*reversed(made), (root, None)]:
+        node.chars += sum(len(c.strip()) for c in node.children if isinstance(c, str))
+        if parent and node.name not in HIDDEN and node.name != "a" and node.mark not in ("furniture", "comments"):
+            parent.chars += node.chars
+    marked = any(n.mark in ("article", "main") for n, _ in made)
+    for node, _ in made:
+        if node.mark == "named":
+            most = node.chars > OUTSIDE_CHARS and 4 * node.chars > 3 * root.chars
+            node.mark = "" if most and not marked else "furniture"
+
+
 @dataclass
 class Piece:
     """A text of a page and where it lies."""
 
-    path: int  # digest of the keys above
+    path: int  # digest of its position in the wrapper, else of the keys above
     text: str
     block: int  # texts of one block are joined
     area: str  # article, main or empty
     furniture: bool
     linked: bool
+    tag: str  # of the element of its block
+    parent: int  # number of the element around that
+    repeated: bool  # no position of its own
     rescued: bool = False  # a landmark inside furniture
 
 
-def pieces_of(page: str) -> list[Piece]:
-    """All texts of a page in order, with their block and place."""
+def pieces_of(page: str, wrapper: Part | None = None) -> list[Piece]:
+    """All texts of a page in order, with their block, place and position in the wrapper."""
     out: list[Piece] = []
-    block = 0
-    # (node, path digest, area, furniture, comments, linked, beside, rescued); a marker closes a block
-    todo: list = [(parse(page), 0, "", False, False, False, False, False)]
+    block = elements = 0
+    root = parse(page)
+    if wrapper is not None and not alignable(root):
+        wrapper = None
+    # (node, part, path, repeated, area, furniture, comments, linked, beside, rescued, (tag, own, parent));
+    # a marker closes a block
+    todo: list = [(root, wrapper, 0, wrapper is None, "", False, False, False, False, False, ("", 0, 0))]
     while todo:
         entry = todo.pop()
         if entry is None:
             block += 1
             continue
-        node, path, area, furniture, comments, linked, beside, rescued = entry
+        node, part, path, repeated, area, furniture, comments, linked, beside, rescued, place = entry
         if isinstance(node, str):
             if node.strip():
-                out.append(Piece(path, node, block, area, furniture or comments, linked, rescued))
+                out.append(Piece(path, node, block, area, furniture or comments, linked, place[0], place[2], repeated, rescued))
             elif node and out and out[-1].block == block:
                 out[-1].text += " "
             continue
@@ -196,10 +245,17 @@ def pieces_of(page: str) -> list[Piece]:
             rescued = rescued or furniture
             furniture = False  # an element left open before the article ends there
             area = "article" if "article" in (area, node.mark) else "main"
-        path = xxhash.xxh64_intdigest(f"{path}/{node.key}") >> 1
         linked = linked or node.name == "a"
-        inner = [(child, path, area, furniture, comments, linked, beside, rescued) for child in reversed(node.children)]
-        if node.name in INLINE:
+        inline = node.name in INLINE
+        if not inline:
+            elements += 1
+            place = (node.name, elements, place[1])
+        inner = [
+            (child, found, where, repeated or again, area, furniture, comments, linked, beside, rescued, place)
+            for child, (found, where, again) in zip(node.children, positions(node, part, path))
+        ]
+        inner.reverse()
+        if inline:
             todo += inner
         else:
             block += 1
@@ -207,6 +263,49 @@ def pieces_of(page: str) -> list[Piece]:
     return out
 
 
+def positions(node: Node, part: Part | None, path: int) -> list[tuple]:
+    """(part, position, whether it is repeated) of each child; without a part the path of keys."""
+    if part is None:
+        return [(None, path if isinstance(c, str) else xxhash.xxh64_intdigest(f"{path}/{c.key}") >> 1, True)
+                for c in node.children]
+    runs: list[str] = []
+    at = []  # run of each child and place in it
+    for child in node.children:
+        key = "#" if isinstance(child, str) else child.key
+        if not child.strip() if key == "#" else child.name in HIDDEN:
+            at.append(None)
+        elif runs and runs[-1] == key:
+            place += 1
+            at.append((len(runs) - 1, place))
+        else:
+            place = 0
+            runs.append(key)
+            at.append((len(runs) - 1, 0))
+    keys = tuple(runs)
+    if keys not in part.known:
+        if len(part.known) > 1_000:
+            part.known.clear()
+        part.known[keys] = dict(common(keys, [p.key for p in part.parts]))
+    found = part.known[keys]
+    out = []
+    for child, where in zip(node.children, at):
+        if where is None:
+            out.append((None, path, True))
+            continue
+        run, place = where
+        if run not in found:
+            out.append((None, xxhash.xxh64_intdigest(f"{path}?{keys[run]}") >> 1, True))
+            continue
+        own = part.parts[found[run]]
+        if own.key == "#" or own.high == 1:
+            out.append((own, own.position, False))
+        elif own.low == own.high <= FIXED_RUN:
+            out.append((own, xxhash.xxh64_intdigest(f"{own.position}+{place}") >> 1, False))
+        else:
+            out.append((own, own.position, True))
+    return out
+
+
 def area_of(pieces: list[Piece]) -> str:
     """The area that holds the article by the page's own evidence.
 
@@ -242,9 +341,16 @@ class Part:
     key: str  # "#" for texts
     text: str | None = None  # None: a slot
     optional: bool = False
-    repeated: bool = False
+    low: int = 1  # least and greatest number of like neighbours on a page
+    high: int = 1
     parts: list = field(default_factory=list)
     pages: int = 1  # aligned on so many
+    position: int = 0
+    known: dict = field(default_factory=dict)  # matches of page children found before
+
+    @property
+    def repeated(self) -> bool:
+        return self.low != self.high
 
     def __str__(self) -> str:
         if self.key == "#":
@@ -256,7 +362,7 @@ class Part:
 
 
 def folded(children: list) -> list[Part]:
-    """Parts of one page's children; neighbours of one key become a repeated group."""
+    """Parts of one page's children; like neighbours become one part with their number."""
     out: list[Part] = []
     for child in children:
         if isinstance(child, str):
@@ -268,8 +374,9 @@ def folded(children: list) -> list[Part]:
         else:
             part = Part(child.key, None, parts=folded(child.children))
         if out and out[-1].key == part.key and part.key != "#":
+            number = out[-1].high + 1
             out[-1] = joined(out[-1], part)
-            out[-1].repeated = True
+            out[-1].low = out[-1].high = number
         elif out and out[-1].key == "#" == part.key:
             out[-1].text += " " + part.text
         else:
@@ -281,43 +388,62 @@ def joined(a: Part, b: Part, across: bool = False) -> Part:
     """The least part that both match; ``across``: they come from different pages."""
     text = a.text if a.key == "#" and a.text == b.text else None
     parts = aligned(a.parts, b.parts, across)
-    return Part(a.key, text, a.optional or b.optional, a.repeated or b.repeated, parts,
+    return Part(a.key, text, a.optional or b.optional, min(a.low, b.low), max(a.high, b.high), parts,
                 a.pages + b.pages if across else max(a.pages, b.pages))
 
 
-def aligned(a: list[Part], b: list[Part], across: bool = False) -> list[Part]:
-    """Parts that match both lists: common keys in order, the others optional."""
-    n, m = len(a), len(b)
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        for j in range(m - 1, -1, -1):
-            same = 1 + best[i + 1][j + 1] if a[i].key == b[j].key else 0
-            best[i][j] = max(same, best[i + 1][j], best[i][j + 1])
-    out, i, j = [], 0, 0
-    while i < n and j < m:
-        if a[i].key == b[j].key and best[i][j] == 1 + best[i + 1][j + 1]:
-            out.append(joined(a[i], b[j], across))
+def common(a, b) -> list[tuple[int, int]]:
+    """Places of a longest common subsequence of two lists of keys."""
+    start, n, m = 0, len(a), len(b)
+    while start < n and start < m and a[start] == b[start]:
+        start += 1
+    while n > start and m > start and a[n - 1] == b[m - 1]:
+        n, m = n - 1, m - 1
+    best = [[0] * (m - start + 1) for _ in range(n - start + 1)]
+    for i in range(n - start - 1, -1, -1):
+        for j in range(m - start - 1, -1, -1):
+            same = a[start + i] == b[start + j]
+            best[i][j] = 1 + best[i + 1][j + 1] if same else max(best[i + 1][j], best[i][j + 1])
+    out, i, j = [(k, k) for k in range(start)], 0, 0
+    while i < n - start and j < m - start:
+        if a[start + i] == b[start + j]:
+            out.append((start + i, start + j))
             i, j = i + 1, j + 1
         elif best[i + 1][j] >= best[i][j + 1]:
-            out.append(as_optional(a[i]))
             i += 1
         else:
-            out.append(as_optional(b[j]))
             j += 1
-    out += [as_optional(p) for p in a[i:]] + [as_optional(p) for p in b[j:]]
+    return out + [(n + k, m + k) for k in range(len(a) - n)]
+
+
+def aligned(a: list[Part], b: list[Part], across: bool = False) -> list[Part]:
+    """Parts that match both lists: common keys in order, the others optional.
+
+    Between common keys the parts of both keep their order and the lesser key goes
+    first, so alternatives stand in one order however the pages came.
+    """
+    out: list[Part] = []
+    i = j = 0
+    for k, other in [*common([p.key for p in a], [p.key for p in b]), (len(a), len(b))]:
+        out += map(as_optional, heapq.merge(a[i:k], b[j:other], key=lambda p: p.key))
+        if k < len(a):
+            out.append(joined(a[k], b[other], across))
+        i, j = k + 1, other + 1
     merged: list[Part] = []
-    for part in out:  # optional neighbours of one key are one repeated group
+    for part in out:  # neighbours of one key are one repeated group
         if merged and merged[-1].key == part.key:
-            optional = merged[-1].optional and part.optional
-            merged[-1] = joined(merged[-1], part)
-            merged[-1].optional, merged[-1].repeated = optional, part.key != "#"
+            before = merged[-1]
+            merged[-1] = joined(before, part)
+            merged[-1].optional = before.optional and part.optional
+            if part.key != "#":
+                merged[-1].high = before.high + part.high
         else:
             merged.append(part)
     return merged
 
 
 def as_optional(part: Part) -> Part:
-    return Part(part.key, part.text, True, part.repeated, part.parts, part.pages)
+    return Part(part.key, part.text, True, part.low, part.high, part.parts, part.pages)
 
 
 def alignable(root: Node) -> bool:
@@ -355,6 +481,47 @@ def constants_of(wrapper: Part) -> set[int]:
     return found
 
 
+def dumped(part: Part) -> list:
+    """Keys, numbers and pages of a wrapper without its texts; of a large one the parts of most pages."""
+    pages, todo = [], [part]
+    while todo:
+        one = todo.pop()
+        pages.append(one.pages)
+        todo += one.parts
+    pages.sort(reverse=True)
+    least = pages[WRAPPER_PARTS] + 1 if len(pages) > WRAPPER_PARTS else 0
+
+    def plain(p: Part) -> list:
+        return [p.key, int(p.optional), p.low, p.high, p.pages, [plain(c) for c in p.parts if c.pages >= least]]
+
+    return plain(part)
+
+
+def loaded(raw: list, position: int = 0) -> Part:
+    """The wrapper of ``dumped``, with a position for each part: its parent's, its key, and which of that key."""
+    key, optional, low, high, pages, parts = raw
+    out = Part(key, None, bool(optional), low, high, pages=pages, position=position)
+    seen: dict[str, int] = {}
+    for p in parts:
+        number = seen[p[0]] = seen.get(p[0], 0) + 1
+        place = position if p[0] == "#" else xxhash.xxh64_intdigest(f"{position}/{p[0]}/{number}") >> 1
+        out.parts.append(loaded(p, place))
+    return out
+
+
+def merge_trees(trees: list[str]) -> str:
+    """One wrapper that matches the pages of several."""
+    merged = loaded(json.loads(trees[0]))
+    for raw in trees[1:]:
+        merged = joined(merged, loaded(json.loads(raw)), across=True)
+    return json.dumps(dumped(merged))
+
+
+@lru_cache(maxsize=64)
+def load_tree(raw: str | None) -> Part | None:
+    return None if raw is None else loaded(json.loads(raw))
+
+
 @dataclass
 class Block:
     """A block of a page, or its part in one area."""
@@ -365,15 +532,18 @@ class Block:
     furniture: bool
     chars: int
     linked: int  # characters in links
+    tag: str
+    parent: int
+    kind: int  # of its position
 
     @property
     def digest(self) -> int:
         return xxhash.xxh64_intdigest(f"{self.path}#{self.text}") >> 1
 
 
-def blocks_of(page: str) -> tuple[str, list[Block]]:
+def blocks_of(page: str, tree: Part | None = None) -> tuple[str, list[Block]]:
     """The area of the article by the page's own evidence, and all blocks in order."""
-    pieces = pieces_of(page)
+    pieces = pieces_of(page, tree)
     area = area_of(pieces)
     groups: dict[tuple, list[Piece]] = {}
     for p in pieces:
@@ -381,28 +551,29 @@ def blocks_of(page: str) -> tuple[str, list[Block]]:
     out = []
     for (_, where, furniture), group in groups.items():
         if text := " ".join("".join(p.text for p in group).split()):
+            first = group[0]
             linked = sum(len(p.text) for p in group if p.linked)
-            out.append(Block(group[0].path, text, where, furniture, len(text), linked))
+            kind = ARTICLE if where == "article" else REPEATED if first.repeated else FIXED
+            out.append(Block(first.path, text, where, furniture, len(text), linked, first.tag, first.parent, kind))
     return area, out
 
 
-def count_page(page: str, number: int, paths: dict, texts: dict, host: str = ""):
+def count_page(page: str, tree: Part | None, number: int, paths: dict, texts: dict, host: str = ""):
     """Add one page to the counts of its host.
 
     ``paths``: (host, path) to pages, least and greatest page number, and
     characters that are main text and all. ``texts``: the same by (host, path,
-    digest) for what may be the host's own, and whether it must be on most pages.
+    digest) for what may be the host's own, and the kind of its position.
     """
-    area, blocks = blocks_of(page)
+    area, blocks = blocks_of(page, tree)
     seen = set()
     for b in blocks:
         if b.furniture and not b.area:
             continue  # never main text, on any page
         main = b.chars if not b.furniture and b.area == area else 0
         keys = [(paths, (host, b.path), ())]
-        if not b.furniture and b.area != "article":
-            strict = int(b.area == "main" or b.chars > SHARED_CHARS)
-            keys.append((texts, (host, b.path, b.digest), (strict,)))
+        if not b.furniture and not (b.kind == ARTICLE and b.tag in OWN):
+            keys.append((texts, (host, b.path, b.digest), (b.kind,)))
         for table, key, more in keys:
             row = table.setdefault(key, [0, number, number, 0, 0, *more])
             row[0] += key not in seen
@@ -412,64 +583,84 @@ def count_page(page: str, number: int, paths: dict, texts: dict, host: str = "")
             seen.add(key)
 
 
-def is_constant(pages, of, strict, either=lambda a, b: a or b, both=lambda a, b: a and b):
-    """Whether a text that ``pages`` of the ``of`` pages with its path have is the host's own.
+def is_shared(pages, of, kind, either=lambda a, b: a or b, both=lambda a, b: a and b):
+    """Whether ``pages`` of the ``of`` pages with a position are enough for a text to be the host's own.
 
-    Two or three pages may share an article; inside main, and where the text is
-    long, half of the pages must have it, else a twentieth.
+    At a position of its own a twentieth, if such texts are there on half of the
+    pages; in a repeated group half of the pages; in articles nine of ten.
     """
-    enough = either(pages >= LEAST_SHARED, of <= LEAST_SHARED + 1)
-    share = either(both(strict == 1, pages * 2 >= of), both(strict == 0, pages * LEAST_SHARE >= of))
-    return both(enough, share)
+    alone = both(both(kind == FIXED, pages >= LEAST_SHARED), pages * LEAST_SHARE >= of)
+    among = both(both(kind == REPEATED, pages >= LEAST_SHARED), pages * 2 >= of)
+    inside = both(both(kind == ARTICLE, pages >= IN_ARTICLE), pages * 10 >= of * IN_ARTICLE_TENTHS)
+    return either(alone, either(among, inside))
 
 
 def compile_wrapper(pages: list[str]) -> str:
-    """What extraction needs of a host: constants, and main or not for each path of blocks.
+    """What extraction needs of a host: its wrapper, constants, and main or not for each position.
 
-    Constants are texts that different pages have at one path, outside articles.
-    Paths are judged by the texts there that are no constants. Equal pages are one
-    page: nothing shows what varies. ``host_wrappers`` does the same over a table.
+    Constants are texts that different pages have at one position. Positions are
+    judged by the texts there that are no constants. Equal pages are one page:
+    nothing shows what varies. ``host_wrappers`` does the same over a table.
     """
+    tree = dumped(infer_wrapper(pages))
     paths, texts = {}, {}
     for page in pages:
-        count_page(page, xxhash.xxh64_intdigest(page), paths, texts)
-    constants = []
-    for (host, path, digest), (n, low, high, main, chars, strict) in texts.items():
-        of = paths[host, path]
-        if low < high and is_constant(n, of[0], strict):
-            constants.append((path, digest, main, chars))
-    for path, _, main, chars in constants:
+        count_page(page, loaded(tree), xxhash.xxh64_intdigest(page), paths, texts)
+    shared, on = [], {}
+    for (host, path, digest), (n, low, high, main, chars, kind) in texts.items():
+        of = paths[host, path][0]
+        if low < high and is_shared(n, of, kind):
+            shared.append((path, digest, main, chars, kind, of))
+            on[path] = on.get(path, 0) + (n if kind == FIXED else 0)
+    constants = [row for row in shared if row[4] != FIXED or 2 * on[row[0]] >= row[5]]
+    for path, _, main, chars, _, _ in constants:
         paths["", path][3] -= main
         paths["", path][4] -= chars
     slots = {str(path): int(2 * main > chars) for (_, path), (_, low, high, main, chars) in paths.items()
              if low < high and chars}
-    return json.dumps({"constants": sorted(d for _, d, _, _ in constants), "slots": slots})
+    return json.dumps({"tree": tree, "constants": sorted(row[1] for row in constants), "slots": slots})
 
 
 @lru_cache(maxsize=64)
-def load_wrapper(raw: str | None) -> tuple[set[int], dict[int, int]]:
+def load_wrapper(raw: str | None) -> tuple[set[int], dict[int, int], Part | None]:
     if raw is None:
-        return set(), {}
+        return set(), {}, None
     spec = json.loads(raw)
-    return set(spec["constants"]), {int(k): int(v) for k, v in spec["slots"].items()}
+    tree = loaded(spec["tree"]) if "tree" in spec else None
+    return set(spec["constants"] or ()), {int(k): int(v) for k, v in (spec["slots"] or {}).items()}, tree
 
 
-def extract(page: str, wrapper: str | None = None) -> str:
+def extract(page: str, wrapper: str | None = None, tree: Part | None = None) -> str:
     """Main text of one page: blocks in order, one line each.
 
-    The wrapper decides; the page's own evidence where it is silent.
+    The wrapper decides; the page's own evidence where it is silent. In an article
+    paragraphs, lists and tables are never constants, and other constants stay on a
+    page that has little else there, a copy of another. A constant heading stays
+    before text of its own element that stays.
     """
-    constants, slots = load_wrapper(wrapper)
-    area, blocks = blocks_of(page)
-    lines = []
+    constants, slots, own = load_wrapper(wrapper)
+    area, blocks = blocks_of(page, tree or own)
+    blocks = [b for b in blocks if not b.furniture and slots.get(b.path, b.area == area)]
+    constant = [bool(constants) and not (b.kind == ARTICLE and b.tag in OWN) and b.digest in constants for b in blocks]
+    inside = sum(b.chars for b in blocks if b.kind == ARTICLE)
+    copied = 2 * sum(b.chars for b, c in zip(blocks, constant) if c and b.kind == ARTICLE) > inside
+    around: dict[int, list[int]] = {}
     for b in blocks:
-        if b.furniture or not slots.get(b.path, b.area == area):
-            continue
-        if b.area != "article" and constants and b.digest in constants:
-            continue
-        if b.area or 2 * b.linked <= b.chars:
-            lines.append(b.text)
-    return "\n".join(lines)
+        row = around.setdefault(b.parent, [0, 0])
+        row[0] += b.linked
+        row[1] += b.chars
+
+    def prose(b: Block) -> bool:
+        """Whether a block is no list of links: a linked paragraph may be text."""
+        linked, chars = around[b.parent]
+        sentence = b.text.endswith((".", "!", "?")) and len(b.text.split()) >= 5
+        return b.area != "" or 2 * b.linked <= b.chars or (b.tag in PROSE and (2 * linked <= chars or sentence))
+
+    kept = [prose(b) and not (c and (b.kind != ARTICLE or not copied)) for b, c in zip(blocks, constant)]
+    for i in range(len(blocks) - 2, -1, -1):
+        if constant[i] and blocks[i].tag in SUBHEADINGS and blocks[i + 1].parent == blocks[i].parent:
+            kept[i] = kept[i + 1]
+    return "\n".join(b.text for b, k in zip(blocks, kept) if k)
 
 
 # --- over a table -----------------------------------------------------------
@@ -480,8 +671,58 @@ def host_of(url):
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
+TREES = pa.schema([("host", pa.string()), ("pages", pa.int64()), ("tree", pa.string())])
+
+
+def infer_trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The wrappers of the hosts of one task from its (host, html)."""
+
+    def inferred() -> pa.RecordBatch:
+        rows = [(host, pages, json.dumps(dumped(tree))) for host, (pages, tree) in found.items()]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), TREES)], schema=TREES)
+
+    found: dict[str, list] = {}
+    for batch in batches:
+        for host, page in zip(*(c.to_pylist() for c in batch.columns)):
+            own = found.setdefault(host, [0, None])
+            own[0] += 1
+            root = parse(page)
+            if alignable(root):
+                part = Part("", None, parts=folded(root.children))
+                own[1] = part if own[1] is None else joined(own[1], part, across=True)
+            elif own[1] is None:
+                own[1] = Part("")
+            if len(found) > HOSTS_HELD:
+                yield inferred()
+                found = {}
+    if found:
+        yield inferred()
+
+
+def host_trees(rows: DataFrame) -> DataFrame:
+    """(host, pages, tree) from (host, html): tasks align their pages, then rounds of groups their wrappers.
+
+    Equal wrappers are one row; groups have some FAN_IN of the others, so a host with any
+    number of pages is never one task's. The order of alignment follows the files, so
+    reruns agree.
+    """
+    def merged(key: tuple, found: pd.DataFrame) -> pd.DataFrame:
+        found = found.sort_values(["pages", "tree"], ascending=[False, True])
+        return pd.DataFrame({"host": [key[0]], "pages": [int(found["pages"].sum())], "tree": [merge_trees(list(found["tree"]))]})
+
+    trees = rows.select("host", "html").mapInArrow(infer_trees, "host string, pages long, tree string")
+    while True:
+        trees = stage(trees.groupBy("host", "tree").agg(F.sum("pages").alias("pages")), "trees")
+        most = trees.groupBy("host").count().agg(F.max("count")).first()[0] or 0
+        if most <= 1:
+            return trees
+        block = F.pmod(F.xxhash64("tree"), F.lit(-(-most // FAN_IN)))
+        trees = trees.withColumn("block", block).groupBy("host", "block").applyInPandas(
+            merged, "host string, pages long, tree string")
+
+
 def count_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``count_page`` over (host, page number, html) of one task, added up as far as memory allows."""
+    """``count_page`` over (host, tree, page number, html) of one task, added up as far as memory allows."""
 
     def counted() -> pa.RecordBatch:
         rows = [(host, path, None, *row, None) for (host, path), row in paths.items()]
@@ -491,8 +732,8 @@ def count_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     paths, texts = {}, {}
     for batch in batches:
-        for host, number, page in zip(*batch.columns):
-            count_page(page.as_py(), number.as_py(), paths, texts, host.as_py())
+        for host, tree, number, page in zip(*batch.columns):
+            count_page(page.as_py(), load_tree(tree.as_py()), number.as_py(), paths, texts, host.as_py())
             if len(paths) + len(texts) > COUNTS_HELD:
                 yield counted()
                 paths, texts = {}, {}
@@ -500,19 +741,26 @@ def count_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield counted()
 
 
+def with_hosts(pages: DataFrame, url: str, page_html: str) -> DataFrame:
+    return pages.where(F.col(page_html).isNotNull()).select(
+        host_of(F.col(url)).alias("host"), F.xxhash64(page_html).alias("number"), F.col(page_html).alias("html")
+    ).where("host <> ''")
+
+
 def host_wrappers(pages: DataFrame, url: str = "url", page_html: str = "html") -> DataFrame:
-    """(host, wrapper) from all pages of each host; see ``compile_wrapper``.
+    """(host, pages, tree, wrapper) from all pages of each host; see ``compile_wrapper``.
 
     Counts are added up in tasks before they move, so a host of any size is spread out.
     """
-    rows = pages.where(F.col(page_html).isNotNull()).select(
-        host_of(F.col(url)).alias("host"), F.xxhash64(page_html).alias("number"), F.col(page_html).alias("html")
-    ).where("host <> ''")
+    rows = with_hosts(pages, url, page_html)
+    trees = host_trees(rows)
+    everything = trees.agg(F.sum("pages")).first()[0] or 1
     added = [F.sum("pages").alias("pages"), F.min("low").alias("low"), F.max("high").alias("high"),
-             F.sum("main").alias("main"), F.sum("chars").alias("chars"), F.max("strict").alias("strict")]
+             F.sum("main").alias("main"), F.sum("chars").alias("chars"), F.max("kind").alias("kind")]
     counts = stage(
-        rows.mapInArrow(count_blocks, "host string, path long, digest long, pages long, low long, high long, "
-                        "main long, chars long, strict int")
+        join_by_size(rows, trees, "host", "pages", everything).select("host", "tree", "number", "html")
+        .mapInArrow(count_blocks, "host string, path long, digest long, pages long, low long, high long, "
+                    "main long, chars long, kind int")
         .groupBy("host", "path", "digest").agg(*added).where("low < high")
         .withColumn("place", F.xxhash64("host", "path")),
         "block_counts",
@@ -521,9 +769,13 @@ def host_wrappers(pages: DataFrame, url: str = "url", page_html: str = "html") -
     total = paths.agg(F.sum("pages")).first()[0] or 1
     sizes = paths.select("place", F.col("pages").alias("of")).groupBy("place").agg(F.max("of").alias("of"))
     texts = join_by_size(counts.where("digest is not null"), stage(sizes, "place_sizes"), "place", "of", total)
-    columns = (texts["pages"], texts["of"], texts["strict"])
+    columns = (texts["pages"], texts["of"], texts["kind"])
+    # At most a few texts of one position have so large a share of its pages.
+    on = F.sum(F.when(F.col("kind") == FIXED, F.col("pages"))).over(Window.partitionBy("place"))
     constants = stage(
-        texts.where(is_constant(*columns, lambda a, b: a | b, lambda a, b: a & b)), "constants"
+        texts.where(is_shared(*columns, lambda a, b: a | b, lambda a, b: a & b))
+        .withColumn("on", on).where((F.col("kind") != FIXED) | (F.col("on") * 2 >= F.col("of"))),
+        "constants",
     )
     signed = [F.when(F.col("digest").isNull(), F.col(c)).otherwise(-F.col(c)).alias(c) for c in ("main", "chars")]
     votes = counts.where("digest is null").select("host", "path", "digest", "main", "chars").unionByName(
@@ -539,7 +791,8 @@ def host_wrappers(pages: DataFrame, url: str = "url", page_html: str = "html") -
         F.sort_array(F.collect_set("digest")).alias("constants"),
         F.map_from_entries(F.collect_list("slot")).alias("slots"),
     )
-    return stage(both.groupBy("host").agg(F.to_json(spec).alias("wrapper")), "wrappers")
+    found = both.groupBy("host").agg(F.to_json(spec).alias("wrapper"))
+    return stage(trees.join(found, "host", "left"), "wrappers")
 
 
 def extract_main_text(
@@ -553,12 +806,18 @@ def extract_main_text(
     Repeated pages give repeated rows. Other columns are not looked at.
     """
     @F.pandas_udf("string")
-    def main_text(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for found, wrappers in batches:
-            yield pd.Series([extract(h or "", w) for h, w in zip(found, wrappers)], dtype=object)
+    def main_text(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for found, wrappers, trees in batches:
+            made = [extract(h or "", w, load_tree(t)) for h, w, t in zip(found, wrappers, trees)]
+            yield pd.Series(made, dtype=object)
 
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(page_html).alias("html"),
                         host_of(F.col(url)).alias("host"))
-    known = rows.join(host_wrappers(pages, url, page_html), "host", "left")
-    texts = known.select("page_id", "url", main_text("html", "wrapper").alias("text"))
+    wrappers = host_wrappers(pages, url, page_html)
+    total = wrappers.agg(F.sum("pages")).first()[0] or 1
+    own = F.col("html").isNotNull() & (F.col("host") != "")  # such hosts all have a wrapper
+    nothing = F.lit(None).cast("string")
+    known = join_by_size(rows.where(own), wrappers, "host", "pages", total).unionByName(
+        rows.where(~own).withColumns({"tree": nothing, "wrapper": nothing}), allowMissingColumns=True)
+    texts = known.select("page_id", "url", main_text("html", "wrapper", "tree").alias("text"))
     return texts.withColumn("n_chars", F.length("text").cast("long"))

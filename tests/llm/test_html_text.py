@@ -2,6 +2,7 @@ import json
 
 import pytest
 
+from pairwright.llm import html_text
 from pairwright.llm.html_text import (
     compile_wrapper, constants_of, extract, extract_main_text, host_wrappers, infer_wrapper,
 )
@@ -118,4 +119,78 @@ def test_all_pages_of_a_host_count(spark):
     assert all("Notice" not in got[100 + i] and got[100 + i].startswith(f"story {i} told") for i in range(3))
     of_host = [h for _, u, h in rows if u == "http://a.org/"]
     made = {r.host: json.loads(r.wrapper) for r in host_wrappers(df).collect()}
-    assert made["a.org"] == json.loads(compile_wrapper(of_host))
+    whole = json.loads(compile_wrapper(of_host))
+    assert made["a.org"] == {k: whole[k] for k in ("constants", "slots")}
+
+
+def test_a_word_in_a_name_is_no_veto():
+    text = "The whole article of this page. " * 4
+    assert extract(f'<article class="post related-science"><p>{text}</p></article>') == text.strip()
+    assert extract(f"<div id=share-market-news><p>{text}</p></div>") == text.strip()
+    inner = "<div class=form-of-government>One</div><div class=alert-systems>Two</div>"
+    assert extract(f"<article><p>x</p>{inner}</article>") == "x\nOne\nTwo"
+    # nor is a whole name, of what holds nearly all of a page without landmarks
+    assert extract(f"<div class=content-area><div class=announcement><p>{text * 4}</p></div><p>x</p></div>").startswith("The whole")
+    assert extract("<p>x</p><div class='related-articles'>r</div><div class='c-ad ad-300x250'>a</div><div id=site-nav>n</div>") == "x"
+
+
+def hosted(make, pages=20):
+    """Pages of one host, and what its wrapper gives of them."""
+    made = [make(i) for i in range(pages)]
+    wrapper = compile_wrapper(made)
+    return [extract(page, wrapper) for page in made]
+
+
+def test_headings_and_quotes_that_pages_share_stay():
+    got = hosted(lambda i: f"<div><h2>Introduction</h2><p>story {i} told</p><h2>References</h2><p>book {i}</p></div>"
+                           "<div><h2>Latest</h2><p>always the same</p></div>")
+    assert got == [f"Introduction\nstory {i} told\nReferences\nbook {i}" for i in range(20)]
+    got = hosted(lambda i: f"<div><p>start {i}</p><p>{'A line that some quote' if i % 5 == 0 else i}</p><p>end {i}</p></div>")
+    assert all("A line that some quote" in got[i] for i in range(0, 20, 5))
+    assert got[3] == "start 3\n3\nend 3"
+
+
+def test_adverts_go_by_their_position():
+    turn = ["Buy shoes", "Buy hats", "Buy coats", "Buy socks"]
+    assert hosted(lambda i: f"<div>{turn[i % 4]}</div><div><p>story {i}</p><p>more {i}</p></div>") == [
+        f"story {i}\nmore {i}" for i in range(20)]
+    article = "<article><p>story {0}</p><div>Buy shoes now</div><p>more {0}</p><ul><li>same</ul></article>"
+    assert hosted(article.format)[7] == "story 7\nmore 7\nsame"
+    # copies of one article are not furniture, whatever else differs
+    copies = hosted(lambda i: f"<div class=ad>{i}</div><article><div>told by all</div><div>{'again' if i else 'once'}</div></article>")
+    assert copies[3] == "told by all\nagain"
+
+
+def test_repeated_groups_and_optional_elements():
+    """Number of paragraphs, a picture and a list differ; the notice stands at one place of the wrapper."""
+    def make(i):
+        picture = "<figure><img src=x></figure>" if i % 2 else ""
+        points = "<ul>" + "".join(f"<li>point {i}{k}" for k in range(i % 3)) + "</ul>" if i % 3 else ""
+        story = "".join(f"<p>story {i} {k}</p>" for k in range(1 + i % 5))
+        return f"<div><section>We moved house</section>{picture}{story}{points}</div>"
+
+    got = hosted(make, 30)
+    for i, text in enumerate(got):
+        assert text.split("\n") == [f"story {i} {k}" for k in range(1 + i % 5)] + [f"point {i}{k}" for k in range(i % 3)]
+    shown = str(infer_wrapper([make(i) for i in range(30)]))
+    assert "(<figure>(<img></>)</>)?" in shown.replace("<figure><img></>", "<figure>(<img></>)") and "(<p>#text</>)+" in shown
+
+
+def test_linked_sentences_stay_and_lists_of_links_go():
+    text = "<p>Some words of the story that are no link.</p>"
+    assert "A linked sentence" in extract(f"<div>{text}<p><a href=x>A linked sentence</a></p></div>")
+    assert extract("<p><a href=x>All of this sentence is a link.</a></p>") == "All of this sentence is a link."
+    assert extract(f"{text}<ul><li><a href=x>One</a><li><a href=y>Two</a></ul>").count("\n") == 0
+
+
+def test_wrappers_of_tasks_merge_to_one(spark, monkeypatch):
+    """The order and number of tasks change neither positions nor results."""
+    monkeypatch.setattr(html_text, "FAN_IN", 2)
+    page = "<div><b>Our notice</b>{1}<p>story {0}</p>{2}</div><div class=x{3}>Last word</div>"
+    rows = [(i, "http://a.org/", page.format(i, "<hr>" * (i % 3 == 0), f"<p>more {i}</p>" * (i % 4), "ab"[i % 2])) for i in range(60)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    wrapper = compile_wrapper([r[2] for r in rows])
+    for tasks in (1, 13):
+        got = {r.page_id: r.text for r in extract_main_text(df.repartition(tasks)).collect()}
+        assert got == {i: extract(page, wrapper) for i, _, page in rows}
+    assert got[5] == "story 5\nmore 5" and got[3] == "story 3\nmore 3\nmore 3\nmore 3"
