@@ -93,7 +93,7 @@ NAMED = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
-@dataclass
+@dataclass(slots=True)
 class Node:
     """An element; children are Nodes and texts."""
 
@@ -193,7 +193,7 @@ def weigh(root: Node, made: list[tuple[Node, Node]]):
             node.mark = "" if most and not marked else "furniture"
 
 
-@dataclass
+@dataclass(slots=True)
 class Piece:
     """A text of a page and where it lies."""
 
@@ -285,7 +285,7 @@ def positions(node: Node, part: Part | None, path: int) -> list[tuple]:
     if keys not in part.known:
         if len(part.known) > 1_000:
             part.known.clear()
-        part.known[keys] = dict(common(keys, [p.key for p in part.parts]))
+        part.known[keys] = dict(common(runs, [p.key for p in part.parts]))
     found = part.known[keys]
     out = []
     for child, where in zip(node.children, at):
@@ -334,7 +334,7 @@ def area_of(pieces: list[Piece]) -> str:
 # --- wrappers ---------------------------------------------------------------
 
 
-@dataclass
+@dataclass(slots=True)
 class Part:
     """A child in a wrapper: a constant text, a slot, or an element with parts."""
 
@@ -361,29 +361,40 @@ class Part:
         return f"({inner}){mark}" if mark else inner
 
 
-def folded(children: list) -> list[Part]:
-    """Parts of one page's children; like neighbours become one part with their number."""
+def folded(children: list, texts: bool = True) -> list[Part]:
+    """Parts of one page's children; like neighbours become one part with their number.
+
+    Without ``texts`` all texts are slots.
+    """
     out: list[Part] = []
     for child in children:
         if isinstance(child, str):
             if not child.strip():
                 continue
-            part = Part("#", " ".join(child.split()))
+            part = Part("#", " ".join(child.split()) if texts else None)
         elif child.name in HIDDEN:
             continue
+        elif not texts and out and out[-1].key == child.key and only_text(child) and \
+                len(out[-1].parts) == 1 and out[-1].parts[0].key == "#":
+            out[-1].low = out[-1].high = out[-1].high + 1
+            continue
         else:
-            part = Part(child.key, None, parts=folded(child.children))
+            part = Part(child.key, None, parts=folded(child.children, texts))
         if out and out[-1].key == part.key and part.key != "#":
             number = out[-1].high + 1
             out[-1] = joined(out[-1], part)
             out[-1].low = out[-1].high = number
         elif out and out[-1].key == "#" == part.key:
-            out[-1].text += " " + part.text
+            out[-1].text = f"{out[-1].text} {part.text}" if texts else None
         else:
             out.append(part)
     return out
 
 
+def only_text(node: Node) -> bool:
+    return len(node.children) == 1 and isinstance(node.children[0], str) and bool(node.children[0].strip())
+
+
 def joined(a: Part, b: Part, across: bool = False) -> Part:
     """The least part that both match; ``across``: they come from different pages."""
     text = a.text if a.key == "#" and a.text == b.text else None
@@ -395,6 +406,8 @@ def joined(a: Part, b: Part, across: bool = False) -> Part:
 def common(a, b) -> list[tuple[int, int]]:
     """Places of a longest common subsequence of two lists of keys."""
     start, n, m = 0, len(a), len(b)
+    if n == m and a == b:
+        return [(k, k) for k in range(n)]
     while start < n and start < m and a[start] == b[start]:
         start += 1
     while n > start and m > start and a[n - 1] == b[m - 1]:
@@ -688,7 +701,7 @@ def infer_trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own[0] += 1
             root = parse(page)
             if alignable(root):
-                part = Part("", None, parts=folded(root.children))
+                part = Part("", None, parts=folded(root.children, texts=False))
                 own[1] = part if own[1] is None else joined(own[1], part, across=True)
             elif own[1] is None:
                 own[1] = Part("")
