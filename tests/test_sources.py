@@ -139,6 +139,25 @@ def test_both_annotation_shapes(spark, tmp_path):
     assert got["failed"].honesty is None and got["failed"].helpfulness["Rating"] == "5"
 
 
+def test_annotation_entries_of_other_shapes(spark, tmp_path):
+    """Numbers as ratings, null and mixed types, empty lists, scalars; a line that is no JSON is rejected."""
+    entries = [
+        {"Rating": 3, "Type": ["1", 2, None], "Rationale for type": None}, {"Rating": "2", "Type": 4}, {"Rating": "2", "Type": None},
+        {"Rating": "1"}, {"Type": "1"}, [], [{"Rating": "5", "Type": "None", "extra": {"deep": [1]}}, {"Rating": "9"}], "", 7, None,
+        [["Rating"]], {"Rating": "N/A", "Type": []},
+    ]
+    lines = [json.dumps({"instruction": str(i), "models": ["m"], "completions": [
+        {"model": "m", "response": "r", "annotations": {"helpfulness": e}}]}) for i, e in enumerate(entries)]
+    (tmp_path / "x.jsonl").write_text("\n".join([*lines, '{"instruction": cut']))
+    df, rejects = read_annotations(spark, str(tmp_path / "x.jsonl"))
+    got = {int(r.instruction): r.completions[0].annotations.helpfulness for r in df.collect()}
+    want = [("3", ["1", "2", None]), ("2", ["4"]), ("2", None), ("1", None), None, None, ("5", ["None"]), None, None, None, None, ("N/A", [])]
+    assert [g and (g["Rating"], g["Type"]) for _, g in sorted(got.items())] == want
+    assert [r.raw for r in rejects.collect()] == ['{"instruction": cut']
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "from_json" not in plan and "variant_get" in plan
+
+
 def test_stage_paths_are_fresh(spark):
     assert stage_path(spark, "x") != stage_path(spark, "x")
 
