@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from .common import join_by_size, stage
+from .common import HEAVY_SHARE, join_by_size, stage
 
 # Fixed values of the format.
 DICTIONARY_MAGIC = 0x184D2A5D
@@ -39,7 +39,7 @@ NEEDED = ("WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length")
 DICTIONARY_BYTES = 64 << 10
 SAMPLE_BYTES = 4 << 20  # of an archive's first payloads, for its dictionary
 ARCHIVE_BYTES = 256 << 20
-RECORD_BYTES = 1 << 30
+RECORD_BYTES = (1 << 31) - (1 << 20)  # Spark holds no larger value
 READ_BYTES = 256 << 10
 RECORD = pa.schema([
     ("archive", pa.string()), ("record_type", pa.string()), ("record_id", pa.string()),
@@ -189,7 +189,9 @@ def write_archives(
     # from a table of their own, which is broadcast by its size if it is small
     total = int(groups.agg(F.sum("n")).first()[0] or 0)
     several = stage(groups.where("n > 1"), "repeated_payloads")
-    lone = rows.join(several.select("digest"), "digest", "left_anti").withColumn("first", F.col("page_id"))
+    heavy = several.where(F.col("n") > total * HEAVY_SHARE).select("digest")  # not shuffled, see join_by_size
+    lone = rows.join(F.broadcast(heavy), "digest", "left_anti").join(several.select("digest"), "digest", "left_anti")
+    lone = lone.withColumn("first", F.col("page_id"))
     met = join_by_size(rows, several, "digest", "n", total).drop("n")
     ready = lone.unionByName(met)
     revisit = (
@@ -211,11 +213,12 @@ def write_archives(
 # --- reading ----------------------------------------------------------------
 
 
-def frames_of(stream) -> Iterator[bytes]:
+def frames_of(stream) -> Iterator[bytes | None]:
     """The decoded frames of an archive, one record each, read as a stream.
 
     The dictionary is loaded from the leading skippable frame, which may hold it
-    compressed. Other skippable frames are passed over.
+    compressed. Other skippable frames are passed over. A record that no Spark value
+    can hold is decoded to its end without being kept, and gives None.
     """
     buffer, ended = b"", False
 
@@ -248,22 +251,26 @@ def frames_of(stream) -> Iterator[bytes]:
             raise Damaged(f"no frame begins with {magic:08x}")
         leading = False
         frame = decoder.decompressobj()
-        out = io.BytesIO()
+        out: io.BytesIO | None = io.BytesIO()
         try:
             while not frame.eof:
                 if not need(1):
                     raise Damaged("the archive ends inside a frame")
-                out.write(frame.decompress(buffer))
+                more = frame.decompress(buffer)
                 buffer = frame.unused_data if frame.eof else b""
-                if out.tell() > RECORD_BYTES:
-                    raise Damaged(f"a record is larger than {RECORD_BYTES} bytes")
+                if out is not None and out.tell() + len(more) > RECORD_BYTES:
+                    out = None
+                if out is not None:
+                    out.write(more)
         except zstandard.ZstdError as error:
             raise Damaged(f"a frame cannot be decoded: {error}") from error
-        yield out.getvalue()
+        yield None if out is None else out.getvalue()
 
 
-def parse_record(raw: bytes) -> dict:
-    """One record's fields; Damaged where headers, lengths or digests are wrong."""
+def parse_record(raw: bytes | None) -> dict:
+    """One record's fields; Damaged where headers, lengths or digests are wrong, or the record is too large."""
+    if raw is None:
+        raise Damaged(f"the record is larger than {RECORD_BYTES} bytes")
     head, gap, rest = raw.partition(b"\r\n\r\n")
     lines = head.split(b"\r\n")
     if not gap or lines[0] not in (b"WARC/1.0", VERSION):
@@ -330,7 +337,7 @@ def read_partition(payloads: bool):
                     if not payloads:
                         row["payload"] = None
                     rows.append(row | {"archive": path})
-                    held += len(raw)
+                    held += len(raw or b"")
                     if held >= 8 << 20:
                         yield pa.RecordBatch.from_pylist(rows, RECORD)
                         rows, held = [], 0
@@ -345,7 +352,8 @@ def read_partition(payloads: bool):
 def read_archives(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
     """One row per record of all ``*.warc.zst`` under ``folder``.
 
-    A record that fails a check has only ``archive`` and ``error``; where a frame
+    A record that fails a check, or is too large for a Spark value (2 GiB), has only
+    ``archive`` and ``error`` and reading goes on behind it; where a frame
     cannot be decoded the archive's remaining frames are given up with one such
     row. A folder without archives gives an empty result. Payloads are checked in
     any case; with ``payloads=False`` they are not returned.

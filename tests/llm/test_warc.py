@@ -95,6 +95,28 @@ def test_damage_is_reported_per_archive(spark, tmp_path):
     assert sorted(r.error is None for r in got) == [False, False, True, True, True]
 
 
+def test_reading_goes_on_behind_a_large_record(spark, tmp_path, monkeypatch):
+    raw = archive([record(b"first"), record(b"x" * 5_000_000), record(b"third")])
+    monkeypatch.setattr(warc, "RECORD_BYTES", 1_000_000)
+    frames = list(warc.frames_of(io.BytesIO(raw)))
+    assert [f is None for f in frames] == [False, True, False]
+    assert warc.parse_record(frames[2])["payload"] == b"third"
+    with pytest.raises(warc.Damaged, match="larger"):
+        warc.parse_record(frames[1])
+
+
+def test_a_digest_of_most_rows(spark, tmp_path):
+    """Half of the rows have one payload, the others their own or that of a few."""
+    rows = [(i, f"u{i}", "hot" if i % 2 else f"p{i % 400}") for i in range(3000)]
+    folder = str(tmp_path / "hot")
+    assert warc.write_archives(spark.createDataFrame(rows, SCHEMA), folder) == 3000
+    last = {}
+    for i, _, text in rows:
+        last[text] = i
+    got = {r.record_id: r.refers_to for r in warc.read_archives(spark, folder).collect()}
+    assert got == {f"urn:page:{i}": None if last[t] == i else f"urn:page:{last[t]}" for i, _, t in rows}
+
+
 def test_empty_table(spark, tmp_path):
     folder = str(tmp_path / "none")
     assert warc.write_archives(spark.createDataFrame([], SCHEMA), folder) == 0
