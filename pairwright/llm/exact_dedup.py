@@ -172,8 +172,9 @@ def exact_dedup(
     for k in range(slices):
         part = table.where(F.col("slice") == k).drop("slice")
         bits = spark.sparkContext.broadcast(repeated_filter(part, cells).tobytes())
-        answers.append(part.mapInArrow(ask_filter(bits, cells), schema + ", maybe boolean"))
-    asked = stage(reduce(DataFrame.unionByName, answers), "asked")
+        answers.append(stage(part.mapInArrow(ask_filter(bits, cells), schema + ", maybe boolean"), "asked"))
+        bits.destroy()  # the answers are written: one slice's filter is held at a time
+    asked = reduce(DataFrame.unionByName, answers)
     maybe = asked.where("maybe").drop("maybe")
     groups = stage(
         maybe.groupBy("digest").agg(
