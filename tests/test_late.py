@@ -129,3 +129,19 @@ def test_settled_judgements_prefer_what_parses(spark, tmp_path):
     flat = lambda df: sorted((r.prompt_id, str(r.completions)) for r in df.collect())
     settled = attach_annotations(completions, parse_judgements(once), settled=True)
     assert flat(settled) == flat(attach_annotations(completions, parse_judgements(table)))
+
+
+def test_settled_calls_move_texts_by_their_keys_only(spark, tmp_path, monkeypatch):
+    """Texts are never dealt by the identity of their rows; hot keys, null keys and single calls come through."""
+    from pairwright.operators import late
+
+    monkeypatch.setattr(late, "LEAST_HOT", 3)
+    rows = [("hot", t) for t in ("", "b", "a", "c", "a")] + [("two", ""), ("two", "x"), ("one", ""), (None, "n"), (None, "m")]
+    spark.createDataFrame(rows, "request_id string, response string").write.parquet(str(tmp_path / "calls"))
+    once = late.settled_calls(spark.read.parquet(str(tmp_path / "calls")), ["request_id"])
+    digest = lambda t: __import__("hashlib").md5(t.encode()).hexdigest()
+    best = min("abc", key=digest)
+    got = sorted((str(r.request_id), r.response) for r in once.collect())
+    assert got == sorted([("hot", best), ("two", "x"), ("one", ""), ("None", "m"), ("None", "n")])
+    assert once.columns == ["request_id", "response"]
+    assert "hashpartitioning(_file" not in once._jdf.queryExecution().executedPlan().toString()
