@@ -19,7 +19,6 @@ from ..operators.scoring import (
 )
 from ..operators.training_rows import format_training_rows, within_length
 from .publish import publish, read_published
-from .stages import stage_table
 
 
 def build_preferences(
@@ -41,30 +40,34 @@ PREFERENCE_OUTPUTS = [
 
 def write_preferences(
     annotated: DataFrame, root: str, seed=0, mode: str = "exact", version: str | None = None,
-    after: Callable[[str], None] | None = None,
+    after: Callable[[str], None] | None = None, compression: str = "none",
 ) -> DataFrame:
     """Annotated completions -> weighted and binarized files; returns pairs per source.
 
     ``annotated`` comes from ``read_annotations`` or ``attach_annotations``. Publishes
     ``annotations_weighted_sum`` and ``annotations_binarized``, each as JSON lines and
     as parquet, together (``publish``): a run that died is simply run again, and with
-    the same ``version`` keeps what it had finished. Scores are staged once for all four.
+    the same ``version`` keeps what it had finished. ``annotated`` is read once: the
+    pairs come from the weighted output, which holds every prompt that can have one.
     """
     spark = annotated.sparkSession
     if "prompt_id" not in annotated.columns:
         annotated = annotated.withColumn("prompt_id", F.md5("instruction"))
-    scored = stage_table(weighted_score(gathered_from_annotated(annotated), mode=mode), "scored")
+    scored = lambda rows: weighted_score(gathered_from_annotated(rows), mode=mode)
     score = "tenths" if mode == "exact" else "scores"
     version = version or uuid.uuid4().hex
+    written = lambda name: spark.read.parquet(f"{root}/{version}/{name}.parquet")
     first = {
-        "annotations_weighted_sum": lambda: scored_completions(scored),
-        "annotations_binarized": lambda: binarized(make_pairs(scored, seed=seed, score=score)),
+        "annotations_weighted_sum": lambda: scored_completions(scored(annotated)),
+        "annotations_binarized": lambda: binarized(
+            make_pairs(scored(written("annotations_weighted_sum")), seed=seed, score=score)
+        ),
     }
     outputs = {}
     for name, make in first.items():
         outputs[f"{name}.parquet"] = make
-        outputs[f"{name}.jsonl"] = lambda name=name: spark.read.parquet(f"{root}/{version}/{name}.parquet")
-    publish(spark, root, outputs, version, after)
+        outputs[f"{name}.jsonl"] = lambda name=name: written(name)
+    publish(spark, root, outputs, version, after, compression)
     return count_by_source(read_published(spark, root, "annotations_binarized.parquet"))
 
 

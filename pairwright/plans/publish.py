@@ -51,13 +51,15 @@ def current_version(spark: SparkSession, root: str) -> str | None:
 def publish(
     spark: SparkSession, root: str, outputs: dict[str, Callable[[], DataFrame]],
     version: str | None = None, after: Callable[[str], None] | None = None,
+    compression: str = "none",
 ) -> str:
     """Write the outputs and publish them together; returns the version.
 
     Names end in ``.parquet`` or ``.jsonl``, which is their format. With a ``version``
     of its own a run can be repeated: outputs that an earlier try has committed stay as
     they are, and a version that is published already is not written again. One
-    writer at a time is assumed. ``after`` is called when an output is written.
+    writer at a time is assumed. ``after`` is called when an output is written, and
+    ``compression`` (``gzip``) packs the JSON lines.
     """
     newest = _newest(spark, root)
     published = _rows(spark, f"{root}/versions", VERSIONS)
@@ -71,7 +73,7 @@ def publish(
     for name, make in outputs.items():
         if name not in finished:
             if name.endswith(".jsonl"):
-                write_jsonl(make(), f"{root}/{version}/{name}", "overwrite")
+                write_jsonl(make(), f"{root}/{version}/{name}", "overwrite", compression)
             else:
                 write_parquet(make(), f"{root}/{version}/{name}", "overwrite")
             _append(spark, log, FINISHED, (name,))

@@ -90,3 +90,30 @@ def test_carry_shards_stops_at_lines_that_do_not_parse(spark, tmp_path):
     schema = spark.range(1).schema
     with pytest.raises(ValueError, match="1 lines"):
         carry_shards(spark, str(tmp_path) + "/completions/shard={}", "completions", "next", schema, lambda r: r, shards=2)
+
+
+def test_texts_are_packed_where_asked(spark, tmp_path):
+    from pairwright.plans import stage_table
+
+    root, made = str(tmp_path / "out"), []
+    publish(spark, root, frames(spark, 3, made), version="one", compression="gzip")
+    assert list((tmp_path / "out").rglob("*.json.gz")) and read_published(spark, root, "b.jsonl").count() == 3
+    assert list((tmp_path / "out").rglob("*.zstd.parquet"))
+    stage_table(spark.range(3), "x", str(tmp_path / "stage"))
+    assert list((tmp_path / "stage").glob("*.zstd.parquet"))
+
+
+def test_shards_are_dealt_without_computing_rows_twice(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+
+    rows = spark.range(400).withColumn("text", F.col("id").cast("string")).mapInPandas(count, "id long, text string")
+    write_sharded(rows, str(tmp_path / "s"), F.col("id"), shards=4, files_per_shard=2, compression="gzip")
+    assert seen.value == 400
+    assert [len(list((tmp_path / "s" / f"shard={i}").glob("*.json.gz"))) for i in range(4)] == [2] * 4
+    back, bad = split_corrupt(read_shards(spark, str(tmp_path / "s") + "/shard={}", rows.schema, shards=4))
+    assert bad.count() == 0 and sorted(r.id for r in back.collect()) == list(range(400))
