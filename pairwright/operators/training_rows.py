@@ -83,17 +83,34 @@ class Vocabulary:
         names = [*spec["model"]["vocab"], *(t["content"] for t in spec.get("added_tokens", []))]
         # one letter stands for one byte; special tokens are written as they are
         self.longest = max(len(n.encode()) if n.isascii() else len(n) for n in names) if plain else None
+        self.apart = plain and before.get("use_regex", True) and not any(
+            c.isspace() for t in spec.get("added_tokens", []) for c in t["content"]
+        )
+
+    def counter(self, enough: int | None = None) -> Callable[[Column], Column]:
+        """Tokens of a text. From ``enough`` on, any number that is at least that many tells as much.
 
-    def counter(self) -> Callable[[Column], Column]:
-        path = self.path
+        Tokens of such a vocabulary never reach over white space to what follows it, so
+        there are no fewer of them than places where something follows white space.
+        """
+        path, apart = self.path, self.apart and enough is not None
 
         def load() -> Callable[[str], int]:
-            from tokenizers import Tokenizer
+            import re
+
+            from ..llm.tokens import encoder_of
+
+            whole = encoder_of(path)
+            starts = re.compile(r"[ \t\n][!-~]")
+
+            def size(text: str) -> int:
+                if apart and len(text) >= 2 * enough:
+                    least = len(starts.findall(text))
+                    if least >= enough:
+                        return least
+                return len(whole.encode(text))
 
-            whole = Tokenizer.from_file(path)
-            whole.no_truncation()
-            whole.no_padding()
-            return lambda text: len(whole.encode(text, add_special_tokens=False).ids)
+            return size
 
         return tokenizer_counter(load)
 
@@ -120,7 +137,7 @@ def within_token_length(
     side have no length and are left out.
     """
     tagged = settle(rows, rows.columns, bound=length_bound(vocabulary, max_len, overhead))
-    count = vocabulary.counter()
+    count = vocabulary.counter(enough=max_len - overhead)
     asked = lambda answer: F.when(F.col("bound") == "undecided", F.concat("prompt", answer))
     long = lambda answer: count(asked(answer)) + overhead >= max_len
     whole = F.concat("prompt", "chosen", "rejected").isNotNull()

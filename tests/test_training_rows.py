@@ -113,3 +113,22 @@ def test_token_length_query_equals_counting_every_row(spark):
     every = within_length(queries._token_rows(spark, SF), 2048, vocabulary.counter())
     full = sorted(map(tuple, every.select(*queries.digest("prompt", "chosen", "rejected")).collect()))
     assert sorted(map(tuple, queries.training_rows_token_length(spark, SF).collect())) == full and full
+
+
+def test_texts_of_more_words_than_the_budget_are_not_tokenized(spark, monkeypatch):
+    import public_tokenizers
+    import tokenizers
+    from pairwright.operators import training_rows as train
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    whole, seen = tokenizers.Tokenizer.from_file(path), []
+    texts = ["a b " * 40, "\n\n \t x" * 30, "\x1c ! \x85  é" * 30, "word" * 60, "", "! " * 100, "a \n \n \n b" * 12]
+    counts = [len(whole.encode(t, add_special_tokens=False).ids) for t in texts]
+    monkeypatch.setattr(train, "tokenizer_counter", lambda load: seen.append(load()))
+    train.Vocabulary(path).counter(enough=20)
+    train.Vocabulary(path).counter()
+    bounded, exact = seen
+    assert [exact(t) for t in texts] == counts
+    assert [min(bounded(t), 20) for t in texts] == [min(n, 20) for n in counts]
+    assert all(bounded(t) <= n for t, n in zip(texts, counts))
+    assert bounded(texts[0]) == 79  # starts behind white space, not tokens
