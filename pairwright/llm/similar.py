@@ -10,7 +10,9 @@ a grid and more grids.
 
 In a cell, fingerprints are compared in the order of their total bit count, whose
 difference bounds the distance from below. The closest pairs that hold its components
-together leave it. These few are compared by their exact shingles before they link.
+together leave it and are compared by their exact shingles before they link. Where a
+cell has further close pairs, its texts whose links did not join them meet once more,
+and each close pair still apart is compared exactly.
 """
 
 from __future__ import annotations
@@ -37,6 +39,7 @@ RECALL = 0.98  # of sharing a cell, at the least similarity
 MARGIN = 3.0  # standard deviations of the distance that are allowed for
 CLOSEST, CROWD = 3, 8  # rows behind it that a row links to; only the closest of more than so many
 PAIRS_EACH = 500  # pairs that one copy of a text serves
+CHECK_BLOCK = 256  # texts of a cell that are held beside as many others
 PRINTS = ["f0", "f1", "f2", "f3"]
 
 
@@ -116,11 +119,19 @@ def grid_masks(size: int, grids: int) -> list[list[int]]:
 
 
 def closest(prints: np.ndarray, side: np.ndarray | None, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (u, v) within ``limit`` that connect all that are within it.
+    """The pairs of ``near_pairs``."""
+    return near_pairs(prints, side, limit)[:2]
+
+
+def near_pairs(
+    prints: np.ndarray, side: np.ndarray | None, limit: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (u, v) within ``limit`` that connect all that are within it, and what they leave.
 
     Each row links to the CLOSEST of those behind it, so that one pair less alike than
     its fingerprints does not part a group. In a crowd one will do, as each grid adds
     others. Further pairs come only where they join what is still apart. ``side``, if given, allows pairs of different sides only.
+    Left are the rows with a pair within ``limit`` that is not among these.
     """
     weight = np.bitwise_count(prints).sum(axis=1).astype(int)
     turn = np.argsort(weight, kind="stable")
@@ -129,6 +140,7 @@ def closest(prints: np.ndarray, side: np.ndarray | None, limit: int) -> tuple[np
     n = len(prints)
     us, vs = [], []
     root = np.arange(n)
+    left = np.zeros(n, bool)
     for at in range(0, n, CHUNK):
         stop = min(at + CHUNK, n)
         end = int(np.searchsorted(weight, weight[stop - 1] + limit, side="right"))
@@ -150,6 +162,8 @@ def closest(prints: np.ndarray, side: np.ndarray | None, limit: int) -> tuple[np
         which, place = np.nonzero(gaps <= limit)
         us.append(rows[which] + at)
         vs.append(best[which, place] + at)
+        others = near.copy()
+        others[us[-1] - at, vs[-1] - at] = False
         root = local_components(n, np.concatenate([us[-1], np.arange(n)]), np.concatenate([vs[-1], root]))
         u, v = np.nonzero(near)
         while True:  # bridges between what the closest pairs left apart
@@ -165,14 +179,20 @@ def closest(prints: np.ndarray, side: np.ndarray | None, limit: int) -> tuple[np
             first = pair[order[np.append(True, np.diff(part[order]) > 0)]]
             us.append(u[first] + at)
             vs.append(v[first] + at)
+            others[u[first], v[first]] = False
             root = local_components(n, np.concatenate([us[-1], np.arange(n)]), np.concatenate([vs[-1], root]))
+        left[at:stop] |= others.any(axis=1)
+        left[at:end] |= others.any(axis=0)
     if not us:
-        return np.zeros(0, int), np.zeros(0, int)
-    return turn[np.concatenate(us)], turn[np.concatenate(vs)]
+        return np.zeros(0, int), np.zeros(0, int), np.zeros(0, int)
+    return turn[np.concatenate(us)], turn[np.concatenate(vs)], turn[left]
 
 
 def links_of_group(limit: int):
-    """Links of all blocks of cells that were dealt to one group."""
+    """Links of all blocks of cells that were dealt to one group.
+
+    A row without v names a text u with close pairs in the cell beyond the links.
+    """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         cell, lo, hi = (pdf[c].to_numpy() for c in ("cell", "lo", "hi"))
@@ -182,21 +202,30 @@ def links_of_group(limit: int):
         prints = pdf[PRINTS].to_numpy()[order].view(np.uint64)
         new = np.append(True, (np.diff(cell) != 0) | (np.diff(lo) != 0) | (np.diff(hi) != 0))
         edges = np.append(np.flatnonzero(new), len(cell))
-        us, vs = [], []
+        none = np.zeros(0, np.int64)
+        us, vs, crowd, where = [none], [none], [none], [none]
         for i, j in zip(edges, edges[1:]):
             if j - i > 1:
-                u, v = closest(prints[i:j], own[i:j] if lo[i] != hi[i] else None, limit)
+                u, v, left = near_pairs(prints[i:j], own[i:j] if lo[i] != hi[i] else None, limit)
                 us.append(node[i:j][u])
                 vs.append(node[i:j][v])
-        u = np.concatenate(us) if us else np.zeros(0, np.int64)
-        v = np.concatenate(vs) if vs else np.zeros(0, np.int64)
-        return pd.DataFrame({"u": np.minimum(u, v), "v": np.maximum(u, v)}).drop_duplicates()
+                crowd.append(node[i:j][left])
+                where.append(cell[i:j][left])
+        u, v = np.concatenate(us), np.concatenate(vs)
+        links = pd.DataFrame({"u": np.minimum(u, v), "v": np.maximum(u, v)}).drop_duplicates()
+        more = pd.DataFrame({"u": np.concatenate(crowd), "cell": np.concatenate(where)}).drop_duplicates()
+        # nullable longs from the start: hashes do not survive as floats
+        links["cell"], more["v"] = (pd.array([pd.NA] * len(x), dtype="Int64") for x in (links, more))
+        return pd.concat([x[["u", "v", "cell"]].astype("Int64") for x in (links, more)])
 
     return run
 
 
 def candidate_links(nodes: DataFrame, n: int, similarity: float) -> DataFrame:
-    """Distinct pairs (u, v) of close fingerprints that connect what shares cells."""
+    """Distinct pairs (u, v) of close fingerprints that connect what shares cells.
+
+    Rows without v are texts u of a ``cell`` that has close pairs beyond these.
+    """
     size, number = layout(max(n, 1), similarity)
     counts = [segment_counts(F.col(f)) for f in PRINTS]
     cell = lambda i, masks: F.xxhash64(F.lit(i), *[c.bitwiseAND(F.lit(m)) for c, m in zip(counts, masks) if m])
@@ -214,7 +243,7 @@ def candidate_links(nodes: DataFrame, n: int, similarity: float) -> DataFrame:
     )
     group = F.pmod(F.xxhash64("cell", "lo", "hi"), F.lit(1 + rows // GROUP_ROWS)).alias("group")
     links = met.withColumn("group", group).groupBy("group").applyInPandas(
-        links_of_group(most_bits(similarity)), "u long, v long"
+        links_of_group(most_bits(similarity)), "u long, v long, cell long"
     )
     return links.distinct()
 
@@ -253,6 +282,83 @@ def with_texts(links: DataFrame, texts: DataFrame, end: str) -> DataFrame:
     return salted.join(held, [end, "salt"]).drop("salt")
 
 
+def open_links(words: int, similarity: float):
+    """Links among the texts of two blocks of a cell, as far as they join what is apart.
+
+    Close pairs are taken in the order of their distance. The number of common hashes
+    shows the pairs that are worth a comparison of their shingles.
+    """
+    limit = most_bits(similarity)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        prints = pdf[PRINTS].to_numpy().view(np.uint64)
+        node, text, own = (pdf[c].to_numpy() for c in ("text_hash", "text", "own"))
+        _, part = np.unique(pdf["root"].to_numpy(), return_inverse=True)
+        apart = sum(np.bitwise_count(prints[:, None, k] ^ prints[None, :, k]).astype(np.int16) for k in range(WIDE))
+        near = (apart <= limit) & (part[:, None] != part[None, :])
+        if pdf["lo"].iloc[0] != pdf["hi"].iloc[0]:
+            near &= own[:, None] != own[None, :]
+        u, v = np.nonzero(np.triu(near, 1))
+        order = np.argsort(apart[u, v], kind="stable")
+        hashes: dict[int, np.ndarray] = {}
+        root = list(range(part.max() + 1))
+
+        def find(i: int) -> int:
+            while root[i] != i:
+                root[i] = i = root[root[i]]
+            return i
+
+        def hashed(i: int) -> np.ndarray:
+            if i not in hashes:
+                found = [xxhash.xxh64_intdigest(s, SEED) for s in shingles(raw(i), words)]
+                hashes[i] = np.unique(np.array(found, np.uint64))
+            return hashes[i]
+
+        def raw(i: int) -> bytes:
+            return (text[i] or "").encode()
+
+        links = []
+        for i, j in zip(u[order].tolist(), v[order].tolist()):
+            a, b = find(part[i]), find(part[j])
+            if a == b:
+                continue
+            x, y = hashed(i), hashed(j)
+            if min(len(x), len(y)) < similarity * max(len(x), len(y)):
+                continue
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            if both >= similarity * (len(x) + len(y) - both) - 1 and jaccard(raw(i), raw(j), words) >= similarity:
+                root[b] = a
+                links.append((node[i], node[j]))
+        return pd.DataFrame(links, columns=["u", "v"], dtype="int64")
+
+    return run
+
+
+def links_left(crowds: DataFrame, roots: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Links (u, v) between what ``roots`` leave apart in cells with more close pairs than were compared.
+
+    ``crowds`` (cell, text_hash) is a written table. Cells are cut into blocks, so a task
+    holds the texts of two blocks however large the cell is.
+    """
+    rooted = crowds.join(roots, "text_hash", "left").select(
+        "cell", "text_hash", F.coalesce("root", "text_hash").alias("root")
+    )
+    rooted = stage(rooted, "similar_crowds")
+    sizes = rooted.groupBy("cell").agg(
+        F.count(F.lit(1)).alias("n"), F.min("root").alias("least"), F.max("root").alias("most")
+    )
+    sizes = stage(sizes.where("least <> most").select("cell", "n"), "similar_crowd_cells")
+    blocks = F.ceil(F.col("n") / CHECK_BLOCK).cast("int")
+    met = join_by_size(rooted, sizes, "cell", "n", rooted.count())
+    met = met.withColumn("own", F.pmod(F.xxhash64("text_hash", F.lit(SEED)), blocks).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), blocks - 1))
+    ).select(
+        "text_hash", "root", "cell", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")
+    )
+    whole = met.join(nodes.join(texts, "text_hash"), "text_hash")
+    return whole.groupBy("cell", "lo", "hi").applyInPandas(open_links(words, similarity), "u long, v long")
+
+
 def similar_documents(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8
 ) -> DataFrame:
@@ -261,7 +367,8 @@ def similar_documents(
     Texts link when the Jaccard similarity of their sets of ``words``-word shingles
     (A-Z lower-cased, words end at ASCII white space) is at least ``similarity``. Every
     link is checked on the exact shingles. Candidates come from fingerprints: a pair at
-    the least similarity is found with about RECALL, a closer one nearly always.
+    the least similarity is found with about RECALL, a closer one nearly always; all that
+    share a cell are linked or compared.
     ``component_id`` is the smallest doc_id reachable over links; null doc_ids come last.
     Of each component one document is ``kept``: that with the smallest doc_id, then the
     smallest text_hash (xxhash64 of the text); rows repeated in both count as one
@@ -282,7 +389,10 @@ def similar_documents(
         prints.groupBy("text_hash", *PRINTS).agg(first.alias("first"), F.count(F.lit(1)).alias("n")), "similar_nodes"
     )
     distinct = nodes.count()
-    pairs = stage(candidate_links(nodes.select("text_hash", *PRINTS), distinct, similarity), "similar_pairs")
+    prints_of = nodes.select("text_hash", *PRINTS)
+    found = stage(candidate_links(prints_of, distinct, similarity), "similar_pairs")
+    pairs = found.where("v is not null").select("u", "v")
+    crowds = found.where("v is null").select("cell", F.col("u").alias("text_hash"))
     ends = pairs.select("u").union(pairs.select("v")).distinct().withColumnRenamed("u", "text_hash")
     ends = stage(ends, "similar_ends")
     if ends.count() <= BROADCAST_ROWS:  # one number each; texts without a pair then stay where they are
@@ -292,7 +402,14 @@ def similar_documents(
     texts = stage(texts.groupBy("text_hash").agg(F.first("text").alias("text")), "similar_texts")
     both = with_texts(with_texts(pairs, texts, "u"), texts, "v")
     links = stage(both.mapInArrow(verify(words, similarity), "u long, v long"), "similar_links")
-    roots = stage(connected_components(links).select(F.col("node").alias("text_hash"), "root"), "similar_roots")
+    connected = lambda links: stage(
+        connected_components(links).select(F.col("node").alias("text_hash"), "root"), "similar_roots"
+    )
+    roots = connected(links)
+    if not crowds.isEmpty():
+        more = stage(links_left(crowds, roots, prints_of, texts, words, similarity), "similar_links_left")
+        if not more.isEmpty():
+            roots = connected(links.unionByName(more))
     heads = stage(
         roots.join(nodes.select("text_hash", "first"), "text_hash").groupBy("root").agg(
             F.min("first").alias("head"), F.count(F.lit(1)).alias("m")

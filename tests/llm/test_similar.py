@@ -121,6 +121,38 @@ def test_blocks_of_a_hot_cell(spark, monkeypatch):
     assert all(r.kept for r in got if r.doc_id >= 125)
 
 
+def test_crowd_of_unlike_neighbours_keeps_every_link(spark):
+    """Copies that are alike to one text only: their closest neighbours are too unlike, the further one is not."""
+    rng = random.Random(23)
+    base = [f"w{rng.randrange(9**6)}" for _ in range(220)]
+    texts = [" ".join(base)]
+    for i in range(40):
+        other = list(base)
+        for at in range(i % 44, 220, 55):  # 4 words, 20 of 216 shingles
+            other[at] = f"new{i}x{at}"
+        texts.append(" ".join(other))
+    pairs = [(i, j) for i in range(41) for j in range(i) if plain_jaccard(texts[i], texts[j]) >= 0.8]
+    assert len(pairs) >= 40
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in similar_documents(df).collect()}
+    want = components(texts, pairs)
+    assert [got[i] for i in range(41)] == [want[i] for i in range(41)]
+
+
+def test_rows_with_pairs_beyond_the_chosen_are_named():
+    draw = np.random.default_rng(8)
+    base = draw.integers(0, 1 << 63, (12, 4), dtype=np.int64).view(np.uint64)
+    rows = base[draw.integers(0, 12, 300)]
+    for k in range(4):
+        rows[:, k] ^= np.uint64(1) << draw.integers(0, 64, 300).astype(np.uint64)
+    u, v, left = similar.near_pairs(rows, None, 12)
+    apart = sum(np.bitwise_count(rows[:, None, k] ^ rows[None, :, k]).astype(int) for k in range(4))
+    near = apart <= 12
+    np.fill_diagonal(near, False)
+    near[u, v] = near[v, u] = False
+    assert set(left.tolist()) == set(np.flatnonzero(near.any(axis=1)).tolist())
+
+
 def test_odd_rows(spark):
     rows = [(1, None), (2, ""), (3, " \n"), (None, "a b c"), (4, "A B c"), (4, "a b c"), (4, "a b c"), (9, "x " * 20000), (8, "x " * 19000), (7, "x y")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("cell", F.lit(1)).withColumn("u", F.lit("u"))
