@@ -132,3 +132,48 @@ def test_parsing_is_one_pass(spark):
     plan = judgement_rejects(parse_judgements(df))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     assert plan.count("split(replace") == 1
+
+
+LETTERS = ["Rationale", "RATING", "rating", "Ratıng", "Type", "tYpe", "Rationale for type", "rationale for Rating", ":", ":", "：", "*", "**",
+           "*" * 70, "x", " ", "\n", "5", "٣", "N/A", "None", "2, 3", "漢字", "a longer run of words between the labels and the colons "]
+
+
+def test_labels_stand_where_lazy_patterns_find_them(spark):
+    """Random sections, against one pattern a layout; colons, stars and labels in any order."""
+    import random
+
+    rng = random.Random(5)
+    rows = []
+    for i in range(4000):
+        aspect = rng.choice(["honesty", "helpfulness"])
+        labels = fixed.TYPED_LABELS if aspect == "helpfulness" else fixed.PLAIN_LABELS
+        ordered = [x for label in labels for x in (*rng.choices(LETTERS, k=rng.randrange(3)), label, rng.choice(["", "*", "**:"]), ":")]
+        text = "".join([*ordered, *rng.choices(LETTERS, k=rng.randrange(4))] if rng.random() < 0.7 else rng.choices(LETTERS, k=rng.randrange(25)))
+        good = TYPED.format(t="1", r="4") if aspect == "helpfulness" else GOOD
+        rows.append((str(i), aspect, "####" + text + good * 3))
+    found = parsed_by_id(spark, rows)
+    ok = 0
+    for key, aspect, response in rows:
+        labels = fixed.TYPED_LABELS if aspect == "helpfulness" else fixed.PLAIN_LABELS
+        section = response.replace("：", ":").split("####")[1].replace("ı", "i")
+        groups = "(.+?)".join(label + r"\**:" for label in labels)
+        hit = re.search(groups + "(.+)", section, re.S | re.I)
+        rating = hit and ("N/A" if "N/A" in hit[len(labels)] else (re.findall(r"\d+", hit[len(labels)]) or [""])[0])
+        row = found[key]
+        assert (row.parse_status == "ok") == bool(rating), section
+        if rating:
+            ok += 1
+            first = row.sections[0]
+            texts = [first.rationale_for_type, first.rationale_for_rating] if aspect == "helpfulness" else [first.rationale]
+            assert [t.replace("ı", "i") for t in texts] == [hit[1], hit[len(labels) - 1]][: len(texts)], section
+            assert first.rating == rating, section
+    assert ok > 300
+
+
+def test_no_pattern_runs_over_the_text_of_a_section(spark):
+    """Labels are tested on the ends of pieces: the time of a long answer is that of cutting it."""
+    df = spark.createDataFrame([("1", "honesty", ("#### " + "word ratin ratin " * 50 + "Rationale: x Rating: 4\n") * 4)], SCHEMA)
+    for parsed in (judge_ratings(df), parse_judgements(df)):
+        plan = parsed._jdf.queryExecution().analyzed().toString()
+        assert ".*?" not in plan and ".+?" not in plan and "?<!" not in plan
+    assert judge_ratings(df).first().ratings == ["4"] * 4
