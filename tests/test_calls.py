@@ -106,6 +106,20 @@ def test_infer_is_bounded_in_time(spark):
     assert {p for p, r in got.items() if r.error} == {"p3", "p11"} and len(got) == 20
 
 
+def test_prompts_are_dealt_and_not_their_requests(spark):
+    prompts = spark.createDataFrame([(f"p{i}", "long text " * 50) for i in range(40)], "prompt_id string, text string")
+
+    def render(rows):
+        rows = rows.withColumn("slot", F.explode(F.array(*[F.lit(i) for i in range(4)])))
+        return rows.withColumn("request_id", F.concat_ws("/", "prompt_id", "slot"))
+
+    asked_for = infer(prompts, lambda r: r["text"][:4], ("request_id",), partitions=3, threads=2, render=render)
+    plan = asked_for._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("RepartitionByExpression")  # the shuffle lies below
+    got = asked_for.collect()
+    assert len({r.request_id for r in got}) == 160 == len(got) and {r.response for r in got} == {"long"}
+
+
 def test_empty_input(spark):
     assert infer(requests_df(spark).where("false"), lambda r: "x").collect() == []
 
