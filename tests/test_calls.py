@@ -106,6 +106,20 @@ def test_infer_is_bounded_in_time(spark):
     assert {p for p, r in got.items() if r.error} == {"p3", "p11"} and len(got) == 20
 
 
+def test_threads_serve_many_calls():
+    used = set()
+
+    def answer(request):
+        used.add(threading.current_thread())
+        return "x"
+
+    assert len(list(run_calls(asked(200), answer, CallLimits(threads=3)))) == 200
+    assert len(used) <= 3
+    for thread in used:
+        thread.join(2)
+    assert not any(thread.is_alive() for thread in used)
+
+
 def test_prompts_are_dealt_and_not_their_requests(spark):
     prompts = spark.createDataFrame([(f"p{i}", "long text " * 50) for i in range(40)], "prompt_id string, text string")
 
