@@ -5,12 +5,15 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from pairwright.operators.completions import assemble_completions
+from pairwright.functions import packed, unpacked
+from pairwright.operators.completions import assemble_completions, plan_prompts
 from pairwright.operators.instructions import strip_and_dedup, strip_and_dedup_written
 from pairwright.operators.judgements import parse_judgements, settled_judgements
 from pairwright.operators.late import dedup_written, settled_calls
 from pairwright.operators.requests import attach_responses
 from pairwright.operators.scoring import attach_annotations
+from pairwright.plans import stage_bucketed
+from workloads import derive
 
 
 def written(df, tmp_path, name):
@@ -145,3 +148,51 @@ def test_settled_calls_move_texts_by_their_keys_only(spark, tmp_path, monkeypatc
     assert got == sorted([("hot", best), ("two", "x"), ("one", ""), ("None", "m"), ("None", "n")])
     assert once.columns == ["request_id", "response"]
     assert "hashpartitioning(_file" not in once._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bucketed_completions_and_judge_texts_meet_without_a_shuffle(spark):
+    good = "".join(f"#### {i}\nRationale: r{i}\nRating: {i + 1}\n" for i in range(4))
+    rows = [(f"p{i}", a, good if i % 3 else "no") for i in range(40) for a in ("honesty", "instruction_following")]
+    df = spark.createDataFrame(rows, "prompt_id string, aspect string, response string")
+    completions = spark.createDataFrame([(f"p{i}",) for i in range(41)], "prompt_id string").withColumn(
+        "completions", F.array(*[F.struct(F.lit(f"m{i}").alias("model")) for i in range(4)])
+    )
+    flat = lambda df: sorted((r.prompt_id, str(r.completions)) for r in df.collect())
+    want = flat(attach_annotations(completions, parse_judgements(df)))
+    left, right = (stage_bucketed(t.repartition(3, "prompt_id"), "t", "prompt_id", 3) for t in (completions, df))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    attached = attach_annotations(left, parse_judgements(settled_judgements(right)), settled=True, dealt=True)
+    assert flat(attached) == want
+    assert "Exchange" not in plan(attached)
+    # repeated calls are settled in a bucketed table too
+    twice = stage_bucketed(df.unionByName(df.where("response <> 'no'").withColumn("response", F.lit("cut"))), "t", "prompt_id", 3)
+    once = parse_judgements(settled_judgements(twice))
+    assert flat(attach_annotations(left, once, settled=True, dealt=True)) == want
+    assert flat(attach_annotations(left, once, settled=True, partitions=3)) == want
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_packed_responses_are_assembled_as_their_texts(spark):
+    texts = ["", "a", "é語 " * 5000, None]
+    df = spark.createDataFrame([(f"p{i}", s, t) for i in range(3) for s, t in enumerate(texts)], "prompt_id string, slot int, response string")
+    plan_of = F.array(*[F.struct(F.lit(f"m{i}").alias("model"), F.lit("p").alias("principle"), F.lit("s").alias("custom_system_prompt")) for i in range(4)])
+    planned = spark.createDataFrame([(f"p{i}",) for i in range(4)], "prompt_id string").withColumn("plan", plan_of)
+    flat = lambda df: sorted((r.prompt_id, tuple(c.response for c in r.completions)) for r in df.collect())
+    small = df.withColumn("response", packed(F.col("response")))
+    assert small.agg(F.max(F.octet_length("response"))).first()[0] < 1000
+    assert [r.t for r in small.where("prompt_id = 'p1'").sort("slot").select(unpacked(F.col("response")).alias("t")).collect()] == texts
+    assert flat(assemble_completions(planned, small, settled=True, partitions=2)) == flat(assemble_completions(planned, df))
+
+
+def test_completions_of_odd_documents(spark, tmp_path):
+    """Texts dealt without the shuffle by block give the same completions."""
+    docs = [(i, f"first {i}\nlast {i}", f"src{i % 5}") for i in range(-9, 60) if i not in (6, 13)]
+    docs += [(None, "no id", "src1"), (20, None, "src0"), (21, None, "src3"), (21, "again", "src3"), (30, "zz", "src4"), (30, "zz", "src4")]
+    spark.createDataFrame([d for d in docs if d[0] != 20 or d[1] is None], "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    sf = str(tmp_path)
+    old = assemble_completions(plan_prompts(derive.prompts(spark, sf)), derive.block_responses(spark, sf), settled=True)
+    new = derive.completions(spark, sf, 3)
+    assert new.schema.simpleString() == old.schema.simpleString()
+    assert sorted(map(str, new.collect())) == sorted(map(str, old.collect()))
+    assert sorted(map(str, derive.completions_table(spark, sf).collect())) == sorted(map(str, old.collect()))
