@@ -52,7 +52,7 @@ def tokenize(vocabulary: str, end_id: int):
         encoder = encoder_of(vocabulary)
         size = max(encoder.size, end_id + 1)
         width = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        frequency, held = np.zeros(size, np.int64), np.zeros(size, bool)
+        frequency = np.zeros(size, np.int64)
 
         def rows(ids, data, counts, routes, kind):
             return pa.record_batch(
@@ -66,9 +66,8 @@ def tokenize(vocabulary: str, end_id: int):
             data, counts, routes = [], [], []
             for text in batch.column(1):
                 ids = np.append(encoder.encode(text.as_py() or ""), end_id).astype(width)
-                held[ids] = True
-                frequency[np.flatnonzero(held)] += 1
-                held[ids] = False
+                ordered = np.sort(ids)
+                frequency[ordered[np.append(True, ordered[1:] != ordered[:-1])]] += 1
                 data.append(ids.tobytes())
                 counts.append(len(ids))
                 routes.append(route_of(ids))
@@ -123,7 +122,7 @@ class Shard:
         self.term = term  # by document
         turn = np.flatnonzero(~dense)
         turn = turn[np.argsort(term[turn], kind="stable")]
-        self.doc, self.by_term = doc[turn].astype(np.int32), weight[turn]
+        self.doc, self.by_term = doc[turn], weight[turn]
         self.edges = np.searchsorted(term[turn], np.arange(len(idf) + 1))
         self.n = self.live = len(docs)
         self.unused, self.columns = np.ones(len(docs), bool), np.arange(len(docs))

@@ -1,3 +1,4 @@
+import itertools
 import zlib
 
 import numpy as np
@@ -8,7 +9,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from pairwright.llm.packing import Packer, Shard, pack_documents
-from pairwright.llm.tokens import SETTLED, Encoder
+from pairwright.llm.tokens import SETTLED, Encoder, long_run
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 SCHEMA = "doc_id long, text string"
@@ -31,6 +32,17 @@ def test_fast_ids_on_every_settled_character(encoder, plain):
     assert encoder.encode(text).tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
+def test_pieces_without_looking_ahead(encoder, plain):
+    """Runs of white space that need no look ahead go to the faster encoding, all others do not."""
+    spaces = [" ", "\n", "\t", "\r", "\x0b", "\x1c", "\x85", "\xa0", "\u2003", "\u2028"]
+    runs = ["".join(run) for n in (1, 2, 3) for run in itertools.product(spaces, repeat=n)]
+    for run in runs:
+        for text in (f"a{run}b", f"a{run}1", f"a.{run}!", f"{run}'s", f"it's{run}", run):
+            assert encoder.encode(text).tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
+    assert [long_run(t) for t in ("a\n\nb  c", "a b\n", "a\n\n\nb", "a \n", "a\t b", "a\t \u2003b")] == [False, False, True, True, False, True]
+    assert encoder.faster.encode_ordinary("One two's.\n\nThree  4") == encoder.fast.encode_ordinary("One two's.\n\nThree  4")
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.sampled_from(["a", " ", "\n", "\t", "é", "'s", "12", "!?", "ß", "語", "<|endoftext|>", " ", "\x85"]), max_size=20))
 def test_ids_are_the_tokenizers(parts):
