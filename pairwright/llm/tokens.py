@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import re
 from array import array
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import tiktoken
@@ -65,7 +65,7 @@ class Encoder:
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
         self.size = self.full.get_vocab_size()
         before = spec.get("pre_tokenizer") or {}
-        self.fast = None
+        self.ranks = None
         if (
             spec["model"].get("type") == "BPE" and spec.get("normalizer") is None
             and before.get("type") == "ByteLevel" and before.get("use_regex", True)
@@ -77,10 +77,18 @@ class Encoder:
                 bytes(symbols[c] for c in token): i
                 for token, i in spec["model"]["vocab"].items() if token not in self.special
             }
-            self.fast, self.faster = (
-                tiktoken.Encoding("bytes", pat_str=pieces, mergeable_ranks=ranks, special_tokens={})
-                for pieces in (PIECES, SHORT_RUNS)
-            )
+            self.ranks = ranks
+
+    def _encoding(self, pieces: str) -> tiktoken.Encoding:
+        return tiktoken.Encoding("bytes", pat_str=pieces, mergeable_ranks=self.ranks, special_tokens={})
+
+    @cached_property
+    def fast(self) -> tiktoken.Encoding:
+        return self._encoding(PIECES)
+
+    @cached_property
+    def faster(self) -> tiktoken.Encoding:
+        return self._encoding(SHORT_RUNS)
 
     def quick(self, text: str) -> np.ndarray:
         """Ids of a settled text by the faster library; an array takes over a list faster than numpy."""
@@ -89,7 +97,7 @@ class Encoder:
 
     def encode_plain(self, text: str) -> np.ndarray:
         """Ids of the text alone: strings of special tokens in it are plain text."""
-        if self.fast is None or unsettled(text):
+        if self.ranks is None or unsettled(text):
             self.full.encode_special_tokens = True
             ids = self.full.encode(text, add_special_tokens=False).ids
             self.full.encode_special_tokens = False
@@ -97,7 +105,7 @@ class Encoder:
         return self.quick(text)
 
     def encode(self, text: str) -> np.ndarray:
-        if self.fast is None or unsettled(text) or any(s in text for s in self.special):
+        if self.ranks is None or unsettled(text) or any(s in text for s in self.special):
             return np.array(self.full.encode(text, add_special_tokens=False).ids, np.uint32)
         return self.quick(text)
 
