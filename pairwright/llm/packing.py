@@ -26,6 +26,8 @@ from .tokens import encoder_of
 
 K1, B = 1.2, 0.75
 SHARD_TOKENS = 4 << 20
+# Documents whose ids leave a task at a time.
+TEXTS = 1024
 # Ids that one in so many documents holds go to the matrix; shards up to so many documents
 # have one, and all their scores by it are at most 128 MB. Seeds multiplied at once.
 DENSE, MATRIX_DOCS, SEEDS = 12, 4096, 256
@@ -62,7 +64,8 @@ def tokenize(vocabulary: str, end_id: int):
             )
 
         seen = None
-        for batch in batches:
+        parts = (batch.slice(at, TEXTS) for batch in batches for at in range(0, batch.num_rows, TEXTS))
+        for batch in parts:
             data, counts, routes = [], [], []
             for text in batch.column(1):
                 ids = np.append(encoder.encode(text.as_py() or ""), end_id).astype(width)
@@ -108,8 +111,11 @@ class Shard:
         pairs.sort()
         first = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1]))
         tf = np.diff(np.append(first, len(pairs)))
-        doc = (pairs[first] >> kind(bits)).astype(np.int64)
-        term = (pairs[first] & kind((1 << bits) - 1)).astype(np.int64)
+        pairs = pairs[first]
+        del first  # all of these are as long as the shard
+        doc = (pairs >> kind(bits)).astype(np.int32)
+        term = (pairs & kind((1 << bits) - 1)).astype(np.int32)
+        del pairs
         self.starts = np.searchsorted(doc, np.arange(len(docs) + 1))
         weight = (idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[doc] / lengths.mean())))
         held = np.bincount(term, minlength=len(idf))
@@ -119,6 +125,7 @@ class Shard:
         self.matrix = np.zeros((len(often), len(docs)))
         dense = self.row[term] >= 0
         self.matrix[self.row[term[dense]], doc[dense]] = weight[dense]
+        del tf
         self.term = term  # by document
         turn = np.flatnonzero(~dense)
         turn = turn[np.argsort(term[turn], kind="stable")]
@@ -239,6 +246,7 @@ class Packer:
 def pack_partition(shared, window: int, shard_tokens: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder_of.cache_clear()  # no text is encoded from here on
+        pa.default_memory_pool().release_unused()
         idf, width = shared.value
         packer = Packer(TaskContext.get().partitionId() << 40, window)
         names, docs, held = [], [], 0
