@@ -27,7 +27,7 @@ from .tokens import encoder_of
 K1, B = 1.2, 0.75
 SHARD_TOKENS = 4 << 20
 # Documents whose ids leave a task at a time.
-TEXTS = 1024
+TEXTS = 2048
 # Ids that one in so many documents holds go to the matrix; shards up to so many documents
 # have one, and all their scores by it are at most 128 MB. Seeds multiplied at once.
 DENSE, MATRIX_DOCS, SEEDS = 12, 4096, 256
@@ -54,7 +54,7 @@ def tokenize(vocabulary: str, end_id: int):
         encoder = encoder_of(vocabulary)
         size = max(encoder.size, end_id + 1)
         width = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        frequency = np.zeros(size, np.int64)
+        frequency, last = np.zeros(size, np.int64), np.zeros(size, np.int64)
 
         def rows(ids, data, counts, routes, kind):
             return pa.record_batch(
@@ -67,10 +67,12 @@ def tokenize(vocabulary: str, end_id: int):
         parts = (batch.slice(at, TEXTS) for batch in batches for at in range(0, batch.num_rows, TEXTS))
         for batch in parts:
             data, counts, routes = [], [], []
-            for text in batch.column(1):
-                ids = np.append(encoder.encode(text.as_py() or ""), end_id).astype(width)
-                ordered = np.sort(ids)
-                frequency[ordered[np.append(True, ordered[1:] != ordered[:-1])]] += 1
+            for plain in encoder.encode_all(text.as_py() or "" for text in batch.column(1)):
+                ids = np.empty(len(plain) + 1, width)
+                ids[:-1], ids[-1] = plain, end_id
+                places = np.arange(len(ids))
+                last[ids] = places
+                frequency[ids[last[ids] == places]] += 1  # each id at its last place
                 data.append(ids.tobytes())
                 counts.append(len(ids))
                 routes.append(route_of(ids))

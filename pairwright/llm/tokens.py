@@ -5,9 +5,12 @@ from __future__ import annotations
 import json
 import re
 from array import array
+from collections.abc import Iterable, Iterator
 from functools import cached_property, lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 from tokenizers import Tokenizer
 
@@ -24,13 +27,17 @@ def unsettled(text: str) -> bool:
     return not text.isascii() and SETTLED.search(text) is not None
 
 LONG_RUN = re.compile(r"\s\s(?:\s|\Z)")
-OTHER_SPACE, TWO_SPACES = "\t\r\x0b\x0c", ("  ", " \n", "\n ", "\n\n")
+OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
+TWO_SPACES = ("  ", " \n", "\n ", "\n\n")
+THREE_SPACES = tuple(two + one for two in TWO_SPACES for one in " \n")
+# Characters of texts whose words are gathered at once; longer texts are encoded by themselves.
+GATHERED, LONG_TEXT = 8 << 20, 1 << 20
 
 
 def long_run(text: str) -> bool:
     """Whether three characters of white space stand together, or two at the end."""
-    if text.isascii() and not any(c in text for c in OTHER_SPACE) and not any(s in text for s in TWO_SPACES):
-        return False
+    if not any(c in text for c in OTHER_SPACE):
+        return text.endswith(TWO_SPACES) or any(s in text for s in THREE_SPACES)
     return LONG_RUN.search(text) is not None
 
 
@@ -57,13 +64,10 @@ class Encoder:
     """
 
     def __init__(self, path: str):
-        self.full = Tokenizer.from_file(path)
-        self.full.no_padding()
-        self.full.no_truncation()
+        self.path = path
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
-        self.size = self.full.get_vocab_size()
         before = spec.get("pre_tokenizer") or {}
         self.ranks = None
         if (
@@ -78,6 +82,17 @@ class Encoder:
                 for token, i in spec["model"]["vocab"].items() if token not in self.special
             }
             self.ranks = ranks
+        if self.ranks is None:
+            self.size = self.full.get_vocab_size()
+        else:
+            self.size = len({*spec["model"]["vocab"], *self.special})
+
+    @cached_property
+    def full(self) -> Tokenizer:
+        full = Tokenizer.from_file(self.path)
+        full.no_padding()
+        full.no_truncation()
+        return full
 
     def _encoding(self, pieces: str) -> tiktoken.Encoding:
         return tiktoken.Encoding("bytes", pat_str=pieces, mergeable_ranks=self.ranks, special_tokens={})
@@ -104,6 +119,61 @@ class Encoder:
             return np.array(ids, np.uint32)
         return self.quick(text)
 
+    @cached_property
+    def spaced(self) -> np.ndarray:
+        """Whether an id's bytes begin with a space."""
+        found = np.zeros(max(self.ranks.values()) + 1, bool)
+        found[[i for token, i in self.ranks.items() if token[:1] == b" "]] = True
+        return found
+
+    def by_words(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """Ids of settled texts without a long run; a word that they share is encoded once.
+
+        Without looking ahead each space begins a piece, so the ids of a text are those
+        of its parts in front of spaces. The parts of all texts are encoded as one text.
+        """
+        lists = pc.split_pattern(pa.array(texts, pa.string()), " ")
+        edges = lists.offsets.to_numpy()
+        coded = lists.flatten().dictionary_encode()
+        words, code = coded.dictionary, coded.indices.to_numpy().copy()
+        del lists, coded  # each of these is as long as the texts
+        # a text's first part has no space in front of it
+        code[edges[:-1]] = len(words) + np.arange(len(texts))
+        heads = [self.faster.encode_ordinary(text.split(" ", 1)[0]) for text in texts]
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), " ")
+        ids = array("I", self.faster.encode_ordinary(" " + joined[0].as_py()))
+        starts = np.flatnonzero(self.spaced[np.frombuffer(ids, np.uint32)])
+        sizes = np.append(np.diff(starts, append=len(ids)), [len(h) for h in heads])
+        starts = np.append(starts, len(ids) + np.cumsum(sizes[len(words) :]) - sizes[len(words) :])
+        for head in heads:
+            ids.extend(head)
+        ids = np.frombuffer(ids, np.uint32)
+        for i, j in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            part = code[i:j]
+            size = sizes[part]
+            end = np.cumsum(size)
+            yield ids[np.repeat(starts[part] - end + size, size) + np.arange(end[-1])]
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
+        """``encode`` of each text, in their order."""
+        held, chars = [], 0
+        for text in texts:
+            held.append(text)
+            chars += len(text)
+            if chars >= GATHERED:
+                yield from self._encode_held(held)
+                held, chars = [], 0
+        yield from self._encode_held(held)
+
+    def _encode_held(self, texts: list[str]) -> Iterator[np.ndarray]:
+        short = [
+            self.ranks is not None and len(t) < LONG_TEXT and not unsettled(t)
+            and not any(s in t for s in self.special) and not long_run(t) for t in texts
+        ]
+        found = self.by_words([t for t, s in zip(texts, short) if s])
+        for text, is_short in zip(texts, short):
+            yield next(found) if is_short else self.encode(text)
+
     def encode(self, text: str) -> np.ndarray:
         if self.ranks is None or unsettled(text) or any(s in text for s in self.special):
             return np.array(self.full.encode(text, add_special_tokens=False).ids, np.uint32)

@@ -43,6 +43,34 @@ def test_pieces_without_looking_ahead(encoder, plain):
     assert encoder.faster.encode_ordinary("One two's.\n\nThree  4") == encoder.fast.encode_ordinary("One two's.\n\nThree  4")
 
 
+SOME = ["a", "Word", " ", "  ", " \n", "\n\n", "\n", "\t", "\u2003", "é", "'s", "12", "!?", "ß", "語", "<|endoftext|>", "\x85", "x" * 40]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(SOME), max_size=12), max_size=9))
+def test_texts_encoded_at_once_have_the_tokenizers_ids(encoder, plain, parts):
+    texts = ["".join(p) for p in parts]
+    assert [i.tolist() for i in encoder.encode_all(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_a_word_of_many_texts_is_encoded_once(plain, monkeypatch):
+    from pairwright.llm import tokens
+
+    fresh, seen = Encoder(PATH), []
+    fast = fresh.faster.encode_ordinary
+
+    class Counting:
+        def encode_ordinary(self, text):
+            seen.append(text)
+            return fast(text)
+
+    monkeypatch.setitem(fresh.__dict__, "faster", Counting())
+    monkeypatch.setattr(tokens, "GATHERED", 1 << 20)
+    texts = [f"{'unheardof ' * 50}in {i}" for i in range(40)] + ["", "unheardof"]
+    assert [i.tolist() for i in fresh.encode_all(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sum(t.count("unheardof") for t in seen) <= len(texts) + 1
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.sampled_from(["a", " ", "\n", "\t", "é", "'s", "12", "!?", "ß", "語", "<|endoftext|>", " ", "\x85"]), max_size=20))
 def test_ids_are_the_tokenizers(parts):
