@@ -9,7 +9,7 @@ calibrates the probabilities. Predictions read the whole text and nothing else.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -104,7 +104,36 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(-1, keepdims=True)
 
 
-def ftrl(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+class SparseRows:
+    """TF-IDF rows over packed gram counts, with 1 for the bias; a row is unpacked while it is looked at.
+
+    A count takes six bytes packed and twelve unpacked, and all rows are in the driver.
+    """
+
+    def __init__(self, sample: list, idf: np.ndarray, scale: float | None = None):
+        self.sample, self.idf, self.scale = sample, idf, scale
+        if scale is None:  # one scale for all keeps a prediction linear in the counts
+            norms = [np.sqrt((self.tfidf(i)[1] ** 2).sum()) or 1.0 for i in range(len(sample))]
+            self.scale = 1 / float(np.median(norms))
+
+    def part(self, chosen: np.ndarray) -> SparseRows:
+        return SparseRows([self.sample[i] for i in np.flatnonzero(chosen)], self.idf, self.scale)
+
+    def __len__(self) -> int:
+        return len(self.sample)
+
+    def tfidf(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        hit, times = np.frombuffer(self.sample[i].hit, "<u2"), np.frombuffer(self.sample[i].times, "<u4")
+        return hit, times / max(1, times.sum(dtype=np.int64)) * self.idf[hit]
+
+    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        if i >= len(self):
+            raise IndexError(i)
+        hit, weight = self.tfidf(i)
+        return np.append(hit.astype(np.int32), np.int32(BUCKETS)), np.append(weight * self.scale, 1.0)
+
+
+def ftrl(rows: Sequence[tuple[np.ndarray, np.ndarray]], y: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """FTRL-proximal over sparse rows; returns weights and bias."""
     z, n = np.zeros((BUCKETS + 1, k)), np.zeros((BUCKETS + 1, k))
 
@@ -206,23 +235,16 @@ def train(labelled: DataFrame, rows: int = FIT_ROWS) -> Model:
     languages, sample = fit_rows(labelled, rows)
     if not languages:
         return Model([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0)
-    x, norms = [], []
-    for row in sample:
-        hit, times = np.frombuffer(row.hit, "<u2").astype(np.int32), np.frombuffer(row.times, "<u4")
-        tfidf = times / max(1, times.sum(dtype=np.int64)) * idf[hit]
-        norms.append(np.sqrt((tfidf**2).sum()) or 1.0)
-        x.append((hit, tfidf))
-    scale = 1 / float(np.median(norms))  # one scale for all keeps a prediction linear in the counts
-    x = [(np.append(hit, np.int32(BUCKETS)), np.append(t * scale, 1.0)) for hit, t in x]
+    x = SparseRows(sample, idf)
     at = {lang: i for i, lang in enumerate(languages)}
     y = np.array([at[row.lang] for row in sample])
     held = np.arange(len(x)) % 5 == 0
     if held.all():
         held[:] = False
-    weights, bias = ftrl([r for r, h in zip(x, held) if not h], y[~held], len(languages))
+    weights, bias = ftrl(x.part(~held), y[~held], len(languages))
     full = np.vstack([weights, bias])
-    logits = np.array([t @ full[i] for (i, t), h in zip(x, held) if h]).reshape(-1, len(languages))
-    return Model(languages, weights * (idf * scale)[:, None], bias, temperature_of(logits, y[held]))
+    logits = np.array([t @ full[i] for i, t in x.part(held)]).reshape(-1, len(languages))
+    return Model(languages, weights * (idf * x.scale)[:, None], bias, temperature_of(logits, y[held]))
 
 
 def language_of(model: Model, spark: SparkSession):

@@ -76,3 +76,31 @@ def test_copies_do_not_fill_the_sample(spark, monkeypatch):
     assert len({(r.hit, r.times) for r in sample}) == 30
     monkeypatch.setattr(langid, "FIT_ENTRIES", 3)  # room for none: the first row of each stays
     assert sorted(r.lang for r in langid.fit_rows(df, 30)[1]) == languages
+
+
+def test_training_unpacks_one_row_at_a_time(monkeypatch):
+    """All rows lie in the driver's memory: a row's weights, twice its packed counts, are made when it is looked at."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    draw = np.random.default_rng(5)
+    hits = [np.sort(draw.choice(langid.BUCKETS, 5000, replace=False)) for _ in range(400)]
+    packed = [
+        SimpleNamespace(lang="ab"[i % 2], hit=h.astype("<u2").tobytes(), times=np.full(5000, 1 + i, "<u4").tobytes())
+        for i, h in enumerate(hits)
+    ]
+
+    class Frame:
+        def __getattr__(self, name):
+            return lambda *a, **b: [] if name == "collect" else self
+
+    frame = Frame()
+    frame.sparkSession = None
+    monkeypatch.setattr(langid, "fit_rows", lambda df, rows: (["a", "b"], packed))
+    monkeypatch.setattr(langid.F, "sum", lambda c: frame)
+    tracemalloc.start()
+    model = langid.train(frame)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # the weights of the model and their gradients take 8 MB, all rows unpacked 24 MB and more
+    assert model.languages == ["a", "b"] and model.weights.any() and most < 16e6
