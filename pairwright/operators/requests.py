@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from ..config import fixed
 from ..sources.sinks import stage_path
 from .calls import CallLimits, run_calls
+from .late import join_dealt
 
 
 def request_id(stage: str, prompt: str, part: str) -> Column:
@@ -120,17 +121,26 @@ def one_response_each(responses: DataFrame) -> DataFrame:
     return responses.groupBy("request_id").agg(preferred(text, text, text == "").alias("response"))
 
 
-def attach_responses(requests: DataFrame, responses: DataFrame, settled: bool = False) -> DataFrame:
+def attach_responses(
+    requests: DataFrame, responses: DataFrame, settled: bool = False, within: str | None = None
+) -> DataFrame:
     """Requests with their response; ``''`` where none came back.
 
     Select the request columns you need first: the join moves what it is given.
     ``settled`` responses (``settled_calls``) hold each call once and are not reduced
-    again, so answers go through one join and no aggregate.
+    again, so answers go through one join and no aggregate. ``within`` names a column of
+    both that the request id decides, as ``prompt_id`` (``with_request_parts``): settled
+    tables in as many buckets of it (``stage_bucketed``) meet without moving.
     """
-    once = responses.select("request_id", "response") if settled else one_response_each(responses)
-    return requests.join(once, "request_id", "left").withColumn(
-        "response", F.coalesce("response", F.lit(""))
-    )
+    if within:
+        if not settled:
+            raise ValueError("within needs settled responses")
+        keys = [within, "request_id"]
+        met = join_dealt(requests, responses.select(*keys, "response"), keys, "left", hashed="rows")
+    else:
+        once = responses.select("request_id", "response") if settled else one_response_each(responses)
+        met = requests.join(once, "request_id", "left")
+    return met.withColumn("response", F.coalesce("response", F.lit("")))
 
 
 def side_by_side(

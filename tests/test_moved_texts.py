@@ -3,8 +3,10 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from pairwright.operators.late import settled_calls
+from pairwright.operators.requests import attach_responses
 from pairwright.plans import stage_bucketed
 from workloads import queries
 
@@ -49,6 +51,24 @@ def test_repeated_calls_of_dealt_tables_are_settled_in_their_buckets(spark, no_b
     assert rows(kept) == rows(moved) and kept.columns == table.columns
 
 
-@pytest.mark.parametrize("name", ["repeated_judgements"])
+def test_responses_of_dealt_tables_meet_their_requests_in_their_buckets(spark, no_broadcast):
+    rows = calls(spark).where("prompt_id is not null and aspect is not null").withColumn(
+        "request_id", F.concat_ws("/", F.lit("judge"), "prompt_id", "aspect"))
+    dealt = lambda df, name: stage_bucketed(df.repartition(4, "prompt_id"), name, "prompt_id", 4)
+    requests = rows.select("request_id", "prompt_id").distinct()
+    silent = spark.createDataFrame([("judge/p200/a1", "p200"), ("judge/p1/a9", "p1")], requests.schema)
+    requests = dealt(requests.unionByName(silent).unionByName(silent), "requests")
+    responses = dealt(rows.select("request_id", "prompt_id", "response"), "responses")
+    once = settled_calls(responses, ["prompt_id", "request_id"], dealt=True)
+    met = attach_responses(requests, once, settled=True, within="prompt_id")
+    assert not exchanges(met)
+    plain = attach_responses(requests, settled_calls(responses, ["request_id"]), settled=True)
+    columns = ["request_id", "prompt_id", "response"]
+    assert sorted(met.select(columns).collect()) == sorted(plain.select(columns).collect())
+    with pytest.raises(ValueError):
+        attach_responses(requests, responses, within="prompt_id")
+
+
+@pytest.mark.parametrize("name", ["repeated_judgements", "attached_responses"])
 def test_queries_over_judge_texts_move_none_of_them(spark, tables, no_broadcast, name):
     assert not exchanges(queries.QUERIES[name](spark, tables))

@@ -404,15 +404,20 @@ def _response_table(spark: SparkSession, sf: str, completed: DataFrame | None =
     keyed = rows.select(
         req.request_id("judge", "prompt_id", "aspect"), "response", raised.alias("error")
     )
-    return keyed.unionByName(keyed.where(seeded_share(seeded_int("repeat", F.col("request_id")), 0.25)))
+    repeated = seeded_share(seeded_int("repeat", F.col("request_id")), 0.25)
+    rows = F.explode(F.array_repeat(F.lit(0), F.when(repeated, 2).otherwise(1)))  # beside each other
+    return keyed.withColumn("row", rows).drop("row")
 
 
 def attached_responses(spark: SparkSession, sf: str) -> DataFrame:
-    completed = derive.completions_table(spark, sf)
+    """Responses lie in the buckets of the prompts that their ids name, so no answer moves."""
+    buckets = derive.judge_buckets(spark, sf)
+    completed = derive.completions_table(spark, sf, buckets)
     requests = judge.plan_judgements(completed).select("request_id", "prompt_id", "aspect")
-    responses = stage_table(_response_table(spark, sf, completed), "responses")
-    once = late.settled_calls(responses, ["request_id"])
-    return req.attach_responses(requests, once, settled=True).select(
+    responses = req.with_request_parts(_response_table(spark, sf, completed), "aspect").drop("aspect")
+    responses = stage_bucketed(responses, "responses", "prompt_id", buckets)
+    once = late.settled_calls(responses, ["prompt_id", "request_id"], dealt=True)
+    return req.attach_responses(requests, once, settled=True, within="prompt_id").select(
         "request_id", "prompt_id", "aspect", *digest("response")
     )
 
