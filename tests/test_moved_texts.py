@@ -1,5 +1,6 @@
 """Long texts stay where they lie: queries over judge texts move and stage them once."""
 
+import glob
 import re
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from pairwright.operators.late import settled_calls
 from pairwright.operators.requests import attach_responses
 from pairwright.plans import stage_bucketed
+from pairwright.sources import stage_path
 from workloads import queries
 
 
@@ -72,3 +74,10 @@ def test_responses_of_dealt_tables_meet_their_requests_in_their_buckets(spark, n
 @pytest.mark.parametrize("name", ["repeated_judgements", "attached_responses"])
 def test_queries_over_judge_texts_move_none_of_them(spark, tables, no_broadcast, name):
     assert not exchanges(queries.QUERIES[name](spark, tables))
+
+
+def test_annotated_texts_are_not_staged_before_they_are_published(spark, tables):
+    stages = lambda name: set(glob.glob(stage_path(spark, "x").removeprefix("file:").rsplit("/", 1)[0] + f"/{name}-*"))
+    before, published = stages("annotated"), stages("published")
+    assert queries.published_preferences(spark, tables).count() > 0
+    assert stages("annotated") == before and len(stages("published") - published) == 1
