@@ -81,3 +81,13 @@ def test_annotated_texts_are_not_staged_before_they_are_published(spark, tables)
     before, published = stages("annotated"), stages("published")
     assert queries.published_preferences(spark, tables).count() > 0
     assert stages("annotated") == before and len(stages("published") - published) == 1
+
+
+def test_both_annotation_shapes_are_written_in_one_pass(spark, tables):
+    """Each bucket is read by one task, and so makes one file of lines at most."""
+    from workloads import derive
+
+    files = lambda: set(glob.glob(stage_path(spark, "x").removeprefix("file:").rsplit("/", 1)[0] + "/annotations-*/*.gz"))
+    before = files()
+    assert queries.annotation_file_shapes(spark, tables).count() == 62
+    assert 0 < len(files() - before) <= derive.judge_buckets(spark, tables)
